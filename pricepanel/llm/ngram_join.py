@@ -21,7 +21,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricepanel.llm.common import WordHashes, as_binary, batches, drained, grams, stored, text_batches
@@ -51,13 +51,12 @@ def node_of(s: np.ndarray) -> int:
 
 def _counts(k: int, buckets: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(buckets, np.int64)
+        hashes, total = WordHashes(), np.zeros(buckets, np.int32)
         for batch in text_batches(it):
-            for text in as_binary(batch.column(0)):
-                s = shingle_set(text, k, hashes)
-                total += np.bincount((s & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) if len(s) > buckets >> 3 else 0
-                if len(s) <= buckets >> 3:
-                    np.add.at(total, (s & np.uint64(buckets - 1)).astype(np.int64), 1)
+            words = [(t or b"").lower().split() for t in as_binary(batch.column(0))]
+            found = [grams(hashes.of(w), k) for w in words if len(w) >= k]
+            if found:
+                total += np.bincount((np.concatenate(found) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets).astype(np.int32)
         yield batches({"_part": list(range(buckets // _PART)), "_counts": [x.tobytes() for x in total.reshape(-1, _PART)]}, _COUNT)
 
     return run
@@ -70,22 +69,27 @@ def _summed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if p != part and part is not None:
                 out["_part"].append(part)
-                out["_counts"].append(total.tobytes())
+                out["_counts"].append(_narrow(total))
                 total = None
-            part, c = p, np.frombuffer(c, np.int64)
-            total = c.copy() if total is None else total + c
+            part, c = p, np.frombuffer(c, np.int32)
+            total = c.astype(np.int64) if total is None else total + c
     if part is not None:
         out["_part"].append(part)
-        out["_counts"].append(total.tobytes())
+        out["_counts"].append(_narrow(total))
     yield batches(out, _COUNT)
 
 
+def _narrow(total: np.ndarray) -> bytes:
+    """Counts as 32-bit numbers; beyond two thousand million only the order among such buckets is lost."""
+    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32).tobytes()
+
+
 def shingle_counts(texts: DataFrame, k: int, buckets: int) -> np.ndarray:
-    """How often each bucket of shingles occurs, over all rows; fixed size, whatever the corpus."""
+    """How often each bucket of shingles occurs (repeats in a text too), over all rows; fixed size, whatever the corpus."""
     parts = texts.mapInArrow(_counts(k, buckets), "_part int, _counts binary").repartition("_part").sortWithinPartitions("_part").mapInArrow(_summed, "_part int, _counts binary")
-    total = np.zeros((buckets // _PART, _PART), np.int64)
-    for r in parts.toLocalIterator():  # buckets * 8 bytes in all
-        total[r["_part"]] = np.frombuffer(r["_counts"], np.int64)
+    total = np.zeros((buckets // _PART, _PART), np.int32)
+    for r in parts.toLocalIterator():  # buckets * 4 bytes in all
+        total[r["_part"]] = np.frombuffer(r["_counts"], np.int32)
     return total.ravel()
 
 
@@ -118,7 +122,7 @@ def _entries(k: int, t: Fraction, counts):
                 often = df[(s & mask).astype(np.int64)]
                 prefix = n - -(-t.numerator * n // t.denominator) + 1
                 order = np.lexsort((s, often))[:prefix]
-                weight = int(often.sum() * 16 // n)
+                weight = int(often.sum(dtype=np.int64) * 16 // n)
                 parts.append((s[order].view(np.int64), np.full(prefix, node), n << 32 | np.arange(prefix), np.full(prefix, weight)))
             if parts:
                 yield batches(dict(zip(_ENTRY.names, map(np.concatenate, zip(*parts, strict=True)), strict=True)), _ENTRY)
@@ -195,7 +199,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("_hi").alias("_node"), F.col("_lo").alias("_least"))
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: str = "3/4", buckets: int = 1 << 18) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: str = "3/4", buckets: int = 1 << 20) -> DataFrame:
     """One row per document: ``id_col``, n_shingles (size of its set) and component_id.
 
     Documents link when the Jaccard similarity of their sets of k-word shingles (A-Z lower-cased) is
@@ -223,10 +227,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         need = F.ceil((m + n) * t.numerator / float(t.numerator + t.denominator) - 1e-9)
         return (F.least(m, n) * t.denominator >= F.greatest(m, n) * t.numerator) & (F.least(m - place(p), n - place(q)) >= need)
 
-    # Centre of a group: the greatest weight, then the greatest node (max_by over one packed decimal keeps the aggregation hashed).
-    rank = F.expr("cast(_weight as decimal(15,0)) * cast(18446744073709551616 as decimal(20,0)) + cast(_node as decimal(20,0))")
-    centres = entries.groupBy(F.col("_token").alias("_t")).agg(F.count("*").alias("_g"), F.max_by("_node", rank).alias("_c"), F.max_by("_place", rank).alias("_cp")).where("_g > 1")
-    grouped = entries.join(centres, F.col("_token") == F.col("_t")).select("_token", "_node", "_place", "_c", "_cp")
+    # Centre of a group: the greatest weight, then the greatest node. A window over the shingle reads the one shuffle once.
+    group = Window.partitionBy("_token")
+    centre = F.max(F.struct("_weight", "_node", "_place")).over(group)
+    grouped = entries.withColumns({"_g": F.count("*").over(group), "_centre": centre}).where("_g > 1")
+    grouped = grouped.select("_token", "_node", "_place", F.col("_centre._node").alias("_c"), F.col("_centre._place").alias("_cp"))
     grouped = stored(grouped, "prefix-groups")
     texts = source.join(classes.withColumnRenamed("_doc", "_rep"), F.col("_doc") == F.col("_rep")).select(F.col("_node").alias("_id"), "_text")
 
