@@ -94,7 +94,7 @@ class Neighbours:
         similar = x @ self.vectors.T
         near = np.argpartition(-similar, k - 1, axis=1)[:, :k]
         weight = np.clip(np.take_along_axis(similar, near, 1), 1e-6, None) ** 8
-        return (weight * self.labels[near]).sum(1) / weight.sum(1)
+        return np.clip((weight * self.labels[near]).sum(1) / weight.sum(1), 0.0, 1.0)
 
 
 def fit(texts: list[bytes], labels: list[int], *, size: int = 4096, rank: int = 48, k: int = 15, seed: int = 7) -> Neighbours:
