@@ -180,7 +180,8 @@ def located(shards: DataFrame) -> DataFrame:
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     parts = parts.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_of_part"))
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
-    return shards.select("part", "shard", inside.alias("_inside"), "n_tokens").join(parts, "part").select("part", "shard", (F.col("_inside") + F.col("_of_part")).alias("first"))
+    found = shards.select("part", "shard", inside.alias("_inside"), "n_tokens").join(parts, "part").select("part", "shard", (F.col("_inside") + F.col("_of_part")).alias("first"))
+    return stored(found, "token-starts")  # its size is then known, so the shards themselves need no shuffle where it is small
 
 
 def _decoded(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
