@@ -277,6 +277,12 @@ def parse_year(orders):
     return orders.select("o_orderkey", pl.parse_year(text).alias("year"), F.round(pl.parse_number(amount), 2).alias("number"), pl.parse_number(F.when(F.col("o_orderkey") % 3 == 0, "true").otherwise("1 %")).isNotNull().alias("known"))
 
 
+@on("orders", sql="select o_orderkey, round(o_totalprice, 2) number from orders")
+def parse_number(orders):
+    amount = F.concat(F.lit(" £"), F.format_number("o_totalprice", 2), F.lit(" %"))
+    return orders.select("o_orderkey", F.round(pl.parse_number(amount), 2).alias("number"))
+
+
 @on("orders", sql="select o_orderkey, case o_orderkey % 4 when 0 then 'domestic' when 1 then 'european' when 2 then 'long_haul' end category, case o_orderkey % 5 when 1 then 1 when 3 then 3 end as win from orders")
 def parse_category_window(orders):
     label = F.element_at(F.array(F.lit(" Domestic"), F.lit("European"), F.lit("Long-haul"), F.lit("Space")), (F.col("o_orderkey") % 4 + 1).cast("int"))
