@@ -153,11 +153,11 @@ def published_series(published):
     return rounded(vt.latest_per_key(published, ["index_month", "location"], "fetched_ts", "index_value").select("location", "index_month", "index_value"), "index_value")
 
 
-@query("stay_obs", sql=f"select scrape_date, stay_night_kind, location, property_tier, count(*) n, count(distinct property_token) n_properties, round(avg(price_gbp), 6) mean, round(quantile_disc(price_gbp, 0.5), 6) median, round({pq.GEO.format('price_gbp')}, 6) geomean from stay_obs group by 1, 2, 3, 4")
+@query("stay_obs", sql=f"select scrape_date, stay_night_kind, location, property_tier, count(*) n, count(distinct property_token) n_properties, round(avg(price_gbp), 8) mean, round(quantile_disc(price_gbp, 0.5), 8) median, round({pq.GEO.format('price_gbp')}, 8) geomean from stay_obs group by 1, 2, 3, 4")
 def daily_by_region(stays):
     p = F.col("price_gbp")
     out = stays.groupBy("scrape_date", "stay_night_kind", "location", "property_tier").agg(F.count("*").alias("n"), F.countDistinct("property_token").alias("n_properties"), F.avg(p).alias("mean"), F.percentile_approx(p, 0.5, 10_000).alias("median"), F.exp(F.avg(F.log(p))).alias("geomean"))
-    return rounded(out, "mean", "median", "geomean", places=6)
+    return rounded(out, "mean", "median", "geomean", places=8)
 
 
 @query("fare_obs", sql="select query_id, scrape_date, route, status from fare_obs where scrape_date = (select max(scrape_date) from fare_obs)")
