@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +24,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from pricepanel.llm.common import as_binary, held_out, text_batches
+from pricepanel.llm.common import as_binary, grams, held_out, text_batches
 
 
-def subwords(word: bytes, buckets: int) -> list[int]:
-    """Buckets of the word and of its 3- to 5-character n-grams, ends marked."""
-    w = f"<{word.decode().lower()}>"
-    parts = {w} | {w[i : i + n] for n in range(3, 6) for i in range(len(w) - n + 1)} if len(w) <= 40 else {w}
-    return [xxhash.xxh3_64_intdigest(p) % buckets for p in sorted(parts)]
+def subwords(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of each word and its 3- to 5-character n-grams, ends marked: all in a row, and how many each word has.
+
+    Words of more than 40 characters have a bucket of their own only.
+    """
+    marked = [f"<{w.decode().lower()}>" for w in words]
+    long = np.array([len(w) for w in marked], np.int64)
+    codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), long)
+    left = np.cumsum(long)[owner] - np.arange(len(codes))
+    whole = np.fromiter(map(xxhash.xxh3_64_intdigest, marked), np.uint64, len(words))
+    owners, found = [np.arange(len(words))], [whole]
+    for n in range(3, 6):
+        at = np.flatnonzero((left >= n) & (long <= 42)[owner] & (long > n)[owner])
+        owners.append(owner[at])
+        found.append(grams(codes, n)[at])
+    keys = np.sort(np.concatenate(owners) * buckets + (np.concatenate(found) % np.uint64(buckets)).astype(np.int64))
+    once = keys[np.diff(keys, prepend=-1) > 0]
+    return once % buckets, np.bincount(once // buckets, minlength=len(words))
 
 
 def spoken(text: bytes | None) -> list[bytes]:
@@ -47,31 +61,40 @@ class Model:
     bias: float
     window: int
 
-    def word_values(self, most: int = 400_000) -> dict:
-        model = self
+    def values(self, words: list[bytes]) -> list[float]:
+        """What each word adds to the logit: the average of its buckets."""
+        index, many = subwords(words, len(self.logits))
+        return (np.add.reduceat(self.logits[index].astype(np.float64), np.cumsum(many) - many) / many).tolist()
+
 
-        class Values(dict):
-            def __missing__(self, word: bytes) -> float:
-                if len(self) >= most:
-                    self.clear()
-                self[word] = value = float(model.logits[subwords(word, len(model.logits))].mean())
-                return value
+class WordValues(dict):
+    """Word -> its value; words not met before are worked out together. Forgets all beyond ``most`` words."""
 
-        return Values()
+    def __init__(self, model: Model, most: int = 400_000, block: int = 20_000):
+        super().__init__()
+        self.model, self.most, self.block = model, most, block
 
+    def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        if len(self) > self.most:
+            self.clear()
+        new = list(set(chain.from_iterable(texts)).difference(self))
+        for at in range(0, len(new), self.block):
+            words = new[at : at + self.block]
+            self.update(zip(words, self.model.values(words), strict=True))
+        return [np.fromiter(map(self.__getitem__, words), float, len(words)) for words in texts]
 
-def passages(n: int, window: int) -> list[tuple[int, int]]:
-    """Half-overlapping passages of ``window`` words that cover n words."""
-    if n <= window:
-        return [(0, n)]
+
+def passages(n: int, window: int) -> np.ndarray:
+    """Starts and ends of half-overlapping passages of ``window`` words that cover n words."""
     step = window // 2
-    return [(a, min(a + window, n)) for a in range(0, n - step, step)]
+    starts = np.arange(0, max(n - step, 1), step)
+    return np.stack([starts, np.minimum(starts + window, n)], 1)
 
 
 def passage_scores(values: np.ndarray, window: int, bias: float) -> np.ndarray:
     """Logit of each passage: average of its words' values."""
     sums = np.r_[0.0, np.cumsum(values)]
-    at = np.array(passages(len(values), window))
+    at = passages(len(values), window)
     return bias + (sums[at[:, 1]] - sums[at[:, 0]]) / window
 
 
@@ -87,20 +110,29 @@ def fit(texts: list[bytes], labels: list[int], *, buckets: int = 1 << 17, dim: i
     weights, bias = rng.normal(0, 0.3, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
     number: dict[bytes, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in spoken(t)], np.int64) for t in texts]
-    parts = [np.array(subwords(w, buckets), np.int64) for w in number]
-    flat, ends = np.concatenate([*parts, [0]]), np.cumsum([0, *map(len, parts)])[:-1]
-    per_word = np.array([len(x) for x in parts])
+    flat, per_word = subwords(list(number), buckets)
+    ends = np.cumsum(per_word) - per_word
 
     having = np.zeros((2, buckets))  # documents of a class with a word of the bucket, counted by word
-    for words, c in zip(docs, labels, strict=True):
-        for w in np.unique(words).tolist():
-            having[c][parts[w]] += 1
+    for c in (0, 1):
+        met = np.concatenate([np.zeros(0, np.int64), *[np.unique(words) for words, label in zip(docs, labels, strict=True) if label == c]])
+        having[c] = np.bincount(flat, np.repeat(np.bincount(met, minlength=len(number)), per_word), buckets)
     odds = np.log((having[1] + 0.5) / (having[0] + 0.5)) - np.log(((y == 1).sum() + 1) / ((y == 0).sum() + 1)) - 1.0
     table[having.sum(0) < least] = 0  # too rare to learn from: such n-grams stay without a vector
     common = having.sum(0) >= least
+    usable = common[flat]
+    kept = np.add.reduceat(usable, ends, dtype=np.int64) if len(number) else per_word
+    compact, first = flat[usable], np.cumsum(kept) - kept
+
+    def bag(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets with a vector of a passage's words, and the share of its word that each makes up."""
+        n = kept[words]
+        at = np.repeat(first[words] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return compact[at], np.repeat((1 / per_word[words]).astype(np.float32), n)
+
     logits, floor = np.where(common, np.maximum(odds, 0), 0).astype(np.float32), 0.0
     for _ in range(rounds):
-        values = np.add.reduceat(logits[flat], ends) / per_word if len(parts) else np.zeros(0)
+        values = np.add.reduceat(logits[flat], ends) / per_word if len(number) else np.zeros(0)
         bags, ys = [], []
         for words, c in zip(docs, labels, strict=True):
             if len(words):
@@ -108,8 +140,7 @@ def fit(texts: list[bytes], labels: list[int], *, buckets: int = 1 << 17, dim: i
                 for i in {int(scores.argmax())} if c else {int(scores.argmax()), *rng.integers(0, len(at), negatives).tolist()}:
                     bags.append(words[slice(*at[i])])
                     ys.append(c)
-        _train(table, weights, bias, [[parts[w] for w in bag.tolist()] for bag in bags], np.array(ys), epochs, rng, rate)
-        table[~common] = 0
+        _train(table, weights, bias, list(map(bag, bags)), np.array(ys), epochs, rng, rate)
         logits = (window * (table @ (weights[:, 1] - weights[:, 0]))).astype(np.float32)
         floor = float(bias[1] - bias[0])
     return Model(logits, floor, window)
@@ -120,9 +151,9 @@ def _train(table, weights, bias, bags, y, epochs, rng, rate, batch: int = 256) -
 
     A passage is ``window`` times the average of its words' vectors, a fixed scale that the model keeps.
     """
+    bags, y = [b for b in bags if len(b[0])], y[[i for i, b in enumerate(bags) if len(b[0])]]
     share = np.array([w / max(1, (y == c).sum()) for c, w in ((0, 0.7), (1, 0.3))], np.float32) * len(y)
-    flat = [np.concatenate(b) for b in bags]
-    scale = [np.concatenate([np.full(len(w), 1 / len(w), np.float32) for w in b]) for b in bags]
+    flat, scale = [b[0] for b in bags], [b[1] for b in bags]
     state = {name: [np.zeros_like(p), np.zeros_like(p)] for name, p in (("w", weights), ("b", bias))}
     for epoch in range(epochs):
         order, step = rng.permutation(len(bags)), rate * (1 - epoch / epochs)
@@ -137,25 +168,22 @@ def _train(table, weights, bias, bags, y, epochs, rng, rate, batch: int = 256) -
             p[np.arange(len(rows)), y[rows]] -= 1
             p *= share[y[rows]][:, None] / len(rows)
             back = (p @ weights.T)[np.repeat(np.arange(len(rows)), np.diff([*ends, len(index)]))] * factor[:, None]
-            touched, inverse = np.unique(index, return_inverse=True)
-            gradient = np.stack([np.bincount(inverse, back[:, d], len(touched)) for d in range(back.shape[1])], 1).astype(np.float32)
+            gradient = np.stack([np.bincount(index, back[:, d], len(table)) for d in range(back.shape[1])], 1).astype(np.float32)
             for name, parameter, g in (("w", weights, bag.T @ p), ("b", bias, p.sum(0))):
                 m, v = state[name]
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 parameter -= 0.02 * step / rate * m / (np.sqrt(v) + 1e-7)
-            table[touched] -= step * len(rows) * gradient
+            table -= step * len(rows) * gradient
 
 
 def _scores(model, schema: pa.Schema):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        values = m.word_values()
+        values = WordValues(m)
         for batch in text_batches(it):
-            out = []
-            for text in as_binary(batch.column(batch.num_columns - 1)):
-                words = spoken(text)
-                out.append(_score(np.fromiter(map(values.__getitem__, words), float, len(words)), m.window, m.bias))
+            texts = list(map(spoken, as_binary(batch.column(batch.num_columns - 1))))
+            out = [_score(v, m.window, m.bias) for v in values.of(texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], schema=schema)
 
     return run
