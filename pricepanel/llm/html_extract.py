@@ -283,11 +283,10 @@ def blocks_of(node: Node, skip: set[int]) -> list[str]:
 
 
 def extract(html: str | None, wrapper: Wrapper) -> str:
-    """The article of a page, one line a block. An element that calls itself the article keeps its constant texts."""
+    """The article of a page, one line a block; the host's constant texts go, inside an ``article`` or ``main`` too."""
     root = parse(html)
     skip: set[int] = set()
-    semantic = bool(wrapper.place) and wrapper.place[-1].split(".")[0] in ("article", "main")
-    if wrapper.tree is not None and wrapper.template and not (semantic and below(root, wrapper.place)):
+    if wrapper.tree is not None and wrapper.template:
         pairs: list[tuple[Node, Node]] = []
         match(wrapper.tree, root, pairs)
         skip = {id(q) for p, q in pairs if not p.tag and squeezed(p.text) in wrapper.template and squeezed(p.text) == squeezed(q.text)}

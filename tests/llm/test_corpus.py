@@ -214,6 +214,13 @@ def test_html():
         assert isinstance(html_extract.extract(bad, html_extract.Wrapper()), str)
 
 
+def test_html_constant_texts_inside_an_article_go():
+    page = "<body><article><h1>{0}</h1><p>{0} {0}</p><p>Sign up for our letter</p><div>Posted with care</div></article></body>"
+    pages = [page.format(x * 40) for x in "abcdefgh"]
+    w = html_extract.induce(pages)
+    assert [html_extract.extract(p, w) for p in pages] == [f"{x * 40}\n{x * 40} {x * 40}" for x in "abcdefgh"]
+
+
 def test_html_rows(spark):
     rows = [(1, "http://h/1", "<article><p>one two</article>"), (2, None, None), (3, "x", ""), (1, "http://h/1", "<article><p>one two</article>")]
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_extract.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
