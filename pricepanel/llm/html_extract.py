@@ -2,23 +2,25 @@
 
 1. A page is a tree of elements and texts. Elements that never hold an article (menus, forms, scripts and the
    like, by tag, role or class) are furniture from the start.
-2. Of each host a few pages are taken (those of the least hashed ids; a documented, bounded number). Their
-   trees are aligned with one of them by simple tree matching: nodes that match with the same text are
-   *template*, the rest are *slots*. The wrapper is the tree of the host's template, and the place (path of tags
-   and classes) below which most of the varying text lies.
-3. Every page of the host is aligned with its wrapper: texts that match template texts go, and of the rest
-   what lies below the place of the varying text is the article. A host of one page has no template;
-   then the place is found in the page alone.
+2. All pages of a host are counted, pages with one and the same text once: a text is *template* if it stands at
+   the same path (tags and classes) in two pages at least and in half of those that have the containers above it,
+   so that each layout is judged by its own pages. The wrapper is the tree of the template texts, and the place
+   below which most of the varying text lies.
+3. Of every page the template texts go. Where a page has a template text more often than the wrapper, simple tree
+   matching of the page with the wrapper says which of them it is. Of the rest what lies below the place of the
+   varying text is the article. A host of one page has no template; then the place is found in the page alone.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -50,6 +52,8 @@ HINT = re.compile(
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WHITE = " \t\n\r\x0c"
+#: Between the labels of a path; class names never have it.
+_STEP = "\x1f"
 
 
 @dataclass
@@ -197,7 +201,12 @@ def main_place(texts: list[tuple[tuple[str, ...], int]], share: float = 0.7) ->
             weights[path[:depth]] = weights.get(path[:depth], 0) + n
     fit = [p for p, n in weights.items() if n >= share * total and (not p or _container(p[-1]))]
     place = max(fit, key=lambda p: (len(p), weights[p], p), default=())
-    for i, label in enumerate(place):  # an article that holds it all is the article, headings included
+    return _to_article(place)
+
+
+def _to_article(place: tuple[str, ...]) -> tuple[str, ...]:
+    """An article that holds it all is the article, headings included."""
+    for i, label in enumerate(place):
         if label.split(".")[0] in ("article", "main"):
             return place[: i + 1]
     return place
@@ -209,46 +218,92 @@ def _container(label: str) -> bool:
 
 @dataclass
 class Wrapper:
-    """What a host's pages have in common: a tree of which ``template`` are the constant texts, and the article's place."""
+    """What a host's pages have in common: the tree of their constant texts, how many of each, and the article's place."""
 
     tree: Node | None = None
-    template: frozenset[str] = frozenset()
+    template: dict[tuple[str, int], int] = field(default_factory=dict)
     place: tuple[str, ...] | None = None
 
 
-def induce(pages: list[str]) -> Wrapper:
-    """Align the pages with the first of them; fewer than two different ones make no template.
+@dataclass
+class Text:
+    """A text of a page: its path, the containers above it, its hash, which of the equal ones it is, its order, the number of elements it shares with the text before."""
+
+    node: Node
+    path: str
+    scope: str
+    key: int
+    nth: int
+    place: int
+    shared: int
+    size: int
+
+
+def hashed(text: str) -> int:
+    h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def facts(root: Node) -> list[Text]:
+    """The texts of a page that are no furniture, in page order."""
+    out: list[Text] = []
+    seen: Counter = Counter()
+    before: list[int] = []
+
+    def walk(node: Node, path: tuple[str, ...], chain: list[int]) -> None:
+        nonlocal before
+        joined = scope = None
+        for c in content(node):
+            if c.tag:
+                walk(c, (*path, c.label), [*chain, id(c)])
+                continue
+            if joined is None:
+                joined, scope = _STEP.join(path), _STEP.join(x for x in _to_article(path) if _container(x))
+            text = squeezed(c.text)
+            key = hashed(text)
+            shared = next((i for i, (a, b) in enumerate(zip(chain, before, strict=False)) if a != b), min(len(chain), len(before)))
+            out.append(Text(c, joined, scope, key, seen[joined, key], len(out), shared, len(text)))
+            seen[joined, key] += 1
+            before = chain
+
+    walk(root, (), [])
+    return out
+
+
+def whole(texts: list[Text]) -> int:
+    """Pages of one such value are copies of each other."""
+    return hashed(" ".join(str(t.key) for t in texts))
 
-    Pages that share half of their text or more are copies of each other, and what they share is no template.
-    """
-    trees = [parse(p) for p in dict.fromkeys(pages)]
-    if len(trees) < 2:
-        return Wrapper()
-    base, same, seen = trees[0], {}, {}
-    texts: list[tuple[tuple[str, ...], int]] = []
-    for other in trees[1:]:
-        pairs: list[tuple[Node, Node]] = []
-        match(base, other, pairs)
-        fixed = {id(q) for p, q in pairs if not p.tag and squeezed(p.text) == squeezed(q.text)}
-        for p, q in pairs:
-            if not p.tag:
-                seen[id(p)] = seen.get(id(p), 0) + 1
-                same[id(p)] = same.get(id(p), 0) + (id(q) in fixed)
-        texts += texts_by_path(other, fixed)
-    constant = {i for i, n in same.items() if n == seen[i] and n >= max(2, (len(trees) - 1) // 2)}
-    if 2 * sum(len(t.text) for t in _texts(base) if id(t) in constant) >= sum(len(t.text) for t in _texts(base)):
-        constant, texts = set(), [x for t in trees[1:] for x in texts_by_path(t, set())]
-    template = frozenset(squeezed(t.text) for t in _texts(base) if id(t) in constant)
-    texts += texts_by_path(base, constant)
-    return Wrapper(base, template, main_place(texts))
-
-
-def _texts(node: Node) -> Iterator[Node]:
-    for c in content(node):
-        if c.tag:
-            yield from _texts(c)
-        else:
-            yield c
+
+def wrapper_of(constant: list[tuple[str, int, int, float, int]], place: tuple[str, ...] | None) -> Wrapper:
+    """From (path, hash, which of the equal ones, mean order, least shared elements) of each constant text."""
+    root = Node("#root")
+    branch, template = [root], Counter()
+    for path, key, _, _, shared in sorted(constant, key=lambda c: (c[3], c[:3])):
+        template[path, key] += 1
+        labels = path.split(_STEP) if path else []
+        keep = next((i for i, (a, b) in enumerate(zip(labels, branch[1:], strict=False)) if a != b.tag), min(len(labels), len(branch) - 1))
+        del branch[min(keep, shared) + 1 :]
+        for label in labels[len(branch) - 1 :]:
+            node = Node(label)
+            branch[-1].children.append(node)
+            branch.append(node)
+        branch[-1].children.append(Node("", str(key)))
+    return Wrapper(root if constant else None, dict(template), place)
+
+
+def induce(pages: list[str]) -> Wrapper:
+    """The wrapper of some pages, here and now; copies count once, so fewer than two different ones make no template."""
+    distinct = {whole(t): t for t in map(facts, map(parse, pages))}
+    pages_with, scopes, found = Counter(), Counter(), defaultdict(list)
+    for texts in distinct.values():
+        scopes.update({t.scope for t in texts})
+        for t in texts:
+            found[t.path, t.key, t.nth].append(t)
+    pages_with.update({k: len(v) for k, v in found.items()})
+    constant = {k: found[k] for k, n in pages_with.items() if n >= 2 and 2 * n >= scopes[found[k][0].scope]}
+    varying = [(tuple(t.path.split(_STEP)) if t.path else (), t.size) for texts in distinct.values() for t in texts if (t.path, t.key, t.nth) not in constant]
+    return wrapper_of([(*k, sum(t.place for t in v) / len(v), min(t.shared for t in v)) for k, v in constant.items()], main_place(varying) if varying else None)
 
 
 def below(root: Node, place: tuple[str, ...]) -> list[Node]:
@@ -286,36 +341,73 @@ def extract(html: str | None, wrapper: Wrapper) -> str:
     """The article of a page, one line a block; the host's constant texts go, inside an ``article`` or ``main`` too."""
     root = parse(html)
     skip: set[int] = set()
-    if wrapper.tree is not None and wrapper.template:
-        pairs: list[tuple[Node, Node]] = []
-        match(wrapper.tree, root, pairs)
-        skip = {id(q) for p, q in pairs if not p.tag and squeezed(p.text) in wrapper.template and squeezed(p.text) == squeezed(q.text)}
+    if wrapper.tree is not None:
+        texts = [t for t in facts(root) if (t.path, t.key) in wrapper.template]
+        often = Counter((t.path, t.key) for t in texts)
+        skip = {id(t.node) for t in texts if often[t.path, t.key] <= wrapper.template[t.path, t.key]}
+        if len(skip) < len(texts):
+            pairs: list[tuple[Node, Node]] = []
+            match(wrapper.tree, root, pairs)
+            skip |= {id(q) for p, q in pairs if not p.tag and p.text == str(hashed(squeezed(q.text)))}
     nodes = below(root, wrapper.place) if wrapper.place else []
     if not any(blocks_of(n, skip) for n in nodes):
         nodes = below(root, main_place(list(texts_by_path(root, skip)))) or [root]
     return "\n".join(b for n in nodes for b in blocks_of(n, skip))
 
 
-def _wrappers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import pickle
+_TEXTS = pa.list_(pa.struct([("path", pa.string()), ("scope", pa.int64()), ("key", pa.int64()), ("nth", pa.int32()), ("place", pa.int32()), ("shared", pa.int32()), ("size", pa.int32())]))
+_FACTS = pa.schema([("_host", pa.string()), ("_whole", pa.int64()), ("_texts", _TEXTS)])
+_FACT_KINDS = "_host string, _whole long, _texts array<struct<path: string, scope: long, key: long, nth: int, place: int, shared: int, size: int>>"
 
-    for batch in it:
-        hosts, blobs = [], []
-        for host, pages in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            hosts.append(host)
-            blobs.append(pickle.dumps(_small(induce([p["html"] for p in sorted(pages, key=lambda p: p["salt"])]))))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(blobs, pa.binary())], names=["_host", "_wrapper"])
 
+def _facts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_batches(it):
+        names, rows = [], []
+        for html in batch.column(1).to_pylist():
+            texts = facts(parse(html))
+            names.append(whole(texts))
+            rows.append([{"path": t.path, "scope": hashed(t.scope), "key": t.key, "nth": t.nth, "place": t.place, "shared": t.shared, "size": t.size} for t in texts])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(names, pa.int64()), pa.array(rows, _TEXTS)], schema=_FACTS)
 
-def _small(w: Wrapper) -> Wrapper:
-    """Without what alignment does not need: furniture and the words of texts that vary."""
 
-    def copy(n: Node) -> Node:
-        if not n.tag:
-            return Node("", n.text if squeezed(n.text) in w.template else "-")
-        return Node(n.tag, "", n.mark, False, [copy(c) for c in content(n)])
+def _wrappers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import pickle
 
-    return Wrapper(copy(w.tree) if w.tree is not None and w.template else None, w.template, w.place)
+    for batch in it:
+        blobs = []
+        for constant, place in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            at = None if place is None else _to_article(tuple(place.split(_STEP)) if place else ())
+            blobs.append(pickle.dumps(wrapper_of([tuple(c.values()) for c in constant or []], at)))
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(blobs, pa.binary())], names=["_host", "_wrapper"])
+
+
+def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
+    """``_host`` and ``_wrapper`` (pickled) from all rows of ``_host`` and ``_html``."""
+    read = pages.select("_host", "_html").where("_html is not null").mapInArrow(_facts, _FACT_KINDS)
+    distinct = stored(read.groupBy("_host", "_whole").agg(F.min("_texts").alias("_texts")), "page-facts")
+    texts = distinct.select("_host", F.explode("_texts").alias("t")).select("_host", "t.*")
+    found = texts.groupBy("_host", "path", "scope", "key", "nth").agg(F.count("*").alias("n"), F.avg("place").alias("place"), F.min("shared").alias("shared"), F.max("size").alias("size")).where("n >= 2")
+    # Pages that have a scope: dealt by salt too, as a host's texts are many.
+    scopes = distinct.select("_host", F.explode(F.array_distinct(F.col("_texts.scope"))).alias("scope")).groupBy("_host", "scope").agg(F.count("*").alias("of"))
+    scopes = scopes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    constant = found.withColumn("salt", F.pmod("key", F.lit(salts)).cast("int")).join(scopes, ["_host", "scope", "salt"]).where("2 * n >= of")
+    constant = stored(constant.select("_host", "path", "key", "nth", "place", "shared", "n", "size"), "constant-texts")
+
+    # Where the varying text lies: at each depth at most one path has 7 tenths of it.
+    sizes = texts.groupBy("_host", "path").agg(F.sum("size").alias("w")).union(constant.select("_host", "path", -F.col("n") * F.col("size")))
+    sizes = sizes.groupBy("_host", "path").agg(F.sum("w").alias("w")).where("w > 0")
+    labels = F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split("path", _STEP))
+    prefixes = sizes.withColumn("l", labels).select("_host", "w", F.explode(F.transform(F.sequence(F.lit(0), F.size("l")), lambda d: F.array_join(F.slice("l", F.lit(1), d), _STEP))).alias("prefix"))
+    weights = prefixes.groupBy("_host", "prefix").agg(F.sum("w").alias("w"))
+    total = weights.where("prefix = ''").select("_host", F.col("w").alias("total"))
+    depth = F.when(F.col("prefix") == "", 0).otherwise(F.size(F.split("prefix", _STEP)))
+    holders = sorted(t for t in BLOCKS if _container(t))
+    tag = F.substring_index(F.substring_index("prefix", _STEP, -1), ".", 1)
+    places = weights.join(total, "_host").where((F.col("w") >= 0.7 * F.col("total")) & ((F.col("prefix") == "") | tag.isin(holders)))
+    places = places.groupBy("_host").agg(F.max_by("prefix", depth).alias("_place"))
+    listed = constant.groupBy("_host").agg(F.collect_list(F.struct("path", "key", "nth", "place", "shared")).alias("_constant"))
+    both = places.join(listed, "_host", "full").select("_host", "_constant", "_place")
+    return stored(both.mapInArrow(_wrappers, "_host string, _wrapper binary"), "wrappers")
 
 
 def _extracted(schema: pa.Schema):
@@ -336,18 +428,15 @@ def _extracted(schema: pa.Schema):
     return run
 
 
-def extract_articles(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", samples: int = 8) -> DataFrame:
+def extract_articles(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Columns ``id_col``, ``url_col``, text (blocks joined by a newline, empty if none) and n_chars.
 
-    ``samples`` pages of a host at most make its wrapper; every page is aligned with it. Null html is an
-    empty page; null URLs, and URLs without a host, share one wrapper; repeated rows are extracted alike.
+    All pages of a host make its wrapper. Null html is an empty page; null URLs, and URLs without a host,
+    share one wrapper; repeated rows are extracted alike.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"://([^/?#]*)", 1)), F.lit(""))
     source = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"), host.alias("_host"))
-    salted = source.where("_html is not null").select("_host", F.pmod(F.xxhash64("_id", "_url"), F.lit(samples)).alias("salt"), F.xxhash64("_url", "_id").alias("rank"), F.col("_html").alias("html"))
-    few = salted.groupBy("_host", "salt").agg(F.min_by("html", "rank").alias("html")).groupBy("_host").agg(F.collect_list(F.struct("salt", "html")).alias("_pages"))
-    wrappers = stored(few.mapInArrow(_wrappers, "_host string, _wrapper binary"), "wrappers")
-    joined = source.join(wrappers, "_host", "left").select("_id", "_url", "_html", "_wrapper")
+    joined = source.join(wrappers(source), "_host", "left").select("_id", "_url", "_html", "_wrapper")
     kept = joined.select("_id", "_url")
     arrow = to_arrow_schema(kept.schema).append(pa.field("text", pa.string()))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)

@@ -221,6 +221,22 @@ def test_html_constant_texts_inside_an_article_go():
     assert [html_extract.extract(p, w) for p in pages] == [f"{x * 40}\n{x * 40} {x * 40}" for x in "abcdefgh"]
 
 
+def test_html_counts_all_pages_of_a_host(spark):
+    page = "<body><div class=top>Fixed line</div><div class=text><h1>{0}</h1><p>{0} {0}</p></div></body>"
+    other = "<body><section class=list><p>Other line</p><p>{0} {0}</p></section></body>"
+    own = lambda i: f"own{i}x" * 12
+    rows = [(i, f"http://two/{i}", page.format(own(i))) for i in range(2)]
+    rows += [(i, f"http://many/{i}", (other if i % 20 == 7 else page).format(own(i))) for i in range(100, 200)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {i: f"{own(i)} {own(i)}" if i >= 100 and i % 20 == 7 else f"{own(i)}\n{own(i)} {own(i)}" for i, _, _ in rows}
+
+
+def test_html_alignment_chooses_among_equal_texts():
+    page = "<body><div><p>Read on</p><p>{0}</p>{1}</div></body>"
+    w = html_extract.induce([page.format(x * 40, "") for x in "abcd"])
+    assert html_extract.extract(page.format("e" * 40, "<p>Read on</p>"), w).count("Read on") == 1
+
+
 def test_html_rows(spark):
     rows = [(1, "http://h/1", "<article><p>one two</article>"), (2, None, None), (3, "x", ""), (1, "http://h/1", "<article><p>one two</article>")]
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_extract.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
