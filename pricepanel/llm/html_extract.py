@@ -1,7 +1,8 @@
 """Main text of web pages by wrapper induction: pages of a host are aligned by simple tree matching.
 
 1. A page is a tree of elements and texts. Elements that never hold an article (menus, forms, scripts and the
-   like, by tag, role or class) are furniture from the start.
+   like, by tag) are furniture from the start. Outside ``article`` and ``main``, elements that a class, id or
+   role names so are furniture if such an element is on half of the host's pages; on a host of one page the name decides.
 2. All pages of a host are counted, pages with one and the same text once: a text is *template* if it stands at
    the same path (tags and classes) in two pages at least and in half of those that have the containers above it,
    so that each layout is judged by its own pages. The wrapper is the tree of the template texts, and the place
@@ -45,6 +46,7 @@ CLOSES = {
     "body": (("head",), ()),
 }
 FURNITURE = frozenset("head nav header footer aside form menu dialog button select input label fieldset script style template noscript iframe object svg canvas video audio map search".split())
+NEVER_HINTED = frozenset("html body article main h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Parts of class, id or role that name furniture.
 HINT = re.compile(
     r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side|widget|footer|header|masthead|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|social|related|recommend\w*|comments?|replies|disqus|pagination|pager|toolbar|search\w*|form|contentinfo|complementary|navigation|banner)(?:$|[\s_-])"
@@ -64,6 +66,7 @@ class Node:
     text: str = ""
     mark: str = ""
     furniture: bool = False
+    hint: bool = False
     children: list[Node] = field(default_factory=list)
 
     @property
@@ -107,7 +110,8 @@ def parse(html: str | None) -> Node:
             names = " ".join(found.get(k, "") for k in ("class", "id", "role"))
             node.mark = ".".join(sorted(found.get("class", "").split()))[:60]
             hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
-            node.furniture = bool(hidden) or (tag not in ("html", "body", "article", "main") and bool(HINT.search(names)))
+            node.furniture = bool(hidden)
+            node.hint = tag not in NEVER_HINTED and bool(HINT.search(names)) and not any(x.tag in ("article", "main") for x in open_nodes)
         node.furniture |= tag in FURNITURE and not (tag == "header" and any(x.tag in ("article", "main") for x in open_nodes))
         open_nodes[-1].children.append(node)
         if tag in RAW:
@@ -223,6 +227,7 @@ class Wrapper:
     tree: Node | None = None
     template: dict[tuple[str, int], int] = field(default_factory=dict)
     place: tuple[str, ...] | None = None
+    hints: frozenset[str] | None = None  # paths of the elements whose names count; None: any
 
 
 @dataclass
@@ -237,6 +242,11 @@ class Text:
     place: int
     shared: int
     size: int
+    hinted: bool
+
+
+#: ``nth`` of an element whose name says furniture, in the place of a text's.
+_ELEMENT = -1
 
 
 def hashed(text: str) -> int:
@@ -245,38 +255,49 @@ def hashed(text: str) -> int:
 
 
 def facts(root: Node) -> list[Text]:
-    """The texts of a page that are no furniture, in page order."""
+    """The texts of a page that are no furniture, in page order; the elements whose names say furniture, each path once."""
     out: list[Text] = []
     seen: Counter = Counter()
     before: list[int] = []
+    named: set[str] = set()
 
-    def walk(node: Node, path: tuple[str, ...], chain: list[int]) -> None:
+    def walk(node: Node, path: tuple[str, ...], chain: list[int], hinted: bool) -> None:
         nonlocal before
         joined = scope = None
         for c in content(node):
             if c.tag:
-                walk(c, (*path, c.label), [*chain, id(c)])
+                below = (*path, c.label)
+                if c.hint and (name := _STEP.join(below)) not in named:
+                    named.add(name)
+                    out.append(Text(c, name, "", 0, _ELEMENT, 0, 0, 0, True))
+                walk(c, below, [*chain, id(c)], hinted or c.hint)
                 continue
             if joined is None:
                 joined, scope = _STEP.join(path), _STEP.join(x for x in _to_article(path) if _container(x))
             text = squeezed(c.text)
             key = hashed(text)
             shared = next((i for i, (a, b) in enumerate(zip(chain, before, strict=False)) if a != b), min(len(chain), len(before)))
-            out.append(Text(c, joined, scope, key, seen[joined, key], len(out), shared, len(text)))
+            out.append(Text(c, joined, scope, key, seen[joined, key], len(out), shared, len(text), hinted))
             seen[joined, key] += 1
             before = chain
 
-    walk(root, (), [])
+    walk(root, (), [], False)
     return out
 
 
+#: The scope of all pages of a host.
+_ALL = hashed("")
+
+
 def whole(texts: list[Text]) -> int:
     """Pages of one such value are copies of each other."""
-    return hashed(" ".join(str(t.key) for t in texts))
+    return hashed(" ".join(str(t.key) for t in texts if t.nth != _ELEMENT))
 
 
-def wrapper_of(constant: list[tuple[str, int, int, float, int]], place: tuple[str, ...] | None) -> Wrapper:
-    """From (path, hash, which of the equal ones, mean order, least shared elements) of each constant text."""
+def wrapper_of(constant: list[tuple[str, int, int, float, int]], place: tuple[str, ...] | None, pages: int) -> Wrapper:
+    """From (path, hash, which of the equal ones, mean order, least shared elements) of each constant text, and the number of different pages."""
+    hints = frozenset(c[0] for c in constant if c[2] == _ELEMENT)
+    constant = [c for c in constant if c[2] != _ELEMENT]
     root = Node("#root")
     branch, template = [root], Counter()
     for path, key, _, _, shared in sorted(constant, key=lambda c: (c[3], c[:3])):
@@ -289,7 +310,7 @@ def wrapper_of(constant: list[tuple[str, int, int, float, int]], place: tuple[st
             branch[-1].children.append(node)
             branch.append(node)
         branch[-1].children.append(Node("", str(key)))
-    return Wrapper(root if constant else None, dict(template), place)
+    return Wrapper(root if constant else None, dict(template), place, hints if pages > 1 else None)
 
 
 def induce(pages: list[str]) -> Wrapper:
@@ -297,13 +318,13 @@ def induce(pages: list[str]) -> Wrapper:
     distinct = {whole(t): t for t in map(facts, map(parse, pages))}
     pages_with, scopes, found = Counter(), Counter(), defaultdict(list)
     for texts in distinct.values():
-        scopes.update({t.scope for t in texts})
+        scopes.update({t.scope for t in texts} | {""})
         for t in texts:
             found[t.path, t.key, t.nth].append(t)
     pages_with.update({k: len(v) for k, v in found.items()})
     constant = {k: found[k] for k, n in pages_with.items() if n >= 2 and 2 * n >= scopes[found[k][0].scope]}
-    varying = [(tuple(t.path.split(_STEP)) if t.path else (), t.size) for texts in distinct.values() for t in texts if (t.path, t.key, t.nth) not in constant]
-    return wrapper_of([(*k, sum(t.place for t in v) / len(v), min(t.shared for t in v)) for k, v in constant.items()], main_place(varying) if varying else None)
+    varying = [(tuple(t.path.split(_STEP)) if t.path else (), t.size) for texts in distinct.values() for t in texts if not t.hinted and (t.path, t.key, t.nth) not in constant]
+    return wrapper_of([(*k, sum(t.place for t in v) / len(v), min(t.shared for t in v)) for k, v in constant.items()], main_place(varying) if varying else None, len(distinct))
 
 
 def below(root: Node, place: tuple[str, ...]) -> list[Node]:
@@ -337,12 +358,24 @@ def blocks_of(node: Node, skip: set[int]) -> list[str]:
     return [t for t in (squeezed("".join(parts)) for parts in out) if t]
 
 
+def _settle(node: Node, hints: frozenset[str] | None, path: tuple[str, ...] = ()) -> None:
+    """Makes furniture of the elements whose names count."""
+    for c in node.children:
+        if c.tag and not c.furniture:
+            below = (*path, c.label)
+            if c.hint and (hints is None or _STEP.join(below) in hints):
+                c.furniture = True
+            else:
+                _settle(c, hints, below)
+
+
 def extract(html: str | None, wrapper: Wrapper) -> str:
     """The article of a page, one line a block; the host's constant texts go, inside an ``article`` or ``main`` too."""
     root = parse(html)
+    _settle(root, wrapper.hints)
     skip: set[int] = set()
     if wrapper.tree is not None:
-        texts = [t for t in facts(root) if (t.path, t.key) in wrapper.template]
+        texts = [t for t in facts(root) if t.nth != _ELEMENT and (t.path, t.key) in wrapper.template]
         often = Counter((t.path, t.key) for t in texts)
         skip = {id(t.node) for t in texts if often[t.path, t.key] <= wrapper.template[t.path, t.key]}
         if len(skip) < len(texts):
@@ -355,9 +388,9 @@ def extract(html: str | None, wrapper: Wrapper) -> str:
     return "\n".join(b for n in nodes for b in blocks_of(n, skip))
 
 
-_TEXTS = pa.list_(pa.struct([("path", pa.string()), ("scope", pa.int64()), ("key", pa.int64()), ("nth", pa.int32()), ("place", pa.int32()), ("shared", pa.int32()), ("size", pa.int32())]))
+_TEXTS = pa.list_(pa.struct([("path", pa.string()), ("scope", pa.int64()), ("key", pa.int64()), ("nth", pa.int32()), ("place", pa.int32()), ("shared", pa.int32()), ("size", pa.int32()), ("hinted", pa.bool_())]))
 _FACTS = pa.schema([("_host", pa.string()), ("_whole", pa.int64()), ("_texts", _TEXTS)])
-_FACT_KINDS = "_host string, _whole long, _texts array<struct<path: string, scope: long, key: long, nth: int, place: int, shared: int, size: int>>"
+_FACT_KINDS = "_host string, _whole long, _texts array<struct<path: string, scope: long, key: long, nth: int, place: int, shared: int, size: int, hinted: boolean>>"
 
 
 def _facts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +399,7 @@ def _facts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for html in batch.column(1).to_pylist():
             texts = facts(parse(html))
             names.append(whole(texts))
-            rows.append([{"path": t.path, "scope": hashed(t.scope), "key": t.key, "nth": t.nth, "place": t.place, "shared": t.shared, "size": t.size} for t in texts])
+            rows.append([{"path": t.path, "scope": hashed(t.scope), "key": t.key, "nth": t.nth, "place": t.place, "shared": t.shared, "size": t.size, "hinted": t.hinted} for t in texts])
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(names, pa.int64()), pa.array(rows, _TEXTS)], schema=_FACTS)
 
 
@@ -375,9 +408,9 @@ def _wrappers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in it:
         blobs = []
-        for constant, place in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for constant, place, n in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
             at = None if place is None else _to_article(tuple(place.split(_STEP)) if place else ())
-            blobs.append(pickle.dumps(wrapper_of([tuple(c.values()) for c in constant or []], at)))
+            blobs.append(pickle.dumps(wrapper_of([tuple(c.values()) for c in constant or []], at, n)))
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(blobs, pa.binary())], names=["_host", "_wrapper"])
 
 
@@ -386,15 +419,15 @@ def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
     read = pages.select("_host", "_html").where("_html is not null").mapInArrow(_facts, _FACT_KINDS)
     distinct = stored(read.groupBy("_host", "_whole").agg(F.min("_texts").alias("_texts")), "page-facts")
     texts = distinct.select("_host", F.explode("_texts").alias("t")).select("_host", "t.*")
-    found = texts.groupBy("_host", "path", "scope", "key", "nth").agg(F.count("*").alias("n"), F.avg("place").alias("place"), F.min("shared").alias("shared"), F.max("size").alias("size")).where("n >= 2")
+    found = texts.groupBy("_host", "path", "scope", "key", "nth").agg(F.count("*").alias("n"), F.avg("place").alias("place"), F.min("shared").alias("shared"), F.max(F.when(F.col("hinted"), 0).otherwise(F.col("size"))).alias("size")).where("n >= 2")
     # Pages that have a scope: dealt by salt too, as a host's texts are many.
-    scopes = distinct.select("_host", F.explode(F.array_distinct(F.col("_texts.scope"))).alias("scope")).groupBy("_host", "scope").agg(F.count("*").alias("of"))
+    scopes = distinct.select("_host", F.explode(F.array_distinct(F.concat(F.col("_texts.scope"), F.array(F.lit(_ALL))))).alias("scope")).groupBy("_host", "scope").agg(F.count("*").alias("of"))
     scopes = scopes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     constant = found.withColumn("salt", F.pmod("key", F.lit(salts)).cast("int")).join(scopes, ["_host", "scope", "salt"]).where("2 * n >= of")
     constant = stored(constant.select("_host", "path", "key", "nth", "place", "shared", "n", "size"), "constant-texts")
 
     # Where the varying text lies: at each depth at most one path has 7 tenths of it.
-    sizes = texts.groupBy("_host", "path").agg(F.sum("size").alias("w")).union(constant.select("_host", "path", -F.col("n") * F.col("size")))
+    sizes = texts.groupBy("_host", "path").agg(F.sum(F.when(F.col("hinted"), 0).otherwise(F.col("size"))).alias("w")).union(constant.select("_host", "path", -F.col("n") * F.col("size")))
     sizes = sizes.groupBy("_host", "path").agg(F.sum("w").alias("w")).where("w > 0")
     labels = F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split("path", _STEP))
     prefixes = sizes.withColumn("l", labels).select("_host", "w", F.explode(F.transform(F.sequence(F.lit(0), F.size("l")), lambda d: F.array_join(F.slice("l", F.lit(1), d), _STEP))).alias("prefix"))
@@ -406,7 +439,8 @@ def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
     places = weights.join(total, "_host").where((F.col("w") >= 0.7 * F.col("total")) & ((F.col("prefix") == "") | tag.isin(holders)))
     places = places.groupBy("_host").agg(F.max_by("prefix", depth).alias("_place"))
     listed = constant.groupBy("_host").agg(F.collect_list(F.struct("path", "key", "nth", "place", "shared")).alias("_constant"))
-    both = places.join(listed, "_host", "full").select("_host", "_constant", "_place")
+    n_pages = distinct.groupBy("_host").agg(F.count("*").alias("_n"))
+    both = n_pages.join(places, "_host", "left").join(listed, "_host", "left").select("_host", "_constant", "_place", "_n")
     return stored(both.mapInArrow(_wrappers, "_host string, _wrapper binary"), "wrappers")
 
 

@@ -237,6 +237,19 @@ def test_html_alignment_chooses_among_equal_texts():
     assert html_extract.extract(page.format("e" * 40, "<p>Read on</p>"), w).count("Read on") == 1
 
 
+def test_html_names_drop_no_article_text(spark):
+    inside = "<body><article><header class='entry-header'><h1 class=header>{0}</h1></header><section class=related-work><p>{1} {0}</p></section><div class=share>Share this page</div></article></body>"
+    plain = "<body><div class=text><h1 class=masthead>{0}</h1><p>{1} {0}</p>{2}</div><div class=related>{1}</div></body>"
+    own = lambda i: f"own{i}x" * 9
+    odd = "<div class=search-results>Found here</div>"
+    rows = [(i, f"http://a/{i}", inside.format(own(i), own(-i))) for i in range(1, 6)] + [(i, f"http://b/{i}", plain.format(own(i), own(-i), odd if i == 11 else "")) for i in range(11, 16)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{own(i)}\n{own(-i)} {own(i)}" + ("\nFound here" if i == 11 else "") for i, _, _ in rows}
+    for lot in (rows[:5], rows[5:]):
+        w = html_extract.induce([h for _, _, h in lot])
+        assert [html_extract.extract(h, w) for _, _, h in lot] == [got[i] for i, _, _ in lot]
+
+
 def test_html_rows(spark):
     rows = [(1, "http://h/1", "<article><p>one two</article>"), (2, None, None), (3, "x", ""), (1, "http://h/1", "<article><p>one two</article>")]
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_extract.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
