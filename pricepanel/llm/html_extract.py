@@ -142,45 +142,93 @@ def content(node: Node) -> list[Node]:
     return [c for c in node.children if not c.furniture and (c.tag or c.text.strip(_WHITE))]
 
 
-def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None, most: int = 20_000) -> int:
-    """Simple tree matching: size of the greatest order-keeping matching of two trees with equal labels.
+def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int:
+    """Simple tree matching of a wrapper's tree with a page: the most equal texts that can be matched in order, under equal labels.
 
-    ``pairs`` gets the matched nodes. Two lists of children with over ``most`` pairs match place by place.
+    ``pairs`` gets the matched texts. Exact for lists of any length: children that hold no common text match
+    nothing, equal heads and tails belong together, and between them the heaviest chain of the pairs that share a text is taken.
     """
-    if a.label != b.label:
-        return 0
-    if not a.tag:
-        if pairs is not None:
-            pairs.append((a, b))
-        return 1
-    x, y = content(a), content(b)
-    if pairs is not None:
-        pairs.append((a, b))
-    if not x or not y:
-        return 1
-    if len(x) * len(y) > most:
-        return 1 + sum(match(p, q, pairs) for p, q in zip(x, y, strict=False))
-    score = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    weight = [[0] * len(y) for _ in x]
-    for i, p in enumerate(x):
-        row, before = score[i + 1], score[i]
-        for j, q in enumerate(y):
-            w = weight[i][j] = match(p, q)
-            row[j + 1] = max(before[j + 1], row[j], before[j] + w)
-    if pairs is not None:
-        i, j, way = len(x), len(y), []
-        while i and j:
-            if score[i][j] == score[i - 1][j]:
-                i -= 1
-            elif score[i][j] == score[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                if weight[i][j]:
-                    way.append((x[i], y[j]))
-        for p, q in reversed(way):
-            match(p, q, pairs)
-    return 1 + score[-1][-1]
+    own: dict[int, set[str]] = {}
+    marks: dict[int, int] = {}
+    lists: dict[int, list[Node]] = {}
+
+    def prepare(node: Node, name, wanted: set[str] | None) -> set[str]:
+        """Texts below, children that hold some, and a hash of it all."""
+        if not node.tag:
+            t = name(node)
+            own[id(node)] = {t} if wanted is None or t in wanted else set()
+            marks[id(node)] = hash(("", t))
+        else:
+            kids = [c for c in content(node) if prepare(c, name, wanted)]
+            lists[id(node)] = kids
+            own[id(node)] = set().union(*(own[id(c)] for c in kids))
+            marks[id(node)] = hash((node.label, *(marks[id(c)] for c in kids)))
+        return own[id(node)]
+
+    prepare(b, lambda n: str(hashed(squeezed(n.text))), prepare(a, lambda n: n.text, None))
+    known: dict[tuple[int, int], tuple[int, list[tuple[Node, Node]]]] = {}
+
+    def best(p: Node, q: Node) -> tuple[int, list[tuple[Node, Node]]]:
+        """Equal texts below the two, and the children that are matched for it."""
+        if (id(p), id(q)) in known:
+            return known[id(p), id(q)]
+        if p.label != q.label or own[id(p)].isdisjoint(own[id(q)]):
+            out: tuple[int, list[tuple[Node, Node]]] = (0, [])
+        elif not p.tag:
+            out = (1, [])
+        else:
+            x, y = lists[id(p)], lists[id(q)]
+            same = lambda c, d: marks[id(c)] == marks[id(d)]
+            head = 0
+            while head < min(len(x), len(y)) and same(x[head], y[head]):
+                head += 1
+            tail = 0
+            while tail < min(len(x), len(y)) - head and same(x[-1 - tail], y[-1 - tail]):
+                tail += 1
+            way = [*zip(x[:head], y[:head], strict=True), *_chain(x[head : len(x) - tail], y[head : len(y) - tail], own, lambda c, d: best(c, d)[0]), *zip(x[len(x) - tail :], y[len(y) - tail :], strict=True)]
+            out = (sum(best(c, d)[0] for c, d in way), way)
+        known[id(p), id(q)] = out
+        return out
+
+    def collect(p: Node, q: Node) -> None:
+        if not p.tag:
+            pairs.append((p, q))
+        for c, d in best(p, q)[1]:
+            collect(c, d)
+
+    if pairs is not None and best(a, b)[0]:
+        collect(a, b)
+    return best(a, b)[0]
+
+
+def _chain(x: list[Node], y: list[Node], own: dict[int, set[str]], weight) -> list[tuple[Node, Node]]:
+    """The heaviest pairs of x and y in the order of both; only pairs that share a text weigh anything."""
+    at = defaultdict(list)
+    for j, d in enumerate(y):
+        for t in own[id(d)]:
+            at[t].append(j)
+    tree: list[tuple[int, tuple | None]] = [(0, None)] * (len(y) + 1)  # greatest weight of chains that end before a place
+    for i, c in enumerate(x):
+        for j in sorted({j for t in own[id(c)] for j in at[t]}, reverse=True):
+            w = weight(c, y[j])
+            if not w:
+                continue
+            end, k = (0, None), j
+            while k:
+                end, k = (tree[k] if tree[k][0] > end[0] else end), k & (k - 1)
+            end, k = (end[0] + w, (i, j, end[1])), j + 1
+            while k <= len(y):
+                if end[0] > tree[k][0]:
+                    tree[k] = end
+                k += k & -k
+    top, k = (0, None), len(y)
+    while k:
+        top, k = (tree[k] if tree[k][0] > top[0] else top), k & (k - 1)
+    way, link = [], top[1]
+    while link:
+        way.append((x[link[0]], y[link[1]]))
+        link = link[2]
+    return way[::-1]
 
 
 def squeezed(text: str) -> str:
@@ -381,7 +429,7 @@ def extract(html: str | None, wrapper: Wrapper) -> str:
         if len(skip) < len(texts):
             pairs: list[tuple[Node, Node]] = []
             match(wrapper.tree, root, pairs)
-            skip |= {id(q) for p, q in pairs if not p.tag and p.text == str(hashed(squeezed(q.text)))}
+            skip |= {id(q) for _, q in pairs}
     nodes = below(root, wrapper.place) if wrapper.place else []
     if not any(blocks_of(n, skip) for n in nodes):
         nodes = below(root, main_place(list(texts_by_path(root, skip)))) or [root]

@@ -250,6 +250,29 @@ def test_html_names_drop_no_article_text(spark):
         assert [html_extract.extract(h, w) for _, _, h in lot] == [got[i] for i, _, _ in lot]
 
 
+def test_html_long_lists_and_short_articles():
+    lines = "".join(f"<p>Rule {i} of the house</p><p>Next</p>" for i in range(300))
+    page = "<body><div class=text><p>{0}</p>" + lines + "</div></body>"
+    pages = [page.format(x * 9) for x in "abcd"]
+    w = html_extract.induce(pages)
+    assert [html_extract.extract(p, w) for p in pages] == [x * 9 for x in "abcd"]
+    more = pages[0].replace("<p>Rule 7 of", "<p>Inserted</p><p>Next</p><p>Rule 7 of")
+    assert html_extract.extract(more, w).split("\n") == ["aaaaaaaaa", "Inserted", "Next"]
+
+
+def test_html_matching_is_the_best_in_order():
+    rng = random.Random(8)
+    for _ in range(200):
+        x, y = ([rng.choice("abc") for _ in range(rng.randint(0, 9))] for _ in range(2))
+        longest = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, c in enumerate(x):
+            for j, d in enumerate(y):
+                longest[i + 1][j + 1] = longest[i][j] + 1 if c == d else max(longest[i][j + 1], longest[i + 1][j])
+        tree = html_extract.wrapper_of([("div\x1fp", html_extract.hashed(c), i, i, 1) for i, c in enumerate(x)], None, 2).tree or html_extract.Node("#root")
+        pairs = []
+        assert html_extract.match(tree, html_extract.parse("<div>" + "".join(f"<p>{d}</p>" for d in y) + "</div>"), pairs) == longest[-1][-1] == len(pairs)
+
+
 def test_html_rows(spark):
     rows = [(1, "http://h/1", "<article><p>one two</article>"), (2, None, None), (3, "x", ""), (1, "http://h/1", "<article><p>one two</article>")]
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_extract.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
