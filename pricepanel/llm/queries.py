@@ -131,7 +131,7 @@ def _op10() -> str:
     longest = sorted(url_filters.HOST_RULES, key=lambda r: (-len(r.name), r.name))
     rule = " ".join(f"when {fits(r)} then '{r.name}'" for r in longest)
     said = " ".join(f"when '{r.name}' then '{r.verdict}'" for r in longest)
-    # Of several patterns the query names the one filed first under the least token; the oracle lists rules in that order.
+    # Of several patterns that match, both name the first in the order of the rules.
     pattern = " ".join(f"when regexp_matches(url, '{r.pattern}') then '{r.name}'" for r in url_filters.PATTERN_RULES)
     return f"""
 with r as (select page_id, url, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),

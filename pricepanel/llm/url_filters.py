@@ -1,8 +1,8 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
 A rule is a regular expression with the literal tokens that any URL it matches must have. It is filed under
-the one of them that is rarest in the URLs at hand; a URL's tokens fetch the rules filed under them, and only
-those run. Host and path rules with a verdict go before patterns. Built-in expressions only.
+the one of them that is rarest in the URLs at hand, or under each of several where a match holds only one of
+them; a URL's tokens fetch the rules filed under them, and only those run. A rule without tokens always runs. Host and path rules with a verdict go before patterns. Built-in expressions only.
 """
 
 from __future__ import annotations
@@ -30,18 +30,19 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """Blocks what ``pattern`` finds in the URL; each of ``tokens`` is part of any such URL, in lower case."""
+    """Blocks what ``pattern`` finds in the URL. Each of ``tokens`` (with ``any_of``: one at least) is a whole token of any such URL, in lower case."""
 
     name: str
     pattern: str
     tokens: tuple[str, ...]
+    any_of: bool = False
 
 
 HOST_RULES = (HostRule("net", "/", "block"), HostRule("example.net", "/en/", "allow"), HostRule("example.com", "/de/", "block"), HostRule("org", "/fr/", "allow"))
 
 PATTERN_RULES = (
     PatternRule("advert", r"(?i)://[^/?#]*/(?:[^?#]*/)?ads/", ("ads",)),
-    PatternRule("banner", r"(?i)/banner[^/?#]*\.(?:gif|png|jpe?g)(?:[?#]|$)", ("banner",)),
+    PatternRule("banner", r"(?i)/banner[^/?#]*\.(?:gif|png|jpe?g)(?:[?#]|$)", ("gif", "png", "jpg", "jpeg"), any_of=True),
     PatternRule("casino", r"(?i)[/.-]casino[/.-]", ("casino",)),
     PatternRule("login", r"(?i)/login(?:[/?#.]|$)", ("login",)),
     PatternRule("cart", r"(?i)/cart(?:[/?#.]|$)", ("cart",)),
@@ -72,21 +73,18 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.split(F.translate(F.coalesce(url, F.lit("")), _UPPER, _LOWER), "[^a-z0-9]+"))
 
 
-def rarest_tokens(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str = "url") -> dict[str, list[PatternRule]]:
-    """Rules by their token that occurs in the fewest URLs (ties: the longest, then the first in order)."""
-    wanted = sorted({t for r in rules for t in r.tokens})
-    hits = pages.select(F.explode(F.array_intersect(tokens_of(F.col(url_col)), F.lit(wanted))).alias("t"))
+def rarest_tokens(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str = "url") -> list[tuple[str, ...]]:
+    """For each rule the tokens it is filed under: all with ``any_of``, else the one that occurs in the fewest URLs (ties: the longest, then the first in order)."""
+    wanted = sorted({t for r in rules if not r.any_of for t in r.tokens})
+    hits = pages.select(F.explode(F.array_intersect(tokens_of(F.col(url_col)), F.lit(wanted).cast("array<string>"))).alias("t"))
     counts = {r["t"]: r["n"] for r in hits.groupBy("t").agg(F.count("*").alias("n")).toLocalIterator()}  # no more rows than tokens in the rules
-    index: dict[str, list[PatternRule]] = {}
-    for r in rules:
-        index.setdefault(min(r.tokens, key=lambda t: (counts.get(t, 0), -len(t), t)), []).append(r)
-    return index
+    return [r.tokens if r.any_of or not r.tokens else (min(r.tokens, key=lambda t: (counts.get(t, 0), -len(t), t)),) for r in rules]
 
 
 def filter_urls(pages: DataFrame, *, url_col: str = "url", host_rules: tuple[HostRule, ...] = HOST_RULES, pattern_rules: tuple[PatternRule, ...] = PATTERN_RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict and pattern (the name of the pattern rule that blocked it).
 
-    The longest host rule that fits decides; without one a matching pattern blocks and anything else is
+    The longest host rule that fits decides; without one the first matching pattern blocks and anything else is
     allowed. A null URL or one without :// has empty host and path, fits no host rule, and may only match
     patterns. A column of pages with a result's name gives way to the result; rows that repeat are judged alike.
     """
@@ -102,12 +100,13 @@ def filter_urls(pages: DataFrame, *, url_col: str = "url", host_rules: tuple[Hos
     out = out.withColumns({"rule": rule, "_said": verdict})
     found = F.lit(None).cast("string")
     if pattern_rules:
-        index = rarest_tokens(pages, pattern_rules, url_col)
-        out = out.withColumn("_keys", F.when(F.col("_said").isNull(), F.array_intersect(tokens_of(url), F.lit(sorted(index)))))
-        for token, rules in sorted(index.items(), reverse=True):
-            for r in reversed(rules):
-                found = F.when(F.array_contains("_keys", token) & F.rlike(url, F.lit(r.pattern)), r.name).otherwise(found)
-        out = out.withColumn("pattern", F.when(F.size("_keys") > 0, found)).drop("_keys")
+        filed = rarest_tokens(pages, pattern_rules, url_col)
+        keys = F.array_intersect(tokens_of(url), F.lit(sorted({t for tokens in filed for t in tokens})).cast("array<string>"))
+        out = out.withColumn("_keys", F.when(F.col("_said").isNull(), keys))
+        for r, tokens in reversed([*zip(pattern_rules, filed, strict=True)]):
+            fetched = F.arrays_overlap("_keys", F.lit([*tokens])) if tokens else F.lit(True)
+            found = F.when(fetched & F.rlike(url, F.lit(r.pattern)), r.name).otherwise(found)
+        out = out.withColumn("pattern", F.when(F.col("_said").isNull(), found)).drop("_keys")
     else:
         out = out.withColumn("pattern", found)
     return out.withColumn("verdict", F.coalesce("_said", F.when(F.col("pattern").isNotNull(), "block").otherwise("allow"))).drop("_said")

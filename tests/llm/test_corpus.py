@@ -288,6 +288,27 @@ def test_url_filters(spark):
         assert rule.tokens and all(t == t.lower() and t.isalnum() for t in rule.tokens)
 
 
+def test_url_patterns_as_if_each_ran_on_every_url(spark):
+    import re
+
+    rng = random.Random(7)
+    parts = "banner banners banner300x250 .gif .png .JPG .jpeg ads /ads/ casino .casino- login cart search /search? q= ?q= &q= ?utm_source=feed &print=1 ?print=1 .exe / . - ? # & a1 x_".split()
+    urls = ["http://h.xyz/" + "".join(rng.choices(parts, k=rng.randint(1, 5))) for _ in range(6000)] + ["http://h.xyz/banner300x250.png", "http://h.xyz/banners.gif"]
+    rules = url_filters.PATTERN_RULES
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r["page_id"]: (r["pattern"], r["t"]) for r in url_filters.filter_urls(df).select("page_id", "pattern", url_filters.tokens_of(df["url"]).alias("t")).collect()}
+    met = Counter()
+    for i, u in enumerate(urls):
+        fits = [r for r in rules if re.search(r.pattern, u)]
+        assert got[i][0] == (fits[0].name if fits else None), u
+        for r in fits:
+            met[r.name] += 1
+            assert (any if r.any_of else all)(t in got[i][1] for t in r.tokens)
+    assert len(met) == len(rules) and min(met.values()) > 10
+    always = url_filters.PatternRule("any x", "x", ())
+    assert {r["pattern"] for r in url_filters.filter_urls(df.limit(3), pattern_rules=(always,)).collect()} == {"any x"}
+
+
 def test_classifiers_hold_out(spark):
     rng = random.Random(4)
     plain = ["".join(rng.choices(["an", "the", "or", "ti", "es"], k=3)) for _ in range(80)]
