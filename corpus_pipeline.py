@@ -18,15 +18,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("score < 0.5").select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with _row, a key of each row in the order of doc_id: the id itself where ids are unique, else a number.
+
+    Rows without an id come last; rows of one id follow each other in the order of the hash of their columns.
+    """
+    n, ids = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
+    if n == ids:
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    ranked = docs.withColumns({"_hash": F.xxhash64(*COLUMNS), "_spread": F.monotonically_increasing_id()})
+    ranked = ranked.orderBy(F.col("doc_id").asc_nulls_last(), "_hash", "_spread").drop("_hash", "_spread")
+    return stored(ranked.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each component of near copies."""
-    ids = ngram_join.jaccard_components(docs).where("component_id is null or component_id = doc_id").select("doc_id").distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select(*COLUMNS)
+    """One row of each component of near copies: that of the least id, a row without an id only where no row has one.
+
+    Rows are judged one by one, whether they share an id or have none. Rows without words link with nothing and stay.
+    """
+    rows = keyed(docs)
+    first = ngram_join.jaccard_components(rows, id_col="_row").where("component_id = _row").select("_row")
+    return rows.join(first, "_row", "left_semi").select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of windows that start earlier; a text that loses none stays as it is, white space included."""
-    out = substring_dedup.substring_dedup(docs, keep=("text", "lang", "source", "n_chars"))
+    """Texts without the words of windows that start earlier; a text that loses none stays as it is, white space included.
+
+    Earlier is by row: of rows that share an id one comes before the other, and rows without an id come last.
+    """
+    out = substring_dedup.substring_dedup(keyed(docs), id_col="_row", keep=COLUMNS)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
     return out.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))

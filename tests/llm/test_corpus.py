@@ -351,3 +351,18 @@ def test_pipeline_keeps_columns_and_drops(spark, tmp_path, texts):
     near = {i for i, (_, c) in enumerate(brute_components(texts)) if c == i}
     assert kept <= near and len(texts) - 1 not in kept
 
+
+def test_pipeline_judges_rows_not_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    make = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    a, b, c, d, line = make(60), make(60), make(60), make(60), make(25)
+    rows = [(1, a), (1, a), (2, b), (2, a + " tail"), (None, c), (None, c), (None, b), (3, d + " " + line), (3, make(40) + " " + line), (None, make(40) + " " + line), (4, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    once = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    kept = Counter((r["doc_id"], r["text"]) for r in once.collect())
+    assert kept == Counter([(1, a), (2, b), (None, c), *rows[7:]])
+    cut = corpus_pipeline.drop_repeated_passages(spark, once, "").collect()
+    assert len(cut) == 8 and sum(line in (r["text"] or "") for r in cut) == 1
+    assert next(r["doc_id"] for r in cut if line in (r["text"] or "")) == 3
