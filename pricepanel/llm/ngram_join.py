@@ -1,16 +1,18 @@
 """N-gram Jaccard self-join: rare-first prefix filtering, verified once per pair, then components.
 
-1. Counts. All shingles of all documents are counted in a table of fixed size (``buckets``); a shingle's
-   place in the global order is (count of its bucket, hash), rarest first. Any global order gives
-   exact prefixes; the counts only keep frequent shingles out of them.
-2. Prefixes. A document of n shingles is indexed under its first n - ceil(t n) + 1. Documents with one
-   and the same set are one *node*. Two nodes that link share a prefix shingle at places that pass the
-   length filter and the positional filter.
+1. Counts. One pass names every document's set by its hash (documents with one and the same set are one *node*)
+   and counts all shingles in a table of fixed size (``buckets``). A shingle's place in the global order is
+   (count of its bucket, hash), rarest first. Any global order gives exact prefixes; the counts only keep
+   frequent shingles out of them.
+2. Prefixes. A node of n shingles is indexed under its first n - ceil(t n) + 1. Two nodes that link share a prefix
+   shingle at places that pass the length filter and the positional filter. Shingles of buckets with very high counts
+   are dealt out by (shingle, part of the nodes), so that no task gets all of a hot one.
 3. Stars. In each prefix group every node is paired with one centre (the node whose shingles are the most
-   frequent), not with all others, so a group of g near copies makes g - 1 pairs. Pairs from many
-   groups are merged, pass the suffix filter, and are verified exactly on their texts.
-4. Rest. Groups whose nodes are in different components after step 3 are joined pairwise between
-   components, so no link is lost; pairs inside a component can change nothing.
+   frequent), not with all others, so a group of g near copies makes g - 1 pairs; the centres of a hot
+   shingle's parts are paired with one of them. Pairs from many groups are merged, and verified exactly:
+   suffix filter first, then the count.
+4. Rest. Groups with nodes of different components after step 3 are joined pairwise between components, but
+   for the pairs that step 3 has judged, so no link is lost; pairs inside a component can change nothing.
 5. Components of all links, by alternating large and small stars.
 """
 
@@ -21,98 +23,96 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricepanel.llm.common import WordHashes, as_binary, batches, drained, grams, stored, text_batches
+from pricepanel.llm.common import as_binary, batches, discard, distinct, drained, grams, stored, text_batches, word_hashes
 
-_NODE = pa.schema([("_doc", pa.int64()), ("_n", pa.int64()), ("_node", pa.int64())])
-_ENTRY = pa.schema([("_token", pa.int64()), ("_node", pa.int64()), ("_place", pa.int64()), ("_weight", pa.int64())])
+_NODE = pa.schema([("_doc", pa.int64()), ("_n", pa.int64()), ("_node", pa.int64()), ("_part", pa.int32()), ("_counts", pa.binary())])
+_ENTRY = pa.schema([("_token", pa.int64()), ("_salt", pa.int32()), ("_node", pa.int64()), ("_place", pa.int64()), ("_weight", pa.int64())])
 _COUNT = pa.schema([("_part", pa.int32()), ("_counts", pa.binary())])
 _LINK = pa.schema([("_a", pa.int64()), ("_b", pa.int64())])
 _PART = 4096
+_SALTS = 64
 
 
-def shingle_set(text: bytes | None, k: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes: A-Z lower-cased; fewer words than k are one shingle, no words none."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = hashes.of(words)
-    return np.unique(grams(h, k)) if len(words) >= k else grams(h, len(words))
+def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text: A-Z lower-cased; fewer words than k are one shingle, no words none."""
+    h, places = word_hashes(column, lower=True)
+    g = grams(h, k)
+    for a, b in zip(places.tolist(), places[1:].tolist(), strict=False):
+        yield distinct(g[a : b - k + 1]) if b - a >= k else grams(h[a:b], b - a) if b > a else g[:0]
 
 
 def node_of(s: np.ndarray) -> int:
     """The name of a shingle set: its hash."""
-    import xxhash
-
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
 
 
-def _counts(k: int, buckets: int):
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts of a part as the narrowest numbers that hold them; beyond 2^31 only the order among such buckets is lost."""
+    most = int(counts.max())
+    return np.minimum(counts, (1 << 31) - 1).astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+
+
+def _unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(counts, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(counts) // _PART])
+
+
+def _nodes(k: int, buckets: int):
+    """A row for each document; after the last one, rows with the counts of the task's shingles."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(buckets, np.int32)
+        total = np.zeros(buckets, np.uint32)
         for batch in text_batches(it):
-            words = [(t or b"").lower().split() for t in as_binary(batch.column(0))]
-            found = [grams(hashes.of(w), k) for w in words if len(w) >= k]
-            if found:
-                total += np.bincount((np.concatenate(found) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets).astype(np.int32)
-        yield batches({"_part": list(range(buckets // _PART)), "_counts": [x.tobytes() for x in total.reshape(-1, _PART)]}, _COUNT)
+            sets = [*shingle_sets(batch.column(1), k)]
+            at = (np.concatenate(sets) & np.uint64(buckets - 1)).astype(np.int64)
+            np.add.at(total, at, np.uint32(1))
+            nothing = [None] * len(sets)
+            yield batches({"_doc": batch.column(0).to_pylist(), "_n": [len(s) for s in sets], "_node": [node_of(s) if len(s) else None for s in sets], "_part": nothing, "_counts": nothing}, _NODE)
+        parts = np.flatnonzero(total.reshape(-1, _PART).any(1))
+        nothing = [None] * len(parts)
+        yield batches({"_doc": nothing, "_n": nothing, "_node": nothing, "_part": parts, "_counts": [_packed(total[p * _PART : (p + 1) * _PART]) for p in parts.tolist()]}, _NODE)
 
     return run
 
 
 def _summed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sum of the count vectors of a part; parts arrive sorted."""
-    part, total, out = None, None, {"_part": [], "_counts": []}
+    part, total, out = None, np.zeros(_PART, np.int64), {"_part": [], "_counts": []}
     for batch in it:
         for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if p != part and part is not None:
                 out["_part"].append(part)
-                out["_counts"].append(_narrow(total))
-                total = None
-            part, c = p, np.frombuffer(c, np.int32)
-            total = c.astype(np.int64) if total is None else total + c
+                out["_counts"].append(_packed(total))
+                total[:] = 0
+            part = p
+            total += _unpacked(c)
     if part is not None:
         out["_part"].append(part)
-        out["_counts"].append(_narrow(total))
+        out["_counts"].append(_packed(total))
     yield batches(out, _COUNT)
 
 
-def _narrow(total: np.ndarray) -> bytes:
-    """Counts as 32-bit numbers; beyond two thousand million only the order among such buckets is lost."""
-    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32).tobytes()
-
-
-def shingle_counts(texts: DataFrame, k: int, buckets: int) -> np.ndarray:
-    """How often each bucket of shingles occurs (repeats in a text too), over all rows; fixed size, whatever the corpus."""
-    parts = texts.mapInArrow(_counts(k, buckets), "_part int, _counts binary").repartition("_part").sortWithinPartitions("_part").mapInArrow(_summed, "_part int, _counts binary")
-    total = np.zeros((buckets // _PART, _PART), np.int32)
+def shingle_counts(counted: DataFrame, buckets: int) -> np.ndarray:
+    """In how many documents the shingles of each bucket occur, over all rows; of fixed size, whatever the corpus."""
+    parts = counted.where("_part is not null").select("_part", "_counts").repartition("_part").sortWithinPartitions("_part").mapInArrow(_summed, "_part int, _counts binary")
+    total = np.zeros((buckets // _PART, _PART), np.uint32)
     for r in parts.toLocalIterator():  # buckets * 4 bytes in all
-        total[r["_part"]] = np.frombuffer(r["_counts"], np.int32)
+        total[r["_part"]] = _unpacked(r["_counts"])
     return total.ravel()
 
 
-def _nodes(k: int):
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in text_batches(it):
-            sets = [shingle_set(t, k, hashes) for t in as_binary(batch.column(1))]
-            yield batches({"_doc": batch.column(0).to_pylist(), "_n": [len(s) for s in sets], "_node": [node_of(s) if len(s) else None for s in sets]}, _NODE)
-
-    return run
-
-
 def _entries(k: int, t: Fraction, counts):
     """Prefix entries; a set that a task has met before is not indexed again."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, met, df = WordHashes(), set(), counts.value
-        mask = np.uint64(len(df) - 1)
+        met, df = set(), counts.value
+        mask, hot = np.uint64(len(df) - 1), 4 * df.mean() + 2_000
         for batch in text_batches(it):
             parts = []
-            for text in as_binary(batch.column(0)):
-                s = shingle_set(text, k, hashes)
+            for s in shingle_sets(batch.column(0), k):
                 if not len(s) or (node := node_of(s)) in met:
                     continue
                 if len(met) > 500_000:
@@ -121,9 +121,11 @@ def _entries(k: int, t: Fraction, counts):
                 n = len(s)
                 often = df[(s & mask).astype(np.int64)]
                 prefix = n - -(-t.numerator * n // t.denominator) + 1
-                order = np.lexsort((s, often))[:prefix]
+                # The rarest, ties by hash: s is sorted, so the order of equal counts stays.
+                order = np.argsort(often, kind="stable")[:prefix]
                 weight = int(often.sum(dtype=np.int64) * 16 // n)
-                parts.append((s[order].view(np.int64), np.full(prefix, node), n << 32 | np.arange(prefix), np.full(prefix, weight)))
+                salt = np.where(often[order] > hot, 1 + node % _SALTS, 0)
+                parts.append((s[order].view(np.int64), salt, np.full(prefix, node), n << 32 | np.arange(prefix), np.full(prefix, weight)))
             if parts:
                 yield batches(dict(zip(_ENTRY.names, map(np.concatenate, zip(*parts, strict=True)), strict=True)), _ENTRY)
 
@@ -159,13 +161,9 @@ def links(x: np.ndarray, y: np.ndarray, t: Fraction) -> bool:
 
 def _verified(k: int, t: Fraction):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, out = WordHashes(), {"_a": [], "_b": []}
-        last, held = None, None
+        out = {"_a": [], "_b": []}
         for batch in text_batches(it):
-            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_binary(batch.column(2)), as_binary(batch.column(3)), strict=True):
-                if (b, y) != last:
-                    last, held = (b, y), shingle_set(y, k, hashes)
-                mine = shingle_set(x, k, hashes)
+            for a, b, mine, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2), k), shingle_sets(batch.column(3), k), strict=True):
                 if len(mine) and len(held) and node_of(mine) == a and node_of(held) == b and links(mine, held, t):
                     out["_a"].append(a)
                     out["_b"].append(b)
@@ -174,32 +172,43 @@ def _verified(k: int, t: Fraction):
     return run
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(_node, _least): the least node reachable from each node of ``links`` (columns _a, _b).
 
-    Large-star and small-star in turn (Kiverdis and others, 2014): the number of rounds is logarithmic,
-    each is two aggregations of the links, and a node's neighbours are only ever summed, never collected.
+    Large-star and small-star in turn (Kiverdis and others, 2014) until nothing changes: the number of rounds is
+    logarithmic, each is two aggregations of the links, and a node's neighbours are only ever summed, never collected.
     """
     edges = stored(links.select(F.greatest("_a", "_b").alias("_hi"), F.least("_a", "_b").alias("_lo")).where("_hi <> _lo").distinct(), "links")
-    before = None
-    for _ in range(rounds):
+    before, state = None, ()
+    while state != before:
         both = edges.select("_hi", "_lo").union(edges.select(F.col("_lo"), F.col("_hi")))
         least = both.groupBy(F.col("_hi").alias("_u")).agg(F.least(F.min("_lo"), F.col("_u")).alias("_m"))
         large = both.join(least, F.col("_hi") == F.col("_u")).where("_lo > _u").select(F.col("_lo").alias("_hi"), F.col("_m").alias("_lo"))
         large = large.where("_hi <> _lo").distinct()
         lower = large.groupBy(F.col("_hi").alias("_u")).agg(F.min("_lo").alias("_m"))
         small = large.join(lower, F.col("_hi") == F.col("_u")).select(F.explode(F.array(F.struct(F.col("_lo").alias("_hi"), F.col("_m").alias("_lo")), F.struct(F.col("_u").alias("_hi"), F.col("_m").alias("_lo")))).alias("e")).select("e.*")
-        edges = stored(small.where("_hi <> _lo").distinct(), "links")
+        after = stored(small.where("_hi <> _lo").distinct(), "links")
+        discard(edges)
+        before, edges = state, after
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("_hi", "_lo").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.select(F.col("_hi").alias("_node"), F.col("_lo").alias("_least"))
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: str = "3/4", buckets: int = 1 << 20) -> DataFrame:
+def among(rows: DataFrame, ids: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not among ``ids`` (one column), by a bitmap of their hashes.
+
+    The bitmap has ``bits`` bits whatever the size of ``ids``, so it may be broadcast; what it lets through goes on to a join.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    one = ids.select(place(F.col(ids.columns[0])).alias("_bit"))
+    bitmap = one.groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bitmap"))
+    at = F.bitmap_bit_position(place(F.col(column)))
+    byte = F.conv(F.hex(F.substring("_bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(bitmap), F.bitmap_bucket_number(place(F.col(column))) == F.col("_bucket"))
+    return found.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_bucket", "_bitmap")
+
+
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: str = "3/4", buckets: int = 1 << 22) -> DataFrame:
     """One row per document: ``id_col``, n_shingles (size of its set) and component_id.
 
     Documents link when the Jaccard similarity of their sets of k-word shingles (A-Z lower-cased) is
@@ -212,12 +221,13 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     t = Fraction(threshold)
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
-    counts = spark.sparkContext.broadcast(shingle_counts(source.select("_text"), k, buckets))
+    counted = stored(source.mapInArrow(_nodes(k, buckets), "_doc long, _n long, _node long, _part int, _counts binary"), "nodes")
+    counts = spark.sparkContext.broadcast(shingle_counts(counted, buckets))
 
-    nodes = stored(source.mapInArrow(_nodes(k), "_doc long, _n long, _node long"), "nodes")
-    classes = nodes.where("_node is not null").groupBy("_node").agg(F.min("_doc").alias("_doc"))
-    entries = source.select("_text").mapInArrow(_entries(k, t, counts), "_token long, _node long, _place long, _weight long").repartition("_token")
-    entries = entries.groupBy("_token", "_node").agg(F.max("_place").alias("_place"), F.max("_weight").alias("_weight"))
+    nodes = counted.where("_part is null").select("_doc", "_n", "_node")
+    classes = stored(nodes.where("_node is not null").groupBy("_node").agg(F.min("_doc").alias("_doc")), "classes")
+    entries = source.select("_text").mapInArrow(_entries(k, t, counts), "_token long, _salt int, _node long, _place long, _weight long").repartition("_token", "_salt")
+    entries = entries.groupBy("_token", "_salt", "_node").agg(F.max("_place").alias("_place"), F.max("_weight").alias("_weight"))
     size = lambda c: F.shiftright(c, 32)
     place = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
 
@@ -228,40 +238,54 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         return (F.least(m, n) * t.denominator >= F.greatest(m, n) * t.numerator) & (F.least(m - place(p), n - place(q)) >= need)
 
     # Centre of a group: the greatest weight, then the greatest node. A window over the shingle reads the one shuffle once.
-    group = Window.partitionBy("_token")
+    group = Window.partitionBy("_token", "_salt")
     centre = F.max(F.struct("_weight", "_node", "_place")).over(group)
-    grouped = entries.withColumns({"_g": F.count("*").over(group), "_centre": centre}).where("_g > 1")
-    grouped = grouped.select("_token", "_node", "_place", F.col("_centre._node").alias("_c"), F.col("_centre._place").alias("_cp"))
+    grouped = entries.withColumns({"_g": F.count("*").over(group), "_centre": centre}).where("_g > 1 or _salt > 0")
+    grouped = grouped.select("_token", "_salt", "_g", "_node", "_place", "_weight", F.col("_centre._node").alias("_c"), F.col("_centre._place").alias("_cp"))
     grouped = stored(grouped, "prefix-groups")
-    texts = source.join(classes.withColumnRenamed("_doc", "_rep"), F.col("_doc") == F.col("_rep")).select(F.col("_node").alias("_id"), "_text")
+    # A hot shingle's parts have a centre each, of which the greatest is the centre of all.
+    parts = grouped.where("_salt > 0 and _node = _c").select("_token", F.struct("_weight", "_node", "_place").alias("_at"))
+    top = parts.groupBy("_token").agg(F.max("_at").alias("_top"))
+    tops = parts.join(top, "_token").select("_at._node", "_at._place", F.col("_top._node").alias("_c"), F.col("_top._place").alias("_cp"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("_a", "_b")).alias("_id")).distinct()
-        held = stored(texts.join(ids, "_id"), "texts")
+        reps = stored(classes.join(ids, F.col("_node") == F.col("_id"), "left_semi"), "representatives")
+        wanted = among(source, reps.select("_doc"), "_doc")
+        held = stored(wanted.join(reps, "_doc").select(F.col("_node").alias("_id"), "_text"), "texts")
         joined = pairs.join(held.select(F.col("_id").alias("_a"), F.col("_text").alias("_x")), "_a").join(held.select(F.col("_id").alias("_b"), F.col("_text").alias("_y")), "_b")
-        return stored(joined.select("_a", "_b", "_x", "_y").mapInArrow(_verified(k, t), "_a long, _b long"), "verified")
+        out = stored(joined.select("_a", "_b", "_x", "_y").mapInArrow(_verified(k, t), "_a long, _b long"), "verified")
+        discard(reps, held)
+        return out
 
-    stars = grouped.where((F.col("_node") != F.col("_c")) & passes("_place", "_cp")).select(F.col("_node").alias("_a"), F.col("_c").alias("_b")).distinct()
-    starred = stored(stars, "stars")
+    stars = grouped.select("_node", "_place", "_c", "_cp").union(tops).where((F.col("_node") != F.col("_c")) & passes("_place", "_cp"))
+    starred = stored(stars.select(F.least("_node", "_c").alias("_a"), F.greatest("_node", "_c").alias("_b")).distinct(), "stars")
     found = verify(starred)
     label = components(found)
 
-    # What is left: pairs of one group in different components. One side is outside the component of most of the group.
-    named = grouped.select("_token", "_node", "_place").join(label, "_node", "left").select("_token", "_node", "_place", F.coalesce("_least", "_node").alias("_comp"))
+    # What is left: pairs of one group in different components, but for those with a centre that saw all of the group.
+    left = grouped.where("(_g > 2 and _node <> _c) or _salt > 0").select("_token", "_node", "_place")
+    named = left.join(label, "_node", "left").select("_token", "_node", "_place", F.coalesce("_least", "_node").alias("_comp"))
     per = named.groupBy("_token", "_comp").agg(F.count("*").alias("_k"))
     main = per.groupBy(F.col("_token").alias("_t")).agg(F.max_by("_comp", F.struct("_k", "_comp")).alias("_main"), F.count("*").alias("_comps")).where("_comps > 1")
     mixed_groups = stored(named.join(main, F.col("_token") == F.col("_t")).select("_token", "_node", "_place", "_comp", "_main"), "mixed-groups")
+    discard(grouped)
+    # One side is outside the component of most of the group.
     few = mixed_groups.where("_comp <> _main").select("_token", F.col("_node").alias("_a"), F.col("_place").alias("_p"), F.col("_comp").alias("_ca"))
     every = mixed_groups.select("_token", F.col("_node").alias("_b"), F.col("_place").alias("_q"), F.col("_comp").alias("_cb"), "_main")
     rest = few.join(every, "_token").where((F.col("_ca") != F.col("_cb")) & passes("_p", "_q") & ((F.col("_cb") == F.col("_main")) | (F.col("_a") < F.col("_b"))))
     rest = rest.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
-    done = starred.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b"))
-    rest = stored(rest.join(done, ["_a", "_b"], "left_anti"), "rest")
+    rest = stored(rest.join(starred, ["_a", "_b"], "left_anti"), "rest")
+    discard(mixed_groups, starred)
     if not rest.isEmpty():
         label = components(found.union(verify(rest)))
-
-    of_class = classes.join(label, "_node", "left").select("_node", F.col("_doc").alias("_first"), F.coalesce("_least", "_node").alias("_comp"))
-    least = of_class.groupBy("_comp").agg(F.min("_first").alias("_id"))
-    ids = of_class.join(least, "_comp").select("_node", "_id")
-    out = nodes.join(ids, "_node", "left").select(F.col("_doc").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("_id", "_doc").alias("component_id"))
-    return out
+    discard(found, rest)
+
+    # The least id of each component; one that holds much of the corpus is dealt out by its nodes.
+    linked = classes.join(label, "_node").select("_node", "_doc", "_least", F.pmod("_node", F.lit(_SALTS)).alias("_salt"))
+    roots = classes.join(label.select(F.col("_least").alias("_node")).distinct(), "_node").select(F.col("_node").alias("_least"), F.col("_doc"))
+    least = linked.select("_least", "_doc").union(roots).groupBy("_least").agg(F.min("_doc").alias("_id"))
+    salted = least.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    ids = linked.join(salted, ["_least", "_salt"]).select("_node", "_id").union(least.select(F.col("_least").alias("_node"), "_id"))
+    every = classes.join(ids, "_node", "left").select("_node", F.coalesce("_id", "_doc").alias("_id"))
+    return nodes.join(every, "_node", "left").select(F.col("_doc").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("_id", "_doc").alias("component_id"))

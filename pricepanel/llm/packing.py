@@ -17,6 +17,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -182,11 +183,13 @@ def _pieces(path: str, end_id: int, capacity: int):
         encode, part, ranks = encoder(path, end_id), TaskContext.get().partitionId(), defaultdict(int)
         out: dict[str, list] = {n: [] for n in _PIECE.names}
         for batch in text_batches(it):
-            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
-                n = len(ids) // 4
+            coded, places = encode.flat(batch.column(1))
+            coded = coded.astype("<u4", copy=False)
+            for doc, (first, last) in zip(batch.column(0).to_pylist(), pairwise(places.tolist()), strict=True):
+                n, ids = last - first, coded[first:last]
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    for name, value in zip(_PIECE.names, (doc, i, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), part, ranks[b - a]), strict=True):
+                    for name, value in zip(_PIECE.names, (doc, i, a, b - a, zlib.crc32(ids[a:b]), part, ranks[b - a]), strict=True):
                         out[name].append(value)
                     ranks[b - a] += 1
             yield drained(out, _PIECE)

@@ -30,7 +30,7 @@ def shape(word: bytes) -> str:
         kind = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
         if not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out[:8])
+    return "".join(out)
 
 
 class Features(dict):
@@ -125,9 +125,9 @@ def _votes(model, schema: pa.Schema):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", per_class: int = 1_500, id_col: str = "doc_id", text_col: str = "text", **settings) -> Neighbours:
-    """Vectors of a bounded sample of labelled rows (``per_class`` of each class), whole texts."""
-    sample = labelled_sample(docs, labels, label, per_class, id_col, text_col)
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", per_class: int = 1_500, max_chars: int = 12_000_000, id_col: str = "doc_id", text_col: str = "text", **settings) -> Neighbours:
+    """Vectors of a bounded sample of labelled rows (of each class ``per_class`` rows and ``max_chars`` characters), whole texts."""
+    sample = labelled_sample(docs, labels, label, per_class, id_col, text_col, max_chars)
     return fit([t for t, _ in sample], [y for _, y in sample], **settings)
 
 

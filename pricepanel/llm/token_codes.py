@@ -12,15 +12,16 @@ Spark writes to can hold them; beside each are its document ids and their starts
 
 from __future__ import annotations
 
+import json
 import os
 import struct
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,41 +32,160 @@ from pricepanel.llm.common import drained, stored, text_batches
 _RANK = 512
 _SHARD = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("codes", pa.binary())])
 _DOC = pa.schema([("_doc", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-#: How byte-level tokenizers of this kind cut a text before they merge bytes (fixed values).
+#: How the byte-level pre-tokenizer cuts a text before bytes are merged (fixed values).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts with a space or newline between other white space, or between that and the end: there it does not begin a part (RE2).
+_RUN = "[W][ \\n](?:[W]|\\z)".replace("W", r"\s\x0b\x1c-\x1f\x{85}\pZ")
+#: What may follow a word of letters as a part of its own.
+_TAIL = ".,;:!?"
 
 
 class Encoder:
-    """Ids of texts as little-endian uint32 bytes, the end id appended.
+    """Ids of texts, the end id appended.
 
-    Byte-level tokenizers cut a text by a pattern and merge bytes inside the parts alone, so the library
-    encodes each distinct part once. A text that holds an added token's text goes to the library whole.
+    A byte-level tokenizer that neither normalizes nor adds a space to the first word cuts a text before every single
+    space or newline, then by PATTERN, and merges bytes inside the parts alone. So the library encodes each distinct part
+    once: words of letters and what follows them are told apart by Arrow, other pieces are cut by PATTERN. Whole
+    texts go to the library where that does not hold: texts with the content of an added token or a space or newline
+    inside other white space, and any other kind of tokenizer.
     """
 
-    def __init__(self, path: str, end_id: int = 0, most: int = 800_000):
+    def __init__(self, path: str, end_id: int = 0, most: int = 900_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.end, self.most = Tokenizer.from_file(path), struct.pack("<I", end_id), most
+        self.tokenizer, self.end, self.most = Tokenizer.from_file(path), end_id, most
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        kind = made.get("pre_tokenizer") or {}
+        self.cuts = made.get("normalizer") is None and made["model"]["type"] == "BPE" and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space")
         self.cut = regex.compile(PATTERN).findall
+        self._clear()
+
+    def _clear(self) -> None:
+        """Forget all pieces: ids of number i are ids[starts[i] : starts[i + 1]]; number 0 has none."""
+        self.words: dict[str, dict[str, int]] = {" ": {}, "\n": {}}  # letters after a space, or without one
+        self.pieces: dict[str, int] = {"": 0}  # any other, as it is
+        self.ids, self.starts, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 1
+
+    def library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, known: dict[str, int], pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, first = self.n, self.starts[self.n]
+        while first + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(pieces) >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.ids[first : first + len(ids)] = ids
+        self.starts[n + 1 : n + 1 + len(pieces)] = first + np.cumsum(sizes)
+        known.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.n += len(pieces)
+
+    def of(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these pieces one after another, and how many each has."""
+        size = self.starts[number + 1] - self.starts[number]
+        total = np.cumsum(size)
+        return self.ids[np.repeat(self.starts[number] - total + size, size) + np.arange(total[-1] if len(total) else 0)], size
+
+    def _words(self, words: list[str], before: str, block: int = 200) -> np.ndarray:
+        """Numbers of words of letters, with the space ``before`` them or without the newline; new ones are encoded in rows, as parts of one text."""
+        known, lead = self.words[before], before.strip("\n")
+        found = list(map(known.get, words))
+        if None in found:
+            new = [w for w, i in zip(words, found, strict=True) if i is None]
+            rows = [new[at : at + block] for at in range(0, len(new), block)]
+            ids, sizes = [], []
+            for row, e in zip(rows, self.tokenizer.encode_batch([lead + before.join(row) for row in rows], add_special_tokens=False), strict=True):
+                some, part = np.array(e.ids, np.uint32), np.array(e.word_ids, np.int64)
+                if before == "\n":  # each second part is the newline
+                    some, part = some[part % 2 == 0], part[part % 2 == 0] // 2
+                size = np.bincount(part, minlength=len(row))
+                if len(size) != len(row) or (size == 0).any() or (before == "\n" and e.word_ids[-1] != 2 * len(row) - 2):  # the library cuts one of them
+                    each = self.library([lead + w for w in row])
+                    some, size = np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each])
+                ids.append(some)
+                sizes.append(size)
+            self._add(known, new, np.concatenate(ids), np.concatenate(sizes))
+            found = list(map(known.__getitem__, words))
+        return np.array(found, np.int64)
+
+    def _others(self, words: list[str]) -> np.ndarray:
+        """Numbers of any pieces of text, cut into parts."""
+        new = [*dict.fromkeys(w for w in words if w not in self.pieces)]
+        if new:
+            cut = [self.cut(w) for w in new]
+            parts = [*dict.fromkeys(p for c in cut for p in c if p not in self.pieces)]
+            if parts:
+                ids = self.library(parts)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                self._add(self.pieces, parts, np.fromiter(chain.from_iterable(ids), np.uint32), sizes)
+            cut, new = [c for c in cut if len(c) > 1], [w for w, c in zip(new, cut, strict=True) if len(c) > 1]
+            ids, sizes = self.of(np.array([self.pieces[p] for c in cut for p in c], np.int64))
+            ends = np.r_[0, np.cumsum(sizes)][np.cumsum([len(c) for c in cut])] if cut else np.zeros(0, np.int64)
+            self._add(self.pieces, new, ids, np.diff(ends, prepend=0))
+        return np.array(list(map(self.pieces.__getitem__, words)), np.int64)
+
+    def _whole(self, column: pa.Array) -> np.ndarray:
+        """Texts that the library must see whole."""
+        if not self.cuts:
+            return np.ones(len(column), bool)
+        out = pc.match_substring_regex(column, _RUN).to_numpy(zero_copy_only=False)
+        for content in self.added:
+            out = out | pc.match_substring(column, content).to_numpy(zero_copy_only=False)
+        return out
 
-    def library(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a string column (null: empty) one after another, and each text's start among them (one number more)."""
+        column = column.cast(pa.string()).fill_null("")
+        if not len(column):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        if self.n > self.most or self.starts[self.n] > 16 * self.most:
+            self._clear()
+        whole = self._whole(column)
+        # A newline begins a piece, as a space does, but stays in it.
+        cut = pc.split_pattern(pc.replace_substring(pc.if_else(pa.array(whole), "", column) if whole.any() else column, "\n", " \n"), " ")
+        at, flat = cut.offsets.to_numpy() - cut.offsets[0].as_py(), cut.flatten()
+        line = pc.starts_with(flat, "\n").to_numpy(zero_copy_only=False)
+        bare = line.copy()
+        bare[at[:-1]] = True  # no space before the first of a text
+        body = pc.utf8_ltrim(flat, characters="\n")
+        cores = pc.utf8_rtrim(body, characters=_TAIL)
+        tail = (pc.binary_length(body).to_numpy() - pc.binary_length(cores).to_numpy()).astype(np.int64)
+        letters = pc.utf8_is_alpha(cores).to_numpy(zero_copy_only=False) & (tail <= 4)
+        number = np.zeros((len(flat), 3), np.int64)  # the newline, the word, its tail
+
+        number[letters & line, 0] = self._others(["\n"])[0]
+        for before, here in ((" ", letters & ~bare), ("\n", letters & bare)):
+            coded = pc.dictionary_encode(cores.filter(pa.array(here)))
+            number[here, 1] = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), before)[coded.indices.to_numpy()]
+        for n in range(1, 5):
+            here = np.flatnonzero(letters & (tail == n))
+            if len(here):
+                coded = pc.dictionary_encode(pc.utf8_slice_codeunits(flat.take(pa.array(here)), -n))
+                number[here, 2] = self._others(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        rest = np.flatnonzero(~letters)
+        number[rest, 1] = self._others((np.where(bare[rest], "", " ").astype(object) + flat.take(pa.array(rest)).to_numpy(zero_copy_only=False)).tolist())
+
+        ids, sizes = self.of(number.ravel())
+        length = np.diff(np.r_[0, np.cumsum(sizes)][3 * at])
+        of_text = length.copy()
+        texts = np.flatnonzero(whole).tolist()
+        own = dict(zip(texts, self.library([column[i].as_py() for i in texts]), strict=True)) if texts else {}
+        for i, x in own.items():
+            length[i] = len(x)
+        starts = np.r_[0, np.cumsum(length + 1)]
+        out = np.full(starts[-1], self.end, np.uint32)
+        for i, x in own.items():
+            out[starts[i] : starts[i] + len(x)] = x
+            of_text[i] = 0
+        out[np.repeat(starts[:-1] - np.cumsum(of_text) + of_text, of_text) + np.arange(len(ids))] = ids
+        return out, starts
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        whole = [bool(t) and any(a in t for a in self.added) for t in texts]
-        cuts = [[t] if w else self.cut(t or "") for t, w in zip(texts, whole, strict=True)]
-        if len(self.known) >= self.most:
-            self.known.clear()
-        known = self.known
-        new = list({p for parts in cuts for p in parts if p not in known})
-        known.update(zip(new, self.library(new), strict=True))
-        out = [b"".join(map(known.__getitem__, parts)) + self.end for parts in cuts]
-        for p in new:
-            if len(p) > 64:
-                del known[p]
-        return out
+        """Of each text the ids as little-endian uint32 bytes."""
+        ids, starts = self.flat(pa.array(texts, pa.string()))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in pairwise(starts.tolist())]
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -74,8 +194,6 @@ _ENCODERS: dict[tuple[str, int], Encoder] = {}
 def encoder(path: str, end_id: int = 0) -> Encoder:
     """One encoder for each worker process; it runs on the task's core alone."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if sys.byteorder != "little" or array("I").itemsize != 4:
-        raise RuntimeError("ids are packed as little-endian 32-bit numbers")
     if (path, end_id) not in _ENCODERS:
         _ENCODERS[path, end_id] = Encoder(path, end_id)
     return _ENCODERS[path, end_id]
@@ -143,7 +261,7 @@ def _encoded(path: str, end_id: int, shard_tokens: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal shard, held
-            codes = pack_codes(np.frombuffer(b"".join(ids), "<u4"))
+            codes = pack_codes(np.concatenate(ids))
             out = drained({"part": [part], "shard": [shard], "n_tokens": [held], "doc_ids": [list(docs)], "starts": [list(starts)], "codes": [codes]}, _SHARD)
             for x in (docs, starts, ids):
                 x.clear()
@@ -151,11 +269,12 @@ def _encoded(path: str, end_id: int, shard_tokens: int):
             return out
 
         for batch in text_batches(it):
-            for doc, coded in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
+            coded, places = encode.flat(batch.column(1))
+            for doc, (a, b) in zip(batch.column(0).to_pylist(), pairwise(places.tolist()), strict=True):
                 docs.append(doc)
                 starts.append(held)
-                ids.append(coded)
-                held += len(ids[-1]) // 4
+                ids.append(coded[a:b])
+                held += b - a
                 if held >= shard_tokens:
                     yield flush()
         if docs:

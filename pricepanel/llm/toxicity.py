@@ -20,7 +20,7 @@ from itertools import chain, groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -28,10 +28,7 @@ from pricepanel.llm.common import as_binary, grams, held_out, text_batches
 
 
 def subwords(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of each word and its 3- to 5-character n-grams, ends marked: all in a row, and how many each word has.
-
-    Words of more than 40 characters have a bucket of their own only.
-    """
+    """Distinct buckets of each word and its 3- to 5-character n-grams, ends marked: all in a row, and how many each word has."""
     marked = [f"<{w.decode().lower()}>" for w in words]
     long = np.array([len(w) for w in marked], np.int64)
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -40,7 +37,7 @@ def subwords(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     whole = np.fromiter(map(xxhash.xxh3_64_intdigest, marked), np.uint64, len(words))
     owners, found = [np.arange(len(words))], [whole]
     for n in range(3, 6):
-        at = np.flatnonzero((left >= n) & (long <= 42)[owner] & (long > n)[owner])
+        at = np.flatnonzero((left >= n) & (long > n)[owner])
         owners.append(owner[at])
         found.append(grams(codes, n)[at])
     keys = np.sort(np.concatenate(owners) * buckets + (np.concatenate(found) % np.uint64(buckets)).astype(np.int64))
@@ -48,6 +45,19 @@ def subwords(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return once % buckets, np.bincount(once // buckets, minlength=len(words))
 
 
+def in_blocks(words: list[bytes], most: int = 300_000) -> Iterator[list[bytes]]:
+    """The words in blocks of ``most`` bytes or one word, so that what is made of a block stays small."""
+    block, size = [], 0
+    for w in words:
+        if block and size + len(w) > most:
+            yield block
+            block, size = [], 0
+        block.append(w)
+        size += len(w)
+    if block:
+        yield block
+
+
 def spoken(text: bytes | None) -> list[bytes]:
     """Words of a text; a word said again and again at once counts once."""
     return [w for w, _ in groupby((text or b"").split())]
@@ -70,24 +80,22 @@ class Model:
 class WordValues(dict):
     """Word -> its value; words not met before are worked out together. Forgets all beyond ``most`` words."""
 
-    def __init__(self, model: Model, most: int = 400_000, block: int = 20_000):
+    def __init__(self, model: Model, most: int = 400_000):
         super().__init__()
-        self.model, self.most, self.block = model, most, block
+        self.model, self.most = model, most
 
     def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         if len(self) > self.most:
             self.clear()
-        new = list(set(chain.from_iterable(texts)).difference(self))
-        for at in range(0, len(new), self.block):
-            words = new[at : at + self.block]
+        for words in in_blocks(list(set(chain.from_iterable(texts)).difference(self))):
             self.update(zip(words, self.model.values(words), strict=True))
         return [np.fromiter(map(self.__getitem__, words), float, len(words)) for words in texts]
 
 
 def passages(n: int, window: int) -> np.ndarray:
-    """Starts and ends of half-overlapping passages of ``window`` words that cover n words."""
+    """Starts and ends of half-overlapping passages of ``window`` words that cover n words; fewer words are one passage."""
     step = window // 2
-    starts = np.arange(0, max(n - step, 1), step)
+    starts = np.minimum(np.arange(0, max(n - step, 1), step), max(n - window, 0))
     return np.stack([starts, np.minimum(starts + window, n)], 1)
 
 
@@ -95,7 +103,7 @@ def passage_scores(values: np.ndarray, window: int, bias: float) -> np.ndarray:
     """Logit of each passage: average of its words' values."""
     sums = np.r_[0.0, np.cumsum(values)]
     at = passages(len(values), window)
-    return bias + (sums[at[:, 1]] - sums[at[:, 0]]) / window
+    return bias + (sums[at[:, 1]] - sums[at[:, 0]]) / np.maximum(at[:, 1] - at[:, 0], 1)
 
 
 def _score(values: np.ndarray, window: int, bias: float) -> float:
@@ -110,29 +118,43 @@ def fit(texts: list[bytes], labels: list[int], *, buckets: int = 1 << 17, dim: i
     weights, bias = rng.normal(0, 0.3, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
     number: dict[bytes, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in spoken(t)], np.int64) for t in texts]
-    flat, per_word = subwords(list(number), buckets)
-    ends = np.cumsum(per_word) - per_word
+    words_of = list(in_blocks(list(number)))
 
     having = np.zeros((2, buckets))  # documents of a class with a word of the bucket, counted by word
     for c in (0, 1):
         met = np.concatenate([np.zeros(0, np.int64), *[np.unique(words) for words, label in zip(docs, labels, strict=True) if label == c]])
-        having[c] = np.bincount(flat, np.repeat(np.bincount(met, minlength=len(number)), per_word), buckets)
+        often, at = np.bincount(met, minlength=len(number)), 0
+        for block in words_of:
+            index, many = subwords(block, buckets)
+            having[c] += np.bincount(index, np.repeat(often[at : at + len(block)], many), buckets)
+            at += len(block)
     odds = np.log((having[1] + 0.5) / (having[0] + 0.5)) - np.log(((y == 1).sum() + 1) / ((y == 0).sum() + 1)) - 1.0
-    table[having.sum(0) < least] = 0  # too rare to learn from: such n-grams stay without a vector
     common = having.sum(0) >= least
-    usable = common[flat]
-    kept = np.add.reduceat(usable, ends, dtype=np.int64) if len(number) else per_word
-    compact, first = flat[usable], np.cumsum(kept) - kept
+    table[~common] = 0  # too rare to learn from: such n-grams stay without a vector
+    # Of each word the buckets that have a vector, and how many it has with the others.
+    compact, kept, per_word = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for block in words_of:
+        index, many = subwords(block, buckets)
+        usable = common[index]
+        compact.append(index[usable].astype(np.int32))
+        kept.append(np.add.reduceat(usable, np.cumsum(many) - many, dtype=np.int64))
+        per_word.append(many)
+    compact, kept, per_word = map(np.concatenate, (compact, kept, per_word))
+    first = np.cumsum(kept) - kept
 
     def bag(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Buckets with a vector of a passage's words, and the share of its word that each makes up."""
         n = kept[words]
         at = np.repeat(first[words] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return compact[at], np.repeat((1 / per_word[words]).astype(np.float32), n)
+        return compact[at], np.repeat((window / len(words) / per_word[words]).astype(np.float32), n)
 
     logits, floor = np.where(common, np.maximum(odds, 0), 0).astype(np.float32), 0.0
     for _ in range(rounds):
-        values = np.add.reduceat(logits[flat], ends) / per_word if len(number) else np.zeros(0)
+        values = np.zeros(len(number))
+        for at in range(0, len(number), 10_000):  # sums of the buckets of each word, in blocks
+            ends = first[at : at + 10_000] + kept[at : at + 10_000]
+            sums = np.r_[0, np.cumsum(logits[compact[first[at] : ends[-1]]], dtype=np.float64)]
+            values[at : at + 10_000] = (sums[ends - first[at]] - sums[first[at : at + 10_000] - first[at]]) / per_word[at : at + 10_000]
         bags, ys = [], []
         for words, c in zip(docs, labels, strict=True):
             if len(words):
@@ -149,7 +171,7 @@ def fit(texts: list[bytes], labels: list[int], *, buckets: int = 1 << 17, dim: i
 def _train(table, weights, bias, bags, y, epochs, rng, rate, batch: int = 256) -> None:
     """Softmax cross-entropy; embeddings (plain gradient steps) and softmax (Adam) move together. Toxic passages weigh 0.3 in all.
 
-    A passage is ``window`` times the average of its words' vectors, a fixed scale that the model keeps.
+    A passage is the average of its words' vectors times a fixed scale, which the model keeps.
     """
     bags, y = [b for b in bags if len(b[0])], y[[i for i, b in enumerate(bags) if len(b[0])]]
     share = np.array([w / max(1, (y == c).sum()) for c, w in ((0, 0.7), (1, 0.3))], np.float32) * len(y)
@@ -189,22 +211,32 @@ def _scores(model, schema: pa.Schema):
     return run
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[bytes, int]]:
-    """Whole texts of ``per_class`` labelled rows of each class at most, those of the least hashed ids; never held-out rows."""
-    rows = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & ~held_out("_id")).distinct()
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text", max_chars: int = 12_000_000) -> list[tuple[bytes, int]]:
+    """Whole texts of labelled rows, those of the least hashed ids; never held-out rows.
+
+    Of each class ``per_class`` rows at most, as long as they have no more than ``max_chars`` characters together: so
+    both the rows and the bytes that reach the driver are bounded. Labels that disagree about a row give none.
+    """
+    rows = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & ~held_out("_id"))
+    rows = rows.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_top")).where("_y = _top").drop("_top")
     picked = [rows.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for y in (0, 1)]
     chosen = F.broadcast(picked[0].union(picked[1]))  # 2 * per_class ids at most
-    found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").select("_id", "_text", "_y")
-    texts = sorted((r["_id"], r["_y"], r["_text"] or "") for r in found.toLocalIterator())
+    found = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(chosen, "_id")
+    found = found.groupBy("_id", "_y").agg(F.min("_text").alias("_text"))  # an id that repeats counts once
+    # No more rows than were chosen, so one task a class can sum their lengths; texts stay where they are.
+    lengths = found.select("_id", "_y", F.length("_text").alias("_n"))
+    so_far = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")
+    within = F.broadcast(lengths.withColumn("_sum", F.sum("_n").over(so_far)).where(F.col("_sum") <= max_chars).select("_id"))
+    texts = sorted((r["_id"], r["_y"], r["_text"]) for r in found.join(within, "_id").toLocalIterator())
     return [(t.encode(), y) for _, y, t in texts]
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = 2_000, id_col: str = "doc_id", text_col: str = "text", **settings) -> Model:
-    """Fit on a bounded sample of labelled rows (``per_class`` of each class); every text is read whole.
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = 2_000, max_chars: int = 12_000_000, id_col: str = "doc_id", text_col: str = "text", **settings) -> Model:
+    """Fit on a bounded sample of labelled rows (of each class ``per_class`` rows and ``max_chars`` characters); texts are read whole.
 
     With labels of one class or none there is nothing to learn: the score is that class's share, or 0.5.
     """
-    sample = labelled_sample(docs, labels, label, per_class, id_col, text_col)
+    sample = labelled_sample(docs, labels, label, per_class, id_col, text_col, max_chars)
     ys = [y for _, y in sample]
     if len(set(ys)) < 2:
         share = (sum(ys) + 1) / (len(ys) + 2)
