@@ -80,6 +80,17 @@ def expand_legs(days: DataFrame, routes: DataFrame) -> DataFrame:
     })
 
 
+def expected_calls(legs: DataFrame, keys: list[str]) -> DataFrame:
+    """Calls of a run: its legs, counted."""
+    return legs.groupBy(*keys).agg(F.count("*").alias("n_calls"))
+
+
+def expected_stay_calls(nights: DataFrame, locations: DataFrame, day: str = "day") -> DataFrame:
+    """Calls of each collection day: its stay nights, each at every location."""
+    n = locations.agg(F.countDistinct("location").alias("_n"))
+    return nights.groupBy(day).agg(F.count("*").alias("n_nights")).crossJoin(F.broadcast(n)).select(day, (F.col("n_nights") * F.col("_n")).alias("n_calls"))
+
+
 def expand_stay_nights(days: DataFrame) -> DataFrame:
     """An index day's Tuesday night and the Thursday nine days on; days that are no Tuesday give nothing."""
     nights = F.array(F.struct(F.lit("index_week").alias("kind"), F.col("index_day").alias("check_in")), F.struct(F.lit("thursday_after").alias("kind"), F.date_add("index_day", 9).alias("check_in")))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: First months of the published series' regimes (fixed values, with the name that holds from then on).
-ERAS = (("1900-01-01", "a"), ("1994-01-01", "b"), ("1997-01-01", "c"))
+#: First months of the collection regimes (fixed values), with the name that holds from then on.
+ERAS = (("1900-01-01", "pre_2025_one_day_ahead"), ("2025-01-01", "2025_split_weight"), ("2026-02-01", "2026_six_weeks_two_nights"))
 
 
 def month_number(c):
@@ -21,11 +21,27 @@ def methodology_era(month, eras=ERAS):
     return out
 
 
-def matched_pairs(prices: DataFrame, keys: list[str]) -> DataFrame:
-    """Per item its price in a month and the month before; one window over items, no self join."""
+def spans_methodology_break(earlier, later, eras=ERAS):
+    """Would a relative between these months compare two regimes?"""
+    return methodology_era(earlier, eras) != methodology_era(later, eras)
+
+
+def observed_months(prices: DataFrame, keys: list[str]) -> DataFrame:
+    """The months of each cell with a price above zero, and their numbers in order."""
+    months = prices.where("price > 0").select(*keys, "month").distinct()
+    return months.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy("month")))
+
+
+def matched_pairs(prices: DataFrame, keys: list[str], adjacent: str = "calendar") -> DataFrame:
+    """Per item its price in a month and the one before; one window over items, no self join.
+
+    The one before is that of the ``calendar``, or the cell's ``observed`` month before, however long ago.
+    """
     w = Window.partitionBy(*keys, "item").orderBy("month")
-    priced = prices.where("price > 0").withColumns({"_pm": F.lag("month").over(w), "_pp": F.lag("price").over(w), "_nm": F.lead("month").over(w)})
-    return priced.withColumn("base", F.when(month_number("_pm") == month_number("month") - 1, F.col("_pp"))).withColumn("_next", F.coalesce(month_number("_nm") == month_number("month") + 1, F.lit(False))).drop("_pm", "_pp", "_nm")
+    priced = prices.where("price > 0")
+    priced = priced.withColumn("_at", month_number("month")) if adjacent == "calendar" else priced.join(observed_months(prices, keys), [*keys, "month"])
+    seen = priced.withColumns({"_pa": F.lag("_at").over(w), "_pp": F.lag("price").over(w), "_na": F.lead("_at").over(w)})
+    return seen.withColumns({"base": F.when(F.col("_pa") == F.col("_at") - 1, F.col("_pp")), "_next": F.coalesce(F.col("_na") == F.col("_at") + 1, F.lit(False))}).drop("_at", "_pa", "_pp", "_na")
 
 
 def match_counts(prices: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,13 +53,20 @@ def match_counts(prices: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*keys, "month", "n_matched", (F.col("_new") + F.coalesce("_gone", F.lit(0))).alias("n_unmatched"))
 
 
-def price_relative(prices: DataFrame, keys: list[str], min_matched: int = 3) -> DataFrame:
-    """Jevons, Dutot and Carli relatives of each month on the month before; refused under ``min_matched`` items."""
-    pairs = matched_pairs(prices, keys).where("base is not null")
-    out = pairs.groupBy(*keys, "month").agg(
+def price_relative(prices: DataFrame, keys: list[str], min_matched: int = 3, formula: str = "jevons", adjacent: str = "calendar") -> DataFrame:
+    """Jevons, Dutot and Carli relatives of each month on the one before; refused under ``min_matched`` items.
+
+    pct_change is that of ``formula``; with ``calendar`` months n_unmatched and match_rate say how many items are in one of the two only.
+    """
+    pairs = matched_pairs(prices, keys, adjacent)
+    out = pairs.where("base is not null").groupBy(*keys, "month").agg(
         F.count("*").alias("n_matched"), F.exp(F.avg(F.log(F.col("price") / F.col("base")))).alias("jevons"), (F.avg("price") / F.avg("base")).alias("dutot"), F.avg(F.col("price") / F.col("base")).alias("carli")
     )
-    return out.where(F.col("n_matched") >= min_matched)
+    out = out.where(F.col("n_matched") >= min_matched).withColumn("pct_change", (F.col(formula) - 1) * 100)
+    if adjacent != "calendar":
+        return out
+    counts = match_counts(prices, keys).drop("n_matched")
+    return out.join(counts, [*keys, "month"]).withColumn("match_rate", F.col("n_matched") / (F.col("n_matched") + F.col("n_unmatched")))
 
 
 def splice_nowcast(published: DataFrame, relatives: DataFrame, keys: list[str], formula: str = "jevons") -> DataFrame:
@@ -56,16 +79,21 @@ def consecutive_pairs(months: DataFrame, keys: list[str], eras=ERAS) -> DataFram
     """Months whose month before is there and of the same regime."""
     w = Window.partitionBy(*keys).orderBy("month")
     out = months.withColumn("prev_month", F.lag("month").over(w))
-    return out.where((month_number("month") - month_number("prev_month") == 1) & (methodology_era(F.col("month"), eras) == methodology_era(F.col("prev_month"), eras)))
+    return out.where((month_number("month") - month_number("prev_month") == 1) & ~spans_methodology_break(F.col("prev_month"), F.col("month"), eras))
 
 
-def chained_index(prices: DataFrame, keys: list[str], formula: str = "jevons", min_matched: int = 3, base: float = 100.0) -> DataFrame:
-    """Base 100 at a cell's first month, times each month's relative, up to the first refused or missing month."""
-    months = prices.where("price > 0").select(*keys, "month").distinct()
-    rel = price_relative(prices, keys, min_matched).select(*keys, "month", F.col(formula).alias("_r"))
+def chained_index(prices: DataFrame, keys: list[str], formula: str = "jevons", min_matched: int = 3, base: float = 100.0, adjacent: str = "calendar", eras=ERAS) -> DataFrame:
+    """Base 100 at a cell's first month, times each month's relative, up to the first one that is refused.
+
+    With ``calendar`` months a gap and a change of regime end the chain too; with ``observed`` months each is chained to
+    the cell's month before, and neither does.
+    """
+    months = observed_months(prices, keys)
+    rel = price_relative(prices, keys, min_matched, formula, adjacent).select(*keys, "month", F.col(formula).alias("_r"))
     w = Window.partitionBy(*keys).orderBy("month")
-    rows = months.join(rel, [*keys, "month"], "left").withColumn("_first", F.row_number().over(w) == 1)
-    rows = rows.withColumn("_broken", F.max(F.when(~F.col("_first") & F.col("_r").isNull(), 1).otherwise(0)).over(w)).where("_broken = 0")
+    rows = months.join(rel, [*keys, "month"], "left").withColumns({"_first": F.col("_at") == 1, "_pm": F.lag("month").over(w)})
+    bad = F.col("_r").isNull() if adjacent != "calendar" else F.col("_r").isNull() | spans_methodology_break(F.col("_pm"), F.col("month"), eras)
+    rows = rows.withColumn("_broken", F.max(F.when(~F.col("_first") & bad, 1).otherwise(0)).over(w)).where("_broken = 0")
     return rows.select(*keys, "month", (base * F.exp(F.sum(F.when(F.col("_first"), F.lit(0.0)).otherwise(F.log("_r"))).over(w))).alias("level"))
 
 

@@ -27,8 +27,11 @@ def by_series(panel: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def by_region(panel: DataFrame, keys: list[str]) -> DataFrame:
+    """Over ok rows: properties, mean, greatest over least price, and mean counts returned, considered and dropped where the panel has them."""
     p = F.col("price_gbp")
-    return panel.groupBy(*keys).agg(F.countDistinct("property_token").alias("n_properties"), F.avg(p).alias("mean"), F.try_divide(F.max(p), F.min(p)).alias("spread"))
+    ok = panel.where("status = 'ok'") if "status" in panel.columns else panel
+    counts = [F.avg(c).alias(c) for c in ("n_quotes", "n_considered", "n_dropped_rate_basis") if c in panel.columns]
+    return ok.groupBy(*keys).agg(F.count("*").alias("n_ok"), F.countDistinct("property_token").alias("n_properties"), F.avg(p).alias("mean"), F.try_divide(F.max(p), F.min(p)).alias("spread"), *counts)
 
 
 def worst_routes(panel: DataFrame, top: int = 10) -> DataFrame:
@@ -47,6 +50,59 @@ def concerns(*rules: tuple[str, DataFrame, str, Column, Column]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def fare_concerns(health: DataFrame, series: DataFrame, subject: str = "subject", days: int = 10) -> DataFrame:
+    """Concerns of a fare panel from its ``collection_health`` and its ``by_series`` rows: error rate over 5 %, fewer than ``days`` days or none, a mean excess over the cheapest above 200 %, minutes off target above 180."""
+    total = F.col("n_ok") + F.col("n_no_data") + F.col("n_error")
+    whole = health.withColumn("_panel", F.lit("panel"))
+    return concerns(
+        ("error_rate", whole, "_panel", F.try_divide("n_error", total), F.col("n_error") > 0.05 * total), ("few_days", whole, "_panel", F.col("n_days"), F.col("n_days") < days), ("nothing_collected", whole, "_panel", total, total == 0),
+        ("pct_above_cheapest", series, subject, F.col("pct_above_cheapest"), F.col("pct_above_cheapest") > 200), ("minutes_off", series, subject, F.col("minutes_off"), F.col("minutes_off") > 180),
+    )
+
+
+def stay_concerns(regions: DataFrame, published: DataFrame, subject: str = "subject", least: int = 3) -> DataFrame:
+    """Concerns of a stay panel from its ``by_region`` rows and of a published series (subject, index_month): a spread above 4, fewer than ``least`` properties, more dropped for their rate than considered, months missing inside a series, nothing published."""
+    dropped = [("more_dropped_than_kept", regions, subject, F.col("n_dropped_rate_basis"), F.col("n_dropped_rate_basis") > F.col("n_considered"))] if "n_dropped_rate_basis" in regions.columns else []
+    span = F.months_between(F.max("index_month"), F.min("index_month")) + 1
+    gaps = published.groupBy(subject).agg((span - F.countDistinct("index_month")).alias("gap"))
+    loaded = published.agg(F.count("*").alias("n")).withColumn("_panel", F.lit("published"))
+    return concerns(
+        ("spread", regions, subject, F.col("spread"), F.col("spread") > 4), ("few_properties", regions, subject, F.col("n_properties"), F.col("n_properties") < least), *dropped,
+        ("published_gap", gaps, subject, F.col("gap"), F.col("gap") >= 1), ("nothing_published", loaded, "_panel", F.col("n"), F.col("n") == 0),
+    )
+
+
+def median_price(price: Column) -> Column:
+    """Middle price of a small cell, the lower of two."""
+    return F.percentile_approx(price, 0.5, 10_000)
+
+
+def daily_by_series(panel: DataFrame, keys: list[str], date: str = "scrape_date") -> DataFrame:
+    """Statuses and price statistics of each day and series."""
+    p = F.col("price_gbp")
+    return panel.groupBy(date, *keys).agg(*statuses(), F.avg(p).alias("mean"), median_price(p).alias("median"), F.exp(F.avg(F.when(p > 0, F.log(p)))).alias("geomean"), F.avg("price_cheapest_gbp").alias("mean_cheapest"))
+
+
+def daily_by_region(panel: DataFrame, keys: list[str], date: str = "scrape_date", item: str = "property_token") -> DataFrame:
+    """Rows, distinct items and price statistics of each day and cell; rows without a tier are a cell of their own."""
+    p = F.col("price_gbp")
+    return panel.groupBy(date, *keys).agg(F.count("*").alias("n"), F.countDistinct(item).alias("n_properties"), F.avg(p).alias("mean"), median_price(p).alias("median"), F.exp(F.avg(F.when(p > 0, F.log(p)))).alias("geomean"))
+
+
+def daily_totals(panel: DataFrame, series: list[str], gap: Column) -> DataFrame:
+    """One row: statuses, the excess of the mean over the mean of the cheapest in per cent, queries without a direct flight, the series furthest off target, routes with no data where ``gap`` holds."""
+    worst = by_series(panel, series).agg(F.max_by(F.concat_ws("/", *series), "minutes_off").alias("worst_series"))
+    nothing = F.array_join(F.array_sort(F.collect_set(F.when((F.col("status") == "no_data") & gap, F.col("route")))), ",")
+    basis = [F.count_if(F.startswith(F.col("candidate_basis"), F.lit("no_direct_available"))).alias("n_no_direct")] if "candidate_basis" in panel.columns else []
+    p, c = F.avg("price_gbp"), F.avg("price_cheapest_gbp")
+    return panel.agg(*statuses(), *basis, (100 * (p - c) / c).alias("pct_above_cheapest"), nothing.alias("routes_without_data")).crossJoin(worst)
+
+
+def published_coverage(published: DataFrame, keys: list[str], vintage: str = "fetched_ts") -> DataFrame:
+    """Values, months, first and last month and vintages of each published series."""
+    return published.groupBy(*keys).agg(F.count("*").alias("n"), F.countDistinct("index_month").alias("n_months"), F.min("index_month").alias("first_month"), F.max("index_month").alias("last_month"), F.array_join(F.array_sort(F.collect_set(F.col(vintage).cast("string"))), ", ").alias("vintages"))
+
+
 def latest_snapshot(panel: DataFrame, date: str = "scrape_date") -> DataFrame:
     """All rows of the newest date."""
     return panel.join(F.broadcast(panel.agg(F.max(date).alias(date))), date, "left_semi")
@@ -60,7 +116,16 @@ def coverage_row(panel: DataFrame, published: DataFrame) -> DataFrame:
 
 
 def run_summary(panel: DataFrame) -> DataFrame:
-    return panel.groupBy("scrape_date", "run_id").agg(F.count("*").alias("n_rows"), *statuses(), F.countDistinct("route").alias("n_routes"))
+    """Per run: rows, statuses, rows not failed, and distinct routes or properties and priced pinned rows where the panel has them."""
+    routes = [F.countDistinct(c).alias(name) for c, name in (("route", "n_routes"), ("property_token", "n_properties")) if c in panel.columns]
+    pinned = [F.count_if(F.col("is_panel_property") & F.col("price_gbp").isNotNull()).alias("n_pinned_priced")] if "is_panel_property" in panel.columns else []
+    status = statuses() if "status" in panel.columns else []
+    return panel.groupBy("scrape_date", "run_id").agg(F.count("*").alias("n_rows"), *status, *routes, *pinned)
+
+
+def reconciliation_summary(rows: DataFrame, recon: DataFrame, item: str = "property_token") -> DataFrame:
+    """One row: panel rows read, rows written, distinct items."""
+    return rows.agg(F.count("*").alias("panel_rows"), F.countDistinct(item).alias("n_items")).crossJoin(recon.agg(F.count("*").alias("reconstruction_rows")))
 
 
 def failure_rate(panel: DataFrame, call: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,14 +15,51 @@ def quantised(value: Column) -> Column:
     return F.round(value, 4).cast("decimal(38,9)")
 
 
+def price_bucket(price: Column) -> Column:
+    """Buckets in the order of prices, each some 0.5 per cent wide; zero and less are below."""
+    step = lambda p: F.floor(F.log(p) * 200)
+    return F.when(price > 0, step(price)).when(price == 0, F.lit(-1_000_000)).otherwise(F.lit(-2_000_000) - step(-price))
+
+
+def cell_stats(rows: DataFrame, keys: list[str], price: str) -> DataFrame:
+    """Count, mean, exact median and geometric mean of each cell's prices, in two passes that aggregate partially.
+
+    The first counts the prices of each cell by bucket; its sums make all but the median, and tell in which bucket or two
+    the middle prices are. The second counts the distinct prices of these buckets only. So no task ever holds a cell's
+    prices, however many there are.
+    """
+    p, t = F.col("_p"), [F.col(k) for k in keys]
+    named = rows.select(*keys, F.col(price).alias("_p")).withColumn("_b", price_bucket(p))
+    buckets = named.groupBy(*keys, "_b").agg(F.count(p).alias("_n"), F.sum(p).alias("_sum"), F.sum(F.when(p > 0, F.log(p))).alias("_log"), F.count_if(p > 0).alias("_above"))
+    totals = buckets.groupBy(*keys).agg(F.sum("_n").alias("n"), (F.sum("_sum") / F.sum("_n")).alias("mean"), F.exp(F.sum("_log") / F.sum("_above")).alias("geomean"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = buckets.where("_n > 0").withColumns({"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_all": F.sum("_n").over(Window.partitionBy(*keys))})
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    middle = ranked.where((F.col("_before") < high) & (F.col("_before") + F.col("_n") >= low)).select(*[c.alias(f"_k{i}") for i, c in enumerate(t)], F.col("_b").alias("_mb"), "_before", low.alias("_low"), high.alias("_high"))
+    same = F.col("_b") == F.col("_mb")
+    for i, c in enumerate(t):
+        same = same & c.eqNullSafe(F.col(f"_k{i}"))
+    prices = named.where(p.isNotNull()).join(middle, same).groupBy(*keys, "_b", "_p").agg(F.count("*").alias("_n"), F.first("_before").alias("_before"), F.first("_low").alias("_low"), F.first("_high").alias("_high"))
+    inside = Window.partitionBy(*keys, "_b").orderBy("_p")
+    prices = prices.withColumn("_to", F.col("_before") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_from", F.col("_to") - F.col("_n"))
+    at = lambda rank: F.max(F.when((F.col("_from") < F.col(rank)) & (F.col("_to") >= F.col(rank)), p))
+    medians = prices.groupBy(*keys).agg(((at("_low") + at("_high")) / 2).alias("median")).select(*[c.alias(f"_k{i}") for i, c in enumerate(t)], "median")
+    same = F.lit(True)
+    for i, c in enumerate(t):
+        same = same & c.eqNullSafe(F.col(f"_k{i}"))
+    return totals.join(medians, same, "left").select(*keys, "n", "mean", "median", "geomean")
+
+
 def elementary_stats(rows: DataFrame, keys: list[str], price: str = "price_gbp") -> DataFrame:
     """Count, mean, exact median and geometric mean of each cell's prices."""
-    p = F.col(price)
-    return rows.groupBy(*keys).agg(F.count(p).alias("n"), F.avg(p).alias("mean"), F.median(p).alias("median"), geometric_mean(p).alias("geomean"))
+    return cell_stats(rows, keys, price)
+
+
+METHODS = "stack(3, 'mean', mean, 'median', median, 'geomean', geomean) as (method, value)"
 
 
 def reconstruct_fares(rows: DataFrame) -> DataFrame:
-    """attribution x month x haul x window x selection rule x method, from one aggregation.
+    """attribution x month x haul x window x selection rule x method.
 
     n_routes counts the cell's routes whether or not they have the chosen price; n_observations counts prices.
     """
@@ -30,11 +67,10 @@ def reconstruct_fares(rows: DataFrame) -> DataFrame:
         "haul_category", "months_ahead", "route",
         "stack(4, 'departure', index_month_departure, 'nearest', price_gbp, 'departure', index_month_departure, 'cheapest', price_cheapest_gbp, 'collection', index_month_collection, 'nearest', price_gbp, 'collection', index_month_collection, 'cheapest', price_cheapest_gbp) as (attribution, index_month, selection_rule, price)",
     )
-    p = F.col("price")
-    cells = long.groupBy("attribution", "index_month", "haul_category", "months_ahead", "selection_rule").agg(
-        F.countDistinct("route").alias("n_routes"), F.count(p).alias("n_observations"), F.avg(p).alias("mean"), F.median(p).alias("median"), geometric_mean(p).alias("geomean")
-    )
-    return cells.selectExpr("attribution", "index_month", "haul_category", "months_ahead", "selection_rule", "n_routes", "n_observations", "stack(3, 'mean', mean, 'median', median, 'geomean', geomean) as (method, value)").where("value is not null")
+    cell = ["attribution", "index_month", "haul_category", "months_ahead", "selection_rule"]
+    routes = long.select(*cell, "route").distinct().groupBy(*cell).agg(F.count("route").alias("n_routes"))
+    cells = cell_stats(long, cell, "price").withColumnRenamed("n", "n_observations").join(routes, cell)
+    return cells.selectExpr(*cell, "n_routes", "n_observations", METHODS).where("value is not null")
 
 
 def expected_routes(recon: DataFrame, routes: DataFrame) -> DataFrame:
@@ -42,24 +78,30 @@ def expected_routes(recon: DataFrame, routes: DataFrame) -> DataFrame:
     return recon.join(F.broadcast(routes.groupBy("haul_category").agg(F.countDistinct("route").alias("n_routes_expected"))), "haul_category", "left")
 
 
+def stay_scopes(rows: DataFrame) -> DataFrame:
+    """Each row in each of its cells: two attributions, its samples, its own tier and all, its own night and both."""
+    samples = F.when(F.col("is_panel_property"), F.array(F.lit("pinned"), F.lit("matched_census"))).otherwise(F.array(F.lit("matched_census")))
+    long = rows.withColumn("sample_rule", F.explode(samples)).selectExpr("*", "stack(2, 'stay', index_month_stay, 'collection', index_month_collection) as (attribution, index_month)")
+    long = long.withColumn("property_tier", F.explode(F.array(F.coalesce("property_tier", F.lit("unknown")), F.lit("all")))).withColumn("stay_night_kind", F.explode(F.array(F.col("stay_night_kind"), F.lit("both"))))
+    return long.select(*STAY_CELL, "property_token", "price_gbp")
+
+
+STAY_CELL = ["attribution", "index_month", "collection_alignment", "sample_rule", "location", "property_tier", "stay_night_kind"]
+
+
+def properties_seen(rows: DataFrame) -> DataFrame:
+    """Distinct properties of each cell."""
+    return stay_scopes(rows).select(*STAY_CELL, "property_token").distinct().groupBy(*STAY_CELL).agg(F.count("property_token").alias("n_properties"))
+
+
 def reconstruct_stays(rows: DataFrame) -> DataFrame:
-    """attribution x alignment x sample x scopes (tier or all, night or both) x method, by grouping sets.
+    """attribution x alignment x sample x scopes (tier or all, night or both) x method.
 
-    Pinned rows are counted in both samples; the census is all rows, unmatched.
+    Pinned rows are counted in both samples; the census is all rows, unmatched. Tier and night are never null in a cell.
     """
-    samples = F.when(F.col("is_panel_property"), F.array(F.lit("pinned"), F.lit("matched_census"))).otherwise(F.array(F.lit("matched_census")))
-    long = rows.withColumn("sample_rule", F.explode(samples)).selectExpr("*", "stack(2, 'stay', index_month_stay, 'collection', index_month_collection) as (attribution, index_month)")
-    long = long.select("attribution", "index_month", "collection_alignment", "sample_rule", "location", F.coalesce("property_tier", F.lit("unknown")).alias("property_tier"), "stay_night_kind", "property_token", "price_gbp")
-    fixed = ["attribution", "index_month", "collection_alignment", "sample_rule", "location"]
-    sets = [[*fixed, "property_tier", "stay_night_kind"], [*fixed, "property_tier"], [*fixed, "stay_night_kind"], fixed]
-    p = F.col("price_gbp")
-    cells = long.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in sets[0]]).agg(
-        F.grouping("property_tier").alias("_gt"), F.grouping("stay_night_kind").alias("_gn"), F.count(p).alias("n_observations"), F.countDistinct("property_token").alias("n_properties"),
-        F.avg(p).alias("mean"), F.median(p).alias("median"), geometric_mean(p).alias("geomean"),
-    )
-    tier, night = F.when(F.col("_gt") == 1, "all").otherwise(F.col("property_tier")), F.when(F.col("_gn") == 1, "both").otherwise(F.col("stay_night_kind"))
-    cells = cells.select(*fixed, tier.alias("property_tier"), night.alias("stay_night_kind"), "n_observations", "n_properties", "mean", "median", "geomean")
-    return cells.selectExpr(*fixed, "property_tier", "stay_night_kind", "n_observations", "n_properties", "stack(3, 'mean', mean, 'median', median, 'geomean', geomean) as (method, value)").where("value is not null")
+    cells = cell_stats(stay_scopes(rows), STAY_CELL, "price_gbp").withColumnRenamed("n", "n_observations")
+    known = cells.join(properties_seen(rows), STAY_CELL)
+    return known.selectExpr(*STAY_CELL, "n_observations", "n_properties", METHODS).where("value is not null")
 
 
 def expected_churned(cells: DataFrame, panel: DataFrame) -> DataFrame:
@@ -72,18 +114,46 @@ def expected_churned(cells: DataFrame, panel: DataFrame) -> DataFrame:
 
 
 def provenance_flags(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact if no offset, cached if any row is, board known if all rows' is, and the dates used."""
+    """Exact if no offset, cached if any row is, board known if all rows' is, placeholder weights if any row's are, and the dates used."""
+    weights = [F.bool_or("weights_are_placeholder").alias("weights_are_placeholder")] if "weights_are_placeholder" in rows.columns else []
     return rows.groupBy(*keys).agg(
-        F.bool_and(F.col("offset_days") == 0).alias("index_day_exact"), F.bool_or("is_cached_source").alias("source_is_cached"), F.bool_and("board_known").alias("board_basis_known"),
+        F.bool_and(F.col("offset_days") == 0).alias("index_day_exact"), F.bool_or("is_cached_source").alias("source_is_cached"), F.bool_and("board_known").alias("board_basis_known"), *weights,
         F.concat_ws(",", F.array_sort(F.collect_set(F.col("scrape_date").cast("string")))).alias("scrape_dates_used"),
     )
 
 
-def weighted_aggregate(cells: DataFrame, weights: DataFrame, variant: list[str], part: str) -> DataFrame:
-    """The 'all' row of each variant: weighted mean of 4-place values, only where every weighted part is there."""
-    w = weights.select(F.col(part), "weight")
-    joined = cells.where(F.col("value").isNotNull()).join(F.broadcast(w), part)
-    n = weights.select(F.count_distinct(part).alias("_parts"))
-    v = F.round("value", 4)
-    out = joined.groupBy(*variant).agg(F.count_distinct(part).alias("_n"), (F.sum(v * F.col("weight")) / F.sum("weight")).alias("value"), F.sum("n_observations").alias("n_observations"))
-    return out.crossJoin(F.broadcast(n)).where("_n = _parts").drop("_n", "_parts").withColumn(part, F.lit("all"))
+def weighted_aggregate(cells: DataFrame, weights: DataFrame, variant: list[str], part: str, *, on: tuple[str, ...] = (), parts: tuple[str, ...] | None = None, counts: tuple[str, ...] = ("n_observations",), any_of: tuple[str, ...] = (), all_of: tuple[str, ...] = (), carried: tuple[str, ...] = (), carry_from: str | None = None) -> DataFrame:
+    """The 'all' row of each variant: weighted mean of 4-place values, weights made to sum to one over the parts at hand.
+
+    Weights are by ``part`` and the columns ``on`` (of ``variant``, such as the window or the year). A row comes only where
+    every part is there: all weighted ones, or just the ``parts`` named, each with a weight. ``counts`` are summed, flags are
+    true for any or all parts, and ``carried`` columns are those of ``carry_from``, else of the lexically last part.
+    """
+    own = cells.where(F.col("value").isNotNull() & (F.col(part) != "all"))
+    if parts is not None:
+        own = own.where(F.col(part).isin(*parts))
+    joined = own.join(F.broadcast(weights.select(part, *on, F.col("weight").alias("_w"))), [part, *on], "left")
+    w, v = F.col("_w"), F.round("value", 4)
+    order = F.when(F.col(part) == carry_from, F.col(part)) if carry_from else F.col(part)
+    out = joined.groupBy(*variant).agg(
+        F.count_distinct(F.when(w.isNotNull(), F.col(part))).alias("_n"), (F.sum(v * w) / F.sum(w)).alias("value"), *[F.sum(c).alias(c) for c in counts],
+        *[F.bool_or(c).alias(c) for c in any_of], *[F.bool_and(c).alias(c) for c in all_of], *[F.max_by(c, order).alias(c) for c in carried],
+    )
+    if parts is not None:
+        whole = out.where(F.col("_n") == len(set(parts)))
+    elif on:
+        whole = out.join(F.broadcast(weights.groupBy(*on).agg(F.count_distinct(part).alias("_parts"))), list(on)).where("_n = _parts").drop("_parts")
+    else:
+        whole = out.crossJoin(F.broadcast(weights.agg(F.count_distinct(part).alias("_parts")))).where("_n = _parts").drop("_parts")
+    return whole.where("value is not null").drop("_n").withColumn(part, F.lit("all"))
+
+
+def export_recon(recon: DataFrame, keys: list[str], places: int = 4) -> DataFrame:
+    """Keys, counts and rounded values of a reconstruction, as exported."""
+    return recon.select(*keys, "method", "n_observations", F.round("value", places).alias("value")).where("value is not null")
+
+
+def headline_recon(rows: DataFrame, keys: list[str], top: int = 24) -> DataFrame:
+    """The newest months of the headline cell: mean price of the pinned sample on index-week nights."""
+    own = rows.where("is_panel_property and stay_night_kind = 'index_week'").groupBy(F.col("index_month_collection").alias("index_month"), *keys)
+    return own.agg(F.avg("price_gbp").alias("value")).orderBy(F.desc("index_month"), *keys).limit(top)

@@ -122,9 +122,17 @@ def thin_cells(grid: DataFrame, panel: DataFrame, cell: list[str], least: int =
     return grid.join(counts, cell, "left").fillna(0, ["n_pinned"]).where(F.col("n_pinned") < least)
 
 
-def top_up_sample(panel: DataFrame, retired: DataFrame, candidates: DataFrame, cell: list[str], per_cell: int = 5) -> DataFrame:
-    """Pinned items less the retired, filled up to ``per_cell`` from the first candidates by token that are neither."""
-    kept = panel.select(*cell, "property_token").distinct().join(retired, [*cell, "property_token"], "left_anti").withColumn("selection_basis", F.lit("pinned"))
+def top_up_sample(panel: DataFrame, retired: DataFrame, candidates: DataFrame, cell: list[str], per_cell: int = 5, failed: DataFrame | None = None) -> DataFrame:
+    """Pinned items less the retired, filled up to ``per_cell`` from the first candidates by token that are neither.
+
+    Locations of ``failed`` calls keep all their old entries, the retired too, and get no new ones.
+    """
+    old = panel.select(*cell, "property_token").distinct()
+    if failed is not None:
+        left_out = failed.select("location").distinct()
+        untouched = old.join(left_out, "location", "left_semi").select(*cell, "property_token", F.lit("pinned").alias("selection_basis"))
+        old, retired, candidates = (x.join(left_out, "location", "left_anti") for x in (old, retired, candidates))
+    kept = old.join(retired, [*cell, "property_token"], "left_anti").withColumn("selection_basis", F.lit("pinned"))
     have = kept.groupBy(*cell).agg(F.count("*").alias("_have"))
     gone = retired.groupBy(*cell).agg(F.concat_ws(",", F.array_sort(F.collect_set("property_token"))).alias("_gone"))
     first = pick_sample(candidates, cell, 3 * per_cell)
@@ -132,18 +140,56 @@ def top_up_sample(panel: DataFrame, retired: DataFrame, candidates: DataFrame, c
     w = Window.partitionBy(*cell).orderBy("property_token")
     fresh = fresh.withColumn("_k", F.row_number().over(w)).join(have, cell, "left").join(gone, cell, "left").where(F.col("_k") <= per_cell - F.coalesce("_have", F.lit(0)))
     basis = F.coalesce(F.concat(F.lit("substitute_for:"), F.col("_gone")), F.lit("discovered"))
-    return kept.unionByName(fresh.select(*cell, "property_token", basis.alias("selection_basis")))
+    out = kept.select(*cell, "property_token", "selection_basis").unionByName(fresh.select(*cell, "property_token", basis.alias("selection_basis")))
+    return out if failed is None else out.unionByName(untouched)
+
+
+def reselect_from_payload(stored: DataFrame, key: str = "query_id", quotes: str = "quotes", **settings) -> DataFrame:
+    """Selection anew from quotes that are stored as one array per query."""
+    return select_fare(stored.select(key, F.inline(quotes)), key, **settings)
+
 
+def with_failures(rows: DataFrame, failed: DataFrame | None, key: str) -> DataFrame:
+    """Adds _failed, the text of a failed call (columns key and message of ``failed``), cut to 1000 characters; null otherwise."""
+    if failed is None:
+        return rows.withColumn("_failed", F.lit(None).cast("string"))
+    said = failed.groupBy(key).agg(F.substring(F.coalesce(F.min("message"), F.lit("unknown error")), 1, 1000).alias("_failed"))
+    return rows.join(said, key, "left")
 
-def build_fare_rows(legs: DataFrame, picked: DataFrame, key: str = "query_id") -> DataFrame:
-    """One row per leg; legs without a pick stay as no_data."""
-    return legs.join(picked, key, "left").withColumn("status", F.when(F.col("price").isNotNull(), "ok").otherwise("no_data"))
 
+def build_fare_rows(legs: DataFrame, picked: DataFrame, key: str = "query_id", failed: DataFrame | None = None) -> DataFrame:
+    """One row per leg with all its own columns, such as calendar and provenance; legs without a pick stay as no_data, failed calls as error.
 
-def build_stay_rows(queries: DataFrame, quotes: DataFrame, key: str = "query_id", basis: str = "refundable") -> DataFrame:
-    """One row per property that survives; a query of which none does is one no_data row that says how many were returned."""
-    returned = quotes.groupBy(key).agg(F.count("*").alias("_n"))
-    rows = queries.join(comparable_stays(quotes, key, basis).select(key, "property_token", "tier", "price"), key, "left").join(returned, key, "left")
-    none = F.col("price").isNull()
-    message = F.when(none, F.concat(F.coalesce("_n", F.lit(0)).cast("string"), F.lit(f" properties returned, none comparable (rate_basis={basis})")))
-    return rows.withColumns({"status": F.when(none, "no_data").otherwise("ok"), "message": message}).drop("_n")
+    A failed call has no price whatever ``picked`` says; counts are 0 where there was nothing to select from.
+    """
+    chosen = [c for c in picked.columns if c != key]
+    rows = with_failures(legs.join(picked, key, "left"), failed, key)
+    ok = F.col("_failed").isNull()
+    rows = rows.withColumns({c: F.when(ok, F.coalesce(c, F.lit(0))) if c.startswith("n_") else F.when(ok, F.col(c)) for c in chosen})
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in chosen if c.startswith("n_")})
+    status = F.when(~ok, "error").when(F.col("price").isNotNull(), "ok").otherwise("no_data")
+    return rows.withColumns({"status": status, "error_message": F.col("_failed")}).drop("_failed")
+
+
+def build_stay_rows(queries: DataFrame, quotes: DataFrame, key: str = "query_id", basis: str = "refundable", failed: DataFrame | None = None, payloads: DataFrame | None = None, pinned: DataFrame | None = None) -> DataFrame:
+    """One row per property that survives, with all columns of its query; failed calls are one error row.
+
+    A query of which no property survives is one no_data row that says how many were returned. The payload (columns key
+    and raw_response of ``payloads``) is on the first row of a query only; ``pinned`` tells is_panel_property.
+    """
+    returned = quotes.groupBy(key).agg(F.count("*").alias("n_quotes"))
+    kept = comparable_stays(quotes, key, basis)
+    cheapest = F.min("price").over(Window.partitionBy(key, "tier"))
+    kept = kept.select(key, "property_token", "tier", "pos", "price", cheapest.alias("price_cheapest"))
+    rows = with_failures(queries.join(kept, key, "left").join(returned, key, "left").fillna(0, ["n_quotes"]), failed, key)
+    first = F.row_number().over(Window.partitionBy(key).orderBy("tier", "pos", "property_token")) == 1
+    rows = rows.withColumn("_first", first).where(F.col("_failed").isNull() | F.col("_first"))
+    ok, none = F.col("_failed").isNull(), F.col("price").isNull()
+    rows = rows.withColumns({c: F.when(ok, F.col(c)) for c in ("property_token", "tier", "pos", "price", "price_cheapest", "n_quotes")})
+    nothing = F.when(F.col("n_quotes") > 0, F.concat(F.col("n_quotes").cast("string"), F.lit(f" properties returned, none comparable (rate_basis={basis})")))
+    rows = rows.withColumns({"status": F.when(~ok, "error").when(none, "no_data").otherwise("ok"), "error_message": F.coalesce("_failed", F.when(none, nothing))}).fillna(0, ["n_quotes"])
+    if payloads is not None:
+        rows = rows.join(payloads.select(key, F.col("raw_response").alias("_raw")), key, "left").withColumn("raw_response", F.when(F.col("_first") & ok, F.col("_raw"))).drop("_raw")
+    if pinned is not None:
+        rows = flag_panel_items(rows, pinned)
+    return rows.drop("_first", "_failed", "pos")

@@ -59,23 +59,45 @@ def latest_per_key(rows: DataFrame, keys: list[str], ts: str, value: str) -> Dat
     return best.select(*keys, "_r.*")
 
 
-def weights_as_of(weights: DataFrame, targets: DataFrame, year: str = "year") -> DataFrame:
-    """Weights of the latest year not after each target year, else of the earliest one."""
+def weights_as_of(weights: DataFrame, targets: DataFrame, year: str = "year", allow_placeholder: bool = False) -> DataFrame:
+    """Weights of the latest year not after each target year, else of the earliest one.
+
+    Where ``weights`` has is_placeholder, a year of which any row is one is a placeholder year: its flag travels as
+    weights_are_placeholder, and reading its weights fails unless ``allow_placeholder``.
+    """
     years = weights.select(F.col(year).alias("_y")).distinct()
     pick = targets.crossJoin(F.broadcast(years)).groupBy(*targets.columns).agg(F.coalesce(F.max(F.when(F.col("_y") <= F.col("target_year"), F.col("_y"))), F.min("_y")).alias(year))
-    return pick.join(weights, year)
+    if "is_placeholder" not in weights.columns:
+        return pick.join(weights, year)
+    flags = weights.groupBy(year).agg(F.bool_or(F.coalesce("is_placeholder", F.lit(False))).alias("weights_are_placeholder"))
+    out = pick.join(weights.drop("is_placeholder"), year).join(F.broadcast(flags), year)
+    if allow_placeholder:
+        return out
+    refused = F.raise_error(F.concat(F.lit("weights for "), F.col("target_year").cast("string"), F.lit(" are placeholders; allow_placeholder takes them")))
+    return out.withColumn("weight", F.when(F.col("weights_are_placeholder"), refused.cast("double")).otherwise(F.col("weight")))
 
 
 def normalise_weights(weights: DataFrame, by: str = "year", weight: str = "weight") -> DataFrame:
-    """Share of each weight in its year; a year that sums to nothing gives no rows."""
+    """Share of each weight in its year; reading a year that sums to nothing fails."""
     total = F.sum(weight).over(Window.partitionBy(by))
-    return weights.withColumn("_t", total).where("_t > 0").withColumn("share", F.col(weight) / F.col("_t")).drop("_t")
+    refused = F.raise_error(F.concat(F.lit(f"weights of {by} "), F.col(by).cast("string"), F.lit(" sum to nothing"))).cast("double")
+    return weights.withColumn("_t", total).withColumn("share", F.when(F.coalesce(F.col("_t") > 0, F.lit(False)), F.col(weight) / F.col("_t")).otherwise(refused)).drop("_t")
+
+
+def group_total(weights: DataFrame, keys: list[str], weight: str = "weight") -> DataFrame:
+    """Total weight of each group, as of a haul over its windows."""
+    return weights.groupBy(*keys).agg(F.sum(weight).alias("total"))
 
 
 def missing_days(expected: DataFrame, held: DataFrame, day: str = "scrape_date") -> DataFrame:
     return expected.join(held.select(day).distinct(), day, "left_anti")
 
 
+def add_months_clamped(day: Column, months: Column | int) -> Column:
+    """The same day some months on, the last of the month where it has no such day."""
+    return F.add_months(day, months)
+
+
 def months_between_first(a: Column, b: Column) -> Column:
     """Whole months from b to a, both first days of months."""
     return (F.year(a) - F.year(b)) * 12 + F.month(a) - F.month(b)
@@ -91,3 +113,19 @@ def property_churn(panel: DataFrame, keys: list[str], item: str = "property_toke
     absent = months_between_first(F.col("_latest"), F.col("last_month"))
     span = months_between_first(F.col("last_month"), F.col("first_month")) + 1
     return out.select(*keys, item, "first_month", "last_month", "months_seen", "n_rows", absent.alias("months_absent"), F.when(absent == 0, "present").otherwise("left").alias("churn_status"), F.try_divide("months_seen", span).alias("presence_rate"))
+
+
+def churn_summary(churn: DataFrame) -> DataFrame:
+    """How many items are present or left, and their mean presence."""
+    return churn.groupBy("churn_status").agg(F.count("*").alias("n_items"), F.avg("presence_rate").alias("mean_presence"))
+
+
+def churned_tokens(churn: DataFrame) -> DataFrame:
+    """The items that left."""
+    return churn.where("churn_status = 'left'")
+
+
+def churned_panel(churn: DataFrame, pinned: DataFrame, keys: list[str], item: str = "property_token", top: int = 10) -> DataFrame:
+    """Of the pinned items that left the ones absent longest."""
+    gone = churned_tokens(churn).join(pinned.select("location", item).distinct(), ["location", item], "left_semi")
+    return gone.orderBy(F.desc("months_absent"), *keys, item).limit(top)

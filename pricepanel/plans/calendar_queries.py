@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricepanel.functions import calendar as cal
+from pricepanel.operators.vintages import add_months_clamped as add_months
 
 Q: dict = {}
 O: dict[str, str] = {}
@@ -53,7 +54,7 @@ def index_day_ordinal(days):
 
 @query("select day, cast(day + interval 1 month as date) as next, cast(day - interval 3 month as date) as before from days")
 def add_months_clamped(days):
-    return days.select("day", F.add_months("day", 1).alias("next"), F.add_months("day", -3).alias("before"))
+    return days.select("day", add_months(F.col("day"), 1).alias("next"), add_months(F.col("day"), -3).alias("before"))
 
 
 @query(f"select day, cast({ORDINAL} as int) as ordinal from days")
@@ -92,12 +93,14 @@ O["expand_legs"] = f"with {DAYS}, {ROUTES}, {LEGS} select route, haul_category,
 
 
 def _expected_calls(spark, sf_dir):
-    legs = cal.expand_legs(spark.range(1).select(F.lit("1998-06-09").cast("date").alias("day")), routes_of(spark, sf_dir))
-    return legs.groupBy("haul_category").agg(F.count("*").alias("n_calls"))
+    """Of each day: its legs, and its stay nights at every location."""
+    days = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("day")).distinct()
+    fares = cal.expected_calls(cal.expand_legs(days, routes_of(spark, sf_dir)), ["day", "haul_category"]).withColumnRenamed("haul_category", "part")
+    places = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_name").alias("location"))
+    return fares.unionByName(cal.expected_stay_calls(cal.stays_due(days), places).withColumn("part", F.lit("stays")))
 
 
 Q["expected_calls"] = _expected_calls
-O["expected_calls"] = f"with {ROUTES} select haul_category, count(*) * case haul_category when 'domestic' then 1 when 'european' then 2 else 3 end as n_calls from routes group by 1"
 
 
 def _target_time(spark, sf_dir):
@@ -140,3 +143,7 @@ def in_month_window(days):
 @query(f"select day, {FIRST} as index_month_collection, cast(date_trunc('month', day + 42) as date) as index_month_stay from days")
 def attribution_months(days):
     return days.select("day", cal.attribution_months(F.col("day")).alias("index_month_collection"), cal.attribution_months(F.date_add("day", 42)).alias("index_month_stay"))
+
+
+_DUE = O["stays_due"].split(" select day, index_day, stay_night_kind", 1)
+O["expected_calls"] = f"{_DUE[0]}, {ROUTES}, due as (select day, index_day, stay_night_kind{_DUE[1]}) select day, haul_category as part, n * case haul_category when 'domestic' then 1 when 'european' then 2 else 3 end as n_calls from days, (select haul_category, count(*) n from routes group by 1) r union all select day, 'stays', count(*) * (select count(distinct n_name) from nation) from due group by 1"

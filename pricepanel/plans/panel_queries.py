@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricepanel.operators import index_numbers as ix
+from pricepanel.operators import monitoring as mo
 from pricepanel.operators import reconcile as rc
 from pricepanel.operators import vintages as vt
 from pricepanel.plans.standins import standin, with_standins
@@ -99,14 +100,20 @@ def latest_recon(stays):
     return rounded(vt.latest_per_key(r, ["index_month", "location", "property_tier"], "computed_ts", "reconstructed_value"), "reconstructed_value")
 
 
-@query("weights", "published", sql="with t as (select distinct year(index_month) target_year from published), p as (select target_year, coalesce(max(case when w.year <= target_year then w.year end), min(w.year)) y from t, (select distinct year from weights) w group by 1) select cast(target_year as int) target_year, p.y as year, region, weight from p join weights w on w.year = p.y")
+#: Boundaries in the years of the stand-in panels, so that some months are in each regime.
+STAND_IN_ERAS = (("1900-01-01", "a"), ("1994-01-01", "b"), ("1997-01-01", "c"))
+
+
+@query("weights", "published", sql="with t as (select distinct year(index_month) target_year from published), p as (select target_year, coalesce(max(case when w.year <= target_year then w.year end), min(w.year)) y from t, (select distinct year from weights) w group by 1) select cast(target_year as int) target_year, p.y as year, region, weight, p.y = 1999 weights_are_placeholder from p join weights w on w.year = p.y")
 def weights_as_of(weights, published):
-    return vt.weights_as_of(weights, published.select(F.year("index_month").alias("target_year")).distinct()).select("target_year", "year", "region", "weight")
+    marked = weights.withColumn("is_placeholder", (F.col("year") == 1999) & (F.col("region") == "ASIA"))
+    return vt.weights_as_of(marked, published.select(F.year("index_month").alias("target_year")).distinct(), allow_placeholder=True).select("target_year", "year", "region", "weight", "weights_are_placeholder")
 
 
-@query("weights", sql="select year, region, round(weight / sum(weight) over (partition by year), 6) share from weights")
+@query("weights", sql="select year, region, round(weight / sum(weight) over (partition by year), 6) share, sum(weight) over (partition by region) as total from weights")
 def normalise_weights(weights):
-    return rounded(vt.normalise_weights(weights).select("year", "region", "share"), "share", places=6)
+    totals = vt.group_total(weights, ["region"])
+    return rounded(vt.normalise_weights(weights).join(totals, "region").select("year", "region", "share", "total"), "share", places=6)
 
 
 @query("stay_obs", sql="with b as (select min(scrape_date) a, max(scrape_date) z from stay_obs), d as (select cast(unnest(generate_series(a, z, interval 1 day)) as date) scrape_date from b) select scrape_date from d anti join stay_obs s on d.scrape_date = s.scrape_date")
@@ -129,18 +136,17 @@ def property_churn(stays):
 
 @query("stay_obs", sql=CHURN + " select churn_status, count(*) n_items, round(avg(pr), 4) mean_presence from c group by 1")
 def churn_summary(stays):
-    return churn(stays).groupBy("churn_status").agg(F.count("*").alias("n_items"), F.round(F.avg("presence_rate"), 4).alias("mean_presence"))
+    return rounded(vt.churn_summary(churn(stays)), "mean_presence")
 
 
 @query("stay_obs", sql=CHURN + " select location, property_tier, property_token, months_absent from c where churn_status = 'left'")
 def churned_tokens(stays):
-    return churn(stays).where("churn_status = 'left'").select("location", "property_tier", "property_token", "months_absent")
+    return vt.churned_tokens(churn(stays)).select("location", "property_tier", "property_token", "months_absent")
 
 
 @query("stay_obs", sql=CHURN + " select c.location, c.property_tier, c.property_token, months_absent from c join (select distinct location, property_token from stay_obs where is_panel_property) s on c.location = s.location and c.property_token = s.property_token where churn_status = 'left' order by months_absent desc, c.location, c.property_tier nulls first, c.property_token limit 10")
 def churned_panel(stays):
-    pinned = stays.where("is_panel_property").select("location", "property_token").distinct()
-    return churn(stays).where("churn_status = 'left'").join(pinned, ["location", "property_token"]).select("location", "property_tier", "property_token", "months_absent").orderBy(F.desc("months_absent"), "location", "property_tier", "property_token").limit(10)
+    return vt.churned_panel(churn(stays), stays.where("is_panel_property"), ["location", "property_tier"]).select("location", "property_tier", "property_token", "months_absent")
 
 
 @query("stay_obs", sql=CHURN + " select location, property_tier, property_token, churn_status, round(pr, 3) presence_rate from c")
@@ -157,9 +163,10 @@ def elementary_stats(fares):
     return rounded(rc.elementary_stats(vt.current_vintage(fares).where("status = 'ok'"), ["haul_category", "months_ahead"]), "mean", "median", "geomean")
 
 
-@query("fare_obs", sql="select query_id, cast(round(price_gbp * 3, 4) as double) v from fare_obs where price_gbp is not null and abs(price_gbp * 30000 - floor(price_gbp * 30000) - 0.5) > 0.001")
+@query("fare_obs", sql="select query_id, cast(round(cast(price_gbp as decimal(18,6)) * 3, 4) as double) v, cast(round(cast(query_id as decimal(18,5)) + 0.00005, 4) as double) tie from fare_obs")
 def quantise4(fares):
-    return fares.where("price_gbp is not null and abs(price_gbp * 30000 - floor(price_gbp * 30000) - 0.5) > 0.001").select("query_id", rc.quantised(F.col("price_gbp") * 3).cast("double").alias("v"))
+    exact, tie = F.col("price_gbp").cast("decimal(18,6)") * 3, F.col("query_id").cast("decimal(18,5)") + F.lit("0.00005").cast("decimal(6,5)")
+    return fares.select("query_id", rc.quantised(exact).cast("double").alias("v"), rc.quantised(tie).cast("double").alias("tie"))
 
 
 FARE_CELLS = CURRENT + f", fr as ({MONTHLY_ROWS}), long as (select 'departure' attribution, index_month_departure index_month, 'nearest' selection_rule, price_gbp price, haul_category, months_ahead, route from fr union all select 'departure', index_month_departure, 'cheapest', price_cheapest_gbp, haul_category, months_ahead, route from fr union all select 'collection', index_month_collection, 'nearest', price_gbp, haul_category, months_ahead, route from fr union all select 'collection', index_month_collection, 'cheapest', price_cheapest_gbp, haul_category, months_ahead, route from fr), cell as (select attribution, index_month, haul_category, months_ahead, selection_rule, count(distinct route) n_routes, count(price) n_observations, avg(price) mean, median(price) median, {GEO.format('price')} geomean from long where months_ahead > 0 group by 1, 2, 3, 4, 5), recon as (select attribution, index_month, haul_category, months_ahead, selection_rule, n_routes, n_observations, method, value from cell unpivot (value for method in (mean, median, geomean)))"
@@ -187,35 +194,43 @@ def reconstruct_stays(stays):
 @query("stay_obs", sql=STAY_CELLS + ", pp as (select distinct location, property_tier, property_token from stay_obs where is_panel_property and property_tier is not null), ex as (select location, property_tier, count(distinct property_token) n from pp group by 1, 2 union all select location, 'all', count(distinct property_token) from pp group by 1) select r.attribution, r.index_month, r.collection_alignment, r.location, r.property_tier, r.stay_night_kind, coalesce(n, n_properties) n_properties_expected, greatest(coalesce(n, n_properties) - n_properties, 0) n_properties_churned from recon r left join ex on r.location = ex.location and r.property_tier = ex.property_tier where method = 'mean' and sample_rule = 'pinned'")
 def expected_churned(stays):
     pinned = stays.where("is_panel_property and property_tier is not null").select("location", "property_tier", "property_token").distinct()
-    cells = rc.reconstruct_stays(stays).where("method = 'mean' and sample_rule = 'pinned'")
+    cells = rc.properties_seen(stays.where("is_panel_property")).where("sample_rule = 'pinned'")
     return rc.expected_churned(cells, pinned).select("attribution", "index_month", "collection_alignment", "location", "property_tier", "stay_night_kind", "n_properties_expected", "n_properties_churned")
 
 
-@query("fare_obs", sql="select haul_category, months_ahead, bool_and(day(scrape_date) % 2 = 0) index_day_exact, bool_or(query_id % 97 = 0) source_is_cached, bool_and(query_id % 5 > 0) board_basis_known, string_agg(distinct cast(scrape_date as varchar), ',' order by cast(scrape_date as varchar)) scrape_dates_used from fare_obs group by 1, 2")
+@query("fare_obs", sql="select haul_category, months_ahead, bool_and(day(scrape_date) % 2 = 0) index_day_exact, bool_or(query_id % 97 = 0) source_is_cached, bool_and(query_id % 5 > 0) board_basis_known, bool_or(year(scrape_date) < 1900 or query_id % 1000 = 0) weights_are_placeholder, string_agg(distinct cast(scrape_date as varchar), ',' order by cast(scrape_date as varchar)) scrape_dates_used from fare_obs group by 1, 2")
 def provenance_flags(fares):
-    rows = fares.withColumns({"offset_days": F.day("scrape_date") % 2, "is_cached_source": F.col("query_id") % 97 == 0, "board_known": F.col("query_id") % 5 > 0})
+    rows = fares.withColumns({"weights_are_placeholder": F.col("query_id") % 1000 == 0, "offset_days": F.day("scrape_date") % 2, "is_cached_source": F.col("query_id") % 97 == 0, "board_known": F.col("query_id") % 5 > 0})
     return rc.provenance_flags(rows, ["haul_category", "months_ahead"])
 
 
-@query("stay_obs", "weights", sql="with c as (select index_month_collection index_month, stay_night_kind, location, avg(price_gbp) v, count(*) n from stay_obs group by 1, 2, 3), w as (select region, weight from weights where year = 1996) select index_month, stay_night_kind, 'all' as location, round(sum(round(v, 4) * weight) / sum(weight), 4) as value, cast(sum(n) as bigint) n_observations from c join w on location = region group by 1, 2 having count(distinct location) = (select count(*) from w)")
+WEIGHTED = "with c as (select index_month_collection index_month, year(index_month_collection) yr, stay_night_kind, location, avg(price_gbp) v, count(*) n, bool_or(is_panel_property) pin, count(distinct property_token) np from stay_obs group by 1, 2, 3, 4), w as (select case year when 1996 then 1995 else 1996 end yr, region, weight from weights)"
+
+
+@query("stay_obs", "weights", sql=WEIGHTED + ", a as (select index_month, c.yr, stay_night_kind, sum(round(v, 4) * weight) / sum(weight) v, cast(sum(n) as bigint) n_observations, bool_or(pin) pinned, bool_and(np > 20) broad, arg_max(np, location) n_last, count(distinct location) k from c join w on location = region and c.yr = w.yr group by 1, 2, 3), p as (select index_month, c.yr, stay_night_kind, sum(round(v, 4) * weight) / sum(weight) v, cast(sum(n) as bigint) n_observations, bool_or(pin) pinned, bool_and(np > 20) broad, max(case when location = 'ASIA' then np end) n_last, count(distinct location) k from c join w on location = region and c.yr = w.yr where location in ('ASIA', 'EUROPE') group by 1, 2, 3) select 'all' as location, index_month, cast(yr as int) yr, stay_night_kind, round(v, 6) as value, n_observations, pinned, broad, n_last, 'every' rule from a where k = (select count(distinct region) from w) union all select 'all', index_month, cast(yr as int), stay_night_kind, round(v, 6), n_observations, pinned, broad, n_last, 'named' from p where k = 2")
 def weighted_aggregate(stays, weights):
-    cells = stays.groupBy(F.col("index_month_collection").alias("index_month"), "stay_night_kind", "location").agg(F.avg("price_gbp").alias("value"), F.count("*").alias("n_observations"))
-    w = weights.where("year = 1996").withColumnRenamed("region", "location")
-    return rounded(rc.weighted_aggregate(cells, w, ["index_month", "stay_night_kind"], "location"), "value")
+    cells = stays.groupBy(F.col("index_month_collection").alias("index_month"), F.year("index_month_collection").alias("yr"), "stay_night_kind", "location").agg(F.avg("price_gbp").alias("value"), F.count("*").alias("n_observations"), F.bool_or("is_panel_property").alias("pinned"), F.countDistinct("property_token").alias("n_last"))
+    cells = cells.withColumn("broad", F.col("n_last") > 20)
+    w = weights.select(F.when(F.col("year") == 1996, 1995).otherwise(1996).alias("yr"), F.col("region").alias("location"), "weight")
+    made = {"variant": ["index_month", "yr", "stay_night_kind"], "part": "location", "on": ("yr",), "any_of": ("pinned",), "all_of": ("broad",), "carried": ("n_last",)}
+    every = rc.weighted_aggregate(cells, w, **made).withColumn("rule", F.lit("every"))
+    named = rc.weighted_aggregate(cells, w, **made, parts=("ASIA", "EUROPE"), carry_from="ASIA").withColumn("rule", F.lit("named"))
+    return rounded(every.unionByName(named), "value", places=6)
 
 
 PAIRS = "with p as (select m.cell, m.item, m.month, m.price, b.price base from monthly m left join monthly b on b.cell = m.cell and b.item = m.item and b.month = m.month - interval 1 month and b.price > 0 where m.price > 0)"
+COUNTED = ", n as (select cell, month, count(base) n_matched, count(*) - count(base) nw from p group by 1, 2), g as (select m.cell, cast(m.month + interval 1 month as date) as month, count(*) gone from monthly m anti join monthly x on x.cell = m.cell and x.item = m.item and x.month = m.month + interval 1 month group by 1, 2), nm as (select n.cell, n.month, n_matched, nw + coalesce(gone, 0) n_unmatched from n left join g on n.cell = g.cell and n.month = g.month)"
 REL = PAIRS + ", rel as (select cell, month, count(*) n_matched, exp(avg(ln(price / base))) jevons, avg(price) / avg(base) dutot, avg(price / base) carli from p where base is not null group by 1, 2 having count(*) >= 3)"
 
 
-@query("monthly", sql=PAIRS + ", n as (select cell, month, count(base) n_matched, count(*) - count(base) nw from p group by 1, 2), g as (select m.cell, cast(m.month + interval 1 month as date) as month, count(*) gone from monthly m anti join monthly x on x.cell = m.cell and x.item = m.item and x.month = m.month + interval 1 month group by 1, 2) select n.cell, n.month, n_matched, nw + coalesce(gone, 0) n_unmatched from n left join g on n.cell = g.cell and n.month = g.month")
+@query("monthly", sql=PAIRS + COUNTED + " select * from nm")
 def matched_pairs(prices):
     return ix.match_counts(prices, ["cell"])
 
 
-@query("monthly", sql=REL + " select cell, month, n_matched, round(jevons, 6) jevons, round(dutot, 6) dutot, round(carli, 6) carli from rel")
+@query("monthly", sql=REL + COUNTED + " select r.cell, r.month, r.n_matched, n_unmatched, round(jevons, 6) jevons, round(dutot, 6) dutot, round(carli, 6) carli, round((jevons - 1) * 100, 4) pct_change, round(r.n_matched / (r.n_matched + n_unmatched), 6) match_rate from rel r join nm on r.cell = nm.cell and r.month = nm.month")
 def price_relative(prices):
-    return rounded(ix.price_relative(prices, ["cell"]), "jevons", "dutot", "carli", places=6)
+    return rounded(rounded(ix.price_relative(prices, ["cell"]), "jevons", "dutot", "carli", "match_rate", places=6), "pct_change")
 
 
 @query("monthly", "published", sql=REL.replace("with p as", "with lp as (select location, index_month, arg_max(index_value, fetched_ts) v from published group by 1, 2), p as") + " select r.cell, r.month, round(case when v > 0 then v * jevons end, 4) nowcast from rel r join lp on lp.location = r.cell and r.month = lp.index_month + interval 1 month")
@@ -227,22 +242,26 @@ def splice_nowcast(prices, published):
 ERA = "case when {0} >= date '1997-01-01' then 'c' when {0} >= date '1994-01-01' then 'b' else 'a' end"
 
 
-@query("stay_obs", sql=f"select distinct index_month_collection as month, {ERA.format('index_month_collection')} era from stay_obs")
+@query("stay_obs", sql=f"select distinct index_month_collection as month, {ERA.format('index_month_collection')} era, case when index_month_collection >= date '1996-02-01' then '2026_six_weeks_two_nights' when index_month_collection >= date '1995-01-01' then '2025_split_weight' else 'pre_2025_one_day_ahead' end published_era, index_month_collection in (date '1994-01-01', date '1997-01-01') spans from stay_obs")
 def methodology_era(stays):
-    return stays.select(F.col("index_month_collection").alias("month")).distinct().withColumn("era", ix.methodology_era(F.col("month")))
+    return stays.select(F.col("index_month_collection").alias("month")).distinct().withColumns({"era": ix.methodology_era(F.col("month"), STAND_IN_ERAS), "published_era": ix.methodology_era(F.add_months("month", 360)), "spans": ix.spans_methodology_break(F.add_months("month", -1), F.col("month"), STAND_IN_ERAS)})
 
 
-@query("monthly", sql=f"with m as (select distinct cell, month from monthly where hash(cell) is not null and month(month) <> 5), l as (select *, lag(month) over (partition by cell order by month) prev_month from m) select cell, month, prev_month from l where datediff('month', prev_month, month) = 1 and {ERA.format('month')} = {ERA.format('prev_month')}")
+@query("monthly", sql=f"with m as (select distinct cell, month from monthly), l as (select *, lag(month) over (partition by cell order by month) prev_month from m) select cell, month, prev_month from l where datediff('month', prev_month, month) = 1 and {ERA.format('month')} = {ERA.format('prev_month')}")
 def consecutive_pairs(prices):
-    return ix.consecutive_pairs(prices.where("month(month) <> 5").select("cell", "month").distinct(), ["cell"])
+    return ix.consecutive_pairs(prices.select("cell", "month").distinct(), ["cell"], STAND_IN_ERAS)
 
 
-CHAIN = REL + ", ms as (select distinct cell, month from monthly where price > 0), o as (select ms.cell, ms.month, jevons r, row_number() over (partition by ms.cell order by ms.month) k from ms left join rel on ms.cell = rel.cell and ms.month = rel.month), b as (select *, max(case when k > 1 and r is null then 1 else 0 end) over (partition by cell order by month) br from o), chain as (select cell, month, 100 * exp(sum(case when k = 1 then 0 else ln(r) end) over (partition by cell order by month)) lvl from b where br = 0)"
+CHAIN = REL + f", ms as (select distinct cell, month from monthly where price > 0), o0 as (select ms.cell, ms.month, jevons r, row_number() over (partition by ms.cell order by ms.month) k, lag(ms.month) over (partition by ms.cell order by ms.month) pm from ms left join rel on ms.cell = rel.cell and ms.month = rel.month), o as (select *, r is null or {ERA.format('pm')} <> {ERA.format('month')} bad from o0), b as (select *, max(case when k > 1 and bad then 1 else 0 end) over (partition by cell order by month) br from o), chain as (select cell, month, 100 * exp(sum(case when k = 1 then 0 else ln(r) end) over (partition by cell order by month)) lvl from b where br = 0)"
+#: Each item on the cell's observed month before; the stand-in's Mays are taken out, so that months are missing.
+OBSERVED = ", t as (select * from monthly where price > 0 and month(month) <> 5), tm as (select *, row_number() over (partition by cell order by month) pos from (select distinct cell, month from t)), ti as (select t.cell, t.item, t.price, t.month, pos from t join tm on t.cell = tm.cell and t.month = tm.month), tr as (select x.cell, x.month, exp(avg(ln(x.price / y.price))) r from ti x join ti y on x.cell = y.cell and x.item = y.item and x.pos = y.pos + 1 group by 1, 2 having count(*) >= 3), tb as (select tm.cell, tm.month, pos, r, max(case when pos > 1 and r is null then 1 else 0 end) over (partition by tm.cell order by tm.month) br from tm left join tr on tm.cell = tr.cell and tm.month = tr.month), ob as (select cell, month, 100 * exp(sum(case when pos = 1 then 0 else ln(r) end) over (partition by cell order by month)) lvl from tb where br = 0)"
 
 
-@query("monthly", sql=CHAIN + " select cell, month, round(lvl, 4) as level from chain")
+@query("monthly", sql=CHAIN + OBSERVED + " select cell, month, round(lvl, 4) as level, 'calendar' rule from chain union all select cell, month, round(lvl, 4), 'observed' from ob")
 def chained_index(prices):
-    return rounded(ix.chained_index(prices, ["cell"]), "level")
+    calendar = ix.chained_index(prices, ["cell"], eras=STAND_IN_ERAS).withColumn("rule", F.lit("calendar"))
+    observed = ix.chained_index(prices.where("month(month) <> 5"), ["cell"], adjacent="observed").withColumn("rule", F.lit("observed"))
+    return rounded(calendar.unionByName(observed), "level")
 
 
 POINTS = "with pt as (select cell, month, avg(price) lvl from monthly group by 1, 2)"
@@ -277,9 +296,4 @@ DAILY = f" select scrape_date, haul_category, months_ahead, count(*) filter (sta
 
 @query("fare_obs", sql=CURRENT + DAILY)
 def daily_by_series(fares):
-    p = F.col("price_gbp")
-    status = lambda s: F.count_if(F.col("status") == s)
-    out = vt.current_vintage(fares).groupBy("scrape_date", "haul_category", "months_ahead").agg(
-        status("ok").alias("n_ok"), status("no_data").alias("n_no_data"), status("error").alias("n_error"), F.avg(p).alias("mean"), F.percentile_approx(p, 0.5, 10_000).alias("median"), rc.geometric_mean(p).alias("geomean"), F.avg("price_cheapest_gbp").alias("mean_cheapest")
-    )
-    return rounded(out, "mean", "median", "geomean", "mean_cheapest")
+    return rounded(mo.daily_by_series(vt.current_vintage(fares), ["haul_category", "months_ahead"]), "mean", "median", "geomean", "mean_cheapest")

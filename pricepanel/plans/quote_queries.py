@@ -53,8 +53,7 @@ def selection_spread(quotes):
 def reselect_from_payload(quotes):
     """From quotes stored as one array per query: exploded, then selected anew."""
     payload = quotes.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("pos", "price", "transfers", "dep_minutes"))).alias("quotes"))
-    again = payload.select("query_id", F.inline("quotes"))
-    return se.select_fare(again).select("query_id", "pos", "basis")
+    return se.reselect_from_payload(payload).select("query_id", "pos", "basis")
 
 
 STAGED = "with s0 as (select *, case when hotel_class between 3 and 3.5 then 'midscale' when hotel_class between 4 and 4.5 then 'upscale' end tier, coalesce(lower(trim(property_type)), '') kind from quotes), s1 as (select *, case when kind <> '' and kind not in ('hotel', 'motel', 'inn', 'aparthotel') then 'type' when tier is null then 'other_tier' when free_cancellation is null or not free_cancellation then 'rate' end st from s0), md as (select query_id, tier, median(price) m from s1 where st is null group by 1, 2), staged as (select s1.*, coalesce(st, case when price not between m / 5 and m * 5 then 'outlier' end, 'considered') stage from s1 left join md on s1.query_id = md.query_id and s1.tier = md.tier)"
@@ -123,23 +122,36 @@ def thin_cells(stays):
 TOPUP = "with t as (select distinct location, coalesce(property_tier, 'unknown') tier, property_token from stay_obs), pick as (select *, row_number() over (partition by location, tier order by property_token) k from t), retired as (select location, tier, property_token from pick where k = 2 and location <> 'ASIA'), kept as (select p.location, p.tier, p.property_token from pick p anti join retired r on p.location = r.location and p.tier = r.tier and p.property_token = r.property_token where k <= 3), h as (select location, tier, count(*) have from kept group by 1, 2), gone as (select location, tier, string_agg(property_token, ',' order by property_token) g from retired group by 1, 2), fresh as (select p.*, row_number() over (partition by p.location, p.tier order by p.property_token) j from pick p anti join retired r on p.location = r.location and p.tier = r.tier and p.property_token = r.property_token anti join kept x on p.location = x.location and p.tier = x.tier and p.property_token = x.property_token where k <= 15)"
 
 
-@query("stay_obs", sql=TOPUP + " select location, tier, property_token, 'pinned' selection_basis from kept union all select f.location, f.tier, f.property_token, coalesce('substitute_for:' || g, 'discovered') from fresh f left join h on f.location = h.location and f.tier = h.tier left join gone on f.location = gone.location and f.tier = gone.tier where j <= 5 - coalesce(have, 0)")
+@query("stay_obs", sql=TOPUP.replace("stay_obs)", "stay_obs where location <> 'AFRICA')", 1) + ", old as (select location, tier, property_token, row_number() over (partition by location, tier order by property_token) k from (select distinct location, coalesce(property_tier, 'unknown') tier, property_token from stay_obs where location = 'AFRICA')) select location, tier, property_token, 'pinned' selection_basis from old where k <= 3 union all select location, tier, property_token, 'pinned' selection_basis from kept union all select f.location, f.tier, f.property_token, coalesce('substitute_for:' || g, 'discovered') from fresh f left join h on f.location = h.location and f.tier = h.tier left join gone on f.location = gone.location and f.tier = gone.tier where j <= 5 - coalesce(have, 0)")
 def top_up_sample(stays):
     from pyspark.sql import Window
 
     cell = ["location", "tier"]
     rows = stays.select("location", F.coalesce("property_tier", F.lit("unknown")).alias("tier"), "property_token").distinct()
     ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy(*cell).orderBy("property_token")))
-    return se.top_up_sample(ranked.where("_k <= 3").drop("_k"), ranked.where("_k = 2 and location <> 'ASIA'").drop("_k"), rows, cell)
+    failed = rows.where("location = 'AFRICA'").select("location")
+    return se.top_up_sample(ranked.where("_k <= 3").drop("_k"), ranked.where("_k = 2 and location <> 'ASIA'").drop("_k"), rows, cell, failed=failed)
 
 
-@query("quotes", sql=POOL + ", legs as (select distinct query_id from quotes union select query_id + 1 from quotes) select l.query_id, round(price, 6) price, n_considered, case when price is null then 'no_data' else 'ok' end status from legs l left join sel on l.query_id = sel.query_id")
+LEGS = ", legs as (select distinct query_id, concat('run-', cast(query_id % 3 as varchar)) run_id, query_id % 11 = 0 as failed from (select query_id from quotes union select query_id + 1 from quotes) q)"
+
+
+def legs_of(quotes):
+    """Every query and one after each, with a run; those of each eleventh failed."""
+    legs = quotes.select("query_id").union(quotes.select(F.col("query_id") + 1)).distinct().withColumn("run_id", F.concat(F.lit("run-"), (F.col("query_id") % 3).cast("string")))
+    return legs, legs.where("query_id % 11 = 0").select("query_id", F.concat(F.lit("quota exceeded "), F.repeat(F.lit("x"), F.lit(2000))).alias("message"))
+
+
+@query("quotes", sql=POOL + LEGS + " select l.query_id, run_id, case when not failed then round(price, 6) end price, case when failed then 0 else coalesce(n_considered, 0) end n_considered, case when failed then 'error' when price is null then 'no_data' else 'ok' end status, case when failed then concat('quota exceeded ', repeat('x', 985)) end error_message from legs l left join sel on l.query_id = sel.query_id")
 def build_fare_rows(quotes):
-    legs = quotes.select("query_id").union(quotes.select(F.col("query_id") + 1)).distinct()
-    return se.build_fare_rows(legs, se.select_fare(quotes)).select("query_id", F.round("price", 6).alias("price"), "n_considered", "status")
+    legs, failed = legs_of(quotes)
+    return se.build_fare_rows(legs, se.select_fare(quotes), failed=failed).select("query_id", "run_id", F.round("price", 6).alias("price"), "n_considered", "status", "error_message")
 
 
-@query("quotes", sql=STAGED + ", calls as (select distinct query_id from quotes union select query_id + 1 from quotes), n as (select query_id, count(*) n from quotes group by 1), ok as (select * from staged where stage = 'considered') select c.query_id, property_token, tier, case when price is null then 'no_data' else 'ok' end status, case when price is null then concat(coalesce(n, 0), ' properties returned, none comparable (rate_basis=refundable)') end message from calls c left join ok on c.query_id = ok.query_id left join n on c.query_id = n.query_id")
+@query("quotes", sql=STAGED + LEGS + ", n as (select query_id, count(*) n from quotes group by 1), ok as (select *, row_number() over (partition by query_id order by tier, pos, property_token) k, min(price) over (partition by query_id, tier) low from staged where stage = 'considered') select c.query_id, run_id, case when failed then 0 else coalesce(n, 0) end n_quotes, case when not failed then property_token end property_token, case when not failed then tier end tier, case when not failed then round(low, 6) end price_cheapest, case when failed then 'error' when price is null then 'no_data' else 'ok' end status, case when failed then concat('quota exceeded ', repeat('x', 985)) when price is null and n > 0 then concat(n, ' properties returned, none comparable (rate_basis=refundable)') end error_message, case when not failed and (k = 1 or price is null) and n > 0 then concat('raw ', c.query_id) end raw_response, not failed and coalesce(property_token like '%7', false) is_panel_property from legs c left join ok on c.query_id = ok.query_id left join n on c.query_id = n.query_id where not failed or k is null or k = 1")
 def build_stay_rows(quotes):
-    calls = quotes.select("query_id").union(quotes.select(F.col("query_id") + 1)).distinct()
-    return se.build_stay_rows(calls, quotes).select("query_id", "property_token", "tier", "status", "message")
+    legs, failed = legs_of(quotes)
+    payloads = quotes.select("query_id", F.concat(F.lit("raw "), F.col("query_id").cast("string")).alias("raw_response")).distinct()
+    pinned = quotes.where("property_token like '%7'").select("property_token")
+    rows = se.build_stay_rows(legs, quotes, failed=failed, payloads=payloads, pinned=pinned)
+    return rows.select("query_id", "run_id", "n_quotes", "property_token", "tier", F.round("price_cheapest", 6).alias("price_cheapest"), "status", "error_message", "raw_response", "is_panel_property")

@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from pricepanel.functions.calendar import nth_weekday
 from pricepanel.operators import payload as pl
+from pricepanel.operators import published as pub
 from pricepanel.operators import vintages as vt
-from pricepanel.plans.panel_queries import rounded
+from pricepanel.plans.panel_queries import ERA, STAND_IN_ERAS, rounded
 from pricepanel.plans.standins import standin, with_standins
 from pricepanel.sources import panels
 from pricepanel.streaming.ingest import ingest_stream as ingest
@@ -40,7 +42,11 @@ def on(name: str, sql: str | None = None):
 
 
 def scratch(spark) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
     return f"{folder.rstrip('/')}/pricepanel-io/{uuid.uuid4().hex}"
 
 
@@ -89,10 +95,10 @@ def read_weights_csv(weights):
     return panels.read_weights_csv(weights.sparkSession, path)
 
 
-@query("weights", sql="select year, region, weight from weights where year = 1999")
+@query("weights", sql="select year, region, weight from weights")
 def write_weights_csv(weights):
     path = scratch(weights.sparkSession)
-    panels.write_weights_csv(weights.where("year = 1999"), path)
+    panels.write_weights_csv(weights, path)
     return panels.read_weights_csv(weights.sparkSession, path).select("year", "region", "weight")
 
 
@@ -122,61 +128,76 @@ def evolve_schema(fares):
     return panels.evolve_schema(fares.where("query_id % 2 = 0").select("query_id", "months_ahead"), fares.where("query_id % 2 = 1").select("query_id", "dep_minutes"))
 
 
-PUB1 = "(select location, index_month, index_value from published where fetched_ts = 1)"
+ID = "concat(location, ' ', cast(fetched_ts as varchar))"
 
 
 def _series_payload(published):
-    each = published.where("fetched_ts = 1").select("location", F.struct(F.upper(F.date_format("index_month", "yyyy MMM")).alias("date"), F.round("index_value", 4).cast("string").alias("value")).alias("m"), F.struct(F.concat((F.year("index_month") + 20).cast("string")).alias("date"), F.lit("7.5").alias("value")).alias("y"))
-    return each.groupBy("location").agg(F.collect_list("m").alias("months"), F.collect_set("y").alias("years")).select("location", F.to_json(F.struct(F.struct(F.concat(F.lit("Prices "), F.col("location")).alias("title")).alias("description"), "months", "years")).alias("payload"))
+    """A payload for each location and vintage, with its months and years."""
+    each = published.select(F.concat_ws(" ", "location", "fetched_ts").alias("id"), F.struct(F.upper(F.date_format("index_month", "yyyy MMM")).alias("date"), F.round("index_value", 4).cast("string").alias("value")).alias("m"), F.struct(F.concat((F.year("index_month") + 20).cast("string")).alias("date"), F.lit("7.5").alias("value")).alias("y"))
+    return each.groupBy("id").agg(F.collect_list("m").alias("months"), F.collect_set("y").alias("years")).select("id", F.to_json(F.struct(F.struct(F.concat(F.lit("Prices "), F.col("id")).alias("title")).alias("description"), "months", "years")).alias("payload"))
 
 
-@query("published", sql=f"select location as id, concat('Prices ', location) series_name, index_month, round(index_value, 4) index_value, '2015_100' basis from {PUB1}")
+@query("published", sql=f"select {ID} as id, concat('Prices ', {ID}) series_name, index_month, round(index_value, 4) index_value, '2015_100' basis from published")
 def parse_series_json(published):
-    return panels.parse_series_json(_series_payload(published).withColumnRenamed("location", "id"), "id").select("id", "series_name", "index_month", "index_value", "basis")
+    return panels.parse_series_json(_series_payload(published), "id").select("id", "series_name", "index_month", "index_value", "basis")
 
 
-@query("published", sql=f"select distinct location as id, cast(year(index_month) + 20 as int) as year, 7.5::double weight from {PUB1}")
+@query("published", sql=f"select distinct {ID} as id, cast(year(index_month) + 20 as int) as year, 7.5::double weight from published")
 def parse_class_weight(published):
-    return panels.parse_class_weight(_series_payload(published).withColumnRenamed("location", "id"), "id")
+    return panels.parse_class_weight(_series_payload(published), "id")
 
 
 def _cells(rows, sheet, row, col, value):
     return rows.select(sheet.cast("string").alias("sheet"), row.cast("int").alias("row"), col.cast("int").alias("col"), value.cast("string").alias("value"))
 
 
-@query("published", sql="select cast(index_month + interval 15 year as date) index_month, 'domestic' haul_category, 3 months_ahead, round(index_value, 4) index_value from published where fetched_ts = 1 and location = 'ASIA'")
+#: Each location of the stand-in as a series of the grids: category and window.
+SERIES_OF = "(values ('AFRICA', 'domestic', 'Domestic', 1), ('AMERICA', 'european', 'Europe', 1), ('ASIA', 'european', 'Europe', 3), ('EUROPE', 'long_haul', 'Long-haul', 3), ('MIDDLE EAST', 'long_haul', 'Long-haul', 6)) v(location, haul_category, label, w)"
+
+
+def _series_of(published):
+    table = published.sparkSession.sql(f"select * from {SERIES_OF}")
+    return published.join(F.broadcast(table), "location")
+
+
+@query("published", sql=f"select cast(index_month + to_years(cast(15 * (fetched_ts + 1) as int)) as date) index_month, haul_category, cast(w as int) months_ahead, round(index_value, 4) index_value from published join {SERIES_OF} on published.location = v.location where year(index_month) + 15 * (fetched_ts + 1) between 2005 and 2035")
 def tidy_series_grid(published):
-    own = published.where("fetched_ts = 1 and location = 'ASIA'")
-    sheet = F.year("index_month") + 15
-    values = _cells(own, sheet, F.lit(3), F.month("index_month") + 1, F.round("index_value", 4))
-    months = own.select(sheet.alias("s")).distinct().withColumn("m", F.explode(F.sequence(F.lit(1), F.lit(12))))
-    heads = _cells(months, F.col("s"), F.lit(1), F.col("m") + 1, F.element_at(F.array(*map(F.lit, pl.MONTHS)), F.col("m")))
-    years = own.select(sheet.alias("s")).distinct()
-    labels = _cells(years, F.col("s"), F.lit(2), F.lit(0), F.lit("Domestic")).union(_cells(years, F.col("s"), F.lit(3), F.lit(1), F.lit("3-month")))
+    """A sheet for each year: months across, a row for each series under its label; the other vintage's years come later."""
+    own = _series_of(published).withColumn("sheet", F.year("index_month") + 15 * (F.col("fetched_ts") + 1))
+    row = F.lit(3) + F.array_position(F.lit(["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]), F.col("location")) * 2
+    sheet = F.col("sheet")
+    values = _cells(own, sheet, row, F.month("index_month") + 1, F.round("index_value", 4))
+    heads = own.select("sheet").distinct().withColumn("m", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    heads = _cells(heads, sheet, F.lit(1), F.col("m") + 1, F.element_at(F.array(*map(F.lit, pl.MONTHS)), F.col("m")))
+    lines = own.select("sheet", "location", "label", "w").distinct()
+    labels = _cells(lines, sheet, row - 1, F.lit(0), F.col("label")).union(_cells(lines, sheet, row, F.lit(1), F.concat(F.col("w").cast("string"), F.lit("-month"))))
     return panels.tidy_series_grid(values.union(heads).union(labels))
 
 
-@query("published", sql="select cast(year(index_month) + 15 as int) as year, 'european' haul_category, 1 months_ahead, round(avg(index_value), 4) weight from published where location = 'EUROPE' group by 1")
+@query("published", sql=f"select cast(year(index_month) + 15 as int) as year, haul_category, cast(w as int) months_ahead, round(avg(index_value), 4) weight from published join {SERIES_OF} on published.location = v.location group by 1, 2, 3")
 def tidy_weights_grid(published):
-    by = published.where("location = 'EUROPE'").groupBy((F.year("index_month") + 15).alias("y")).agg(F.round(F.avg("index_value"), 4).alias("w"))
+    own = _series_of(published).groupBy((F.year("index_month") + 15).alias("y"), "location", "label", "w").agg(F.round(F.avg("index_value"), 4).alias("value"))
+    row = F.array_position(F.lit(["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]), F.col("location"))
     one = F.lit("w")
-    cells = _cells(by, one, F.lit(0), F.col("y"), F.col("y")).union(_cells(by, one, F.lit(1), F.col("y"), F.col("w")))
-    labels = by.limit(1)
-    return panels.tidy_weights_grid(cells.union(_cells(labels, one, F.lit(1), F.lit(0), F.lit("European"))).union(_cells(labels, one, F.lit(1), F.lit(1), F.lit("1 month"))))
+    cells = _cells(own, one, row, F.col("y"), F.col("value")).union(_cells(own.select("y").distinct(), one, F.lit(0), F.col("y"), F.col("y")))
+    lines = own.select("location", "label", "w").distinct()
+    return panels.tidy_weights_grid(cells.union(_cells(lines, one, row, F.lit(0), F.col("label"))).union(_cells(lines, one, row, F.lit(1), F.concat(F.col("w").cast("string"), F.lit(" month")))))
 
 
 REGION_NAMES = ["africa", "america", "asia", "europe", "middle east"]
 
 
-@query("published", sql="select 's' sheet, index_month, lower(location) as location, round(index_value, 4) index_value from published where fetched_ts = 1 and index_value between 10 and 500")
+@query("published", sql="select cast(fetched_ts as varchar) sheet, index_month, lower(location) as location, round(index_value, 4) index_value from published where index_value between 10 and 500")
 def tidy_region_grid(published):
-    p = published.where("fetched_ts = 1")
+    """A sheet for each vintage, the second one transposed."""
     at = F.array_position(F.lit(REGION_NAMES), F.lower("location")) + 3
     down = (F.year("index_month") - 1990) * 12 + F.month("index_month")
-    values = _cells(p, F.lit("s"), down, at, F.round("index_value", 4))
-    heads = _cells(p.select("location").distinct(), F.lit("s"), F.lit(0), at, F.col("location"))
-    months = _cells(p.select("index_month").distinct(), F.lit("s"), down, F.lit(0), F.date_format("index_month", "yyyy MMM"))
-    return panels.tidy_region_grid(values.union(heads).union(months), REGION_NAMES)
+    sheet = F.col("fetched_ts")
+    values = _cells(published, sheet, down, at, F.round("index_value", 4))
+    heads = _cells(published.select("location", "fetched_ts").distinct(), sheet, F.lit(0), at, F.col("location"))
+    months = _cells(published.select("index_month", "fetched_ts").distinct(), sheet, down, F.lit(0), F.date_format("index_month", "yyyy MMM"))
+    cells = values.union(heads).union(months)
+    return panels.tidy_region_grid(cells.where("sheet = '0'").union(panels.transposed(cells.where("sheet = '1'")).select("sheet", "row", "col", "value")), REGION_NAMES)
 
 
 @query("weights", sql="select cast(year + 15 as int) as year, lower(region) region, round(weight / sum(weight) over (partition by year), 6) weight from weights")
@@ -189,9 +210,10 @@ def tidy_region_weights(weights):
 
 @query("fare_obs", sql="select status, count(*) n from fare_obs group by 1")
 def export_sections(fares):
-    path = scratch(fares.sparkSession)
-    panels.export_sections({"status": lambda: fares.groupBy("status").agg(F.count("*").alias("n")), "broken": lambda: fares.select("no such column")}, path)
-    return fares.sparkSession.read.schema("n long, status string").json(f"{path}/status")
+    """Two sections, of which one fails and is written without rows."""
+    spark, path, schema = fares.sparkSession, scratch(fares.sparkSession), "n long, status string"
+    panels.export_sections(spark, {"status": (lambda: fares.groupBy("status").agg(F.count("*").alias("n")), schema), "broken": (lambda: fares.select("no such column"), schema)}, path)
+    return panels.read_section(spark, path, "status", schema).unionByName(panels.read_section(spark, path, "broken", schema)).select("status", "n")
 
 
 def _fare_payload(quotes):
@@ -240,21 +262,26 @@ def parse_timestamps(events):
     return events.select("event_id", F.to_date(t).alias("day"), (F.hour(t) * 60 + F.minute(t)).alias("minutes"))
 
 
-@on("events", sql="select event_id, case when event_type = 'error' then 'error' when event_type = 'signup' then 'no_data' when user_id % 5 = 0 then 'no_data' else 'ok' end status from events")
+@on("events", sql="select event_id, case when event_type = 'error' then 'error' when event_type = 'signup' then 'no_data' when user_id % 5 = 0 then 'no_data' else 'ok' end status, case when event_type = 'error' then concat('quota exceeded ', repeat('x', 985)) end message from events")
 def classify_response(events):
-    error = F.when(F.col("event_type") == "error", "quota exceeded").when(F.col("event_type") == "signup", "Google hasn't returned any results for this query.")
-    return events.select("event_id", pl.classify_response(F.col("user_id") % 5, error, F.lit(True)).alias("status"))
+    error = F.when(F.col("event_type") == "error", F.concat(F.lit("quota exceeded "), F.repeat(F.lit("x"), F.lit(2000)))).when(F.col("event_type") == "signup", "Google hasn't returned any results for this query.")
+    said = F.col("user_id") % 5, error, F.lit(True)
+    return events.select("event_id", pl.classify_response(*said).alias("status"), pl.response_error(*said).alias("message"))
 
 
-@on("events", sql="select event_id, '{\"api_key\":\"[redacted]\",\"n\":' || user_id || ',\"in\":{\"token\":\"[redacted]\"}}' payload from events")
+@on("events", sql="select event_id, '{\"api_key\":\"<redacted>\",\"n\":' || user_id || ',\"in\":{\"secret_key\":\"<redacted>\",\"token\":' || user_id || ',\"url\":\"x?k=<redacted>\"}}' payload from events")
 def redact_payload(events):
-    text = F.format_string('{"api_key":"s%d","n":%d,"in":{"token":%d}}', "event_id", "user_id", "user_id")
-    return events.select("event_id", pl.redact_payload(text).alias("payload"))
+    """A third of the payloads has an object, a third an array under the inner key."""
+    inner = F.when(F.col("event_id") % 3 == 0, '{"v":["S1",{"w":"S2"}]}').when(F.col("event_id") % 3 == 1, '["T1"]').otherwise("7")
+    text = F.format_string('{"api_key":"s%d","n":%d,"in":{"secret_key":%s,"token":%d,"url":"x?k=hush"}}', "event_id", "user_id", inner, "user_id")
+    return events.select("event_id", pl.redact_payload(text, "hush").alias("payload"))
 
 
-@on("events", sql="select key, count(*) n from (select unnest(json_keys(props)) as key from events) group by 1 order by n desc, key limit 40")
+@on("events", sql="with k as (select 'raw_keys' field, key as value, count(*) n from (select unnest(json_keys(props)) as key from events) group by 2 order by n desc, value limit 40), v as (select 'event_type' field, event_type as value, count(*) n from events group by 2 union all select 'user_of_ten', case when user_id % 10 < 3 then null else cast(user_id % 10 as varchar) end, count(*) from events group by 2 union all select 'user', cast(user_id as varchar), count(*) from events group by 2), t as (select *, row_number() over (partition by field order by n desc, value nulls last) k from v) select field, value, n from k union all select field, value, n from t where k <= 12")
 def key_census(events):
-    return pl.key_census(events, "props")
+    keys = pl.key_census(events, "props").select(F.lit("raw_keys").alias("field"), F.col("key").alias("value"), "n")
+    some = F.when(F.col("user_id") % 10 >= 3, F.col("user_id") % 10)
+    return keys.unionByName(pl.value_census(events, {"event_type": F.col("event_type"), "user_of_ten": some, "user": F.col("user_id")}))
 
 
 @on("region", sql="select r_regionkey, case r_name when 'ASIA' then 'as' when 'EUROPE' then 'eu' when 'MIDDLE EAST' then 'me' end code from region")
@@ -301,36 +328,41 @@ def strip_html(pages):
     return pages.select("page_id", pl.strip_html(F.col("html")).alias("text"))
 
 
-@on("orders", sql="with o as (select o_orderkey, cast(date_trunc('month', o_orderdate) as date) f from orders), t as (select *, cast(f + cast((2 - isodow(f) + 7) % 7 + 7 as int) as date) d from o) select o_orderkey, d as index_day from t where o_orderkey % 3 > 0")
-def extract_index_days(orders):
-    from pricepanel.functions.calendar import nth_weekday
+_TUESDAY = "cast(f + cast((2 - isodow(f) + 7) % 7 + 7 as int) as date)"
+_SAID = "'Figures on this index day (4 March 2020) are for index day of 5 May 2021. The data used in this release were collected on or around '"
+
 
+@on("orders", sql=f"with o as (select o_orderkey, cast(date_trunc('month', o_orderdate) as date) f from orders), t as (select *, {_TUESDAY} d from o), s as (select *, concat({_SAID}, strftime(d, '%-d %B %Y'), '.') said, strftime(d, 'collected on or around %-d %B %Y') hit from t) select o_orderkey, case when o_orderkey % 3 > 0 then d end as index_day, case when o_orderkey % 3 > 0 then 2 end ordinal, case when o_orderkey % 3 > 0 then trim(substr(said, instr(said, hit) - 100, 100 + length(hit) + 100)) end evidence, concat(year(f), '-05-05,', case when o_orderkey % 3 = 0 then '2020-03-04,' else '' end, '2021-05-05') rejected from s")
+def extract_index_days(orders):
+    """Two thirds of the pages name the second Tuesday, after a date that is none."""
     second = nth_weekday(F.col("o_orderdate"), "TU", 2)
-    text = F.when(F.col("o_orderkey") % 3 == 0, "Published on 1 May 2020.").otherwise(F.concat(F.lit("Out on Wednesday 4 March 2020; prices were collected on Tuesday "), F.date_format(second, "d MMMM yyyy"), F.lit(".")))
-    return pl.extract_index_days(orders.select("o_orderkey", text.alias("t"), F.trunc("o_orderdate", "MM").alias("m")), "o_orderkey", "t", "m")
+    first = F.lit(_SAID.strip("'"))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(first, F.lit("never."))).otherwise(F.concat(first, F.date_format(second, "d MMMM yyyy"), F.lit(".")))
+    out = pl.extract_index_days(orders.select("o_orderkey", text.alias("t"), F.trunc("o_orderdate", "MM").alias("m")), "o_orderkey", "t", "m")
+    return out.select("o_orderkey", "index_day", "ordinal", "evidence", "rejected")
 
 
-BASIS_SQL = ", j as (select location, count(*) filter (month(index_month) = 1) n, bool_and(abs(index_value - 100) <= 0.5) filter (month(index_month) = 1) near from p1 group by 1) select p1.location, index_month, cast(round(index_value, 4) as double) index_value, case when n < 2 then 'unknown' when near then 'annual_january_100' else 'chained' end basis from p1 join j on p1.location = j.location"
+BASIS_SQL = "with p0 as (select concat(location, ' ', cast(fetched_ts as varchar)) series, * from published), j as (select series, count(*) filter (month(index_month) = 1) n, bool_and(abs(index_value - 100) <= 0.5) filter (month(index_month) = 1) near from p0 group by 1), pb as (select p0.*, case when n < 2 then 'unknown' when near then 'annual_january_100' else 'chained' end basis from p0 join j on p0.series = j.series)"
 
 
-@query("published", sql="with p1 as (select * from published where fetched_ts = 1)" + BASIS_SQL)
-def published_rows(published):
-    from pricepanel.operators.index_numbers import detect_basis
+def _rows(published):
+    named = published.withColumn("series", F.concat_ws(" ", "location", "fetched_ts"))
+    return pub.published_rows(named, ["series"], STAND_IN_ERAS)
+
 
-    p = published.where("fetched_ts = 1")
-    basis = detect_basis(p.select("location", F.col("index_month").alias("month"), F.col("index_value").alias("level")), ["location"])
-    return rounded(p.join(F.broadcast(basis), "location").select("location", "index_month", "index_value", "basis"), "index_value")
+@query("published", sql=BASIS_SQL + f" select series, location, index_month, cast(fetched_ts as int) fetched_ts, round(index_value, 4) index_value, basis, {ERA.format('index_month')} methodology_era, true is_current from pb")
+def published_rows(published):
+    return _rows(published).select("series", "location", "index_month", "fetched_ts", F.col("index_value").cast("double").alias("index_value"), "basis", "methodology_era", "is_current")
 
 
-@query("published", sql="select cast(fetched_ts as int) as source, count(*) n_values, count(distinct index_month) n_months, min(index_month) first_month, max(index_month) last_month, cast(datediff('month', min(index_month), max(index_month)) + 1 as int) span_months, string_agg(distinct location, ',' order by location) locations from published group by 1")
+@query("published", sql=BASIS_SQL + f" select cast(fetched_ts as int) as source, count(*) n_values, count(distinct index_month) n_months, min(index_month) first_month, max(index_month) last_month, cast(datediff('month', min(index_month), max(index_month)) + 1 as int) span_months, datediff('month', min(index_month), max(index_month)) + 1 - count(distinct index_month) n_holes, string_agg(distinct location, ',' order by location) locations, string_agg(distinct {ERA.format('index_month')}, ',' order by {ERA.format('index_month')}) eras, string_agg(distinct basis, ',' order by basis) bases from pb group by 1")
 def coverage_report(published):
-    span = vt.months_between_first(F.max("index_month"), F.min("index_month")) + 1
-    return published.groupBy(F.col("fetched_ts").alias("source")).agg(F.count("*").alias("n_values"), F.countDistinct("index_month").alias("n_months"), F.min("index_month").alias("first_month"), F.max("index_month").alias("last_month"), span.alias("span_months"), F.array_join(F.array_sort(F.collect_set("location")), ",").alias("locations"))
+    return pub.coverage_report(_rows(published).withColumn("source", F.col("fetched_ts")), "source", STAND_IN_ERAS)
 
 
-@query("published", sql="select location, index_month, fetched_ts, round(index_value, 4) index_value from published where index_value between 90 and 110")
+@query("published", sql="select location, index_month, fetched_ts, round(index_value * 5, 4) index_value from published where index_value * 5 between 10 and 500")
 def plausible_values(published):
-    return rounded(published.where(F.col("index_value").between(90, 110)).select("location", "index_month", "fetched_ts", "index_value"), "index_value")
+    return rounded(pub.plausible_values(published.withColumn("index_value", F.col("index_value") * 5)).select("location", "index_month", "fetched_ts", "index_value"), "index_value")
 
 
 @query("fare_obs", sql="select scrape_date, count(*) n from fare_obs where query_id % 50 > 0 group by 1")

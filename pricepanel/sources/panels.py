@@ -61,8 +61,8 @@ def read_weights_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_weights_csv(weights: DataFrame, path: str) -> None:
-    """Sorted by key, no row a placeholder; a small table, so one file."""
-    weights.withColumn("is_placeholder", F.lit("false")).orderBy("year", "region").coalesce(1).write.option("header", True).csv(path)
+    """Sorted by key over all files, no row a placeholder; a small table comes out as few files."""
+    weights.withColumn("is_placeholder", F.lit("false")).orderBy("year", "region").write.option("header", True).csv(path)
 
 
 def read_item_panel(spark: SparkSession, path: str) -> DataFrame:
@@ -71,7 +71,8 @@ def read_item_panel(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_item_panel(panel: DataFrame, path: str) -> None:
-    panel.orderBy("location", "tier", "property_name", "property_token").coalesce(1).write.option("header", True).csv(path)
+    """Sorted over all files, which are as many as the data need."""
+    panel.orderBy("location", "tier", "property_name", "property_token").write.option("header", True).csv(path)
 
 
 def evolve_schema(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -100,6 +101,11 @@ def _headers(cells: DataFrame, parsed: Column, least: int) -> DataFrame:
     return heads.join(rows, "sheet").where("row = header_row").select("sheet", "header_row", "col", "head")
 
 
+def _enough(rows: DataFrame, least: int) -> DataFrame:
+    """The rows, if they are ``least`` at least; their number is one row, joined."""
+    return rows.crossJoin(F.broadcast(rows.agg(F.count("*").alias("_n")))).where(F.col("_n") >= least).drop("_n")
+
+
 def tidy_series_grid(cells: DataFrame, least_months: int = 6, least_values: int = 12) -> DataFrame:
     """Year sheets to long series: months across, category labels filled down, windows in a column; the first value wins."""
     month = F.when(F.lower(F.trim("value")).isin(*MONTHS, *[m[:3] for m in MONTHS]), month_of_name(F.trim("value")))
@@ -111,7 +117,7 @@ def tidy_series_grid(cells: DataFrame, least_months: int = 6, least_values: int
     year = F.when(F.col("sheet").try_cast("int").between(2005, 2035), F.col("sheet").try_cast("int"))
     out = values.select(F.make_date(year, "head", F.lit(1)).alias("index_month"), "haul_category", "months_ahead", parse_number(F.col("value")).alias("index_value"), "row", "col").where("index_month is not null and haul_category is not null and months_ahead is not null and index_value > 0")
     first = out.groupBy("index_month", "haul_category", "months_ahead").agg(F.min_by("index_value", F.struct("row", "col")).alias("index_value"))
-    return first.withColumn("_n", F.count("*").over(Window.partitionBy(F.lit(1)))).where(F.col("_n") >= least_values).drop("_n")
+    return _enough(first, least_values)
 
 
 def tidy_weights_grid(cells: DataFrame, least_years: int = 3, least_values: int = 6) -> DataFrame:
@@ -122,7 +128,7 @@ def tidy_weights_grid(cells: DataFrame, least_years: int = 3, least_values: int
     labels = labels.withColumn("haul_category", F.last("c", ignorenulls=True).over(down)).drop("c")
     values = cells.join(heads, ["sheet", "col"]).where("row > header_row").join(labels, ["sheet", "row"])
     out = values.select(F.col("head").alias("year"), "haul_category", "months_ahead", parse_number(F.col("value")).alias("weight")).where("haul_category is not null and months_ahead is not null and weight is not null")
-    return out.withColumn("_n", F.count("*").over(Window.partitionBy(F.lit(1)))).where(F.col("_n") >= least_values).drop("_n")
+    return _enough(out, least_values)
 
 
 def transposed(cells: DataFrame) -> DataFrame:
@@ -152,14 +158,24 @@ def tidy_region_weights(cells: DataFrame, regions: list[str]) -> DataFrame:
     return rows.join(good, "year", "left_semi")
 
 
-def export_sections(sections: dict, folder: str) -> dict[str, str]:
-    """Write each section as JSON with its columns in order; one that fails is named with its error, the others go on."""
+def export_sections(spark: SparkSession, sections: dict[str, tuple], folder: str) -> dict[str, str]:
+    """Write each section as JSON with its columns in order: name -> (function that makes it, its schema as text).
+
+    A section that fails is written without rows, in the type that its schema gives, and named with its error; the others go on.
+    """
     said = {}
-    for name, make in sorted(sections.items()):
+    for name, (make, schema) in sorted(sections.items()):
+        empty = spark.createDataFrame([], schema)
         try:
             df = make()
-            df.select(*sorted(df.columns)).write.mode("overwrite").json(f"{folder}/{name}")
+            df.select(*sorted(empty.columns)).write.mode("overwrite").json(f"{folder}/{name}")
             said[name] = "written"
         except Exception as e:  # noqa: BLE001  each section stands alone
+            empty.select(*sorted(empty.columns)).write.mode("overwrite").json(f"{folder}/{name}")
             said[name] = f"failed: {type(e).__name__}"
     return said
+
+
+def read_section(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """A section as written, empty ones too."""
+    return spark.read.schema(schema).json(f"{folder}/{name}")
