@@ -1,4 +1,9 @@
-"""A corpus, stage by stage: each stage's rows are written as Parquet and read again as the next one's documents."""
+"""A corpus, stage by stage: each stage's rows are written as Parquet and read again as the next one's documents.
+
+Every stage takes nulls in any column, repeated ids and rows, empty and very long texts, and tables without rows; all
+but the last return the columns of ``documents`` and no others. This module is a part of the corpus operators and
+needs ``pricepanel.llm``.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.llm import decontaminate, ngram_join, packing, substring_dedup, toxicity
-from pricepanel.llm.common import stored, table, tokenizer_path
+from pricepanel.llm.common import discard, stored, table, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose most toxic passage scores below 0.5."""
+    """Documents whose most toxic passage scores below 0.5; null, empty and wordless texts stay, repeated rows are judged alike.
+
+    Without labels, or with labels of class 0 only, all rows stay.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.toxicity(docs, model, keep=COLUMNS)
     return scored.where("score < 0.5").select(*COLUMNS)
@@ -53,12 +61,15 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark: rows are judged by their own text, whether they share an id or have none.
+
+    Null and empty texts stay; without benchmark items all rows stay.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, packed into sequences of 2048 tokens."""
+    """Pieces of all documents, packed into sequences of 2048 tokens; a row without text is its end id alone, and rows that share an id are packed each."""
     return packing.pack(docs, tokenizer_path())
 
 
@@ -76,6 +87,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    written = None
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if written is not None:
+            discard(written)
+        written = docs
     return docs
