@@ -160,6 +160,20 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def among(rows: DataFrame, ids: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not among ``ids`` (one column), by a bitmap of their hashes.
+
+    The bitmap has ``bits`` bits whatever the size of ``ids``, so it may be broadcast; what it lets through goes on to a join.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    one = ids.select(place(F.col(ids.columns[0])).alias("_bit"))
+    bitmap = one.groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bitmap"))
+    at = F.bitmap_bit_position(place(F.col(column)))
+    byte = F.conv(F.hex(F.substring("_bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(bitmap), F.bitmap_bucket_number(place(F.col(column))) == F.col("_bucket"))
+    return found.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_bucket", "_bitmap")
+
+
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
@@ -204,3 +218,14 @@ def unused(*taken: str) -> Callable[[str], str]:
         return wish
 
     return name
+
+
+def set_aside(rows: DataFrame, results: tuple[str, ...], *columns: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """``rows`` with those of its columns that have a result's name renamed with ``_in`` after it, and the new names of some ``columns``."""
+    new: dict[str, str] = {}
+    for c in rows.columns:
+        if c in results:
+            new[c] = c + "_in"
+            while new[c] in (*rows.columns, *results, *[v for k, v in new.items() if k != c]):
+                new[c] += "_in"
+    return rows.withColumnsRenamed(new), tuple(new.get(c, c) for c in columns)
