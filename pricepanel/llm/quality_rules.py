@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricepanel.llm.common import set_aside, unused
+
 #: Rules in the order of their bits: name, condition on the measurements under which a text fails.
 RULES: tuple[tuple[str, str], ...] = (
     ("few_words", "n_words < 10"),
@@ -53,38 +55,45 @@ def shingle_hashes(words: Column, k: int) -> Column:
     return F.transform(starts, lambda w, i: F.xxhash64(w, *[F.get(words, i + j) for j in range(1, k)]))
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_shouts", "n_lines", "n_dup_lines", "n_distinct_words", "n_repeat_words")
+
+
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds the measurements to ``docs``; names of its own columns stay, names of measurements win."""
+    """Adds the measurements to ``docs``; a column of its own with a measurement's name is kept with ``_in`` after the name."""
+    docs, (text_col,) = set_aside(docs, (*MEASURES, "failures"), text_col)
+    name = unused(*docs.columns)
+    words_, lines_, hashes_, sorted_, places_ = map(name, ("_words", "_lines", "_hashes", "_sorted", "_places"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
-    out = docs.withColumns({"_words": words_of(text), "_lines": lines})
+    out = docs.withColumns({words_: words_of(text), lines_: lines})
     out = out.withColumns({
-        "n_words": F.size("_words").cast("long"),
+        "n_words": F.size(words_).cast("long"),
         "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
         "n_shouts": ((F.length(text) - F.length(F.replace(text, F.lit("!!"), F.lit("")))) / 2).cast("long"),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_distinct_words": F.size(F.array_distinct("_words")).cast("long"),
-        "_hashes": shingle_hashes(F.col("_words"), 5),
-    }).drop("_words", "_lines")
+        "n_lines": F.size(lines_).cast("long"),
+        "n_dup_lines": (F.size(lines_) - F.size(F.array_distinct(lines_))).cast("long"),
+        "n_distinct_words": F.size(F.array_distinct(words_)).cast("long"),
+        hashes_: shingle_hashes(F.col(words_), 5),
+    }).drop(words_, lines_)
     # Most texts repeat no window: only those that do are sorted.
-    again = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
+    again = F.size(F.array_distinct(hashes_)) < F.size(hashes_)
     empty = F.array().cast("array<struct<h:bigint,i:int>>")
-    out = out.withColumn("_sorted", F.when(again, F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(empty)).drop("_hashes")
-    s = F.col("_sorted")
+    out = out.withColumn(sorted_, F.when(again, F.sort_array(F.transform(hashes_, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(empty)).drop(hashes_)
+    s = F.col(sorted_)
     twice = F.filter(s, lambda x, i: (x["h"] == F.get(s, i - 1)["h"]) | (x["h"] == F.get(s, i + 1)["h"]))
-    out = out.withColumn("_places", F.sort_array(F.transform(twice, lambda x: x["i"]))).drop("_sorted")
-    p = F.col("_places")
+    out = out.withColumn(places_, F.sort_array(F.transform(twice, lambda x: x["i"]))).drop(sorted_)
+    p = F.col(places_)
     covered = F.aggregate(F.transform(p, lambda a, i: F.coalesce(F.least(F.get(p, i + 1) - a, F.lit(5)), F.lit(5))), F.lit(0), lambda x, y: x + y)
-    return out.withColumn("n_repeat_words", covered.cast("long")).drop("_places")
+    return out.withColumn("n_repeat_words", covered.cast("long")).drop(places_)
 
 
 def ledger(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``docs`` with measurements and ``failures``, one bit per rule of RULES.
 
     Null and empty texts have no words, so few_words fails and ratios do not. Windows are compared by
-    64-bit hashes within a text. Rows that repeat are judged alike; null ids need no care.
+    64-bit hashes within a text. Rows that repeat are judged alike; null ids need no care; no rows give no rows. Columns of
+    ``docs`` survive, see ``measured``.
     """
     bits = [F.when(F.expr(condition), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, condition) in enumerate(RULES)]
     out = measured(docs, text_col)
