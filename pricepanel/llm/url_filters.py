@@ -2,16 +2,23 @@
 
 A rule is a regular expression with the literal tokens that any URL it matches must have. It is filed under
 the one of them that is rarest in the URLs at hand, or under each of several where a match holds only one of
-them; a URL's tokens fetch the rules filed under them, and only those run. A rule without tokens always runs. Host and path rules with a verdict go before patterns. Built-in expressions only.
+them; a URL's tokens fetch the rules filed under them, and only those run. A rule without tokens always runs. Host and path
+rules with a verdict go before patterns; they are filed under their host, and fetched by a host and its parents. The index is
+an array of buckets by the key's crc32, so what a URL costs depends on its tokens, not on the number of rules. Built-in
+expressions only.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricepanel.llm.common import set_aside, unused
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -81,32 +88,58 @@ def rarest_tokens(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str
     return [r.tokens if r.any_of or not r.tokens else (min(r.tokens, key=lambda t: (counts.get(t, 0), -len(t), t)),) for r in rules]
 
 
+#: A rule as it lies in a bucket.
+_FILED = "array<array<struct<key:string,rank:int,name:string,path:string,pattern:string,verdict:string>>>"
+
+
+def filed(entries: list[dict]) -> tuple[Column, int]:
+    """The index of some rules (dicts with a key): its buckets as a constant, and how many they are."""
+    n = 1 << max(0, (2 * len(entries) - 1).bit_length())
+    buckets: list[list[dict]] = [[] for _ in range(n)]
+    for e in entries:
+        buckets[zlib.crc32(e["key"].encode()) % n].append(e)
+    return F.from_json(F.lit(json.dumps(buckets)), _FILED), n
+
+
+def fetched(index: tuple[Column, int], keys: Column) -> Column:
+    """The rules filed under any of ``keys``."""
+    buckets, n = index
+    of_key = lambda t: F.filter(F.get(buckets, (F.crc32(t.cast("binary")) % n).cast("int")), lambda r: r["key"] == t)
+    return F.flatten(F.transform(keys, of_key))
+
+
+def hosts_above(host: Column) -> Column:
+    """A host and its parents: a.b.c, b.c, c."""
+    labels = F.split(host, "\\.")
+    return F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+
+
 def filter_urls(pages: DataFrame, *, url_col: str = "url", host_rules: tuple[HostRule, ...] = HOST_RULES, pattern_rules: tuple[PatternRule, ...] = PATTERN_RULES) -> DataFrame:
     """``pages`` with host, path, rule, verdict and pattern (the name of the pattern rule that blocked it).
 
-    The longest host rule that fits decides; without one the first matching pattern blocks and anything else is
+    The longest host rule that fits decides (of equally long ones the first by name); without one the first matching pattern blocks and anything else is
     allowed. A null URL or one without :// has empty host and path, fits no host rule, and may only match
-    patterns. A column of pages with a result's name gives way to the result; rows that repeat are judged alike.
+    patterns. A column of pages with a result's name is kept with ``_in`` after its name; rows that repeat are judged alike; no pages give no rows.
+    Rules are constants of the plan, of any number that the driver can hold.
     """
-    if len(host_rules) + len(pattern_rules) > 10_000:
-        raise ValueError("rules are written into the plan: no more than 10,000 of them")
+    pages, (url_col,) = set_aside(pages, ("host", "path", "rule", "pattern", "verdict"), url_col)
+    name = unused(*pages.columns)
+    rest, fit, keys = name("_rest"), name("_fit"), name("_keys")
     url = F.col(url_col)
-    out = pages.withColumn("_rest", after_scheme(url))
-    out = out.withColumns({"host": host_of(F.col("_rest")), "path": path_of(F.col("_rest"))}).drop("_rest")
-    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for r in sorted(host_rules, key=lambda r: (len(r.name), r.name)):
-        fits = ((F.col("host") == r.host) | F.endswith(F.col("host"), F.lit("." + r.host))) & F.startswith(F.col("path"), F.lit(r.path))
-        rule, verdict = F.when(fits, r.name).otherwise(rule), F.when(fits, r.verdict).otherwise(verdict)
-    out = out.withColumns({"rule": rule, "_said": verdict})
-    found = F.lit(None).cast("string")
-    if pattern_rules:
-        filed = rarest_tokens(pages, pattern_rules, url_col)
-        keys = F.array_intersect(tokens_of(url), F.lit(sorted({t for tokens in filed for t in tokens})).cast("array<string>"))
-        out = out.withColumn("_keys", F.when(F.col("_said").isNull(), keys))
-        for r, tokens in reversed([*zip(pattern_rules, filed, strict=True)]):
-            fetched = F.arrays_overlap("_keys", F.lit([*tokens])) if tokens else F.lit(True)
-            found = F.when(fetched & F.rlike(url, F.lit(r.pattern)), r.name).otherwise(found)
-        out = out.withColumn("pattern", F.when(F.col("_said").isNull(), found)).drop("_keys")
-    else:
-        out = out.withColumn("pattern", found)
-    return out.withColumn("verdict", F.coalesce("_said", F.when(F.col("pattern").isNotNull(), "block").otherwise("allow"))).drop("_said")
+    out = pages.withColumn(rest, after_scheme(url))
+    out = out.withColumns({"host": host_of(F.col(rest)), "path": path_of(F.col(rest))}).drop(rest)
+    ranked = sorted(host_rules, key=lambda r: (-len(r.name), r.name))
+    hosts = filed([{"key": r.host, "rank": i, "name": r.name, "path": r.path, "verdict": r.verdict} for i, r in enumerate(ranked)])
+    fits = F.filter(fetched(hosts, hosts_above(F.col("host"))), lambda r: F.startswith(F.col("path"), r["path"]))
+    out = out.withColumn(fit, F.when(F.col("host") != "", F.array_min(F.transform(fits, lambda r: F.struct(r["rank"].alias("rank"), r["name"].alias("name"), r["verdict"].alias("verdict"))))))
+    out = out.withColumn("rule", F.col(fit)["name"])
+
+    places = rarest_tokens(pages, pattern_rules, url_col) if pattern_rules else []
+    entries = [{"key": t, "rank": i, "name": r.name, "pattern": r.pattern} for i, (r, tokens) in enumerate(zip(pattern_rules, places, strict=True)) for t in tokens or ("",)]
+    # A rule without tokens is filed under the empty key, which every URL has.
+    out = out.withColumn(keys, F.when(F.col("rule").isNull() & url.isNotNull(), F.array_union(tokens_of(url), F.array(F.lit("")))))
+    hits = F.filter(fetched(filed(entries), F.col(keys)), lambda r: F.rlike(url, r["pattern"]))
+    first = F.array_min(F.transform(hits, lambda r: F.struct(r["rank"].alias("rank"), r["name"].alias("name"))))["name"]
+    out = out.withColumn("pattern", first if entries else F.lit(None).cast("string"))
+    verdict = F.coalesce(F.col(fit)["verdict"], F.when(F.col("pattern").isNotNull(), "block").otherwise("allow"))
+    return out.withColumn("verdict", verdict).drop(fit, keys)
