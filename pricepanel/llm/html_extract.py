@@ -1,20 +1,23 @@
 """Main text of web pages by wrapper induction: pages of a host are aligned by simple tree matching.
 
 1. A page is a tree of elements and texts. Elements that never hold an article (menus, forms, scripts and the
-   like, by tag) are furniture from the start. Outside ``article`` and ``main``, elements that a class, id or
-   role names so are furniture if such an element is on half of the host's pages; on a host of one page the name decides.
+   like, by tag) are furniture from the start, but for a form, dialog or the like that holds most of the page's text, or an
+   ``article`` or ``main``. Outside ``article`` and ``main``, elements that a class, id or role names so are furniture if
+   such an element is on half of the host's pages; on a host of one page the name decides. What holds most of the text or a
+   first heading is never furniture by its name.
 2. All pages of a host are counted, pages with one and the same text once: a text is *template* if it stands at
    the same path (tags and classes) in two pages at least and in half of those that have the containers above it,
    so that each layout is judged by its own pages. The wrapper is the tree of the template texts, and the place
    below which most of the varying text lies.
 3. Of every page the template texts go. Where a page has a template text more often than the wrapper, simple tree
    matching of the page with the wrapper says which of them it is. Of the rest what lies below the place of the
-   varying text is the article. A host of one page has no template; then the place is found in the page alone.
+   varying text is the article, with a first heading that stands before it. A host of one page has no template; then the place is found in the page alone.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -46,6 +49,8 @@ CLOSES = {
     "body": (("head",), ()),
 }
 FURNITURE = frozenset("head nav header footer aside form menu dialog button select input label fieldset script style template noscript iframe object svg canvas video audio map search".split())
+#: Furniture only if it is a small part of the page.
+MAY_HOLD_ALL = frozenset("form fieldset dialog menu".split())
 NEVER_HINTED = frozenset("html body article main h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Parts of class, id or role that name furniture.
 HINT = re.compile(
@@ -56,6 +61,9 @@ _NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*
 _WHITE = " \t\n\r\x0c"
 #: Between the labels of a path; class names never have it.
 _STEP = "\x1f"
+#: Paths name so many steps; all below are one step, with their hash, so that deeply nested pages have short paths.
+_NAMED_STEPS = 100
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 1_000_000))  # trees are walked by functions that call themselves, as deep as pages are nested
 
 
 @dataclass
@@ -78,12 +86,33 @@ def parse(html: str | None) -> Node:
     """The tree of a page; whatever the input, it never fails."""
     html = html or ""
     root = Node("#root")
-    open_nodes, at = [root], 0
+    open_nodes, at, inside = [root], 0, 0  # inside: open ``article`` and ``main`` elements
+    doubtful: list[Node] = []
+
+    open_tags: Counter = Counter()
 
     def text(raw: str) -> None:
         if raw:
             open_nodes[-1].children.append(Node("", unescape(raw)))
 
+    def close() -> None:
+        nonlocal inside
+        tag = open_nodes.pop().tag
+        open_tags[tag] -= 1
+        inside -= tag in ("article", "main")
+
+    def finish(tags: tuple[str, ...], within: tuple[str, ...]) -> None:
+        """Ends the innermost open element of ``tags``, unless one of ``within`` is open inside."""
+        if not any(open_tags[t] for t in tags):
+            return
+        for i in range(len(open_nodes) - 1, 0, -1):
+            if open_nodes[i].tag in tags:
+                while len(open_nodes) > i:
+                    close()
+                return
+            if open_nodes[i].tag in within:
+                return
+
     for m in _TAG.finditer(html):
         if m.start() < at:
             continue
@@ -95,24 +124,26 @@ def parse(html: str | None) -> Node:
                 text(m[0][9:-3])
             continue
         if m[1]:
-            for i in range(len(open_nodes) - 1, 0, -1):
-                if open_nodes[i].tag == tag:
-                    del open_nodes[i:]
-                    break
+            if open_tags[tag]:
+                while open_nodes[-1].tag != tag:
+                    close()
+                close()
             continue
         if tag in BLOCKS:
-            _end(open_nodes, ("p",), ("table", "button", "object", "div", "article", "section", "td", "li"))
+            finish(("p",), ("table", "button", "object", "div", "article", "section", "td", "li"))
         if tag in CLOSES:
-            _end(open_nodes, *CLOSES[tag])
+            finish(*CLOSES[tag])
         node = Node(tag)
         if m[3]:
             found = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(m[3])}
             names = " ".join(found.get(k, "") for k in ("class", "id", "role"))
-            node.mark = ".".join(sorted(found.get("class", "").split()))[:60]
+            node.mark = ".".join(sorted(found.get("class", "").split()))
             hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
             node.furniture = bool(hidden)
-            node.hint = tag not in NEVER_HINTED and bool(HINT.search(names)) and not any(x.tag in ("article", "main") for x in open_nodes)
-        node.furniture |= tag in FURNITURE and not (tag == "header" and any(x.tag in ("article", "main") for x in open_nodes))
+            node.hint = tag not in NEVER_HINTED and bool(HINT.search(names)) and not inside
+        if tag in MAY_HOLD_ALL or node.hint:
+            doubtful.append(node)
+        node.furniture |= tag in FURNITURE and not (tag == "header" and inside)
         open_nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -122,19 +153,38 @@ def parse(html: str | None) -> Node:
             at = end.end() if end else len(html)
         elif tag not in VOID and not m[0].endswith("/>"):
             open_nodes.append(node)
-            if len(open_nodes) > 200:  # nested beyond reason: siblings from here on
-                open_nodes.pop()
+            open_tags[tag] += 1
+            inside += tag in ("article", "main")
     text(html[at:])
+    if doubtful:
+        _clear_doubts(root, doubtful)
     return root
 
 
-def _end(open_nodes: list[Node], tags: tuple[str, ...], inside: tuple[str, ...]) -> None:
-    for i in range(len(open_nodes) - 1, 0, -1):
-        if open_nodes[i].tag in tags:
-            del open_nodes[i:]
-            return
-        if open_nodes[i].tag in inside:
-            return
+def _clear_doubts(root: Node, doubtful: list[Node]) -> None:
+    """What holds more than half of the page's text is no furniture by its name; nor is a hinted element with a first heading, or a form with the article."""
+    held: dict[int, tuple[int, bool, bool]] = {}
+
+    def measure(node: Node) -> tuple[int, bool, bool]:
+        """Length of the texts below that may count, and is there an h1, an ``article`` or ``main``?"""
+        size, heading, article = 0, False, False
+        for c in node.children:
+            if not c.tag:
+                size += len(c.text.strip(_WHITE))
+            elif c.tag not in RAW:
+                n, h, a = measure(c)
+                size += n if c.tag in MAY_HOLD_ALL or not c.furniture else 0
+                heading, article = heading or h or c.tag == "h1", article or a or c.tag in ("article", "main")
+        held[id(node)] = size, heading, article
+        return held[id(node)]
+
+    total = measure(root)[0]
+    for node in doubtful:
+        size, heading, article = held[id(node)]
+        most = 2 * size > total
+        node.hint &= not (most or heading or article)
+        if node.tag in MAY_HOLD_ALL and (most or article):
+            node.furniture = False
 
 
 def content(node: Node) -> list[Node]:
@@ -186,7 +236,7 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> int
             while tail < min(len(x), len(y)) - head and same(x[-1 - tail], y[-1 - tail]):
                 tail += 1
             way = [*zip(x[:head], y[:head], strict=True), *_chain(x[head : len(x) - tail], y[head : len(y) - tail], own, lambda c, d: best(c, d)[0]), *zip(x[len(x) - tail :], y[len(y) - tail :], strict=True)]
-            out = (sum(best(c, d)[0] for c, d in way), way)
+            out = (sum([best(c, d)[0] for c, d in way]), way)
         known[id(p), id(q)] = out
         return out
 
@@ -235,14 +285,27 @@ def squeezed(text: str) -> str:
     return " ".join(x for x in re.split(r"[ \t\n\r\x0c]+", text) if x)
 
 
-def texts_by_path(node: Node, skip: set[int], path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], int]]:
+def texts_by_path(node: Node, skip: set[int]) -> list[tuple[tuple[str, ...], int]]:
     """(path of labels, length) of each text that is neither furniture nor in ``skip``."""
-    for c in content(node):
-        if not c.tag:
-            if id(c) not in skip:
-                yield path, len(c.text.strip(_WHITE))
-        else:
-            yield from texts_by_path(c, skip, (*path, c.label))
+    out: list[tuple[tuple[str, ...], int]] = []
+
+    def walk(n: Node, path: tuple[str, ...]) -> None:
+        for c in content(n):
+            if c.tag:
+                walk(c, _below(path, c.label))
+            elif id(c) not in skip:
+                out.append((path, len(c.text.strip(_WHITE))))
+
+    walk(node, ())
+    return out
+
+
+def _below(path: tuple[str, ...], label: str) -> tuple[str, ...]:
+    """The path of an element under ``path``."""
+    if len(path) < _NAMED_STEPS:
+        return (*path, label)
+    deep = path[_NAMED_STEPS] if len(path) > _NAMED_STEPS else ""
+    return (*path[:_NAMED_STEPS], f"#{hashed(deep + _STEP + label)}")
 
 
 def main_place(texts: list[tuple[tuple[str, ...], int]], share: float = 0.7) -> tuple[str, ...]:
@@ -306,19 +369,19 @@ def facts(root: Node) -> list[Text]:
     """The texts of a page that are no furniture, in page order; the elements whose names say furniture, each path once."""
     out: list[Text] = []
     seen: Counter = Counter()
-    before: list[int] = []
+    before: tuple[int, ...] = ()
     named: set[str] = set()
 
-    def walk(node: Node, path: tuple[str, ...], chain: list[int], hinted: bool) -> None:
+    def walk(node: Node, path: tuple[str, ...], chain: tuple[int, ...], hinted: bool) -> None:
         nonlocal before
         joined = scope = None
         for c in content(node):
             if c.tag:
-                below = (*path, c.label)
+                below = _below(path, c.label)
                 if c.hint and (name := _STEP.join(below)) not in named:
                     named.add(name)
                     out.append(Text(c, name, "", 0, _ELEMENT, 0, 0, 0, True))
-                walk(c, below, [*chain, id(c)], hinted or c.hint)
+                walk(c, below, (*chain, id(c)) if len(chain) < _NAMED_STEPS else chain, hinted or c.hint)
                 continue
             if joined is None:
                 joined, scope = _STEP.join(path), _STEP.join(x for x in _to_article(path) if _container(x))
@@ -329,7 +392,7 @@ def facts(root: Node) -> list[Text]:
             seen[joined, key] += 1
             before = chain
 
-    walk(root, (), [], False)
+    walk(root, (), (), False)
     return out
 
 
@@ -406,11 +469,26 @@ def blocks_of(node: Node, skip: set[int]) -> list[str]:
     return [t for t in (squeezed("".join(parts)) for parts in out) if t]
 
 
+def headings_before(root: Node, nodes: list[Node]) -> list[Node]:
+    """First headings outside and before some nodes: the titles of articles whose text is in a container of its own."""
+    first, out = id(nodes[0]) if nodes else None, []
+
+    def walk(node: Node) -> bool:
+        for c in content(node):
+            if id(c) == first or (c.tag and c.tag != "h1" and walk(c)):
+                return True
+            if c.tag == "h1":
+                out.append(c)
+        return False
+
+    return out if walk(root) else []
+
+
 def _settle(node: Node, hints: frozenset[str] | None, path: tuple[str, ...] = ()) -> None:
     """Makes furniture of the elements whose names count."""
     for c in node.children:
         if c.tag and not c.furniture:
-            below = (*path, c.label)
+            below = _below(path, c.label)
             if c.hint and (hints is None or _STEP.join(below) in hints):
                 c.furniture = True
             else:
@@ -433,7 +511,7 @@ def extract(html: str | None, wrapper: Wrapper) -> str:
     nodes = below(root, wrapper.place) if wrapper.place else []
     if not any(blocks_of(n, skip) for n in nodes):
         nodes = below(root, main_place(list(texts_by_path(root, skip)))) or [root]
-    return "\n".join(b for n in nodes for b in blocks_of(n, skip))
+    return "\n".join(b for n in [*headings_before(root, nodes), *nodes] for b in blocks_of(n, skip))
 
 
 _TEXTS = pa.list_(pa.struct([("path", pa.string()), ("scope", pa.int64()), ("key", pa.int64()), ("nth", pa.int32()), ("place", pa.int32()), ("shared", pa.int32()), ("size", pa.int32()), ("hinted", pa.bool_())]))
@@ -458,12 +536,12 @@ def _wrappers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = []
         for constant, place, n in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
             at = None if place is None else _to_article(tuple(place.split(_STEP)) if place else ())
-            blobs.append(pickle.dumps(wrapper_of([tuple(c.values()) for c in constant or []], at, n)))
+            blobs.append(pickle.dumps(([tuple(c.values()) for c in constant or []], at, n)))
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(blobs, pa.binary())], names=["_host", "_wrapper"])
 
 
 def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
-    """``_host`` and ``_wrapper`` (pickled) from all rows of ``_host`` and ``_html``."""
+    """``_host`` and ``_wrapper`` (what ``wrapper_of`` takes, pickled) from all rows of ``_host`` and ``_html``."""
     read = pages.select("_host", "_html").where("_html is not null").mapInArrow(_facts, _FACT_KINDS)
     distinct = stored(read.groupBy("_host", "_whole").agg(F.min("_texts").alias("_texts")), "page-facts")
     texts = distinct.select("_host", F.explode("_texts").alias("t")).select("_host", "t.*")
@@ -503,7 +581,7 @@ def _extracted(schema: pa.Schema):
                 if blob not in known:
                     if len(known) > 500:
                         known = {None: Wrapper()}
-                    known[blob] = pickle.loads(blob)
+                    known[blob] = wrapper_of(*pickle.loads(blob))
                 out.append(extract(html, known[blob]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.string())], schema=schema)
 
