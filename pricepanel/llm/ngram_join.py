@@ -9,10 +9,12 @@
    are dealt out by (shingle, part of the nodes), so that no task gets all of a hot one.
 3. Stars. In each prefix group every node is paired with one centre (the node whose shingles are the most
    frequent), not with all others, so a group of g near copies makes g - 1 pairs; the centres of a hot
-   shingle's parts are paired with one of them. Pairs from many groups are merged, and verified exactly:
-   suffix filter first, then the count.
-4. Rest. Groups with nodes of different components after step 3 are joined pairwise between components, but
-   for the pairs that step 3 has judged, so no link is lost; pairs inside a component can change nothing.
+   shingle's parts are paired with one of them. Pairs from many groups are merged and verified: the suffix
+   filter on fixed parts of the hash space (a *sketch* counts a node's shingles in each) goes before the texts
+   are read, then on the sets themselves, then the exact count.
+4. Rest. Groups with nodes of different components after step 3 get a round of stars more, each group with a
+   centre of its own by hash; what is then left is joined pairwise between components, but
+   for the pairs that were judged before, so no link is lost; pairs inside a component can change nothing.
 5. Components of all links, by alternating large and small stars.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricepanel.llm.common import as_binary, batches, discard, distinct, drained, grams, stored, text_batches, word_hashes
+from pricepanel.llm.common import among, batches, discard, distinct, drained, grams, stored, text_batches, word_hashes
 
-_NODE = pa.schema([("_doc", pa.int64()), ("_n", pa.int64()), ("_node", pa.int64()), ("_part", pa.int32()), ("_counts", pa.binary())])
+_NODE = pa.schema([("_doc", pa.int64()), ("_n", pa.int64()), ("_node", pa.int64()), ("_sketch", pa.binary()), ("_few", pa.list_(pa.int8())), ("_part", pa.int32()), ("_counts", pa.binary())])
 _ENTRY = pa.schema([("_token", pa.int64()), ("_salt", pa.int32()), ("_node", pa.int64()), ("_place", pa.int64()), ("_weight", pa.int64())])
 _COUNT = pa.schema([("_part", pa.int32()), ("_counts", pa.binary())])
 _LINK = pa.schema([("_a", pa.int64()), ("_b", pa.int64())])
@@ -50,6 +53,33 @@ def node_of(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles of a set are in each of equal parts of the hash space; about as many parts as half the set."""
+    bits = min(max(4, (len(s) // 2).bit_length()), 12)
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8 if counts.max() < 1 << 8 else np.uint32).tobytes()
+
+
+def few(s: np.ndarray) -> np.ndarray:
+    """Counts of 128 parts; more than 127 count as so many, which makes differences smaller, never larger."""
+    return np.minimum(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=128), 127).astype(np.int8)
+
+
+def parts_of(sketched: bytes, n: int) -> np.ndarray:
+    """The counts of a sketch of n shingles."""
+    size = 1 << min(max(4, (n // 2).bit_length()), 12)
+    return np.frombuffer(sketched, np.uint8 if len(sketched) == size else np.uint32).astype(np.int64)
+
+
+def least_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the symmetric difference of two sets, from the counts of their parts."""
+    while len(x) > len(y):
+        x = x.reshape(-1, 2).sum(1)
+    while len(y) > len(x):
+        y = y.reshape(-1, 2).sum(1)
+    return int(np.abs(x - y).sum())
+
+
 def _packed(counts: np.ndarray) -> bytes:
     """Counts of a part as the narrowest numbers that hold them; beyond 2^31 only the order among such buckets is lost."""
     most = int(counts.max())
@@ -70,10 +100,10 @@ def _nodes(k: int, buckets: int):
             at = (np.concatenate(sets) & np.uint64(buckets - 1)).astype(np.int64)
             np.add.at(total, at, np.uint32(1))
             nothing = [None] * len(sets)
-            yield batches({"_doc": batch.column(0).to_pylist(), "_n": [len(s) for s in sets], "_node": [node_of(s) if len(s) else None for s in sets], "_part": nothing, "_counts": nothing}, _NODE)
+            yield batches({"_doc": batch.column(0).to_pylist(), "_n": [len(s) for s in sets], "_node": [node_of(s) if len(s) else None for s in sets], "_sketch": [sketch(s) if len(s) else None for s in sets], "_few": [few(s) if len(s) else None for s in sets], "_part": nothing, "_counts": nothing}, _NODE)
         parts = np.flatnonzero(total.reshape(-1, _PART).any(1))
         nothing = [None] * len(parts)
-        yield batches({"_doc": nothing, "_n": nothing, "_node": nothing, "_part": parts, "_counts": [_packed(total[p * _PART : (p + 1) * _PART]) for p in parts.tolist()]}, _NODE)
+        yield batches({"_doc": nothing, "_n": nothing, "_node": nothing, "_sketch": nothing, "_few": nothing, "_part": parts, "_counts": [_packed(total[p * _PART : (p + 1) * _PART]) for p in parts.tolist()]}, _NODE)
 
     return run
 
@@ -104,12 +134,12 @@ def shingle_counts(counted: DataFrame, buckets: int) -> np.ndarray:
     return total.ravel()
 
 
-def _entries(k: int, t: Fraction, counts):
+def _entries(k: int, t: Fraction, counts, hot_from: int):
     """Prefix entries; a set that a task has met before is not indexed again."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met, df = set(), counts.value
-        mask, hot = np.uint64(len(df) - 1), 4 * df.mean() + 2_000
+        mask, hot = np.uint64(len(df) - 1), 4 * df.mean() + hot_from
         for batch in text_batches(it):
             parts = []
             for s in shingle_sets(batch.column(0), k):
@@ -159,6 +189,20 @@ def links(x: np.ndarray, y: np.ndarray, t: Fraction) -> bool:
     return most >= 0 and suffix_filter(x, y, most) <= most and len(np.intersect1d(x, y, assume_unique=True)) >= need
 
 
+def _alike(t: Fraction):
+    """Pairs that the counts of their parts allow to link."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(it, 4096):
+            keep = []
+            for m, x, n, y in zip(*[batch.column(i).to_pylist() for i in (2, 3, 4, 5)], strict=True):
+                most = m + n - 2 * least_overlap(t, m, n)
+                keep.append(most >= 0 and least_difference(parts_of(x, m), parts_of(y, n)) <= most)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], schema=_LINK)
+
+    return run
+
+
 def _verified(k: int, t: Fraction):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = {"_a": [], "_b": []}
@@ -194,21 +238,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("_hi").alias("_node"), F.col("_lo").alias("_least"))
 
 
-def among(rows: DataFrame, ids: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:
-    """``rows`` without most of those whose ``column`` is not among ``ids`` (one column), by a bitmap of their hashes.
-
-    The bitmap has ``bits`` bits whatever the size of ``ids``, so it may be broadcast; what it lets through goes on to a join.
-    """
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    one = ids.select(place(F.col(ids.columns[0])).alias("_bit"))
-    bitmap = one.groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bitmap"))
-    at = F.bitmap_bit_position(place(F.col(column)))
-    byte = F.conv(F.hex(F.substring("_bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = rows.join(F.broadcast(bitmap), F.bitmap_bucket_number(place(F.col(column))) == F.col("_bucket"))
-    return found.where(F.getbit(byte, (at % 8).cast("int")) == 1).drop("_bucket", "_bitmap")
-
-
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: str = "3/4", buckets: int = 1 << 22) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: str = "3/4", buckets: int = 1 << 22, rounds: int = 1, hot_from: int = 2_000) -> DataFrame:
     """One row per document: ``id_col``, n_shingles (size of its set) and component_id.
 
     Documents link when the Jaccard similarity of their sets of k-word shingles (A-Z lower-cased) is
@@ -217,25 +247,29 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     each judged by its own text (of different texts under one id, the pairs that need the id's text are
     checked against each). A row with a null id links only through a row that has an id and the same set.
     Sets are named by 64-bit hashes of 64-bit shingle hashes; a false link needs such hashes to collide.
+    ``rounds`` of stars go before the pairwise rest; a shingle is hot if its bucket counts ``hot_from`` more than four times the mean.
     """
     t = Fraction(threshold)
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
-    counted = stored(source.mapInArrow(_nodes(k, buckets), "_doc long, _n long, _node long, _part int, _counts binary"), "nodes")
-    counts = spark.sparkContext.broadcast(shingle_counts(counted, buckets))
+    counted = stored(source.mapInArrow(_nodes(k, buckets), "_doc long, _n long, _node long, _sketch binary, _few array<tinyint>, _part int, _counts binary"), "nodes")
+    df = spark.sparkContext.broadcast(shingle_counts(counted, buckets))
 
     nodes = counted.where("_part is null").select("_doc", "_n", "_node")
     classes = stored(nodes.where("_node is not null").groupBy("_node").agg(F.min("_doc").alias("_doc")), "classes")
-    entries = source.select("_text").mapInArrow(_entries(k, t, counts), "_token long, _salt int, _node long, _place long, _weight long").repartition("_token", "_salt")
+    entries = source.select("_text").mapInArrow(_entries(k, t, df, hot_from), "_token long, _salt int, _node long, _place long, _weight long").repartition("_token", "_salt")
     entries = entries.groupBy("_token", "_salt", "_node").agg(F.max("_place").alias("_place"), F.max("_weight").alias("_weight"))
     size = lambda c: F.shiftright(c, 32)
     place = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
 
+    def overlap(p: str, q: str):
+        """Common shingles that a link needs."""
+        return F.ceil((size(F.col(p)) + size(F.col(q))) * t.numerator / float(t.numerator + t.denominator) - 1e-9)
+
     def passes(p: str, q: str):
         """Length filter, and what is left behind both places must still make up the overlap needed."""
         m, n = size(F.col(p)), size(F.col(q))
-        need = F.ceil((m + n) * t.numerator / float(t.numerator + t.denominator) - 1e-9)
-        return (F.least(m, n) * t.denominator >= F.greatest(m, n) * t.numerator) & (F.least(m - place(p), n - place(q)) >= need)
+        return (F.least(m, n) * t.denominator >= F.greatest(m, n) * t.numerator) & (F.least(m - place(p), n - place(q)) >= overlap(p, q))
 
     # Centre of a group: the greatest weight, then the greatest node. A window over the shingle reads the one shuffle once.
     group = Window.partitionBy("_token", "_salt")
@@ -248,38 +282,79 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     top = parts.groupBy("_token").agg(F.max("_at").alias("_top"))
     tops = parts.join(top, "_token").select("_at._node", "_at._place", F.col("_top._node").alias("_c"), F.col("_top._place").alias("_cp"))
 
+    def of_pairs(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("_a", "_b")).alias("_id")).distinct()
+
+    def both(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+        """``rows`` (by _id) at both ends of each pair."""
+        for end in ("_a", "_b"):
+            pairs = pairs.join(rows.select(F.col("_id").alias(end), *[F.col(c).alias(end + c) for c in columns]), end)
+        return pairs.select("_a", "_b", *[end + c for end in ("_a", "_b") for c in columns])
+
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("_a", "_b")).alias("_id")).distinct()
-        reps = stored(classes.join(ids, F.col("_node") == F.col("_id"), "left_semi"), "representatives")
-        wanted = among(source, reps.select("_doc"), "_doc")
-        held = stored(wanted.join(reps, "_doc").select(F.col("_node").alias("_id"), "_text"), "texts")
-        joined = pairs.join(held.select(F.col("_id").alias("_a"), F.col("_text").alias("_x")), "_a").join(held.select(F.col("_id").alias("_b"), F.col("_text").alias("_y")), "_b")
-        out = stored(joined.select("_a", "_b", "_x", "_y").mapInArrow(_verified(k, t), "_a long, _b long"), "verified")
-        discard(reps, held)
+        sketches = counted.join(of_pairs(pairs), F.col("_node") == F.col("_id"), "left_semi").groupBy(F.col("_node").alias("_id")).agg(F.first("_n").alias("_n"), F.first("_sketch").alias("_s"))
+        alike = stored(both(pairs, sketches, "_n", "_s").mapInArrow(_alike(t), "_a long, _b long"), "alike")
+        reps = stored(classes.join(of_pairs(alike), F.col("_node") == F.col("_id"), "left_semi"), "representatives")
+        held = stored(among(source, reps.select("_doc"), "_doc").join(reps, "_doc").select(F.col("_node").alias("_id"), F.col("_text").alias("_t")), "texts")
+        out = stored(both(alike, held, "_t").mapInArrow(_verified(k, t), "_a long, _b long"), "verified")
+        discard(alike, reps, held)
         return out
 
+    judged, found = [], []
+
+    def judge(pairs: DataFrame, name: str) -> DataFrame | None:
+        """Verifies the pairs that were not judged before; the components of all links so far, or nothing where no pair was new."""
+        new = pairs.select(F.least("_node", "_c").alias("_a"), F.greatest("_node", "_c").alias("_b")).distinct()
+        for seen in judged:
+            new = new.join(seen, ["_a", "_b"], "left_anti")
+        new = stored(new, name)
+        judged.append(new)
+        if new.isEmpty():
+            return None
+        found.append(verify(new))
+        return components(reduce(DataFrame.union, found))
+
+    def mixed(label: DataFrame) -> DataFrame:
+        """Groups with nodes of several components, each node with its component and that of most of the group."""
+        named = left.join(label, "_node", "left").select("_token", "_node", "_place", F.coalesce("_least", "_node").alias("_comp"))
+        per = named.groupBy("_token", "_comp").agg(F.count("*").alias("_k"))
+        main = per.groupBy(F.col("_token").alias("_t")).agg(F.max_by("_comp", F.struct("_k", "_comp")).alias("_main"), F.count("*").alias("_comps")).where("_comps > 1")
+        return stored(named.join(main, F.col("_token") == F.col("_t")).select("_token", "_node", "_place", "_comp", "_main"), "mixed-groups")
+
     stars = grouped.select("_node", "_place", "_c", "_cp").union(tops).where((F.col("_node") != F.col("_c")) & passes("_place", "_cp"))
-    starred = stored(stars.select(F.least("_node", "_c").alias("_a"), F.greatest("_node", "_c").alias("_b")).distinct(), "stars")
-    found = verify(starred)
-    label = components(found)
+    none = spark.createDataFrame([], "_node long, _least long")
+    label = judge(stars, "stars")
+    label = none if label is None else label
 
     # What is left: pairs of one group in different components, but for those with a centre that saw all of the group.
     left = grouped.where("(_g > 2 and _node <> _c) or _salt > 0").select("_token", "_node", "_place")
-    named = left.join(label, "_node", "left").select("_token", "_node", "_place", F.coalesce("_least", "_node").alias("_comp"))
-    per = named.groupBy("_token", "_comp").agg(F.count("*").alias("_k"))
-    main = per.groupBy(F.col("_token").alias("_t")).agg(F.max_by("_comp", F.struct("_k", "_comp")).alias("_main"), F.count("*").alias("_comps")).where("_comps > 1")
-    mixed_groups = stored(named.join(main, F.col("_token") == F.col("_t")).select("_token", "_node", "_place", "_comp", "_main"), "mixed-groups")
+    groups = mixed(label)
     discard(grouped)
+    for r in range(rounds):
+        left = groups.select("_token", "_node", "_place")
+        # Any one node of each group, another one in each group and round.
+        drawn = groups.withColumn("_h", F.xxhash64("_node", "_token", F.lit(r)))
+        least = drawn.groupBy("_token").agg(F.min("_h").alias("_h"))
+        centres = drawn.join(least, ["_token", "_h"]).select("_token", F.col("_node").alias("_c"), F.col("_place").alias("_cp"), F.col("_comp").alias("_cc"))
+        pairs = groups.join(centres, "_token").where((F.col("_comp") != F.col("_cc")) & passes("_place", "_cp"))
+        after = judge(pairs.select("_node", "_c"), "stars")
+        if after is None:
+            break
+        label, before = after, groups
+        groups = mixed(label)
+        discard(before)
     # One side is outside the component of most of the group.
-    few = mixed_groups.where("_comp <> _main").select("_token", F.col("_node").alias("_a"), F.col("_place").alias("_p"), F.col("_comp").alias("_ca"))
-    every = mixed_groups.select("_token", F.col("_node").alias("_b"), F.col("_place").alias("_q"), F.col("_comp").alias("_cb"), "_main")
-    rest = few.join(every, "_token").where((F.col("_ca") != F.col("_cb")) & passes("_p", "_q") & ((F.col("_cb") == F.col("_main")) | (F.col("_a") < F.col("_b"))))
-    rest = rest.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
-    rest = stored(rest.join(starred, ["_a", "_b"], "left_anti"), "rest")
-    discard(mixed_groups, starred)
-    if not rest.isEmpty():
-        label = components(found.union(verify(rest)))
-    discard(found, rest)
+    counts = counted.join(groups.select(F.col("_node").alias("_id")).distinct(), F.col("_node") == F.col("_id"), "left_semi").groupBy("_node").agg(F.first("_few").alias("_few"))
+    groups_with = groups.join(counts, "_node")
+    few = groups_with.where("_comp <> _main").select("_token", "_node", F.col("_place").alias("_p"), F.col("_comp").alias("_ca"), F.col("_few").alias("_x"))
+    every = groups_with.select("_token", F.col("_node").alias("_c"), F.col("_place").alias("_q"), F.col("_comp").alias("_cb"), "_main", F.col("_few").alias("_y"))
+    # The suffix filter on 128 parts of the hash space, while the pairs are made.
+    apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, d: total + d)
+    may = passes("_p", "_q") & (apart <= size(F.col("_p")) + size(F.col("_q")) - 2 * overlap("_p", "_q"))
+    rest = few.join(every, "_token").where((F.col("_ca") != F.col("_cb")) & ((F.col("_cb") == F.col("_main")) | (F.col("_node") < F.col("_c"))) & may)
+    after = judge(rest.select("_node", "_c"), "rest")
+    label = label if after is None else after
+    discard(groups, *judged, *found)
 
     # The least id of each component; one that holds much of the corpus is dealt out by its nodes.
     linked = classes.join(label, "_node").select("_node", "_doc", "_least", F.pmod("_node", F.lit(_SALTS)).alias("_salt"))
