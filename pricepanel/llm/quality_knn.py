@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from pricepanel.llm.common import as_binary, text_batches
-from pricepanel.llm.toxicity import labelled_sample
+from pricepanel.llm.toxicity import fitted, labelled_sample
 
 
 def shape(word: bytes) -> str:
@@ -127,8 +127,7 @@ def _votes(model, schema: pa.Schema):
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", per_class: int = 1_500, max_chars: int = 12_000_000, id_col: str = "doc_id", text_col: str = "text", **settings) -> Neighbours:
     """Vectors of a bounded sample of labelled rows (of each class ``per_class`` rows and ``max_chars`` characters), whole texts."""
-    sample = labelled_sample(docs, labels, label, per_class, id_col, text_col, max_chars)
-    return fit([t for t, _ in sample], [y for _, y in sample], **settings)
+    return fitted(labelled_sample(docs, labels, label, per_class, id_col, text_col, max_chars), lambda texts, ys: fit(texts, ys, **settings))
 
 
 def quality(docs: DataFrame, model: Neighbours, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -13,7 +13,8 @@ are trained on them by Adam, a few times over.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain, groupby
 
@@ -211,11 +212,11 @@ def _scores(model, schema: pa.Schema):
     return run
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text", max_chars: int = 12_000_000) -> list[tuple[bytes, int]]:
-    """Whole texts of labelled rows, those of the least hashed ids; never held-out rows.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text", max_chars: int = 12_000_000) -> DataFrame:
+    """_id, _y and _text (whole) of labelled rows, those of the least hashed ids; never held-out rows.
 
     Of each class ``per_class`` rows at most, as long as they have no more than ``max_chars`` characters together: so
-    both the rows and the bytes that reach the driver are bounded. Labels that disagree about a row give none.
+    both rows and bytes of the sample are bounded. Labels that disagree about a row give none.
     """
     rows = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & ~held_out("_id"))
     rows = rows.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_top")).where("_y = _top").drop("_top")
@@ -227,8 +228,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     lengths = found.select("_id", "_y", F.length("_text").alias("_n"))
     so_far = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")
     within = F.broadcast(lengths.withColumn("_sum", F.sum("_n").over(so_far)).where(F.col("_sum") <= max_chars).select("_id"))
-    texts = sorted((r["_id"], r["_y"], r["_text"]) for r in found.join(within, "_id").toLocalIterator())
-    return [(t.encode(), y) for _, y, t in texts]
+    return found.join(within, "_id").select("_id", "_y", "_text")
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[bytes], list[int]], object]):
+    """What ``fit`` makes of a bounded sample's texts and labels, in one task; the driver gets no text, only the model."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, ys = [], []
+        for batch in it:
+            texts += as_binary(batch.column("_text"))
+            ys += batch.column("_y").to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, ys))], pa.binary())], names=["model"])
+
+    row = sample.repartition(1).sortWithinPartitions("_id").mapInArrow(run, "model binary").first()
+    return fit([], []) if row is None else pickle.loads(row["model"])
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class: int = 2_000, max_chars: int = 12_000_000, id_col: str = "doc_id", text_col: str = "text", **settings) -> Model:
@@ -236,12 +250,14 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", per_class
 
     With labels of one class or none there is nothing to learn: the score is that class's share, or 0.5.
     """
-    sample = labelled_sample(docs, labels, label, per_class, id_col, text_col, max_chars)
-    ys = [y for _, y in sample]
-    if len(set(ys)) < 2:
-        share = (sum(ys) + 1) / (len(ys) + 2)
-        return Model(np.zeros(1, np.float32), float(np.log(share / (1 - share))) if ys else 0.0, 16)
-    return fit([t for t, _ in sample], ys, **settings)
+
+    def fit_sample(texts: list[bytes], ys: list[int]) -> Model:
+        if len(set(ys)) < 2:
+            share = (sum(ys) + 1) / (len(ys) + 2)
+            return Model(np.zeros(1, np.float32), float(np.log(share / (1 - share))) if ys else 0.0, 16)
+        return fit(texts, ys, **settings)
+
+    return fitted(labelled_sample(docs, labels, label, per_class, id_col, text_col, max_chars), fit_sample)
 
 
 def toxicity(docs: DataFrame, model: Model, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
