@@ -92,9 +92,9 @@ def test_tiles_count_dense_and_sparse():
         seen.update((lang, int(a), int(b)) for a, b in zip(x, y, strict=True))
         full = tiles.add(lang, x, y)
         for la, tile, cells, n in tiles.taken() if full else ():
-            got.update({(la, (tile >> 7) << 11 | int(c) >> 11, (tile & 127) << 11 | int(c) & 2047): int(m) for c, m in zip(cells, n, strict=True)})
+            got.update({(la, *map(int, collocations.ranks_of(tile << 23 | c))): int(m) for c, m in zip(cells, n, strict=True)})
     for la, tile, cells, n in tiles.taken():
-        got.update({(la, (tile >> 7) << 11 | int(c) >> 11, (tile & 127) << 11 | int(c) & 2047): int(m) for c, m in zip(cells, n, strict=True)})
+        got.update({(la, *map(int, collocations.ranks_of(tile << 23 | c))): int(m) for c, m in zip(cells, n, strict=True)})
     assert got == seen
 
 
