@@ -1,7 +1,7 @@
 """Selection within a query's quotes: comparable sets, picks by time, margins, samples and filter accounts.
 
-A query's quotes stay together as one array from parse to pick, so the pick needs one shuffle at most (none
-where the payload already holds them). The cross-row forms use windows over the query.
+A query's quotes stay together as one array from parse to pick, so the pick needs one shuffle at most, and none where
+a payload holds them: then any number of settings is tried in one pass over the payloads.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricepanel.operators.payload import fare_quotes, stay_quotes
+
 #: Property types that count as hotels (fixed values); null and blank count too.
 HOTEL_TYPES = ("hotel", "motel", "inn", "aparthotel")
 TIERS = ("midscale", "upscale")
@@ -31,22 +33,39 @@ def minutes_from_target(minutes: Column, target: Column | int) -> Column:
     return F.least(d, 1440 - d)
 
 
+def select_in_row(rows: DataFrame, quotes: str, target: Column, max_ratio: Column) -> DataFrame:
+    """``rows`` with the selection among the quotes (price, transfers, dep_minutes, pos) in their array column, which goes.
+
+    Columns are those of ``select_fare``; an array without quotes, or none, has the basis 'empty' and no price. No row leaves its place.
+    """
+    q = F.filter(F.col(quotes), lambda x: x["price"].isNotNull())
+    direct = lambda x: F.coalesce(x["transfers"] == 0, F.lit(False))
+    own = rows.withColumns({"_q": F.coalesce(q, F.filter(q, lambda x: F.lit(False))), "_target": target, "_ratio": max_ratio.cast("double")}).drop(quotes)
+    own = own.withColumn("_any", F.exists("_q", direct)).withColumn("_pool", F.when(F.col("_any"), F.filter("_q", direct)).otherwise(F.col("_q")))
+    own = own.withColumn("_low", F.array_min(F.transform("_pool", lambda x: x["price"])))
+    ranked = lambda x: F.struct(F.coalesce(minutes_from_target(x["dep_minutes"], F.col("_target")), F.lit(UNTIMED)).alias("d"), x["price"].alias("p"), x["pos"].alias("o"))
+    own = own.withColumn("_in", F.array_sort(F.transform(F.filter("_pool", lambda x: x["price"] <= F.col("_low") * F.col("_ratio")), ranked)))
+    own = own.withColumns({"_1": F.get("_in", F.lit(0)), "_2": F.get("_in", F.lit(1))})
+    timed = lambda c: F.when(F.col(c)["d"] < UNTIMED, F.col(c)["d"])
+    basis = F.concat(F.when(F.col("_any"), "direct_only").otherwise("no_direct_available"), F.when(F.size("_in") < F.size("_pool"), "+outlier_capped").otherwise(""))
+    made = {
+        "price": F.col("_1.p"), "minutes_off": timed("_1"), "pos": F.col("_1.o"), "price_cheapest": F.col("_low"), "n_quotes": F.size("_q").cast("long"), "n_considered": F.size("_in").cast("long"),
+        "basis": F.when(F.size("_q") > 0, basis).otherwise("empty"), "selection_margin": timed("_2") - timed("_1"), "selection_spread": F.col("_1.p") - F.col("_low"),
+    }
+    return own.withColumns(made).drop("_q", "_target", "_ratio", "_any", "_pool", "_low", "_in", "_1", "_2")
+
+
+#: Rank of a quote without a time, after all times of a day.
+UNTIMED = 10_000
+
+
 def select_fare(quotes: DataFrame, key: str = "query_id", target: int = 540, max_ratio: float = 5.0) -> DataFrame:
     """Per query: the quote nearest the target (then cheaper, then first), the cheapest, counts, basis, margin and spread.
 
-    Without a timed quote the cheapest is picked and its distance is null.
+    Without a timed quote the cheapest is picked and its distance is null. One shuffle brings a query's quotes together.
     """
-    seen = quotes.groupBy(key).agg(F.count("*").alias("n_quotes"))
-    q = comparable_fares(quotes, key, max_ratio).withColumn("delta", minutes_from_target(F.col("dep_minutes"), target))
-    rank = F.struct(F.coalesce("delta", F.lit(10_000)).alias("d"), F.col("price").alias("p"), F.col("pos").alias("o"))
-    timed = F.array_sort(F.collect_list("delta"))
-    picked = q.groupBy(key).agg(
-        F.min_by(F.struct("price", "delta", "pos"), rank).alias("_s"), F.min("price").alias("price_cheapest"), F.count("*").alias("n_considered"), F.first("basis").alias("basis"), timed.alias("_t")
-    )
-    return picked.join(seen, key).select(
-        key, F.col("_s.price").alias("price"), F.col("_s.delta").alias("minutes_off"), F.col("_s.pos").alias("pos"), "price_cheapest", "n_quotes", "n_considered", "basis",
-        (F.get("_t", F.lit(1)) - F.get("_t", F.lit(0))).alias("selection_margin"), (F.col("_s.price") - F.col("price_cheapest")).alias("selection_spread"),
-    )
+    arrays = quotes.groupBy(key).agg(F.collect_list(F.struct("price", "transfers", "dep_minutes", "pos")).alias("_quotes"), F.count("*").alias("_n"))
+    return select_in_row(arrays, "_quotes", F.lit(target), F.lit(max_ratio)).withColumn("n_quotes", F.col("_n")).drop("_n")
 
 
 def tier_for_class(stars: Column) -> Column:
@@ -89,8 +108,9 @@ def filter_accounting(quotes: DataFrame, key: str = "query_id", basis: str = "re
     return out.select(key, "tier", "returned", "considered", "dropped_type", "dropped_rate", "dropped_outlier", (F.col("_typed") - F.col("_own")).alias("other_tier"))
 
 
-def comparability_basis(account: DataFrame, basis: str = "refundable") -> DataFrame:
-    said = F.concat_ws("+", F.concat(F.lit("tier="), F.col("tier")), F.lit(f"rate={basis}"), F.lit("board=unknown"), F.lit("room=unknown"), F.when(F.col("dropped_type") > 0, "non_hotel_excluded"), F.when(F.col("dropped_outlier") > 0, "outlier_capped"))
+def comparability_basis(account: DataFrame, basis: str | Column = "refundable") -> DataFrame:
+    rate = F.concat(F.lit("rate="), F.lit(basis))
+    said = F.concat_ws("+", F.concat(F.lit("tier="), F.col("tier")), rate, F.lit("board=unknown"), F.lit("room=unknown"), F.when(F.col("dropped_type") > 0, "non_hotel_excluded"), F.when(F.col("dropped_outlier") > 0, "outlier_capped"))
     return account.withColumn("comparability_basis", said)
 
 
@@ -144,9 +164,47 @@ def top_up_sample(panel: DataFrame, retired: DataFrame, candidates: DataFrame, c
     return out if failed is None else out.unionByName(untouched)
 
 
-def reselect_from_payload(stored: DataFrame, key: str = "query_id", quotes: str = "quotes", **settings) -> DataFrame:
-    """Selection anew from quotes that are stored as one array per query."""
-    return select_fare(stored.select(key, F.inline(quotes)), key, **settings)
+FARE_SETTINGS, STAY_SETTINGS = "array<struct<setting: string, target: int, max_ratio: double>>", "array<struct<setting: string, rate_basis: string, max_ratio: double>>"
+
+
+def reselect_from_payload(stored: DataFrame, settings: Column | list[tuple], key: str = "query_id", payload: str = "payload", kind: str = "fares") -> DataFrame:
+    """Selection anew from stored raw payloads under several settings: a row for each payload and setting (and, for stays, tier).
+
+    ``settings`` are (name, target minutes, cap) for fares and (name, rate basis, cap) for stays, as a list or as an array
+    column, so that each row may have its own. Each payload is parsed once, and no row is moved between tasks. A payload
+    without quotes, or that is none, gives rows too: without a price, fares with the basis 'empty'.
+    """
+    if kind not in ("fares", "stays"):
+        raise ValueError(f"no payloads of {kind}")
+    shape = FARE_SETTINGS if kind == "fares" else STAY_SETTINGS
+    if not isinstance(settings, Column):
+        settings = F.array(*[F.struct(*map(F.lit, s)) for s in settings])
+    parsed = (fare_quotes if kind == "fares" else stay_quotes)(F.col(payload))
+    each = stored.select(key, parsed.alias("_quotes"), settings.cast(shape).alias("_settings")).select(key, "_quotes", F.inline("_settings"))
+    if kind == "fares":
+        timed = lambda q: F.struct(q["price"].alias("price"), q["transfers"].alias("transfers"), (F.hour(q["departure_at"]) * 60 + F.minute(q["departure_at"])).alias("dep_minutes"), q["pos"].alias("pos"))
+        return select_in_row(each.withColumn("_quotes", F.transform("_quotes", timed)), "_quotes", F.col("target"), F.col("max_ratio"))
+    return account_in_row(each.withColumn("tier", F.explode(F.array(*map(F.lit, TIERS)))), "_quotes")
+
+
+def account_in_row(rows: DataFrame, quotes: str) -> DataFrame:
+    """``rows`` (with tier, rate_basis and max_ratio) with the account of the stays in their array column, which goes: counts, basis, cheapest, spread and the properties by token."""
+    with_tier = lambda q: F.coalesce(tier_for_class(q["hotel_class"]) == F.col("tier"), F.lit(False))
+    own = rows.withColumn("_typed", F.filter(quotes, lambda q: hotel_like(q["property_type"]))).withColumn("_pool", F.filter("_typed", with_tier))
+    wanted = lambda q: (F.col("rate_basis") == "any") | F.coalesce(q["free_cancellation"] == (F.col("rate_basis") == "refundable"), F.lit(False))
+    own = own.withColumn("_rated", F.filter("_pool", wanted)).withColumn("_p", F.sort_array(F.transform("_rated", lambda q: q["price"])))
+    n = F.size("_p")
+    own = own.withColumn("_m", (F.get("_p", F.floor((n - 1) / 2).cast("int")) + F.get("_p", F.floor(n / 2).cast("int"))) / 2)
+    inside = lambda q: q["price"].between(F.col("_m") / F.col("max_ratio"), F.col("_m") * F.col("max_ratio"))
+    named = lambda q: F.struct(q["property_token"].alias("property_token"), q["price"].alias("price"), q["pos"].alias("pos"))
+    own = own.withColumn("properties", F.array_sort(F.transform(F.filter("_rated", inside), named)))
+    prices = F.transform("properties", lambda q: q["price"])
+    size = lambda c: F.size(c).cast("long")
+    counts = {
+        "returned": size(quotes), "considered": size("properties"), "dropped_type": size(quotes) - size("_typed"), "dropped_rate": size("_pool") - size("_rated"), "dropped_outlier": size("_rated") - size("properties"),
+        "other_tier": size("_typed") - size("_pool"), "cheapest": F.array_min(prices), "spread_ratio": F.when((F.size("properties") > 1) & (F.array_min(prices) > 0), F.array_max(prices) / F.array_min(prices)),
+    }
+    return comparability_basis(own.withColumns(counts), F.col("rate_basis")).drop(quotes, "_typed", "_pool", "_rated", "_p", "_m")
 
 
 def with_failures(rows: DataFrame, failed: DataFrame | None, key: str) -> DataFrame:
@@ -160,7 +218,7 @@ def with_failures(rows: DataFrame, failed: DataFrame | None, key: str) -> DataFr
 def build_fare_rows(legs: DataFrame, picked: DataFrame, key: str = "query_id", failed: DataFrame | None = None) -> DataFrame:
     """One row per leg with all its own columns, such as calendar and provenance; legs without a pick stay as no_data, failed calls as error.
 
-    A failed call has no price whatever ``picked`` says; counts are 0 where there was nothing to select from.
+    A failed call has no price whatever ``picked`` says; counts are 0 and the basis is 'empty' where there was nothing to select from.
     """
     chosen = [c for c in picked.columns if c != key]
     rows = with_failures(legs.join(picked, key, "left"), failed, key)
@@ -168,6 +226,8 @@ def build_fare_rows(legs: DataFrame, picked: DataFrame, key: str = "query_id", f
     rows = rows.withColumns({c: F.when(ok, F.coalesce(c, F.lit(0))) if c.startswith("n_") else F.when(ok, F.col(c)) for c in chosen})
     rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in chosen if c.startswith("n_")})
     status = F.when(~ok, "error").when(F.col("price").isNotNull(), "ok").otherwise("no_data")
+    if "basis" in chosen:
+        rows = rows.withColumn("basis", F.when(ok, F.coalesce("basis", F.lit("empty"))))
     return rows.withColumns({"status": status, "error_message": F.col("_failed")}).drop("_failed")
 
 

@@ -49,13 +49,6 @@ def selection_spread(quotes):
     return se.select_fare(quotes).select("query_id", F.round("selection_spread", 6).alias("selection_spread"))
 
 
-@query("quotes", sql=POOL + " select query_id, pos, basis from sel")
-def reselect_from_payload(quotes):
-    """From quotes stored as one array per query: exploded, then selected anew."""
-    payload = quotes.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("pos", "price", "transfers", "dep_minutes"))).alias("quotes"))
-    return se.reselect_from_payload(payload).select("query_id", "pos", "basis")
-
-
 STAGED = "with s0 as (select *, case when hotel_class between 3 and 3.5 then 'midscale' when hotel_class between 4 and 4.5 then 'upscale' end tier, coalesce(lower(trim(property_type)), '') kind from quotes), s1 as (select *, case when kind <> '' and kind not in ('hotel', 'motel', 'inn', 'aparthotel') then 'type' when tier is null then 'other_tier' when free_cancellation is null or not free_cancellation then 'rate' end st from s0), md as (select query_id, tier, median(price) m from s1 where st is null group by 1, 2), staged as (select s1.*, coalesce(st, case when price not between m / 5 and m * 5 then 'outlier' end, 'considered') stage from s1 left join md on s1.query_id = md.query_id and s1.tier = md.tier)"
 
 
@@ -142,10 +135,10 @@ def legs_of(quotes):
     return legs, legs.where("query_id % 11 = 0").select("query_id", F.concat(F.lit("quota exceeded "), F.repeat(F.lit("x"), F.lit(2000))).alias("message"))
 
 
-@query("quotes", sql=POOL + LEGS + " select l.query_id, run_id, case when not failed then round(price, 6) end price, case when failed then 0 else coalesce(n_considered, 0) end n_considered, case when failed then 'error' when price is null then 'no_data' else 'ok' end status, case when failed then concat('quota exceeded ', repeat('x', 985)) end error_message from legs l left join sel on l.query_id = sel.query_id")
+@query("quotes", sql=POOL + LEGS + " select l.query_id, run_id, case when not failed then round(price, 6) end price, case when failed then 0 else coalesce(n_considered, 0) end n_considered, case when not failed then coalesce(basis, 'empty') end basis, case when failed then 'error' when price is null then 'no_data' else 'ok' end status, case when failed then concat('quota exceeded ', repeat('x', 985)) end error_message from legs l left join sel on l.query_id = sel.query_id")
 def build_fare_rows(quotes):
     legs, failed = legs_of(quotes)
-    return se.build_fare_rows(legs, se.select_fare(quotes), failed=failed).select("query_id", "run_id", F.round("price", 6).alias("price"), "n_considered", "status", "error_message")
+    return se.build_fare_rows(legs, se.select_fare(quotes), failed=failed).select("query_id", "run_id", F.round("price", 6).alias("price"), "n_considered", "basis", "status", "error_message")
 
 
 @query("quotes", sql=STAGED + LEGS + ", n as (select query_id, count(*) n from quotes group by 1), ok as (select *, row_number() over (partition by query_id order by tier, pos, property_token) k, min(price) over (partition by query_id, tier) low from staged where stage = 'considered') select c.query_id, run_id, case when failed then 0 else coalesce(n, 0) end n_quotes, case when not failed then property_token end property_token, case when not failed then tier end tier, case when not failed then round(low, 6) end price_cheapest, case when failed then 'error' when price is null then 'no_data' else 'ok' end status, case when failed then concat('quota exceeded ', repeat('x', 985)) when price is null and n > 0 then concat(n, ' properties returned, none comparable (rate_basis=refundable)') end error_message, case when not failed and (k = 1 or price is null) and n > 0 then concat('raw ', c.query_id) end raw_response, not failed and coalesce(property_token like '%7', false) is_panel_property from legs c left join ok on c.query_id = ok.query_id left join n on c.query_id = n.query_id where not failed or k is null or k = 1")

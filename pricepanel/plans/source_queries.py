@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pricepanel.functions.calendar import nth_weekday
 from pricepanel.operators import payload as pl
 from pricepanel.operators import published as pub
+from pricepanel.operators import selection as se
 from pricepanel.operators import vintages as vt
 from pricepanel.plans.panel_queries import ERA, STAND_IN_ERAS, rounded
 from pricepanel.plans.standins import standin, with_standins
@@ -44,7 +46,7 @@ def on(name: str, sql: str | None = None):
 def scratch(spark) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
     return f"{folder.rstrip('/')}/pricepanel-io/{uuid.uuid4().hex}"
@@ -235,11 +237,45 @@ def flatten_cached_fare_payload(quotes):
     return out.select("query_id", "currency", F.round("price", 6).alias("price"), "transfers")
 
 
+def _stay_payload(quotes):
+    q = F.struct(F.col("property_type").alias("type"), F.when(F.col("pos") % 6 != 5, F.col("property_token")).alias("property_token"), F.when(F.col("pos") % 2 == 0, F.col("hotel_class")).alias("extracted_hotel_class"), F.when(F.col("hotel_class").isNotNull(), F.concat(F.col("hotel_class").cast("string"), F.lit("-star hotel"))).alias("hotel_class"), "free_cancellation", F.struct(F.when(F.col("pos") % 3 != 0, F.col("price")).alias("extracted_lowest")).alias("rate_per_night"), F.struct(F.when(F.col("pos") % 3 == 0, F.col("price")).alias("extracted_lowest")).alias("total_rate"))
+    return quotes.groupBy("query_id").agg(F.collect_list(q).alias("properties")).select("query_id", F.to_json(F.struct("properties")).alias("payload"))
+
+
 @query("quotes", sql="select query_id, property_token, round(price, 6) price, property_type, hotel_class, free_cancellation from quotes where pos % 6 <> 5")
 def flatten_stay_payload(quotes):
-    q = F.struct(F.col("property_type").alias("type"), F.when(F.col("pos") % 6 != 5, F.col("property_token")).alias("property_token"), F.when(F.col("pos") % 2 == 0, F.col("hotel_class")).alias("extracted_hotel_class"), F.when(F.col("hotel_class").isNotNull(), F.concat(F.col("hotel_class").cast("string"), F.lit("-star hotel"))).alias("hotel_class"), "free_cancellation", F.struct(F.when(F.col("pos") % 3 != 0, F.col("price")).alias("extracted_lowest")).alias("rate_per_night"), F.struct(F.when(F.col("pos") % 3 == 0, F.col("price")).alias("extracted_lowest")).alias("total_rate"))
-    rows = quotes.groupBy("query_id").agg(F.collect_list(q).alias("properties")).select("query_id", F.to_json(F.struct("properties")).alias("payload"))
-    return pl.flatten_stay_payload(rows, "query_id").select("query_id", "property_token", F.round("price", 6).alias("price"), "property_type", "hotel_class", "free_cancellation")
+    return pl.flatten_stay_payload(_stay_payload(quotes), "query_id").select("query_id", "property_token", F.round("price", 6).alias("price"), "property_type", "hotel_class", "free_cancellation")
+
+
+FARE_SETTINGS = [("nine", 540, 5.0), ("evening", 1080, 5.0), ("tight", 540, 1.2), ("night", 0, 2.0)]
+STAY_SETTINGS = [("refundable", "refundable", 5.0), ("any", "any", 5.0), ("fixed", "non_refundable", 5.0), ("tight", "refundable", 1.3)]
+_EMPTY = "query_id % 13 = 0"
+RESELECTED = f"""with ids as (select distinct query_id from quotes), fs as (select * from (values {', '.join(f"('{n}', {t}, {r}::double)" for n, t, r in FARE_SETTINGS)}) v(setting, target, ratio)),
+fq as (select query_id, pos, price, transfers, case when transfers is not null then dep_minutes end as m from quotes where pos % 7 <> 6 and not {_EMPTY}),
+a as (select fq.*, fs.*, max(case when transfers = 0 then 1 else 0 end) over (partition by query_id, setting) d, count(*) over (partition by query_id, setting) nq from fq, fs),
+p as (select *, min(price) over (partition by query_id, setting) lo, count(*) over (partition by query_id, setting) np from a where d = 0 or coalesce(transfers = 0, false)),
+c as (select *, least(abs(m - target), 1440 - abs(m - target)) delta from p where price <= lo * ratio),
+r as (select *, row_number() over (partition by query_id, setting order by coalesce(delta, 10000), price, pos) k, count(*) over (partition by query_id, setting) n from c),
+f as (select query_id, setting, max(nq) nq, max(n) n, concat(case when max(d) = 1 then 'direct_only' else 'no_direct_available' end, case when max(n) < max(np) then '+outlier_capped' else '' end) basis, max(case when k = 1 then price end) price, max(case when k = 1 then delta end) off, max(case when k = 2 then delta end) - max(case when k = 1 then delta end) margin, max(lo) low from r group by 1, 2),
+ss as (select * from (values {', '.join(f"('{n}', '{b}', {r}::double)" for n, b, r in STAY_SETTINGS)}) v(setting, rate, ratio)), t as (select * from (values ('midscale'), ('upscale')) v(tier)),
+sq as (select query_id, price, coalesce(lower(trim(property_type)), '') kind, free_cancellation fc, case when hotel_class between 3 and 3.5 then 'midscale' when hotel_class between 4 and 4.5 then 'upscale' end as own from quotes where pos % 6 <> 5 and not {_EMPTY}),
+sg as (select sq.*, setting, rate, ratio, kind in ('', 'hotel', 'motel', 'inn', 'aparthotel') typed, rate = 'any' or coalesce(fc = (rate = 'refundable'), false) rated from sq, ss),
+sm as (select query_id, setting, own, median(price) m from sg where typed and rated group by 1, 2, 3),
+st as (select sg.*, price between m / ratio and m * ratio fits from sg left join sm on sg.query_id = sm.query_id and sg.setting = sm.setting and sg.own = sm.own),
+sa as (select query_id, setting, rate, tier, count(*) nq, count(*) filter (typed and rated and own = tier and fits) n, count(*) filter (not typed) nt, count(*) filter (typed and rated and own = tier and not fits) no, count(*) filter (typed and own = tier and not rated) nr, min(price) filter (typed and rated and own = tier and fits) low, max(price) filter (typed and rated and own = tier and fits) high from st, t group by 1, 2, 3, 4)
+select 'fares' kind, ids.query_id, fs.setting, cast(null as varchar) tier, coalesce(nq, 0) n_quotes, coalesce(n, 0) n_considered, coalesce(basis, 'empty') basis, round(price, 6) price, round(low, 6) cheapest, off minutes_off, margin, cast(null as bigint) dropped_rate, cast(null as double) spread from ids cross join fs left join f on ids.query_id = f.query_id and fs.setting = f.setting
+union all select 'stays', ids.query_id, ss.setting, t.tier, coalesce(nq, 0), coalesce(n, 0), concat('tier=', t.tier, '+rate=', ss.rate, '+board=unknown+room=unknown', case when nt > 0 then '+non_hotel_excluded' else '' end, case when no > 0 then '+outlier_capped' else '' end), null, round(low, 6), null, null, coalesce(nr, 0), round(case when n > 1 then high / low end, 6) from ids cross join ss cross join t left join sa on ids.query_id = sa.query_id and ss.setting = sa.setting and t.tier = sa.tier"""
+
+
+@query("quotes", sql=RESELECTED)
+def reselect_from_payload(quotes):
+    """Fares and stays under four settings each, from raw payloads, some without quotes."""
+    emptied = lambda rows: rows.withColumn("payload", F.when(F.expr(_EMPTY), F.when(F.col("query_id") % 2 == 0, '{"error":"no results found"}')).otherwise(F.col("payload")))
+    fares = se.reselect_from_payload(emptied(_fare_payload(quotes)), FARE_SETTINGS)
+    stays = se.reselect_from_payload(emptied(_stay_payload(quotes)), STAY_SETTINGS, kind="stays")
+    one = fares.select(F.lit("fares").alias("kind"), "query_id", "setting", F.lit(None).cast("string").alias("tier"), "n_quotes", "n_considered", "basis", F.round("price", 6).alias("price"), F.round("price_cheapest", 6).alias("cheapest"), "minutes_off", F.col("selection_margin").alias("margin"), F.lit(None).cast("long").alias("dropped_rate"), F.lit(None).cast("double").alias("spread"))
+    other = stays.select(F.lit("stays").alias("kind"), "query_id", "setting", "tier", F.col("returned").alias("n_quotes"), F.col("considered").alias("n_considered"), F.col("comparability_basis").alias("basis"), F.lit(None).cast("double").alias("price"), F.round("cheapest", 6).alias("cheapest"), F.lit(None).cast("int").alias("minutes_off"), F.lit(None).cast("int").alias("margin"), "dropped_rate", F.round("spread_ratio", 6).alias("spread"))
+    return one.unionByName(other)
 
 
 @query("quotes", sql="select query_id, pos, hotel_class stars from quotes")
@@ -255,9 +291,12 @@ def parse_free_cancellation(quotes):
     return quotes.select("query_id", "pos", pl.parse_free_cancellation(F.when(F.col("pos") % 3 == 0, text), F.when(F.col("pos") % 3 == 1, "2026-05-01"), prices).alias("free_cancellation"))
 
 
-@on("events", sql="select event_id, ts::date as day, cast(hour(ts) * 60 + minute(ts) as int) as minutes from events")
+@on("events", sql="select event_id, case when event_id % 7 < 6 then ts::date end as day, case when event_id % 7 < 6 then cast(hour(ts) * 60 + minute(ts) as int) end as minutes from events")
 def parse_timestamps(events):
-    text = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    forms = ["yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss'+01:00'", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'-0530'", "yyyy-MM-dd'T'HH:mm'+02'", "yyyy-MM-dd HH:mm 'o''clock'"]
+    text = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        text = F.when(F.col("event_id") % len(forms) == i, F.date_format("ts", form)).otherwise(text)
     t = pl.parse_timestamps(text)
     return events.select("event_id", F.to_date(t).alias("day"), (F.hour(t) * 60 + F.minute(t)).alias("minutes"))
 
@@ -323,9 +362,9 @@ def rank_releases(orders):
     return best.select("o_custkey", F.initcap(F.regexp_extract("url", "to([a-z]+[0-9]{4})$", 1)).alias("newest"))
 
 
-@on("pages", sql=r"select page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>', ' ', 'g'), '(?is)<style.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) as text from pages")
+@on("pages", sql=r"select page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html || ' it&#39;s &quot;x&quot; a&amp;#39;b &lt;b&gt; <> 1 <p>', '(?is)<script.*?</script>', ' ', 'g'), '(?is)<style.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&#39;', ''''), '&quot;', chr(34)), '\s+', ' ', 'g')) as text from pages")
 def strip_html(pages):
-    return pages.select("page_id", pl.strip_html(F.col("html")).alias("text"))
+    return pages.select("page_id", pl.strip_html(F.concat("html", F.lit(" it&#39;s &quot;x&quot; a&amp;#39;b &lt;b&gt; <> 1 <p>"))).alias("text"))
 
 
 _TUESDAY = "cast(f + cast((2 - isodow(f) + 7) % 7 + 7 as int) as date)"
