@@ -19,11 +19,20 @@ def lookup(table: dict, key: Column) -> Column:
     return out
 
 
-def nth_weekday(day: Column, weekday: str, n: int) -> Column:
-    """The n-th weekday of the month of ``day``; null where the month has none."""
+def nth_weekday(day: Column, weekday: str, n: int, missing: str = "refuse") -> Column:
+    """The n-th weekday of the month of ``day``; where the month has none reading it fails, or with ``missing`` 'null' it is null."""
+    if n < 1 and missing == "refuse":
+        raise ValueError(f"no weekday has the number {n}")
     first = F.trunc(day, "MM")
     found = F.date_add(F.next_day(F.date_sub(first, 1), weekday), 7 * (n - 1))
-    return F.when((F.lit(n) >= 1) & (F.month(found) == F.month(first)) & (F.year(found) == F.year(first)), found)
+    there = F.lit(n >= 1) & (F.month(found) == F.month(first)) & (F.year(found) == F.year(first))
+    if missing == "null":
+        return F.when(there, found)
+    return F.when(there | day.isNull(), found).otherwise(_refused(F.concat(F.lit(f"no {weekday} number {n} in "), F.date_format(first, "yyyy-MM"))))
+
+
+def _refused(said: Column) -> Column:
+    return F.raise_error(said).cast("date")
 
 
 def candidate_index_days(day: Column) -> tuple[Column, Column]:
@@ -42,11 +51,15 @@ def choose_ordinal(day: Column) -> Column:
 
 
 def target_departure_date(day: Column, months: Column | int, ordinal: Column | None = None) -> Column:
-    """The Tuesday of the same ordinal some months on, one week earlier where that month has none."""
+    """The Tuesday of the same ordinal some months on, one week earlier where that month has none.
+
+    Without an ordinal the day is a Tuesday, and reading the date of another day fails; a null day gives null.
+    """
     n = F.coalesce(ordinal, index_day_ordinal(day)) if ordinal is not None else index_day_ordinal(day)
     month = F.add_months(F.trunc(day, "MM"), months)
     wanted = F.date_add(F.next_day(F.date_sub(month, 1), "TU"), 7 * (n - 1))
-    return F.when(F.month(wanted) == F.month(month), wanted).otherwise(F.date_sub(wanted, 7))
+    there = F.when(F.month(wanted) == F.month(month), wanted).otherwise(F.date_sub(wanted, 7))
+    return F.when(n.isNull() & day.isNotNull(), _refused(F.concat(F.lit("no Tuesday and no ordinal: "), day.cast("string")))).otherwise(there)
 
 
 def target_time(haul: Column, times: dict[str, str] | None = None, override: str | None = None) -> Column:
@@ -92,9 +105,10 @@ def expected_stay_calls(nights: DataFrame, locations: DataFrame, day: str = "day
 
 
 def expand_stay_nights(days: DataFrame) -> DataFrame:
-    """An index day's Tuesday night and the Thursday nine days on; days that are no Tuesday give nothing."""
+    """An index day's Tuesday night and the Thursday nine days on; reading the nights of a day that is no Tuesday fails."""
     nights = F.array(F.struct(F.lit("index_week").alias("kind"), F.col("index_day").alias("check_in")), F.struct(F.lit("thursday_after").alias("kind"), F.date_add("index_day", 9).alias("check_in")))
-    return days.where(F.weekday("index_day") == 1).withColumn("_n", F.explode(nights)).select("index_day", F.col("_n.kind").alias("stay_night_kind"), F.col("_n.check_in").alias("check_in"))
+    tuesday = F.when((F.weekday("index_day") == 1) | F.col("index_day").isNull(), F.col("index_day")).otherwise(_refused(F.concat(F.lit("no Tuesday: "), F.col("index_day").cast("string"))))
+    return days.withColumn("index_day", tuesday).withColumn("_n", F.explode(nights)).select("index_day", F.col("_n.kind").alias("stay_night_kind"), F.col("_n.check_in").alias("check_in"))
 
 
 def collection_calendar(months: DataFrame, advance: int = 42) -> DataFrame:

@@ -70,9 +70,10 @@ def price_relative(prices: DataFrame, keys: list[str], min_matched: int = 3, for
 
 
 def splice_nowcast(published: DataFrame, relatives: DataFrame, keys: list[str], formula: str = "jevons") -> DataFrame:
-    """Published level of the month before times the relative; no level above zero, no nowcast."""
+    """Published level of the month before times the relative; no level, no nowcast, and reading one on a level of zero or less fails."""
     level = published.select(*keys, F.add_months("month", 1).alias("month"), F.col("level").alias("_level"))
-    return relatives.join(level, [*keys, "month"]).select(*keys, "month", F.when(F.col("_level") > 0, F.col("_level") * F.col(formula)).alias("nowcast"))
+    refused = F.raise_error(F.concat(F.lit("cannot splice on a level of "), F.col("_level").cast("string"))).cast("double")
+    return relatives.join(level, [*keys, "month"]).select(*keys, "month", F.when(F.col("_level") > 0, F.col("_level") * F.col(formula)).when(F.col("_level") <= 0, refused).alias("nowcast"))
 
 
 def consecutive_pairs(months: DataFrame, keys: list[str], eras=ERAS) -> DataFrame:
@@ -110,8 +111,10 @@ def detect_basis(points: DataFrame, keys: list[str], tolerance: float = 0.5, oth
     return out.select(*keys, F.when(F.col("_n") < 2, "unknown").when(F.col("_near"), "annual_january_100").otherwise(otherwise).alias("basis"))
 
 
-def month_on_month(points: DataFrame, keys: list[str]) -> DataFrame:
-    """Percentage change on the month before, where there is one with a level above zero."""
+def month_on_month(points: DataFrame, keys: list[str], eras=None) -> DataFrame:
+    """Percentage change on the month before, where there is one with a level above zero; with ``eras`` (stays) not across a change of regime."""
     w = Window.partitionBy(*keys).orderBy("month")
     out = points.withColumns({"_pm": F.lag("month").over(w), "_pl": F.lag("level").over(w)})
+    if eras is not None:
+        out = out.where(~spans_methodology_break(F.col("_pm"), F.col("month"), eras))
     return out.where((month_number("month") - month_number("_pm") == 1) & (F.col("_pl") > 0)).select(*keys, "month", ((F.col("level") / F.col("_pl") - 1) * 100).alias("pct_change"))

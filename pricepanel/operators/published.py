@@ -17,7 +17,7 @@ def plausible_values(rows: DataFrame, value: str = "index_value", low: float | N
 def published_rows(values: DataFrame, series: list[str], eras=ERAS) -> DataFrame:
     """Each value as a 4-place decimal with the basis of its series, the regime of its month, and is_current, true on every row."""
     basis = detect_basis(values.select(*series, F.col("index_month").alias("month"), F.col("index_value").alias("level")), series)
-    named = values.join(F.broadcast(basis), series)  # one row a series
+    named = values.join(basis, series)
     return named.withColumns({"index_value": F.col("index_value").cast("decimal(18,4)"), "methodology_era": methodology_era(F.col("index_month"), eras), "is_current": F.lit(True)})
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,38 +19,48 @@ def quantised(value: Column) -> Column:
 
 
 def price_bucket(price: Column) -> Column:
-    """Buckets in the order of prices, each some 0.5 per cent wide; zero and less are below."""
-    step = lambda p: F.floor(F.log(p) * 200)
+    """Buckets in the order of prices, each some 20 per cent wide; zero and less are below."""
+    step = lambda p: F.floor(F.log(p) * 5)
     return F.when(price > 0, step(price)).when(price == 0, F.lit(-1_000_000)).otherwise(F.lit(-2_000_000) - step(-price))
 
 
-def cell_stats(rows: DataFrame, keys: list[str], price: str) -> DataFrame:
+def _same(left: list[str], right: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)])
+
+
+def cell_stats(rows: DataFrame, keys: list[str], price: str, atom: list[str] | None = None, scopes: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Count, mean, exact median and geometric mean of each cell's prices, in two passes that aggregate partially.
 
-    The first counts the prices of each cell by bucket; its sums make all but the median, and tell in which bucket or two
-    the middle prices are. The second counts the distinct prices of these buckets only. So no task ever holds a cell's
-    prices, however many there are.
+    The first counts the prices of each atom by bucket, the finest cells there are (those of ``atom``, by default ``keys``).
+    Such counts merge, so ``scopes`` puts an atom's buckets, not its rows, into the cells of ``keys`` that it belongs to.
+    Their sums make all but the median, and tell in which bucket or two the middle prices of a cell are. The second pass takes
+    from the rows those in such a bucket of their atom, for the cells that ask for it, and counts their distinct prices. So no
+    task ever holds a cell's prices, however many there are, and no row is repeated for cells whose median it cannot be.
     """
-    p, t = F.col("_p"), [F.col(k) for k in keys]
-    named = rows.select(*keys, F.col(price).alias("_p")).withColumn("_b", price_bucket(p))
-    buckets = named.groupBy(*keys, "_b").agg(F.count(p).alias("_n"), F.sum(p).alias("_sum"), F.sum(F.when(p > 0, F.log(p))).alias("_log"), F.count_if(p > 0).alias("_above"))
+    atom, p = atom or keys, F.col("_p")
+    own, cell = [f"_a{i}" for i in range(len(atom))], [f"_k{i}" for i in range(len(keys))]
+    named = rows.select(*atom, F.col(price).alias("_p")).withColumn("_b", price_bucket(p))
+    counted = named.groupBy(*atom, "_b").agg(F.count(p).alias("_n"), F.sum(p).alias("_sum"), F.sum(F.when(p > 0, F.log(p))).alias("_log"), F.count_if(p > 0).alias("_above"))
+    counted = counted.withColumns(dict(zip(own, map(F.col, atom), strict=True)))
+    put = scopes(counted) if scopes else counted
+    buckets = put.groupBy(*keys, "_b").agg(*[F.sum(c).alias(c) for c in ("_n", "_sum", "_log", "_above")]) if scopes else counted.drop(*own)
     totals = buckets.groupBy(*keys).agg(F.sum("_n").alias("n"), (F.sum("_sum") / F.sum("_n")).alias("mean"), F.exp(F.sum("_log") / F.sum("_above")).alias("geomean"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     ranked = buckets.where("_n > 0").withColumns({"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_all": F.sum("_n").over(Window.partitionBy(*keys))})
     low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
-    middle = ranked.where((F.col("_before") < high) & (F.col("_before") + F.col("_n") >= low)).select(*[c.alias(f"_k{i}") for i, c in enumerate(t)], F.col("_b").alias("_mb"), "_before", low.alias("_low"), high.alias("_high"))
-    same = F.col("_b") == F.col("_mb")
-    for i, c in enumerate(t):
-        same = same & c.eqNullSafe(F.col(f"_k{i}"))
-    prices = named.where(p.isNotNull()).join(middle, same).groupBy(*keys, "_b", "_p").agg(F.count("*").alias("_n"), F.first("_before").alias("_before"), F.first("_low").alias("_low"), F.first("_high").alias("_high"))
-    inside = Window.partitionBy(*keys, "_b").orderBy("_p")
+    middle = ranked.where((F.col("_before") < high) & (F.col("_before") + F.col("_n") >= low)).select(*[F.col(c).alias(k) for c, k in zip(keys, cell, strict=True)], F.col("_b").alias("_mb"), "_before", low.alias("_low"), high.alias("_high"))
+    ranks = ["_before", "_low", "_high"]
+    if scopes:  # which atoms hold prices of a middle bucket, and of which cells
+        asked = put.where("_n > 0").join(middle, _same(keys, cell) & (F.col("_b") == F.col("_mb"))).select(*own, *cell, "_mb", *ranks)
+    else:
+        asked = middle.select(*[F.col(k).alias(a) for k, a in zip(cell, own, strict=True)], *cell, "_mb", *ranks)
+    met = named.where(p.isNotNull()).join(asked, _same(atom, own) & (F.col("_b") == F.col("_mb")))
+    prices = met.groupBy(*cell, "_b", "_p").agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in ranks])
+    inside = Window.partitionBy(*cell, "_b").orderBy("_p")
     prices = prices.withColumn("_to", F.col("_before") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_from", F.col("_to") - F.col("_n"))
     at = lambda rank: F.max(F.when((F.col("_from") < F.col(rank)) & (F.col("_to") >= F.col(rank)), p))
-    medians = prices.groupBy(*keys).agg(((at("_low") + at("_high")) / 2).alias("median")).select(*[c.alias(f"_k{i}") for i, c in enumerate(t)], "median")
-    same = F.lit(True)
-    for i, c in enumerate(t):
-        same = same & c.eqNullSafe(F.col(f"_k{i}"))
-    return totals.join(medians, same, "left").select(*keys, "n", "mean", "median", "geomean")
+    medians = prices.groupBy(*cell).agg(((at("_low") + at("_high")) / 2).alias("median"))
+    return totals.join(medians, _same(keys, cell), "left").select(*keys, "n", "mean", "median", "geomean")
 
 
 def elementary_stats(rows: DataFrame, keys: list[str], price: str = "price_gbp") -> DataFrame:
@@ -75,23 +88,37 @@ def reconstruct_fares(rows: DataFrame) -> DataFrame:
 
 def expected_routes(recon: DataFrame, routes: DataFrame) -> DataFrame:
     """Attach how many routes the panel has of each haul."""
-    return recon.join(F.broadcast(routes.groupBy("haul_category").agg(F.countDistinct("route").alias("n_routes_expected"))), "haul_category", "left")
+    return recon.join(routes.groupBy("haul_category").agg(F.countDistinct("route").alias("n_routes_expected")), "haul_category", "left")
 
 
-def stay_scopes(rows: DataFrame) -> DataFrame:
-    """Each row in each of its cells: two attributions, its samples, its own tier and all, its own night and both."""
-    samples = F.when(F.col("is_panel_property"), F.array(F.lit("pinned"), F.lit("matched_census"))).otherwise(F.array(F.lit("matched_census")))
-    long = rows.withColumn("sample_rule", F.explode(samples)).selectExpr("*", "stack(2, 'stay', index_month_stay, 'collection', index_month_collection) as (attribution, index_month)")
-    long = long.withColumn("property_tier", F.explode(F.array(F.coalesce("property_tier", F.lit("unknown")), F.lit("all")))).withColumn("stay_night_kind", F.explode(F.array(F.col("stay_night_kind"), F.lit("both"))))
-    return long.select(*STAY_CELL, "property_token", "price_gbp")
+STAY_CELL = ["attribution", "index_month", "collection_alignment", "sample_rule", "location", "property_tier", "stay_night_kind"]
+STAY_ATOM = ["attribution", "index_month", "collection_alignment", "is_panel_property", "location", "property_tier", "stay_night_kind"]
 
 
-STAY_CELL = ["attribution", "index_month", "collection_alignment", "sample_rule", "location", "property_tier", "stay_night_kind"]
+def stay_atoms(rows: DataFrame) -> DataFrame:
+    """Each row under its two attributions, with the columns of the finest cells; tier and night are never null."""
+    long = rows.selectExpr("*", "stack(2, 'stay', index_month_stay, 'collection', index_month_collection) as (attribution, index_month)")
+    known = long.withColumns({"is_panel_property": F.coalesce("is_panel_property", F.lit(False)), "property_tier": F.coalesce("property_tier", F.lit("unknown"))})
+    return known.select(*STAY_ATOM, "property_token", "price_gbp")
+
+
+def _samples(pinned: Column) -> Column:
+    return F.when(pinned, F.array(F.lit("pinned"), F.lit("matched_census"))).otherwise(F.array(F.lit("matched_census")))
+
+
+def stay_scopes(atoms: DataFrame) -> DataFrame:
+    """Each row in each of its cells: its samples, its own tier and all, its own night and both."""
+    out = atoms.withColumn("sample_rule", F.explode(_samples(F.col("is_panel_property")))).withColumn("property_tier", F.explode(F.array("property_tier", F.lit("all"))))
+    return out.withColumn("stay_night_kind", F.explode(F.array("stay_night_kind", F.lit("both"))))
 
 
 def properties_seen(rows: DataFrame) -> DataFrame:
-    """Distinct properties of each cell."""
-    return stay_scopes(rows).select(*STAY_CELL, "property_token").distinct().groupBy(*STAY_CELL).agg(F.count("property_token").alias("n_properties"))
+    """Distinct properties of each cell.
+
+    Rows are dealt by property first and made distinct at their finest; all further steps but the last count stay where they are.
+    """
+    dealt = stay_atoms(rows).select(*STAY_ATOM, "property_token").repartition("attribution", "index_month", "collection_alignment", "location", "property_token").distinct()
+    return stay_scopes(dealt).select(*STAY_CELL, "property_token").distinct().groupBy(*STAY_CELL).agg(F.count("property_token").alias("n_properties"))
 
 
 def reconstruct_stays(rows: DataFrame) -> DataFrame:
@@ -99,8 +126,9 @@ def reconstruct_stays(rows: DataFrame) -> DataFrame:
 
     Pinned rows are counted in both samples; the census is all rows, unmatched. Tier and night are never null in a cell.
     """
-    cells = cell_stats(stay_scopes(rows), STAY_CELL, "price_gbp").withColumnRenamed("n", "n_observations")
-    known = cells.join(properties_seen(rows), STAY_CELL)
+    cells = cell_stats(stay_atoms(rows), STAY_CELL, "price_gbp", STAY_ATOM, stay_scopes).withColumnRenamed("n", "n_observations")
+    counts = properties_seen(rows).withColumnsRenamed({c: f"_s{i}" for i, c in enumerate(STAY_CELL)})
+    known = cells.join(counts, _same(STAY_CELL, [f"_s{i}" for i in range(len(STAY_CELL))]))
     return known.selectExpr(*STAY_CELL, "n_observations", "n_properties", METHODS).where("value is not null")
 
 
@@ -108,7 +136,7 @@ def expected_churned(cells: DataFrame, panel: DataFrame) -> DataFrame:
     """Pinned properties expected per location and tier ('all' sums tiers; missing: those seen) and how many of them went."""
     counts = panel.rollup("location", "property_tier").agg(F.countDistinct("property_token").alias("n_expected"), F.grouping("property_tier").alias("_all"), F.grouping("location").alias("_top")).where("_top = 0")
     counts = counts.select("location", F.when(F.col("_all") == 1, "all").otherwise(F.col("property_tier")).alias("property_tier"), "n_expected")
-    out = cells.join(F.broadcast(counts), ["location", "property_tier"], "left")
+    out = cells.join(counts, ["location", "property_tier"], "left")
     expected = F.coalesce("n_expected", "n_properties")
     return out.withColumns({"n_properties_expected": expected, "n_properties_churned": F.greatest(expected - F.col("n_properties"), F.lit(0))}).drop("n_expected")
 
@@ -132,7 +160,7 @@ def weighted_aggregate(cells: DataFrame, weights: DataFrame, variant: list[str],
     own = cells.where(F.col("value").isNotNull() & (F.col(part) != "all"))
     if parts is not None:
         own = own.where(F.col(part).isin(*parts))
-    joined = own.join(F.broadcast(weights.select(part, *on, F.col("weight").alias("_w"))), [part, *on], "left")
+    joined = own.join(weights.select(part, *on, F.col("weight").alias("_w")), [part, *on], "left")
     w, v = F.col("_w"), F.round("value", 4)
     order = F.when(F.col(part) == carry_from, F.col(part)) if carry_from else F.col(part)
     out = joined.groupBy(*variant).agg(
@@ -142,7 +170,7 @@ def weighted_aggregate(cells: DataFrame, weights: DataFrame, variant: list[str],
     if parts is not None:
         whole = out.where(F.col("_n") == len(set(parts)))
     elif on:
-        whole = out.join(F.broadcast(weights.groupBy(*on).agg(F.count_distinct(part).alias("_parts"))), list(on)).where("_n = _parts").drop("_parts")
+        whole = out.join(weights.groupBy(*on).agg(F.count_distinct(part).alias("_parts")), list(on)).where("_n = _parts").drop("_parts")
     else:
         whole = out.crossJoin(F.broadcast(weights.agg(F.count_distinct(part).alias("_parts")))).where("_n = _parts").drop("_parts")
     return whole.where("value is not null").drop("_n").withColumn(part, F.lit("all"))

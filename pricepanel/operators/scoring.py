@@ -58,9 +58,17 @@ def provenance_blockers(rows: DataFrame) -> DataFrame:
     return one.selectExpr("stack(7, 'placeholder_weights', a, 'cached_source', b, 'inexact_index_day', c, 'any_rate_basis', d, 'unknown_board', e, 'several_eras', f, 'churned_items', g) as (blocker, n)").where("n > 0")
 
 
+def distinct_months(rows: DataFrame, month: str = "index_month") -> DataFrame:
+    """How many months two series share at all, in one row: the overlap of fares, which may have gaps."""
+    return rows.agg(F.count_distinct(month).alias("n_months"))
+
+
 def verdict(overlap: DataFrame, blockers: DataFrame, least: int = 3) -> DataFrame:
-    """One row: INSUFFICIENT_DATA under ``least`` months of overlap, PROVISIONAL with blockers, else SCORED."""
-    months = overlap.agg(F.coalesce(F.max("longest_run"), F.lit(0)).alias("overlap_months"))
+    """One row: INSUFFICIENT_DATA under ``least`` months of overlap, PROVISIONAL with blockers, else SCORED.
+
+    ``overlap`` has longest_run (stays: months in a row of one regime) or n_months (fares: distinct months); the greatest counts.
+    """
+    months = overlap.agg(F.coalesce(F.max("n_months" if "n_months" in overlap.columns else "longest_run"), F.lit(0)).alias("overlap_months"))
     counted = blockers.agg(F.count("*").alias("n_blockers"))
     said = F.when(F.col("overlap_months") < least, "INSUFFICIENT_DATA").when(F.col("n_blockers") > 0, "PROVISIONAL").otherwise("SCORED")
     return months.crossJoin(counted).withColumn("verdict", said)

@@ -33,6 +33,6 @@ def contiguous_segments(points: DataFrame, series: list[str]) -> DataFrame:
 def latest_vs_typical(points: DataFrame, series: list[str]) -> DataFrame:
     """Latest value less the median of the same calendar month in other years."""
     last = points.groupBy(*series).agg(F.max("month").alias("_l"))
-    rows = points.join(F.broadcast(last), series).where(F.month("month") == F.month("_l"))
+    rows = points.join(last, series).where(F.month("month") == F.month("_l"))
     now = F.max(F.when(F.col("month") == F.col("_l"), F.col("value")))
     return rows.groupBy(*series).agg(F.max("_l").alias("month"), (now - F.median(F.when(F.col("month") != F.col("_l"), F.col("value")))).alias("difference"))

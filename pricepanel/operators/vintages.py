@@ -17,23 +17,38 @@ def current_vintage(panel: DataFrame, date: str = "scrape_date", run: str = "run
 
 
 def panel_for_dates(panel: DataFrame, dates: DataFrame | None = None, price: str = "price_gbp") -> DataFrame:
-    """Usable rows: the newest run over all statuses first, then ok rows with a price; some dates or all."""
+    """Usable rows: the newest run over all statuses first, then ok rows with a price; some dates or all.
+
+    Where ``dates`` has an index_day too, only the rows of that index day are taken from each of its dates: the run is still
+    the newest of all the date's, and two index days of one month do not mix.
+    """
     rows = panel if dates is None else panel.join(dates.select("scrape_date").distinct(), "scrape_date", "left_semi")
-    return current_vintage(rows).where((F.col("status") == "ok") & F.col(price).isNotNull())
+    used = current_vintage(rows).where((F.col("status") == "ok") & F.col(price).isNotNull())
+    return used if dates is None or "index_day" not in dates.columns else used.join(dates.select("scrape_date", "index_day").distinct(), ["scrape_date", "index_day"], "left_semi")
+
+
+def within_days(left: DataFrame, left_day: str, right: DataFrame, right_day: str, days: int) -> DataFrame:
+    """Pairs of rows whose days are at most ``days`` apart: a join on equal buckets of that many days, the left side in its own and both neighbours.
+
+    A row on the right has one bucket, so that a pair meets once. Neither side is compared with all of the other.
+    """
+    bucket = lambda c: F.floor(F.unix_date(F.col(c)) / max(days, 1))
+    near = left.withColumn("_bucket", F.explode(F.sequence(bucket(left_day) - 1, bucket(left_day) + 1)))
+    return near.join(right.withColumn("_bucket", bucket(right_day)), "_bucket").where(F.abs(F.datediff(right_day, left_day)) <= days).drop("_bucket")
 
 
 def nearest_scrape_date(panel: DataFrame, days: DataFrame, window: int = 7) -> DataFrame:
     """For each index day the date with ok rows nearest to it, the earlier of two; offset in days, signed."""
     held = panel.where("status = 'ok'").select("scrape_date").distinct()
     offset = F.datediff("scrape_date", "index_day")
-    near = days.join(held, F.col("scrape_date").between(F.date_sub("index_day", window), F.date_add("index_day", window)))
+    near = within_days(days, "index_day", held, "scrape_date", window)
     best = near.groupBy("index_day").agg(F.min(F.struct(F.abs(offset).alias("far"), "scrape_date", offset.alias("offset_days"))).alias("b"))
     return best.select("index_day", "b.scrape_date", "b.offset_days")
 
 
 def resolve_collection_dates(implied: DataFrame, held: DataFrame, tolerance: int = 3) -> DataFrame:
     """For each index month: if an implied date is held, only such dates, offset 0; else each one's nearest held date, and the worst offset."""
-    near = implied.join(held, F.abs(F.datediff("scrape_date", "implied_date")) <= tolerance)
+    near = within_days(implied, "implied_date", held, "scrape_date", tolerance)
     off = F.datediff("scrape_date", "implied_date")
     each = near.groupBy("index_month", "implied_date").agg(F.min(F.struct(F.abs(off).alias("far"), "scrape_date")).alias("b"))
     exact = F.max((F.col("b.far") == 0).cast("int")).over(Window.partitionBy("index_month")) == 1

@@ -38,7 +38,7 @@ def query(sql: str, with_days: str = DAYS):
 
 @query(f"select day, {tuesday(FIRST, 1)} as d1, case when month({tuesday(FIRST, 5)}) = month(day) then {tuesday(FIRST, 5)} end as d5 from days")
 def nth_weekday(days):
-    return days.select("day", cal.nth_weekday(F.col("day"), "TU", 1).alias("d1"), cal.nth_weekday(F.col("day"), "TU", 5).alias("d5"))
+    return days.select("day", cal.nth_weekday(F.col("day"), "TU", 1).alias("d1"), cal.nth_weekday(F.col("day"), "TU", 5, missing="null").alias("d5"))
 
 
 @query(f"select day, {tuesday(FIRST, 2)} as second, {tuesday(FIRST, 3)} as third from days")
@@ -113,7 +113,7 @@ O["target_time"] = f"with {ROUTES} select route, case when haul_category = 'long
 
 @query("select day as index_day, kind as stay_night_kind, cast(day + x as date) as check_in from days, (values ('index_week', 0), ('thursday_after', 9)) v(kind, x) where isodow(day) = 2")
 def expand_stay_nights(days):
-    return cal.expand_stay_nights(days.withColumnRenamed("day", "index_day"))
+    return cal.expand_stay_nights(days.where("weekday(day) = 1").withColumnRenamed("day", "index_day"))
 
 
 MONTHS = f"months as (select distinct {FIRST} as index_month from days)"

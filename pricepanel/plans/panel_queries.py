@@ -55,9 +55,14 @@ def panel_for_date(fares):
     return rounded(vt.panel_for_dates(fares, last).select("query_id", "scrape_date", "route", "price_gbp"), "price_gbp")
 
 
-@query("fare_obs", sql=CURRENT + " select query_id, scrape_date, route from cur where status = 'ok' and price_gbp is not null and day(scrape_date) % 3 = 0")
+@query("fare_obs", sql=CURRENT + " select query_id, scrape_date, route, 'all' of from cur where status = 'ok' and price_gbp is not null and day(scrape_date) % 3 = 0 union all select query_id, scrape_date, route, 'second Tuesday' from cur where status = 'ok' and price_gbp is not null and day(scrape_date) % 3 = 0 and query_id % 2 = 0")
 def panel_for_dates(fares):
-    return vt.panel_for_dates(fares, fares.where("day(scrape_date) % 3 = 0").select("scrape_date")).select("query_id", "scrape_date", "route")
+    """All rows of some dates, and those of one index day of each of them."""
+    rows = fares.withColumn("index_day", F.date_add("scrape_date", F.when(F.col("query_id") % 2 == 0, 7).otherwise(14)))
+    dates = fares.where("day(scrape_date) % 3 = 0").select("scrape_date")
+    one = dates.withColumn("index_day", F.date_add("scrape_date", 7))
+    of = lambda d, name: vt.panel_for_dates(rows, d).select("query_id", "scrape_date", "route", F.lit(name).alias("of"))
+    return of(dates, "all").unionByName(of(one, "second Tuesday"))
 
 
 @query("fare_obs", sql=f"with d as ({DAYS}), h as (select distinct scrape_date from fare_obs where status = 'ok'), j as (select index_day, scrape_date, datediff('day', index_day, scrape_date) o from d join h on scrape_date between index_day - 7 and index_day + 7), k as (select *, row_number() over (partition by index_day order by abs(o), scrape_date) n from j) select index_day, scrape_date, cast(o as int) offset_days from k where n = 1")
@@ -286,9 +291,11 @@ def detect_basis(prices):
     return ix.detect_basis(both, ["series"])
 
 
-@query("monthly", sql=POINTS + ", l as (select *, lag(month) over (partition by cell order by month) pm, lag(lvl) over (partition by cell order by month) pl from pt) select cell, month, round((lvl / pl - 1) * 100, 4) pct_change from l where datediff('month', pm, month) = 1 and pl > 0")
+@query("monthly", sql=POINTS + ", l as (select *, lag(month) over (partition by cell order by month) pm, lag(lvl) over (partition by cell order by month) pl from pt) select cell, month, round((lvl / pl - 1) * 100, 4) pct_change, r as rule from l, (values ('fares'), ('stays')) v(r) where datediff('month', pm, month) = 1 and pl > 0 and (r = 'fares' or " + f"{ERA.format('pm')} = {ERA.format('month')})")
 def month_on_month(prices):
-    return rounded(ix.month_on_month(points(prices), ["cell"]), "pct_change")
+    """As fares, and as stays, which do not pair across a change of regime."""
+    of = lambda name, eras: ix.month_on_month(points(prices), ["cell"], eras).withColumn("rule", F.lit(name))
+    return rounded(of("fares", None).unionByName(of("stays", STAND_IN_ERAS)), "pct_change")
 
 
 DAILY = f" select scrape_date, haul_category, months_ahead, count(*) filter (status = 'ok') n_ok, count(*) filter (status = 'no_data') n_no_data, count(*) filter (status = 'error') n_error, round(avg(price_gbp), 4) mean, round(quantile_disc(price_gbp, 0.5), 4) median, round({GEO.format('price_gbp')}, 4) geomean, round(avg(price_cheapest_gbp), 4) mean_cheapest from cur group by 1, 2, 3"

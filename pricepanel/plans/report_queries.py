@@ -79,10 +79,14 @@ def provenance_blockers(stays, published):
     return blockers(joined(stays, published))
 
 
-@query("stay_obs", "published", sql=SCORE + f", {RUNS}, {BLOCK} select coalesce(max(longest_run), 0) overlap_months, (select count(*) from bs) n_blockers, case when coalesce(max(longest_run), 0) < 3 then 'INSUFFICIENT_DATA' when (select count(*) from bs) > 0 then 'PROVISIONAL' else 'SCORED' end verdict from lr")
+@query("stay_obs", "published", sql=SCORE + f", {RUNS}, {BLOCK}, o as (select 'stays' rule, coalesce(max(longest_run), 0) m from lr union all select 'fares', count(distinct index_month) from sj union all select 'two fares', count(distinct index_month) from sj where month(index_month) = 5 and year(index_month) < 1994) select rule, m overlap_months, (select count(*) from bs) n_blockers, case when m < 3 then 'INSUFFICIENT_DATA' when (select count(*) from bs) > 0 then 'PROVISIONAL' else 'SCORED' end verdict from o")
 def verdict(stays, published):
+    """Stays need months in a row, fares any months; two Mays are too few for either."""
     rows = joined(stays, published)
-    return sc.verdict(sc.longest_run(rows, ["location"], eras=STAND_IN_ERAS), blockers(rows))
+    mays = rows.where("month(index_month) = 5 and year(index_month) < 1994")
+    said = {"stays": sc.longest_run(rows, ["location"], eras=STAND_IN_ERAS), "fares": sc.distinct_months(rows), "two fares": sc.distinct_months(mays)}
+    out = [sc.verdict(overlap, blockers(rows)).withColumn("rule", F.lit(name)) for name, overlap in said.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("stay_obs", "published", sql=SCORE + ", k as (select *, row_number() over (partition by location order by mae, variant) k, count(*) over (partition by location) n_compared from score) select location, variant, n_compared, round(mae, 4) mae from k where k = 1")
@@ -193,11 +197,13 @@ def failure_rate(fares):
     return rounded(mo.failure_rate(fares, ["scrape_date", "route"]), "failure_rate", places=6)
 
 
-POINTS = "with pt as (select location, index_month as month, index_value as value from published where fetched_ts = 1), pf as (select location, month(month) calendar_month, median(value) med, min(value) mn, max(value) mx, count(distinct year(month)) n_years from pt group by 1, 2)"
+POINTS = "with pt as (select location, index_month as month, arg_max(index_value, fetched_ts) as value from published where index_value is not null group by 1, 2), pf as (select location, month(month) calendar_month, median(value) med, min(value) mn, max(value) mx, count(distinct year(month)) n_years from pt group by 1, 2)"
 
 
 def points(published):
-    return published.where("fetched_ts = 1").select("location", F.col("index_month").alias("month"), F.col("index_value").alias("value"))
+    """Each month's value in the latest vintage that has it."""
+    latest = vt.latest_per_key(published, ["location", "index_month"], "fetched_ts", "index_value")
+    return latest.select("location", F.col("index_month").alias("month"), F.col("index_value").alias("value"))
 
 
 @query("published", sql=POINTS + " select location, cast(calendar_month as int) calendar_month, round(med, 4) median, round(mn, 4) as min, round(mx, 4) as max, n_years from pf")

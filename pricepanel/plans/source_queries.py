@@ -66,13 +66,12 @@ def read_panel(fares):
     return fare_columns(panels.read_panel(spark, path, panels.FARE_OBS, "2024-01-05", "2024-01-12"))
 
 
-@query("fare_obs", sql=FARE)
+@query("fare_obs", sql=FARE.replace("select ", "select (select count(*) from fare_obs) appended, ", 1) + " where haul_category = 'long_haul'")
 def append_vintage(fares):
+    """Three appends, of which one has no rows; read by a column that files and row groups are sorted by."""
     path = scratch(fares.sparkSession)
-    panels.append_vintage(fares.where("query_id % 2 = 0"), path, panels.FARE_OBS)
-    panels.append_vintage(fares.where("query_id % 2 = 1"), path, panels.FARE_OBS)
-    panels.append_vintage(fares.limit(0), path, panels.FARE_OBS)
-    return fare_columns(panels.read_panel(fares.sparkSession, path, panels.FARE_OBS))
+    n = sum(panels.append_vintage(part, path, panels.FARE_OBS) for part in (fares.where("query_id % 2 = 0"), fares.where("query_id % 2 = 1"), fares.limit(0)))
+    return fare_columns(panels.read_panel(fares.sparkSession, path, panels.FARE_OBS).where("haul_category = 'long_haul'")).withColumn("appended", F.lit(n).cast("long"))
 
 
 @query("fare_obs", sql=FARE)
@@ -127,7 +126,11 @@ def write_item_panel(stays):
 
 @query("fare_obs", sql="select query_id, case when query_id % 2 = 0 then months_ahead end months_ahead, case when query_id % 2 = 0 then null else dep_minutes end dep_minutes from fare_obs")
 def evolve_schema(fares):
-    return panels.evolve_schema(fares.where("query_id % 2 = 0").select("query_id", "months_ahead"), fares.where("query_id % 2 = 1").select("query_id", "dep_minutes"))
+    """A folder with files of two shapes, read once."""
+    spark, path = fares.sparkSession, scratch(fares.sparkSession)
+    fares.where("query_id % 2 = 0").select("query_id", "months_ahead").write.parquet(path)
+    fares.where("query_id % 2 = 1").select("query_id", "dep_minutes").write.mode("append").parquet(path)
+    return panels.evolve_schema(spark, path).select("query_id", "months_ahead", "dep_minutes")
 
 
 ID = "concat(location, ' ', cast(fetched_ts as varchar))"
@@ -191,14 +194,16 @@ REGION_NAMES = ["africa", "america", "asia", "europe", "middle east"]
 
 @query("published", sql="select cast(fetched_ts as varchar) sheet, index_month, lower(location) as location, round(index_value, 4) index_value from published where index_value between 10 and 500")
 def tidy_region_grid(published):
-    """A sheet for each vintage, the second one transposed."""
+    """A sheet for each vintage, the second one transposed, each under a title that names two regions where no values are."""
     at = F.array_position(F.lit(REGION_NAMES), F.lower("location")) + 3
     down = (F.year("index_month") - 1990) * 12 + F.month("index_month")
     sheet = F.col("fetched_ts")
     values = _cells(published, sheet, down, at, F.round("index_value", 4))
     heads = _cells(published.select("location", "fetched_ts").distinct(), sheet, F.lit(0), at, F.col("location"))
     months = _cells(published.select("index_month", "fetched_ts").distinct(), sheet, down, F.lit(0), F.date_format("index_month", "yyyy MMM"))
-    cells = values.union(heads).union(months)
+    title = F.array(F.struct(F.lit(20).alias("at"), F.lit("Asia").alias("name")), F.struct(F.lit(21).alias("at"), F.lit("Europe").alias("name")))
+    titles = published.select("fetched_ts").distinct().select("fetched_ts", F.inline(title))
+    cells = values.union(heads).union(months).withColumn("row", F.col("row") + 1).union(_cells(titles, sheet, F.lit(0), F.col("at"), F.col("name")))
     return panels.tidy_region_grid(cells.where("sheet = '0'").union(panels.transposed(cells.where("sheet = '1'")).select("sheet", "row", "col", "value")), REGION_NAMES)
 
 
@@ -316,11 +321,14 @@ def redact_payload(events):
     return events.select("event_id", pl.redact_payload(text, "hush").alias("payload"))
 
 
-@on("events", sql="with k as (select 'raw_keys' field, key as value, count(*) n from (select unnest(json_keys(props)) as key from events) group by 2 order by n desc, value limit 40), v as (select 'event_type' field, event_type as value, count(*) n from events group by 2 union all select 'user_of_ten', case when user_id % 10 < 3 then null else cast(user_id % 10 as varchar) end, count(*) from events group by 2 union all select 'user', cast(user_id as varchar), count(*) from events group by 2), t as (select *, row_number() over (partition by field order by n desc, value nulls last) k from v) select field, value, n from k union all select field, value, n from t where k <= 12")
-def key_census(events):
-    keys = pl.key_census(events, "props").select(F.lit("raw_keys").alias("field"), F.col("key").alias("value"), "n")
-    some = F.when(F.col("user_id") % 10 >= 3, F.col("user_id") % 10)
-    return keys.unionByName(pl.value_census(events, {"event_type": F.col("event_type"), "user_of_ten": some, "user": F.col("user_id")}))
+_KEYS = {"type": "property_type is not null", "property_token": "pos % 6 <> 5", "extracted_hotel_class": "pos % 2 = 0 and hotel_class is not null", "hotel_class": "hotel_class is not null", "free_cancellation": "free_cancellation is not null", "rate_per_night": "true", "rate_per_night.extracted_lowest": "pos % 3 <> 0", "total_rate": "true", "total_rate.extracted_lowest": "pos % 3 = 0"}
+
+
+@query("quotes", sql="with k as (" + " union all ".join(f"select 'raw_keys' field, '{k}' as value, count(*) filter ({c}) n from quotes" for k, c in _KEYS.items()) + "), v as (select 'class' field, cast(hotel_class as varchar) as value, count(*) n from quotes group by 2 union all select 'type', property_type, count(*) from quotes group by 2 union all select 'token', property_token, count(*) from quotes group by 2), t as (select *, row_number() over (partition by field order by n desc, value nulls last) k from v) select field, value, n from k where n > 0 union all select field, value, n from t where k <= 12")
+def key_census(quotes):
+    """Keys of each raw property, nested ones by path, beside the values of three fields."""
+    keys = pl.key_census(_stay_payload(quotes), "payload").select(F.lit("raw_keys").alias("field"), F.col("key").alias("value"), "n")
+    return keys.unionByName(pl.value_census(quotes, {"class": F.col("hotel_class"), "type": F.col("property_type"), "token": F.col("property_token")}))
 
 
 @on("region", sql="select r_regionkey, case r_name when 'ASIA' then 'as' when 'EUROPE' then 'eu' when 'MIDDLE EAST' then 'me' end code from region")
@@ -406,10 +414,13 @@ def plausible_values(published):
 
 @query("fare_obs", sql="select scrape_date, count(*) n from fare_obs where query_id % 50 > 0 group by 1")
 def ingest_stream(fares):
-    """Run files written from the panel, some rows without a run, read back as a stream to the end."""
+    """Run files written from the panel, some rows without a run, read as a stream to the end; then some delivered again under other names."""
     spark, path = fares.sparkSession, scratch(fares.sparkSession)
     rows = fares.withColumn("run_id", F.when(F.col("query_id") % 50 > 0, F.col("run_id")))
-    panels.write_ndjson(rows, f"{path}/in")
-    for _ in range(2):  # the second run finds nothing new
-        ingest(spark, f"{path}/in", f"{path}/panel", f"{path}/rejects", f"{path}/state", panels.FARE_OBS).awaitTermination()
+    take = lambda: ingest(spark, f"{path}/in", f"{path}/panel", f"{path}/rejects", f"{path}/state", panels.FARE_OBS).awaitTermination()
+    panels.write_ndjson(rows.where("query_id % 5 > 0"), f"{path}/in")
+    take()
+    take()  # finds nothing new
+    panels.write_ndjson(rows.where("query_id % 5 < 3"), f"{path}/in")  # two fifths of these were there
+    take()
     return spark.read.schema(panels.FARE_OBS).parquet(f"{path}/panel").groupBy("scrape_date").agg(F.count("*").alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,10 +38,21 @@ def conformed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def append_vintage(rows: DataFrame, path: str, schema: T.StructType, by: str = "scrape_date") -> None:
-    """Append under a fixed schema; nothing is ever rewritten, and no rows write no files."""
-    if not rows.isEmpty():
-        conformed(rows, schema).write.mode("append").partitionBy(by).parquet(path)
+#: What the rows of a date lie sorted by, where a schema has it (fixed values).
+CLUSTER = ("haul_category", "location", "route", "stay_night_kind")
+
+
+def append_vintage(rows: DataFrame, path: str, schema: T.StructType, by: str = "scrape_date", cluster: tuple[str, ...] | None = None) -> int:
+    """Append under a fixed schema; nothing is ever rewritten. Returns the number of rows, counted while they are written; none write no files.
+
+    Rows are dealt by ranges of date and ``cluster`` columns and sorted by them, so that a date has as many files as it needs,
+    each with a narrow range of them, and a filter on one passes over files and row groups by their statistics.
+    """
+    order = [by, *(cluster if cluster is not None else [c for c in CLUSTER if c in schema.names])]
+    dealt = conformed(rows, schema).repartitionByRange(*order).sortWithinPartitions(*order)
+    seen = Observation()
+    dealt.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(by).parquet(path)
+    return seen.get["n"]
 
 
 def write_ndjson(rows: DataFrame, path: str) -> None:
@@ -75,9 +86,12 @@ def write_item_panel(panel: DataFrame, path: str) -> None:
     panel.orderBy("location", "tier", "property_name", "property_token").write.option("header", True).csv(path)
 
 
-def evolve_schema(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Old and new shapes together; a column one lacks is null there."""
-    return old.unionByName(new, allowMissingColumns=True)
+def evolve_schema(spark: SparkSession, *paths: str) -> DataFrame:
+    """Files of older and newer shapes in one read: the columns of all of them, null where a file lacks one.
+
+    The footers are merged by Spark; a column that has two types that do not widen into one another is refused.
+    """
+    return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
 def parse_series_json(rows: DataFrame, key: str, payload: str = "payload") -> DataFrame:
@@ -96,9 +110,14 @@ def parse_class_weight(rows: DataFrame, key: str, payload: str = "payload") -> D
 
 def _headers(cells: DataFrame, parsed: Column, least: int) -> DataFrame:
     """The first row of each sheet with ``least`` parsed cells at least: sheet, header_row, col, head."""
-    heads = cells.withColumn("head", parsed).where("head is not null")
-    rows = heads.groupBy("sheet", "row").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).groupBy("sheet").agg(F.min("row").alias("header_row"))
-    return heads.join(rows, "sheet").where("row = header_row").select("sheet", "header_row", "col", "head")
+    rows = _candidates(cells, parsed, least)
+    return rows.join(rows.groupBy("sheet").agg(F.min("header_row").alias("header_row")), ["sheet", "header_row"])
+
+
+def _candidates(cells: DataFrame, parsed: Column, least: int) -> DataFrame:
+    """Every row with ``least`` parsed cells at least: sheet, header_row, col, head."""
+    heads = cells.withColumn("head", parsed).where("head is not null").select("sheet", F.col("row").alias("header_row"), "col", "head")
+    return heads.withColumn("_n", F.count("*").over(Window.partitionBy("sheet", "header_row"))).where(F.col("_n") >= least).drop("_n")
 
 
 def _enough(rows: DataFrame, least: int) -> DataFrame:
@@ -136,13 +155,17 @@ def transposed(cells: DataFrame) -> DataFrame:
 
 
 def tidy_region_grid(cells: DataFrame, regions: list[str], first_rows: int = 25) -> DataFrame:
-    """Months down, regions across, values from 10 to 500; a sheet without such values is tried transposed."""
+    """Months down, regions across, values from 10 to 500; a sheet without such values is tried transposed.
+
+    All of the first rows that name two regions are taken for headers at once; the first that yields values is kept.
+    """
 
     def long(c: DataFrame) -> DataFrame:
         name = F.when(F.lower(F.trim("value")).isin(*regions), F.lower(F.trim("value")))
-        heads = _headers(c.where(F.col("row") < first_rows), name, 2)
+        heads = _candidates(c.where(F.col("row") < first_rows), name, 2)
         months = c.where("col < 3").select("sheet", "row", parse_month_label(F.col("value")).alias("index_month")).where("index_month is not null").groupBy("sheet", "row").agg(F.max("index_month").alias("index_month"))
-        return c.join(heads, ["sheet", "col"]).join(months, ["sheet", "row"]).select("sheet", "index_month", F.col("head").alias("location"), parse_number(F.col("value")).alias("index_value")).where("index_value between 10 and 500")
+        found = c.join(heads, ["sheet", "col"]).where("row > header_row").join(months, ["sheet", "row"]).select("sheet", "header_row", "index_month", F.col("head").alias("location"), parse_number(F.col("value")).alias("index_value")).where("index_value between 10 and 500")
+        return found.withColumn("_h", F.min("header_row").over(Window.partitionBy("sheet"))).where("header_row = _h").drop("header_row", "_h")
 
     straight = long(cells)
     return straight.unionByName(long(transposed(cells)).join(straight.select("sheet").distinct(), "sheet", "left_anti"))

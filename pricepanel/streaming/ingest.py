@@ -8,21 +8,43 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def undelivered(batch: DataFrame, held: DataFrame | None, columns: list[str], run: list[str]) -> DataFrame:
+    """Rows of a batch (``columns`` and _file) that neither another file of it nor ``held`` brings.
+
+    A row stays as often as one file has it, less the times it is held. What is held is read for the runs of the batch alone,
+    and all of it is counting by the whole row: no run is dropped as known, so files that complete a run add what is new.
+    """
+    each = batch.groupBy(*columns, "_file").agg(F.count("*").alias("_n")).groupBy(*columns).agg(F.max("_n").alias("_n"))
+    if held is not None:
+        # Dates prune the partitions that are read; then the runs are compared.
+        known = held.join(batch.select(*run).distinct(), run, "left_semi").groupBy(*columns).agg((-F.count("*")).alias("_n"))
+        each = each.unionByName(known).groupBy(*columns).agg(F.sum("_n").alias("_n"))
+    return each.where("_n > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*columns)
+
+
 def ingest_stream(spark: SparkSession, source: str, panel: str, rejects: str, checkpoint: str, schema: T.StructType, required: tuple[str, ...] = ("scrape_date", "run_id", "status")) -> StreamingQuery:
     """Read what is new under ``source`` (newline-delimited JSON) and append it; ends when all is read.
 
-    A row that is no JSON of the schema, or lacks a required column, goes to ``rejects`` as text. A batch
-    is written under its number, so one that is tried again replaces its own files only.
+    A row that is no JSON of the schema, or lacks a required column, goes to ``rejects`` as text. A batch is written under its
+    number, so one that is tried again replaces its own files only. A run that is delivered again under another file name, in
+    the same batch or a later one, adds no row that it brought before.
     """
     shape = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    lines = spark.readStream.option("columnNameOfCorruptRecord", "_bad").schema(shape).json(source)
+    lines = spark.readStream.option("columnNameOfCorruptRecord", "_bad").schema(shape).json(source).select("*", F.col("_metadata.file_path").alias("_file"))
 
     def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         whole = F.col("_bad").isNull()
         for c in required:
             whole = whole & F.col(c).isNotNull()
-        batch.where(whole).drop("_bad").withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "scrape_date").parquet(panel)
+        held = batch.sparkSession.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(panel).where(F.col("batch") != number) if _exists(spark, panel) else None
+        new = undelivered(batch.where(whole), held, schema.names, ["scrape_date", "run_id"])
+        new.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "scrape_date").parquet(panel)
         batch.where(~whole).select(F.coalesce("_bad", F.to_json(F.struct(*schema.names))).alias("value"), F.lit(number).alias("batch")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").text(rejects)
         batch.unpersist()
 
