@@ -158,7 +158,7 @@ def test_index_day_is_the_first_tuesday_that_can_be_one(spark):
     assert [(got[i]["index_day"], got[i]["ordinal"]) for i in (1, 2, 3)] == [(day("2026-08-11"), 2), (None, None), (None, None)]
     assert got[1]["evidence"].endswith("collected on Tuesday 11 August 2026.") and got[1]["rejected"] == ""
     stays = spark.createDataFrame([(1, "The index day was 4 August 2026. Index week commencing Monday 18th was not it; index week beginning 18 August 2026.", day("2026-08-01"))], "id long, t string, month date")
-    row = pl.extract_index_days(stays, "id", "t", "month", pl.STAY_DAY_PATTERNS).first()
+    row = pl.extract_index_days(stays, "id", "t", "month", pl.STAY_DAY_RULES).first()
     assert (row["index_day"], row["ordinal"], row["rejected"]) == (day("2026-08-18"), 3, "2026-08-04")
 
 
