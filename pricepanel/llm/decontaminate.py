@@ -26,8 +26,8 @@ _BLOCKS, _BITS, _WITHIN = 8, 8, 2
 RADIUS = _BLOCKS * (_WITHIN + 1) - 1
 #: A table of the benchmark is broadcast up to so many bytes; a larger one is shuffled.
 BROADCAST_BYTES = 32 << 20
-#: Four counters of 16 bits in a number.
-_LANES = 0x0001000100010001
+#: Four counters of 16 bits in a number, which go so far.
+_LANES, _MOST = 0x0001000100010001, 0x7FFF
 
 
 def small(table: DataFrame, row_bytes: int) -> DataFrame:
@@ -36,18 +36,20 @@ def small(table: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def with_simhash(rows: DataFrame, shingles: str, name: str) -> DataFrame:
-    """Adds ``name``: bit b is set if more of the shingles have it than not. Arrays of up to 65,535 shingles.
+    """Adds ``name``: bit b is set if more of the shingles have it than not.
 
-    Bits b, b + 16, b + 32 and b + 48 of all shingles are counted at once.
+    Bits b, b + 16, b + 32 and b + 48 of all shingles are counted at once; of over 32,767 shingles bits b and b + 32.
     """
 
-    def lanes(j: int) -> Column:
-        return F.aggregate(shingles, F.lit(0).cast("long"), lambda s, h: s + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(_LANES)))
+    def lanes(j: int, ones: int) -> Column:
+        return F.aggregate(shingles, F.lit(0).cast("long"), lambda s, h: s + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(ones)))
 
-    rows = rows.withColumn("_votes", F.array(*map(lanes, range(16))))
+    many = F.size(shingles) > _MOST
+    rows = rows.withColumn("_votes", F.when(many, F.array(*[lanes(j, 0x0000000100000001) for j in range(32)])).otherwise(F.array(*[lanes(j, _LANES) for j in range(16)])))
     out = F.lit(0).cast("long")
     for b in range(64):
-        count = F.shiftrightunsigned(F.col("_votes")[b % 16], 16 * (b // 16)).bitwiseAND(F.lit(0xFFFF))
+        count = F.shiftrightunsigned(F.get("_votes", F.lit(b % 16)), 16 * (b // 16)).bitwiseAND(F.lit(0xFFFF))
+        count = F.when(many, F.shiftrightunsigned(F.get("_votes", F.lit(b % 32)), 32 * (b // 32)).bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(count)
         out = out.bitwiseOR(F.when(2 * count > F.size(shingles), F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
     return rows.withColumn(name, out).drop("_votes")
 
@@ -88,7 +90,7 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     rows = rows.withColumn("_k", F.least(F.size("_w"), F.lit(k)))
     every = [*range(1, k + 1)]
     items = rows.select(F.xxhash64("_item", "_t").alias("_key"), "_item", "_k", shingles_of(F.col("_w"), F.col("_k"), every).alias("_is")).withColumn("_m", F.size("_is"))
-    items = stored(with_simhash(items.where("_m <= 65535"), "_is", "_if"), "items")
+    items = stored(with_simhash(items, "_is", "_if"), "items")
     sizes = sorted(r["_k"] for r in items.select("_k").distinct().toLocalIterator())  # k at most
     if not sizes:
         sizes = [k]

@@ -16,12 +16,15 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from html import unescape
+from itertools import chain
 
 import pyarrow as pa
 import xxhash
@@ -56,6 +59,8 @@ NEVER_HINTED = frozenset("html body article main h1 h2 h3 h4 h5 h6 hgroup".split
 HINT = re.compile(
     r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side|widget|footer|header|masthead|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|social|related|recommend\w*|comments?|replies|disqus|pagination|pager|toolbar|search\w*|form|contentinfo|complementary|navigation|banner)(?:$|[\s_-])"
 )
+#: Those that count inside an article too, where such an element is on half of a host's pages.
+INNER_HINT = re.compile(r"(?i)(?:^|[\s_-])(?:comments?|disqus|replies|ads?|advert\w*|sponsor\w*|promo\w*|newsletter|subscribe|cookies?|consent|gdpr)(?:$|[\s_-])")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WHITE = " \t\n\r\x0c"
@@ -75,6 +80,7 @@ class Node:
     mark: str = ""
     furniture: bool = False
     hint: bool = False
+    inside: bool = False
     children: list[Node] = field(default_factory=list)
 
     @property
@@ -140,7 +146,8 @@ def parse(html: str | None) -> Node:
             node.mark = ".".join(sorted(found.get("class", "").split()))
             hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
             node.furniture = bool(hidden)
-            node.hint = tag not in NEVER_HINTED and bool(HINT.search(names)) and not inside
+            node.inside = inside > 0
+            node.hint = tag not in NEVER_HINTED and bool((INNER_HINT if inside else HINT).search(names))
         if tag in MAY_HOLD_ALL or node.hint:
             doubtful.append(node)
         node.furniture |= tag in FURNITURE and not (tag == "header" and inside)
@@ -162,11 +169,13 @@ def parse(html: str | None) -> Node:
 
 
 def _clear_doubts(root: Node, doubtful: list[Node]) -> None:
-    """What holds more than half of the page's text is no furniture by its name; nor is a hinted element with a first heading, or a form with the article."""
+    """What holds more than half of the page's text is no furniture by its name, unless the page has an article elsewhere; nor is a hinted element with a first heading, or a form with the article."""
     held: dict[int, tuple[int, bool, bool]] = {}
+    in_articles = 0
 
     def measure(node: Node) -> tuple[int, bool, bool]:
         """Length of the texts below that may count, and is there an h1, an ``article`` or ``main``?"""
+        nonlocal in_articles
         size, heading, article = 0, False, False
         for c in node.children:
             if not c.tag:
@@ -175,13 +184,14 @@ def _clear_doubts(root: Node, doubtful: list[Node]) -> None:
                 n, h, a = measure(c)
                 size += n if c.tag in MAY_HOLD_ALL or not c.furniture else 0
                 heading, article = heading or h or c.tag == "h1", article or a or c.tag in ("article", "main")
+                in_articles += n if c.tag in ("article", "main") else 0
         held[id(node)] = size, heading, article
         return held[id(node)]
 
     total = measure(root)[0]
     for node in doubtful:
         size, heading, article = held[id(node)]
-        most = 2 * size > total
+        most = 2 * size > total and (node.inside or article or not in_articles)
         node.hint &= not (most or heading or article)
         if node.tag in MAY_HOLD_ALL and (most or article):
             node.furniture = False
@@ -338,7 +348,8 @@ class Wrapper:
     tree: Node | None = None
     template: dict[tuple[str, int], int] = field(default_factory=dict)
     place: tuple[str, ...] | None = None
-    hints: frozenset[str] | None = None  # paths of the elements whose names count; None: any
+    hints: frozenset[str] | None = None  # paths of the elements whose names count; None: any outside articles
+    broad: frozenset[tuple[str, int]] = frozenset()  # texts on nearly all pages, or on some that are no near copies of each other
 
 
 @dataclass
@@ -405,13 +416,24 @@ def whole(texts: list[Text]) -> int:
     return hashed(" ".join(str(t.key) for t in texts if t.nth != _ELEMENT))
 
 
-def wrapper_of(constant: list[tuple[str, int, int, float, int]], place: tuple[str, ...] | None, pages: int) -> Wrapper:
-    """From (path, hash, which of the equal ones, mean order, least shared elements) of each constant text, and the number of different pages."""
+#: So many votes of a page, each for one of its texts: the longer, the likelier. Pages are unlike if half of the votes are for three texts or more.
+_VOTES = 4
+
+
+def votes_of(texts: list[Text]) -> list[int]:
+    """Bits of the texts that a page votes for. Near copies vote alike, pages that share little of their text do not."""
+    rows = [(t.key, t.size) for t in texts if t.nth != _ELEMENT and t.size]
+    spread = lambda key, seed: xxhash.xxh3_64_intdigest(key.to_bytes(8, "little", signed=True), seed=seed) + 1
+    return [1 << min((-math.log(spread(k, seed) / 2**64) / n, k) for k, n in rows)[1] % 62 if rows else 0 for seed in range(_VOTES)]
+
+
+def wrapper_of(constant: list[tuple], place: tuple[str, ...] | None, pages: int) -> Wrapper:
+    """From (path, hash, which of the equal ones, mean order, least shared elements, is it broad) of each constant text, and the number of different pages."""
     hints = frozenset(c[0] for c in constant if c[2] == _ELEMENT)
     constant = [c for c in constant if c[2] != _ELEMENT]
     root = Node("#root")
     branch, template = [root], Counter()
-    for path, key, _, _, shared in sorted(constant, key=lambda c: (c[3], c[:3])):
+    for path, key, _, _, shared, *_ in sorted(constant, key=lambda c: (c[3], c[:3])):
         template[path, key] += 1
         labels = path.split(_STEP) if path else []
         keep = next((i for i, (a, b) in enumerate(zip(labels, branch[1:], strict=False)) if a != b.tag), min(len(labels), len(branch) - 1))
@@ -421,7 +443,8 @@ def wrapper_of(constant: list[tuple[str, int, int, float, int]], place: tuple[st
             branch[-1].children.append(node)
             branch.append(node)
         branch[-1].children.append(Node("", str(key)))
-    return Wrapper(root if constant else None, dict(template), place, hints if pages > 1 else None)
+    broad = frozenset((c[0], c[1]) for c in constant if c[5:] == (True,))
+    return Wrapper(root if constant else None, dict(template), place, hints if pages > 1 else None, broad)
 
 
 def induce(pages: list[str]) -> Wrapper:
@@ -435,7 +458,9 @@ def induce(pages: list[str]) -> Wrapper:
     pages_with.update({k: len(v) for k, v in found.items()})
     constant = {k: found[k] for k, n in pages_with.items() if n >= 2 and 2 * n >= scopes[found[k][0].scope]}
     varying = [(tuple(t.path.split(_STEP)) if t.path else (), t.size) for texts in distinct.values() for t in texts if not t.hinted and (t.path, t.key, t.nth) not in constant]
-    return wrapper_of([(*k, sum(t.place for t in v) / len(v), min(t.shared for t in v)) for k, v in constant.items()], main_place(varying) if varying else None, len(distinct))
+    votes = {id(t): votes_of(texts) for texts in distinct.values() for t in texts}
+    told = lambda v: (len(v) >= 3 and 10 * len(v) >= 9 * scopes[v[0].scope]) or 2 * sum(len({votes[id(t)][i] for t in v}) >= 3 for i in range(_VOTES)) >= _VOTES
+    return wrapper_of([(*k, sum(t.place for t in v) / len(v), min(t.shared for t in v), told(v)) for k, v in constant.items()], main_place(varying) if varying else None, len(distinct))
 
 
 def below(root: Node, place: tuple[str, ...]) -> list[Node]:
@@ -469,6 +494,15 @@ def blocks_of(node: Node, skip: set[int]) -> list[str]:
     return [t for t in (squeezed("".join(parts)) for parts in out) if t]
 
 
+def texts_below(node: Node) -> Iterator[Node]:
+    """The texts below a node that count."""
+    for c in content(node):
+        if c.tag:
+            yield from texts_below(c)
+        else:
+            yield c
+
+
 def headings_before(root: Node, nodes: list[Node]) -> list[Node]:
     """First headings outside and before some nodes: the titles of articles whose text is in a container of its own."""
     first, out = id(nodes[0]) if nodes else None, []
@@ -489,14 +523,18 @@ def _settle(node: Node, hints: frozenset[str] | None, path: tuple[str, ...] = ()
     for c in node.children:
         if c.tag and not c.furniture:
             below = _below(path, c.label)
-            if c.hint and (hints is None or _STEP.join(below) in hints):
+            if c.hint and (not c.inside if hints is None else _STEP.join(below) in hints):
                 c.furniture = True
             else:
                 _settle(c, hints, below)
 
 
 def extract(html: str | None, wrapper: Wrapper) -> str:
-    """The article of a page, one line a block; the host's constant texts go, inside an ``article`` or ``main`` too."""
+    """The article of a page, one line a block; the host's constant texts go, inside an ``article`` or ``main`` too.
+
+    Where they are more than half of the article it may be a near copy of others: then only those go from it that are on nine
+    tenths of the pages (three at least), or on pages unlike each other.
+    """
     root = parse(html)
     _settle(root, wrapper.hints)
     skip: set[int] = set()
@@ -509,24 +547,32 @@ def extract(html: str | None, wrapper: Wrapper) -> str:
             match(wrapper.tree, root, pairs)
             skip |= {id(q) for _, q in pairs}
     nodes = below(root, wrapper.place) if wrapper.place else []
+    if skip:
+        titles = headings_before(root, nodes)
+        within = list(chain.from_iterable(texts_below(n) for n in [*titles, *(nodes or [root])]))
+        gone = sum(len(t.text.strip(_WHITE)) for t in within if id(t) in skip)
+        if 2 * gone > sum(len(t.text.strip(_WHITE)) for t in within):
+            named = {id(t.node): (t.path, t.key) for t in texts}
+            skip -= {id(t) for t in within if named.get(id(t)) not in wrapper.broad}
     if not any(blocks_of(n, skip) for n in nodes):
         nodes = below(root, main_place(list(texts_by_path(root, skip)))) or [root]
     return "\n".join(b for n in [*headings_before(root, nodes), *nodes] for b in blocks_of(n, skip))
 
 
 _TEXTS = pa.list_(pa.struct([("path", pa.string()), ("scope", pa.int64()), ("key", pa.int64()), ("nth", pa.int32()), ("place", pa.int32()), ("shared", pa.int32()), ("size", pa.int32()), ("hinted", pa.bool_())]))
-_FACTS = pa.schema([("_host", pa.string()), ("_whole", pa.int64()), ("_texts", _TEXTS)])
-_FACT_KINDS = "_host string, _whole long, _texts array<struct<path: string, scope: long, key: long, nth: int, place: int, shared: int, size: int, hinted: boolean>>"
+_FACTS = pa.schema([("_host", pa.string()), ("_whole", pa.int64()), ("_votes", pa.list_(pa.int64())), ("_texts", _TEXTS)])
+_FACT_KINDS = "_host string, _whole long, _votes array<long>, _texts array<struct<path: string, scope: long, key: long, nth: int, place: int, shared: int, size: int, hinted: boolean>>"
 
 
 def _facts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_batches(it):
-        names, rows = [], []
+        names, votes, rows = [], [], []
         for html in batch.column(1).to_pylist():
             texts = facts(parse(html))
             names.append(whole(texts))
+            votes.append(votes_of(texts))
             rows.append([{"path": t.path, "scope": hashed(t.scope), "key": t.key, "nth": t.nth, "place": t.place, "shared": t.shared, "size": t.size, "hinted": t.hinted} for t in texts])
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(names, pa.int64()), pa.array(rows, _TEXTS)], schema=_FACTS)
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(names, pa.int64()), pa.array(votes, pa.list_(pa.int64())), pa.array(rows, _TEXTS)], schema=_FACTS)
 
 
 def _wrappers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -543,14 +589,15 @@ def _wrappers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
     """``_host`` and ``_wrapper`` (what ``wrapper_of`` takes, pickled) from all rows of ``_host`` and ``_html``."""
     read = pages.select("_host", "_html").where("_html is not null").mapInArrow(_facts, _FACT_KINDS)
-    distinct = stored(read.groupBy("_host", "_whole").agg(F.min("_texts").alias("_texts")), "page-facts")
-    texts = distinct.select("_host", F.explode("_texts").alias("t")).select("_host", "t.*")
-    found = texts.groupBy("_host", "path", "scope", "key", "nth").agg(F.count("*").alias("n"), F.avg("place").alias("place"), F.min("shared").alias("shared"), F.max(F.when(F.col("hinted"), 0).otherwise(F.col("size"))).alias("size")).where("n >= 2")
+    distinct = stored(read.groupBy("_host", "_whole").agg(F.min("_texts").alias("_texts"), F.min("_votes").alias("_votes")), "page-facts")
+    texts = distinct.select("_host", "_votes", F.explode("_texts").alias("t")).select("_host", "_votes", "t.*")
+    unlike = [(F.bit_count(F.bit_or(F.get("_votes", F.lit(i)))) >= 3).cast("int") for i in range(_VOTES)]
+    found = texts.groupBy("_host", "path", "scope", "key", "nth").agg(F.count("*").alias("n"), F.avg("place").alias("place"), F.min("shared").alias("shared"), F.max(F.when(F.col("hinted"), 0).otherwise(F.col("size"))).alias("size"), (2 * reduce(lambda a, b: a + b, unlike) >= _VOTES).alias("broad")).where("n >= 2")
     # Pages that have a scope: dealt by salt too, as a host's texts are many.
     scopes = distinct.select("_host", F.explode(F.array_distinct(F.concat(F.col("_texts.scope"), F.array(F.lit(_ALL))))).alias("scope")).groupBy("_host", "scope").agg(F.count("*").alias("of"))
     scopes = scopes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    constant = found.withColumn("salt", F.pmod("key", F.lit(salts)).cast("int")).join(scopes, ["_host", "scope", "salt"]).where("2 * n >= of")
-    constant = stored(constant.select("_host", "path", "key", "nth", "place", "shared", "n", "size"), "constant-texts")
+    constant = found.withColumn("salt", F.pmod("key", F.lit(salts)).cast("int")).join(scopes, ["_host", "scope", "salt"]).where("2 * n >= of").withColumn("broad", F.col("broad") | F.expr("n >= 3 and 10 * n >= 9 * of"))
+    constant = stored(constant.select("_host", "path", "key", "nth", "place", "shared", "broad", "n", "size"), "constant-texts")
 
     # Where the varying text lies: at each depth at most one path has 7 tenths of it.
     sizes = texts.groupBy("_host", "path").agg(F.sum(F.when(F.col("hinted"), 0).otherwise(F.col("size"))).alias("w")).union(constant.select("_host", "path", -F.col("n") * F.col("size")))
@@ -564,7 +611,7 @@ def wrappers(pages: DataFrame, salts: int = 32) -> DataFrame:
     tag = F.substring_index(F.substring_index("prefix", _STEP, -1), ".", 1)
     places = weights.join(total, "_host").where((F.col("w") >= 0.7 * F.col("total")) & ((F.col("prefix") == "") | tag.isin(holders)))
     places = places.groupBy("_host").agg(F.max_by("prefix", depth).alias("_place"))
-    listed = constant.groupBy("_host").agg(F.collect_list(F.struct("path", "key", "nth", "place", "shared")).alias("_constant"))
+    listed = constant.groupBy("_host").agg(F.collect_list(F.struct("path", "key", "nth", "place", "shared", "broad")).alias("_constant"))
     n_pages = distinct.groupBy("_host").agg(F.count("*").alias("_n"))
     both = n_pages.join(places, "_host", "left").join(listed, "_host", "left").select("_host", "_constant", "_place", "_n")
     return stored(both.mapInArrow(_wrappers, "_host string, _wrapper binary"), "wrappers")

@@ -21,7 +21,7 @@ from itertools import chain, groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -215,8 +215,9 @@ def _scores(model, schema: pa.Schema):
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col: str = "doc_id", text_col: str = "text", max_chars: int = 12_000_000) -> DataFrame:
     """_id, _y and _text (whole) of labelled rows, those of the least hashed ids; never held-out rows.
 
-    Of each class ``per_class`` rows at most, as long as they have no more than ``max_chars`` characters together: so
-    both rows and bytes of the sample are bounded. Labels that disagree about a row give none.
+    Of each class ``per_class`` rows at most, with no more than ``max_chars`` characters together, so both rows and bytes of the
+    sample are bounded. A row that does not fit is passed over, and those after it may; one with over a twentieth of
+    ``max_chars`` never fits, so that no few long rows stand for a class. Labels that disagree about a row give none.
     """
     rows = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & ~held_out("_id"))
     rows = rows.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_top")).where("_y = _top").drop("_top")
@@ -226,8 +227,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     found = found.groupBy("_id", "_y").agg(F.min("_text").alias("_text"))  # an id that repeats counts once
     # No more rows than were chosen, so one task a class can sum their lengths; texts stay where they are.
     lengths = found.select("_id", "_y", F.length("_text").alias("_n"))
-    so_far = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")
-    within = F.broadcast(lengths.withColumn("_sum", F.sum("_n").over(so_far)).where(F.col("_sum") <= max_chars).select("_id"))
+    in_order = F.array_sort(F.collect_list(F.struct(F.xxhash64("_id").alias("h"), F.col("_id").alias("id"), F.col("_n").cast("long").alias("n"))))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.filter(F.transform(in_order, lambda x: x["id"]), lambda x: F.lit(False)).alias("ids"))
+    fits = lambda a, x: F.when(a["sum"] + x["n"] <= max_chars, F.struct((a["sum"] + x["n"]).alias("sum"), F.concat(a["ids"], F.array(x["id"])).alias("ids"))).otherwise(a)
+    lengths = lengths.where(20 * F.col("_n") <= max_chars).groupBy("_y").agg(F.aggregate(in_order, start, fits)["ids"].alias("_ids"))
+    within = F.broadcast(lengths.select(F.explode("_ids").alias("_id")))
     return found.join(within, "_id").select("_id", "_y", "_text")
 
 
