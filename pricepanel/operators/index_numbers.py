@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricepanel.operators.months import WORD, item_months, month_of_number
+
 #: First months of the collection regimes (fixed values), with the name that holds from then on.
 ERAS = (("1900-01-01", "pre_2025_one_day_ahead"), ("2025-01-01", "2025_split_weight"), ("2026-02-01", "2026_six_weeks_two_nights"))
 
@@ -45,12 +47,17 @@ def matched_pairs(prices: DataFrame, keys: list[str], adjacent: str = "calendar"
 
 
 def match_counts(prices: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched items of each month with the month before, and items in one of the two only."""
-    pairs = matched_pairs(prices, keys)
-    now = pairs.groupBy(*keys, "month").agg(F.count("base").alias("n_matched"), F.count_if(F.col("base").isNull()).alias("_new"))
-    gone = pairs.where("not _next").groupBy(*keys, F.add_months("month", 1).alias("month")).agg(F.count("*").alias("_gone"))
-    out = now.join(gone, [*keys, "month"], "left")
-    return out.select(*keys, "month", "n_matched", (F.col("_new") + F.coalesce("_gone", F.lit(0))).alias("n_unmatched"))
+    """Matched items of each month with the month before, and items in one of the two only; months without an item are left out.
+
+    Prices become month bitmaps; items of a cell with equal bits are counted together, and only their patterns are read bit by bit.
+    """
+    patterns = item_months(prices.where("price > 0"), [*keys, "item"]).groupBy(*keys, "word", "bits").agg(F.count("*").alias("_items"))
+    bit = F.explode(F.sequence(F.lit(1), F.lit(WORD))).alias("_bit")
+    held = patterns.select(*keys, "word", "_items", "bits", bit).withColumns({"_here": F.expr("getbit(bits, _bit)") == 1, "_before": F.expr("getbit(bits, _bit - 1)") == 1})
+    some = lambda test: F.coalesce(F.sum(F.when(test, F.col("_items"))), F.lit(0))
+    here, before = F.col("_here"), F.col("_before")
+    counts = held.where(here | before).groupBy(*keys, (F.col("word") * WORD + F.col("_bit") - 1).alias("_at")).agg(some(here & before).alias("n_matched"), some(here != before).alias("n_unmatched"), F.bool_or(here).alias("_any"))
+    return counts.where("_any").select(*keys, month_of_number("_at").alias("month"), "n_matched", "n_unmatched")
 
 
 def price_relative(prices: DataFrame, keys: list[str], min_matched: int = 3, formula: str = "jevons", adjacent: str = "calendar") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricepanel.operators.months import first_number, item_months, last_number, month_of_number
+
 
 def current_vintage(panel: DataFrame, date: str = "scrape_date", run: str = "run_id", ts: str = "scrape_ts") -> DataFrame:
     """All rows of the newest run of each date. Rows without a run drop out; a tie of times goes to the greater run id.
@@ -119,15 +121,23 @@ def months_between_first(a: Column, b: Column) -> Column:
 
 
 def property_churn(panel: DataFrame, keys: list[str], item: str = "property_token", month: str = "index_month_collection") -> DataFrame:
-    """Per cell and item: first and last month, months seen, rows, months absent since, status and presence rate."""
-    rows = panel.where(F.col(item).isNotNull())
-    monthly = rows.groupBy(*keys, item, month).agg(F.count("*").alias("_n"))
-    per = monthly.groupBy(*keys, item).agg(F.min(month).alias("first_month"), F.max(month).alias("last_month"), F.count("*").alias("months_seen"), F.sum("_n").alias("n_rows"))
-    latest = rows.agg(F.max(month).alias("_latest"))
+    """Per cell and item: first and last month, months seen, rows, months absent since, status and presence rate.
+
+    The panel is aggregated once, to month bitmaps; months are first days, and rows without one count in n_rows alone.
+    """
+    return churn_of_months(item_months(panel.where(F.col(item).isNotNull()), [*keys, item], month), [*keys, item])
+
+
+def churn_of_months(months: DataFrame, keys: list[str]) -> DataFrame:
+    """The churn of month bitmaps by ``keys``, of one panel or merged from several."""
+    own = F.shiftright("bits", 1)  # without the month before the word
+    per = months.groupBy(*keys).agg(F.min(F.when(own > 0, first_number("word", own))).alias("_a"), F.max(F.when(own > 0, last_number("word", own))).alias("_z"), F.sum(F.bit_count(own)).alias("months_seen"), F.sum("n_rows").alias("n_rows"))
+    # One row. It takes n_rows along, so that both sides shuffle the same columns and the planner shuffles them once.
+    latest = per.agg(F.max(F.struct("_z", "n_rows")).getField("_z").alias("_latest"))
     out = per.crossJoin(F.broadcast(latest))
-    absent = months_between_first(F.col("_latest"), F.col("last_month"))
-    span = months_between_first(F.col("last_month"), F.col("first_month")) + 1
-    return out.select(*keys, item, "first_month", "last_month", "months_seen", "n_rows", absent.alias("months_absent"), F.when(absent == 0, "present").otherwise("left").alias("churn_status"), F.try_divide("months_seen", span).alias("presence_rate"))
+    absent = (F.col("_latest") - F.col("_z")).cast("int")
+    span = F.col("_z") - F.col("_a") + 1
+    return out.select(*keys, month_of_number("_a").alias("first_month"), month_of_number("_z").alias("last_month"), "months_seen", "n_rows", absent.alias("months_absent"), F.when(absent == 0, "present").otherwise("left").alias("churn_status"), F.try_divide("months_seen", span).alias("presence_rate"))
 
 
 def churn_summary(churn: DataFrame) -> DataFrame:
