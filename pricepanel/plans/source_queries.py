@@ -15,6 +15,7 @@ from pricepanel.operators import vintages as vt
 from pricepanel.plans.panel_queries import ERA, STAND_IN_ERAS, rounded
 from pricepanel.plans.standins import standin, with_standins
 from pricepanel.sources import panels
+from pricepanel.streaming.ingest import compact_batches
 from pricepanel.streaming.ingest import ingest_stream as ingest
 
 Q: dict = {}
@@ -414,7 +415,7 @@ def plausible_values(published):
 
 @query("fare_obs", sql="select scrape_date, count(*) n from fare_obs where query_id % 50 > 0 group by 1")
 def ingest_stream(fares):
-    """Run files written from the panel, some rows without a run, read as a stream to the end; then some delivered again under other names."""
+    """Run files written from the panel, some rows without a run, read as a stream to the end; then some delivered again under other names, before and after the batches are compacted."""
     spark, path = fares.sparkSession, scratch(fares.sparkSession)
     rows = fares.withColumn("run_id", F.when(F.col("query_id") % 50 > 0, F.col("run_id")))
     take = lambda: ingest(spark, f"{path}/in", f"{path}/panel", f"{path}/rejects", f"{path}/state", panels.FARE_OBS).awaitTermination()
@@ -423,4 +424,9 @@ def ingest_stream(fares):
     take()  # finds nothing new
     panels.write_ndjson(rows.where("query_id % 5 < 3"), f"{path}/in")  # two fifths of these were there
     take()
+    panels.write_ndjson(rows.where("query_id % 5 = 4"), f"{path}/in")  # all of these were there
+    take()
+    compact_batches(spark, f"{path}/panel", panels.FARE_OBS)
+    panels.write_ndjson(rows.where("query_id % 5 = 0"), f"{path}/in")
+    take()
     return spark.read.schema(panels.FARE_OBS).parquet(f"{path}/panel").groupBy("scrape_date").agg(F.count("*").alias("n"))

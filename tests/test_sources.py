@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import json
+import os
 
 import pyarrow.parquet as pq
 import pytest
@@ -14,6 +15,7 @@ from pricepanel.operators import payload as pl
 from pricepanel.operators import scoring as sc
 from pricepanel.operators import vintages as vt
 from pricepanel.sources import panels
+from pricepanel.streaming import ingest
 from pricepanel.streaming.ingest import ingest_stream
 
 day = dt.date.fromisoformat
@@ -93,6 +95,53 @@ def test_runs_delivered_twice_come_once(spark, tmp_path):
     assert take(spark, tmp_path) == [1, 2, 2, 3, 4, 5, 6]
 
 
+def test_batches_are_compacted_by_month(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    days = ("2026-08-03", "2026-08-04", "2026-09-01", "2026-10-01")
+
+    def deliver(name, rows):
+        (tmp_path / "in" / name).write_text("".join(json.dumps({k: v if not isinstance(v, dt.date) else v.isoformat() for k, v in zip(panels.FARE_OBS.names, r, strict=True)}) + "\n" for r in rows))
+        return take(spark, tmp_path)
+
+    def held(batch):
+        return {p.rsplit("=", 1)[-1] for p in glob.glob(f"{tmp_path}/panel/batch={batch}/scrape_date=*")}
+
+    assert ingest.compact_batches(spark, f"{tmp_path}/panel", panels.FARE_OBS) == 0  # no panel yet
+    deliver("a.json", [fare(1, days[0]), fare(2, days[0]), fare(2, days[0]), fare(9, days[3])])
+    deliver("b.json", [fare(3, days[0]), fare(4, days[1])])
+    deliver("c.json", [fare(5, days[2]), fare(6, days[1])])
+    all_rows = deliver("d.json", [fare(7, days[0])])
+    assert all_rows == [1, 2, 2, 3, 4, 5, 6, 7, 9]
+    # The driver stops after some dates were deleted: nothing is lost, and the next ingest puts them in place.
+    with monkeypatch.context() as cut:
+        cut.setattr(ingest, "settle_compaction", lambda *a: 0)
+        ingest.compact_batches(spark, f"{tmp_path}/panel", panels.FARE_OBS)
+    assert take(spark, tmp_path) == all_rows and not (tmp_path / "panel" / "_compacted").exists()
+    # August lay in three settled batches; September and October in one each; the newest batch stays.
+    assert (held(0), held(1), held(2), held(3)) == ({days[3]}, set(), set(days[:3]), {days[0]})
+    assert len(glob.glob(f"{tmp_path}/panel/batch=2/scrape_date={days[0]}/*.parquet")) == 1
+    assert ingest.compact_batches(spark, f"{tmp_path}/panel", panels.FARE_OBS) == 0  # nothing is left to do
+    # Half-written files are thrown away; a run delivered again after the compaction adds nothing.
+    (tmp_path / "panel" / "_compacted" / "batch=2" / f"scrape_date={days[0]}").mkdir(parents=True)
+    assert deliver("e.json", [fare(2, days[0]), fare(2, days[0]), fare(3, days[0]), fare(8, days[2])]) == sorted([*all_rows, 8])
+    assert ingest.compact_batches(spark, f"{tmp_path}/panel", panels.FARE_OBS) == 2 and take(spark, tmp_path) == sorted([*all_rows, 8])
+
+
+def test_a_cut_between_delete_and_move(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        (tmp_path / "in" / f"{k}.json").write_text(json.dumps({n: v if not isinstance(v, dt.date) else v.isoformat() for n, v in zip(panels.FARE_OBS.names, fare(k), strict=True)}) + "\n")
+        take(spark, tmp_path)
+    real, ingest.settle_compaction = ingest.settle_compaction, lambda *a: 0
+    try:
+        ingest.compact_batches(spark, f"{tmp_path}/panel", panels.FARE_OBS)
+    finally:
+        ingest.settle_compaction = real
+    for f in glob.glob(f"{tmp_path}/panel/batch=[01]/*/*"):
+        os.unlink(f)
+    assert take(spark, tmp_path) == [0, 1, 2]
+
+
 def test_days_meet_within_a_window_without_a_nested_loop(spark):
     held = [day("2026-01-01") + dt.timedelta(d) for d in (0, 3, 9, 30, 31, 90)]
     days = [day("2025-12-25") + dt.timedelta(d) for d in range(0, 110, 4)]
