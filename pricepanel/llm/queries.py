@@ -31,6 +31,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), (~base_failed & quality_rules.kept_by(web)).alias("kept"), "failures")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -88,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_substring_dedup, op2_html_extraction, op3_quality_rules, op4_toxicity, op5_token_codes, op6_ngram_jaccard, op7_quality_classifier, op8_best_fit_packing, op9_decontamination, op10_url_filters, op11_phrase_collocations, op12_source_divergence, op13_chat_formatting, pipeline)
+    ops = (op1_substring_dedup, op2_html_extraction, op3_quality_rules, quality_ablation, op4_toxicity, op5_token_codes, op6_ngram_jaccard, op7_quality_classifier, op8_best_fit_packing, op9_decontamination, op10_url_filters, op11_phrase_collocations, op12_source_divergence, op13_chat_formatting, pipeline)
     return {f.__name__: f for f in ops}
 
 
@@ -105,7 +109,7 @@ select w.doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - coales
 from w left join kept on w.doc_id = kept.doc_id
 """
 
-_OP3 = rf"""
+_LEDGER = rf"""
 with w as (select doc_id, coalesce(text, '') as text, {_WORDS} as words from documents),
 p as (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 1))) as s from w),
 k as (select doc_id, s, count(*) over (partition by doc_id, array_to_string(words[s:s + 4], ' ')) as n from p),
@@ -126,9 +130,19 @@ f as (
     + 64 * (10 * n_shouts > 3 * n_words)::int + 128 * (n_words > 20 and 5 * n_distinct_words < n_words)::int as bigint) as failures
   from m
 )
+"""
+
+_OP3 = f"""{_LEDGER}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) > 0 as base_failed, failures = 0 as kept, failures from f
 """
 
+_ABLATION = f"""{_LEDGER},
+rules as (select 1 << i as b, rule from (select unnest(['few_words', 'repeated_windows', 'symbols', 'repeated_lines', 'short_words', 'long_words', 'shouting', 'one_word']) as rule, unnest(range(8)) as i)),
+pol as (select unnest(['base-1', 'web-1', 'lenient-1']) as policy, unnest([3, 255, 7]) as mask),
+e as (select policy, rule, b, failures & mask as own from f, pol join rules on (mask & b) > 0)
+select policy, rule, count(*) filter ((own & b) > 0) as n_failed, count(*) filter (own = b) as n_alone, count(*) filter (own = 0) as n_kept, count(*) filter (own in (0, b)) as n_kept_without from e group by 1, 2
+"""
+
 _OP6 = rf"""
 with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
 s as (
@@ -214,4 +228,4 @@ from c group by 1
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where it can express an operator; the others are tested against brute force, round trips or held-out rows."""
-    return {"op1_substring_dedup": _OP1, "op3_quality_rules": _OP3, "op6_ngram_jaccard": _OP6, "op10_url_filters": _op10(), "op11_phrase_collocations": _OP11, "op12_source_divergence": _OP12, "op13_chat_formatting": _op13()}
+    return {"op1_substring_dedup": _OP1, "op3_quality_rules": _OP3, "quality_ablation": _ABLATION, "op6_ngram_jaccard": _OP6, "op10_url_filters": _op10(), "op11_phrase_collocations": _OP11, "op12_source_divergence": _OP12, "op13_chat_formatting": _op13()}

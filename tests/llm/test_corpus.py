@@ -185,6 +185,12 @@ def test_quality_rules(spark, docs, texts, none):
     counts = {r["rule"]: (r["n_failed"], r["n_alone"]) for r in quality_rules.ablation(rows, policy).collect()}
     failures = [r["failures"] for r in rows.collect()]
     assert counts["few_words"] == (sum(f & 1 for f in failures), sum(f == 1 for f in failures))
+    every = {(r["policy"], r["rule"]): tuple(r[2:]) for r in quality_rules.ablations(rows).collect()}
+    bits = {name: 1 << i for i, (name, _) in enumerate(quality_rules.RULES)}
+    own = {p: [f & p.mask for f in failures] for p in quality_rules.POLICIES}
+    assert every == {(p.version, r): (sum(f & bits[r] > 0 for f in own[p]), sum(f == bits[r] for f in own[p]), own[p].count(0), sum(f in (0, bits[r]) for f in own[p])) for p in quality_rules.POLICIES for r in p.rules}
+    assert {rule: v[:2] for (version, rule), v in every.items() if version == policy.version} == counts
+    assert quality_rules.ablations(rows.limit(0)).count() == 0
 
 
 def brute_leaks(docs, items, k=5, t=0.75):
