@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.llm import decontaminate, ngram_join, packing, substring_dedup, toxicity
-from pricepanel.llm.common import discard, stored, table, tokenizer_path
+from pricepanel.llm.common import discard, place_of, scratch, stored, table, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -89,7 +89,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     written = None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark) as keep:  # what the stage's operators stored goes when its rows are written
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+            keep.add(place_of(docs))
         if written is not None:
             discard(written)
         written = docs

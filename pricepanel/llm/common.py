@@ -6,6 +6,7 @@ import re
 import uuid
 import weakref
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -137,6 +138,8 @@ def drained(rows: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
 
 #: Where the tables of ``stored`` lie.
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+#: Paths written since each ``scratch`` that is open.
+_OPEN: list[list[str]] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -150,14 +153,44 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
+    for made in _OPEN:
+        made.append(path)
     return out
 
 
+def view_of(table: DataFrame, view: DataFrame) -> DataFrame:
+    """``view``, a selection from a table of ``stored``, stands for the table in ``discard``."""
+    _PATHS[view] = _PATHS.pop(table)
+    return view
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[set[str]]:
+    """Tables that ``stored`` writes inside are deleted at the end, but for those that are put into the set (by ``place_of``)."""
+    keep, made = set(), []
+    _OPEN.append(made)
+    try:
+        yield keep
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            if path not in keep:
+                _delete(spark, path)
+
+
+def place_of(table: DataFrame) -> str:
+    return _PATHS[table]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``stored`` that nothing will read again."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(df))
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, _PATHS.pop(df))
 
 
 def among(rows: DataFrame, ids: DataFrame, column: str, bits: int = 1 << 23) -> DataFrame:

@@ -15,6 +15,7 @@
 4. Rest. Groups with nodes of different components after step 3 get a round of stars more, each group with a
    centre of its own by hash; what is then left is joined pairwise between components, but
    for the pairs that were judged before, so no link is lost; pairs inside a component can change nothing.
+   A large group is dealt out by (part of one side, part of the other), so that no task gets all of its pairs.
 5. Components of all links, by alternating large and small stars.
 """
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricepanel.llm.common import among, batches, discard, distinct, drained, grams, stored, text_batches, word_hashes
+from pricepanel.llm.common import among, batches, discard, distinct, drained, grams, stored, text_batches, view_of, word_hashes
 
 _NODE = pa.schema([("_doc", pa.int64()), ("_n", pa.int64()), ("_node", pa.int64()), ("_sketch", pa.binary()), ("_few", pa.list_(pa.int8())), ("_part", pa.int32()), ("_counts", pa.binary())])
 _ENTRY = pa.schema([("_token", pa.int64()), ("_salt", pa.int32()), ("_node", pa.int64()), ("_place", pa.int64()), ("_weight", pa.int64())])
@@ -38,6 +39,8 @@ _COUNT = pa.schema([("_part", pa.int32()), ("_counts", pa.binary())])
 _LINK = pa.schema([("_a", pa.int64()), ("_b", pa.int64())])
 _PART = 4096
 _SALTS = 64
+#: Rows of a group that meet in one task in the pairwise rest.
+_MEET = 4096
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -235,7 +238,7 @@ def components(links: DataFrame) -> DataFrame:
         discard(edges)
         before, edges = state, after
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("_hi", "_lo").cast("decimal(38,0)"))).first()
-    return edges.select(F.col("_hi").alias("_node"), F.col("_lo").alias("_least"))
+    return view_of(edges, edges.select(F.col("_hi").alias("_node"), F.col("_lo").alias("_least")))
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: str = "3/4", buckets: int = 1 << 22, rounds: int = 1, hot_from: int = 2_000) -> DataFrame:
@@ -305,8 +308,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     def judge(pairs: DataFrame, name: str) -> DataFrame | None:
         """Verifies the pairs that were not judged before; the components of all links so far, or nothing where no pair was new."""
         new = pairs.select(F.least("_node", "_c").alias("_a"), F.greatest("_node", "_c").alias("_b")).distinct()
-        for seen in judged:
-            new = new.join(seen, ["_a", "_b"], "left_anti")
+        if judged:
+            new = new.join(reduce(DataFrame.union, judged), ["_a", "_b"], "left_anti")
         new = stored(new, name)
         judged.append(new)
         if new.isEmpty():
@@ -318,8 +321,8 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         """Groups with nodes of several components, each node with its component and that of most of the group."""
         named = left.join(label, "_node", "left").select("_token", "_node", "_place", F.coalesce("_least", "_node").alias("_comp"))
         per = named.groupBy("_token", "_comp").agg(F.count("*").alias("_k"))
-        main = per.groupBy(F.col("_token").alias("_t")).agg(F.max_by("_comp", F.struct("_k", "_comp")).alias("_main"), F.count("*").alias("_comps")).where("_comps > 1")
-        return stored(named.join(main, F.col("_token") == F.col("_t")).select("_token", "_node", "_place", "_comp", "_main"), "mixed-groups")
+        main = per.groupBy(F.col("_token").alias("_t")).agg(F.max_by("_comp", F.struct("_k", "_comp")).alias("_main"), F.count("*").alias("_comps"), F.sum("_k").alias("_size")).where("_comps > 1")
+        return stored(named.join(main, F.col("_token") == F.col("_t")).select("_token", "_node", "_place", "_comp", "_main", "_size"), "mixed-groups")
 
     stars = grouped.select("_node", "_place", "_c", "_cp").union(tops).where((F.col("_node") != F.col("_c")) & passes("_place", "_cp"))
     none = spark.createDataFrame([], "_node long, _least long")
@@ -330,6 +333,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     left = grouped.where("(_g > 2 and _node <> _c) or _salt > 0").select("_token", "_node", "_place")
     groups = mixed(label)
     discard(grouped)
+    df.destroy()
     for r in range(rounds):
         left = groups.select("_token", "_node", "_place")
         # Any one node of each group, another one in each group and round.
@@ -340,19 +344,23 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         after = judge(pairs.select("_node", "_c"), "stars")
         if after is None:
             break
-        label, before = after, groups
+        before, label = [groups, *([] if label is none else [label])], after
         groups = mixed(label)
-        discard(before)
+        discard(*before)
     # One side is outside the component of most of the group.
     counts = counted.join(groups.select(F.col("_node").alias("_id")).distinct(), F.col("_node") == F.col("_id"), "left_semi").groupBy("_node").agg(F.first("_few").alias("_few"))
     groups_with = groups.join(counts, "_node")
-    few = groups_with.where("_comp <> _main").select("_token", "_node", F.col("_place").alias("_p"), F.col("_comp").alias("_ca"), F.col("_few").alias("_x"))
-    every = groups_with.select("_token", F.col("_node").alias("_c"), F.col("_place").alias("_q"), F.col("_comp").alias("_cb"), "_main", F.col("_few").alias("_y"))
+    # Parts of a large group, by node on either side; each side goes to all parts of the other.
+    dealt = F.ceil(F.col("_size") / _MEET)
+    mine, others = F.pmod(F.xxhash64("_node"), dealt), F.explode(F.sequence(F.lit(0).cast("long"), dealt - 1))
+    few = groups_with.where("_comp <> _main").select("_token", mine.alias("_i"), others.alias("_j"), "_node", F.col("_place").alias("_p"), F.col("_comp").alias("_ca"), F.col("_few").alias("_x"))
+    every = groups_with.select("_token", others.alias("_i"), mine.alias("_j"), F.col("_node").alias("_c"), F.col("_place").alias("_q"), F.col("_comp").alias("_cb"), "_main", F.col("_few").alias("_y"))
     # The suffix filter on 128 parts of the hash space, while the pairs are made.
     apart = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, d: total + d)
     may = passes("_p", "_q") & (apart <= size(F.col("_p")) + size(F.col("_q")) - 2 * overlap("_p", "_q"))
-    rest = few.join(every, "_token").where((F.col("_ca") != F.col("_cb")) & ((F.col("_cb") == F.col("_main")) | (F.col("_node") < F.col("_c"))) & may)
+    rest = few.join(every, ["_token", "_i", "_j"]).where((F.col("_ca") != F.col("_cb")) & ((F.col("_cb") == F.col("_main")) | (F.col("_node") < F.col("_c"))) & may)
     after = judge(rest.select("_node", "_c"), "rest")
+    used = [x for x in (label, after) if x is not None and x is not none]
     label = label if after is None else after
     discard(groups, *judged, *found)
 
@@ -363,4 +371,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     salted = least.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     ids = linked.join(salted, ["_least", "_salt"]).select("_node", "_id").union(least.select(F.col("_least").alias("_node"), "_id"))
     every = classes.join(ids, "_node", "left").select("_node", F.coalesce("_id", "_doc").alias("_id"))
-    return nodes.join(every, "_node", "left").select(F.col("_doc").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("_id", "_doc").alias("component_id"))
+    out = nodes.join(every, "_node", "left").select(F.col("_doc").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("_id", "_doc").alias("component_id"))
+    out = stored(out, "components")
+    discard(counted, classes, *used)
+    return out

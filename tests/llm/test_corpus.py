@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -141,6 +142,22 @@ def test_ngram_join_of_many_alike_and_hot_shingles(spark):
         assert [got[i] for i in range(len(texts))] == brute_components(texts)
 
 
+def test_ngram_join_deals_large_groups_and_leaves_one_table(spark, texts, monkeypatch):
+    """The pairwise rest in parts of two rows a side gives the same components; of all its tables the result stays."""
+    monkeypatch.setattr(ngram_join, "_MEET", 2)
+    rng = random.Random(4)
+    shared = " ".join(f"s{i}" for i in range(8))
+    # Each text shares a rare run with all others and is alike with one of them only.
+    more = [f"{shared} " + " ".join(f"t{i // 2}x{j}" for j in range(40)) + f" end{rng.random()}" for i in range(40)]
+    held = spark.createDataFrame(list(enumerate(texts + more)), "doc_id long, text string")
+    there = set(Path(common.shared_folder(spark)).glob("*"))
+    rows = ngram_join.jaccard_components(held, buckets=4096, rounds=0, hot_from=3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows.collect()}
+    assert [got[i] for i in range(len(got))] == brute_components(texts + more)
+    left = set(Path(common.shared_folder(spark)).glob("*")) - there
+    assert [x.name.rpartition("-")[0] for x in left] == ["components"]
+
+
 def test_sketches_never_exceed_the_difference():
     rng = np.random.default_rng(5)
     for _ in range(200):
@@ -590,7 +607,10 @@ def test_pipeline_keeps_columns_and_drops(spark, tmp_path, texts):
     assert leaked not in kept and kept <= here
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert {r["doc_id"] for r in pieces} == kept
+    there = set(Path(common.shared_folder(spark)).glob("*"))
     whole = corpus_pipeline.run(spark, str(tmp_path))
+    left = set(Path(common.shared_folder(spark)).glob("*")) - there
+    assert [x.name.rpartition("-")[0] for x in left] == ["stage-packing"]
     assert Counter((r["doc_id"], r["length"]) for r in whole.collect()) == Counter((r["doc_id"], r["length"]) for r in pieces)
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
