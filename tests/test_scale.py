@@ -40,3 +40,17 @@ def test_published_levels_are_made_once(spark):
     published = standin(spark, FOLDER, "published")
     assert plan_of(published).count("Aggregate") == 1
     assert {r[0] for r in published.where("month(index_month) = 1").select("index_value").collect()} == {100.0}
+
+
+def test_properties_are_counted_by_their_sets_of_atoms(spark):
+    m = day("2026-01-01")
+    seen = [("A", "mid", "wed", True), ("A", "mid", "thu", False), ("B", None, "wed", None), ("B", "up", "wed", False), ("C", "mid", "wed", False), ("C", "mid", "wed", False), (None, "mid", "wed", True), (None, "low", "wed", False)]
+    rows = spark.createDataFrame([(m, m, "per_night", "x", t, tier, night, pinned, 1.0) for t, tier, night, pinned in seen], "index_month_stay date, index_month_collection date, collection_alignment string, location string, property_token string, property_tier string, stay_night_kind string, is_panel_property boolean, price_gbp double")
+    counted = rc.properties_seen(rows)
+    assert not any("property_token" in line and "sample_rule" in line for line in plan_of(counted).splitlines() if "Aggregate" in line)
+    got = {(r["sample_rule"], r["property_tier"], r["stay_night_kind"]): r["n_properties"] for r in counted.where("attribution = 'stay'").collect()}
+    assert got == {
+        ("matched_census", "mid", "wed"): 2, ("matched_census", "mid", "thu"): 1, ("matched_census", "up", "wed"): 1, ("matched_census", "unknown", "wed"): 1, ("matched_census", "low", "wed"): 0, ("matched_census", "low", "both"): 0, ("matched_census", "all", "wed"): 3, ("matched_census", "all", "thu"): 1,
+        ("matched_census", "mid", "both"): 2, ("matched_census", "up", "both"): 1, ("matched_census", "unknown", "both"): 1, ("matched_census", "all", "both"): 3,
+        ("pinned", "mid", "wed"): 1, ("pinned", "all", "wed"): 1, ("pinned", "mid", "both"): 1, ("pinned", "all", "both"): 1,
+    }
