@@ -53,6 +53,13 @@ def scratch(spark) -> str:
     return f"{folder.rstrip('/')}/pricepanel-io/{uuid.uuid4().hex}"
 
 
+def written(df):
+    """``df`` as rows on the shared folder: what follows reads it many times over, not the tables that it was made from."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 FARE = "select query_id, scrape_date, route, status, round(price_gbp, 4) price_gbp from fare_obs"
 
 
@@ -196,6 +203,7 @@ REGION_NAMES = ["africa", "america", "asia", "europe", "middle east"]
 @query("published", sql="select cast(fetched_ts as varchar) sheet, index_month, lower(location) as location, round(index_value, 4) index_value from published where index_value between 10 and 500")
 def tidy_region_grid(published):
     """A sheet for each vintage, the second one transposed, each under a title that names two regions where no values are."""
+    published = written(published)
     at = F.array_position(F.lit(REGION_NAMES), F.lower("location")) + 3
     down = (F.year("index_month") - 1990) * 12 + F.month("index_month")
     sheet = F.col("fetched_ts")
