@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricepanel.operators import monitoring as mo
 from pricepanel.operators import payload as pl
 from pricepanel.operators import reconcile as rc
-from pricepanel.plans import registry
+from pricepanel.plans import registry, standins
 from pricepanel.plans.panel_queries import rounded_means
 from pricepanel.plans.standins import standin
 
@@ -66,3 +66,14 @@ def test_properties_are_counted_by_their_sets_of_atoms(spark):
         ("matched_census", "mid", "both"): 2, ("matched_census", "up", "both"): 1, ("matched_census", "unknown", "both"): 1, ("matched_census", "all", "both"): 3,
         ("pinned", "mid", "wed"): 1, ("pinned", "all", "wed"): 1, ("pinned", "mid", "both"): 1, ("pinned", "all", "both"): 1,
     }
+
+
+def test_line_items_meet_their_orders_in_tasks_of_bounded_size(spark, monkeypatch):
+    """More rows are more tasks, on both sides alike; small tables are left to the planner."""
+    few = standin(spark, FOLDER, "stay_obs")
+    assert "Repartition" not in plan_of(few)
+    rows = spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
+    monkeypatch.setattr(standins, "ROWS_OF_A_TASK", 100)
+    many = standin(spark, FOLDER, "stay_obs")
+    assert sum("RepartitionByExpression [" in line and line.endswith(f"], {-(-rows // 100)}") for line in plan_of(many).splitlines()) == 2
+    assert few.exceptAll(many).count() == many.exceptAll(few).count() == 0
