@@ -82,19 +82,30 @@ def hotel_like(kind: Column) -> Column:
     return (k == "") | k.isin(*HOTEL_TYPES)
 
 
-def staged_stays(quotes: DataFrame, key: str = "query_id", basis: str = "refundable", max_ratio: float = 5.0) -> DataFrame:
-    """Each quote with the stage that drops it, or 'considered': type, other_tier, rate, then a cap on both sides of the tier's median."""
+def _staged(quotes: DataFrame, basis: str) -> DataFrame:
+    """Each quote with its tier, and in _stage the stage before the cap that drops it."""
     tier = tier_for_class(F.col("hotel_class"))
     stage = F.when(~hotel_like(F.col("property_type")), "type").when(tier.isNull(), "other_tier").when(~matches_rate_basis(F.col("free_cancellation"), basis), "rate")
-    rows = quotes.withColumns({"tier": tier, "_stage": stage})
+    return quotes.withColumns({"tier": tier, "_stage": stage})
+
+
+def _outlier(max_ratio: float) -> Column:
+    return ~F.col("price").between(F.col("_m") / max_ratio, F.col("_m") * max_ratio)
+
+
+def staged_stays(quotes: DataFrame, key: str = "query_id", basis: str = "refundable", max_ratio: float = 5.0) -> DataFrame:
+    """Each quote with the stage that drops it, or 'considered': type, other_tier, rate, then a cap on both sides of the tier's median."""
+    rows = _staged(quotes, basis)
     medians = rows.where("_stage is null").groupBy(key, "tier").agg(F.median("price").alias("_m"))
     rows = rows.join(medians, [key, "tier"], "left")
-    outlier = ~F.col("price").between(F.col("_m") / max_ratio, F.col("_m") * max_ratio)
-    return rows.withColumn("stage", F.coalesce("_stage", F.when(outlier, "outlier"), F.lit("considered"))).drop("_stage", "_m")
+    return rows.withColumn("stage", F.coalesce("_stage", F.when(_outlier(max_ratio), "outlier"), F.lit("considered"))).drop("_stage", "_m")
 
 
 def comparable_stays(quotes: DataFrame, key: str = "query_id", basis: str = "refundable", max_ratio: float = 5.0) -> DataFrame:
-    return staged_stays(quotes, key, basis, max_ratio).where("stage = 'considered'").drop("stage")
+    """The considered ones of ``staged_stays``; what drops earlier is not shuffled. Rows without a key have no median, and no cap."""
+    median = F.median("price").over(Window.partitionBy(key, "tier"))
+    rows = _staged(quotes, basis).where("_stage is null").withColumn("_m", F.when(F.col(key).isNotNull(), median))
+    return rows.where(~F.coalesce(_outlier(max_ratio), F.lit(False))).drop("_stage", "_m")
 
 
 def filter_accounting(quotes: DataFrame, key: str = "query_id", basis: str = "refundable") -> DataFrame:
@@ -241,9 +252,12 @@ def build_stay_rows(queries: DataFrame, quotes: DataFrame, key: str = "query_id"
     kept = comparable_stays(quotes, key, basis)
     cheapest = F.min("price").over(Window.partitionBy(key, "tier"))
     kept = kept.select(key, "property_token", "tier", "pos", "price", cheapest.alias("price_cheapest"))
-    rows = with_failures(queries.join(kept, key, "left").join(returned, key, "left").fillna(0, ["n_quotes"]), failed, key)
+    if pinned is not None:  # on the properties alone: rows without one would all meet under a null token
+        kept, queries = flag_panel_items(kept, pinned), queries.drop("is_panel_property")
+    rows = queries.join(kept, key, "left").join(returned, key, "left").fillna(0, ["n_quotes"])
     first = F.row_number().over(Window.partitionBy(key).orderBy("tier", "pos", "property_token")) == 1
-    rows = rows.withColumn("_first", first).where(F.col("_failed").isNull() | F.col("_first"))
+    # Messages and payloads come after the sort, so that none is sorted with every property.
+    rows = with_failures(rows.withColumn("_first", first), failed, key).where(F.col("_failed").isNull() | F.col("_first"))
     ok, none = F.col("_failed").isNull(), F.col("price").isNull()
     rows = rows.withColumns({c: F.when(ok, F.col(c)) for c in ("property_token", "tier", "pos", "price", "price_cheapest", "n_quotes")})
     nothing = F.when(F.col("n_quotes") > 0, F.concat(F.col("n_quotes").cast("string"), F.lit(f" properties returned, none comparable (rate_basis={basis})")))
@@ -251,5 +265,5 @@ def build_stay_rows(queries: DataFrame, quotes: DataFrame, key: str = "query_id"
     if payloads is not None:
         rows = rows.join(payloads.select(key, F.col("raw_response").alias("_raw")), key, "left").withColumn("raw_response", F.when(F.col("_first") & ok, F.col("_raw"))).drop("_raw")
     if pinned is not None:
-        rows = flag_panel_items(rows, pinned)
+        rows = rows.withColumn("is_panel_property", ok & F.coalesce("is_panel_property", F.lit(False)))
     return rows.drop("_first", "_failed", "pos")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricepanel.operators import selection as se
-from pricepanel.plans.standins import standin, with_standins
+from pricepanel.plans.standins import dealt, standin, tasks_for, with_standins
 
 Q: dict = {}
 O: dict[str, str] = {}
@@ -144,7 +144,8 @@ def build_fare_rows(quotes):
 @query("quotes", sql=STAGED + LEGS + ", n as (select query_id, count(*) n from quotes group by 1), ok as (select *, row_number() over (partition by query_id order by tier, pos, property_token) k, min(price) over (partition by query_id, tier) low from staged where stage = 'considered') select c.query_id, run_id, case when failed then 0 else coalesce(n, 0) end n_quotes, case when not failed then property_token end property_token, case when not failed then tier end tier, case when not failed then round(low, 6) end price_cheapest, case when failed then 'error' when price is null then 'no_data' else 'ok' end status, case when failed then concat('quota exceeded ', repeat('x', 985)) when price is null and n > 0 then concat(n, ' properties returned, none comparable (rate_basis=refundable)') end error_message, case when not failed and (k = 1 or price is null) and n > 0 then concat('raw ', c.query_id) end raw_response, not failed and coalesce(property_token like '%7', false) is_panel_property from legs c left join ok on c.query_id = ok.query_id left join n on c.query_id = n.query_id where not failed or k is null or k = 1")
 def build_stay_rows(quotes):
     legs, failed = legs_of(quotes)
-    payloads = quotes.select("query_id", F.concat(F.lit("raw "), F.col("query_id").cast("string")).alias("raw_response")).distinct()
+    legs = dealt(legs, tasks_for(quotes.sparkSession.table("lineitem")), "query_id")
+    payloads = quotes.select("query_id").distinct().select("query_id", F.concat(F.lit("raw "), F.col("query_id").cast("string")).alias("raw_response"))
     pinned = quotes.where("property_token like '%7'").select("property_token")
     rows = se.build_stay_rows(legs, quotes, failed=failed, payloads=payloads, pinned=pinned)
     return rows.select("query_id", "run_id", "n_quotes", "property_token", "tier", F.round("price_cheapest", 6).alias("price_cheapest"), "status", "error_message", "raw_response", "is_panel_property")

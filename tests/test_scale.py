@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricepanel.operators import monitoring as mo
 from pricepanel.operators import payload as pl
 from pricepanel.operators import reconcile as rc
+from pricepanel.operators import selection as se
 from pricepanel.plans import registry, standins
 from pricepanel.plans.panel_queries import rounded_means
 from pricepanel.plans.standins import standin
@@ -77,3 +78,17 @@ def test_line_items_meet_their_orders_in_tasks_of_bounded_size(spark, monkeypatc
     many = standin(spark, FOLDER, "stay_obs")
     assert sum("RepartitionByExpression [" in line and line.endswith(f"], {-(-rows // 100)}") for line in plan_of(many).splitlines()) == 2
     assert few.exceptAll(many).count() == many.exceptAll(few).count() == 0
+
+
+def test_messages_and_payloads_are_not_sorted_with_the_rows_of_a_query(spark):
+    """The rows of a query are numbered before its message is there, and only properties meet the pinned tokens."""
+    quotes = spark.createDataFrame([(q, pos, p, "hotel", 3.0, True, f"T{pos}") for q in (1, 2) for pos, p in ((0, 100.0), (1, 110.0), (2, 900.0))], "query_id long, pos int, price double, property_type string, hotel_class double, free_cancellation boolean, property_token string")
+    queries, failed = spark.createDataFrame([(1,), (2,), (3,)], "query_id long"), spark.createDataFrame([(2, "x" * 2000)], "query_id long, message string")
+    payloads = spark.createDataFrame([(1, "raw 1"), (2, "raw 2")], "query_id long, raw_response string")
+    rows = se.build_stay_rows(queries, quotes, failed=failed, payloads=payloads, pinned=quotes.where("pos = 1"))
+    sorts = [line for line in rows._jdf.queryExecution().sparkPlan().toString().splitlines() if "Window [row_number" in line]
+    assert len(sorts) == 1 and "_failed" not in sorts[0]
+    plan = plan_of(rows).splitlines()
+    assert next(i for i, line in enumerate(plan) if "_failed" in line and "Join" not in line and "Aggregate" in line) > next(i for i, line in enumerate(plan) if "Window [row_number" in line)
+    got = [(r["query_id"], r["property_token"], r["status"], r["is_panel_property"], r["raw_response"], len(r["error_message"] or "")) for r in rows.orderBy("query_id", "property_token").collect()]
+    assert got == [(1, "T0", "ok", False, "raw 1", 0), (1, "T1", "ok", True, None, 0), (2, None, "error", False, None, 1000), (3, None, "no_data", False, None, 0)]
