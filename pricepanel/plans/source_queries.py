@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import uuid
-
 from pyspark.sql import functions as F
 
 from pricepanel.functions.calendar import nth_weekday
@@ -13,7 +10,7 @@ from pricepanel.operators import published as pub
 from pricepanel.operators import selection as se
 from pricepanel.operators import vintages as vt
 from pricepanel.plans.panel_queries import ERA, STAND_IN_ERAS, rounded
-from pricepanel.plans.standins import standin, with_standins
+from pricepanel.plans.standins import scratch, standin, with_standins, written
 from pricepanel.sources import panels
 from pricepanel.streaming.ingest import compact_batches
 from pricepanel.streaming.ingest import ingest_stream as ingest
@@ -44,22 +41,6 @@ def on(name: str, sql: str | None = None):
     return register
 
 
-def scratch(spark) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-    return f"{folder.rstrip('/')}/pricepanel-io/{uuid.uuid4().hex}"
-
-
-def written(df):
-    """``df`` as rows on the shared folder: what follows reads it many times over, not the tables that it was made from."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 FARE = "select query_id, scrape_date, route, status, round(price_gbp, 4) price_gbp from fare_obs"
 
 

@@ -47,6 +47,10 @@ def test_grid_cells_are_read_as_written(spark):
     assert "o_orderdate" not in plan_of(registry.queries()["tidy_region_grid"](spark, FOLDER))
 
 
+def test_chains_read_the_monthly_prices_as_written(spark):
+    assert "o_orderdate" not in plan_of(registry.queries()["chained_index"](spark, FOLDER))
+
+
 def test_keys_are_counted_in_one_pass(spark):
     """Nested keys, keys with a dot, repeated ones in arrays, depth and texts that are no JSON; the payloads are read once."""
     texts = ['{"properties":[{"a":1,"b":{"c":[{"d":1},{"d":2},3,null],"e.f":null}},[1,{"x":2}],5,null]}', "nonsense", '{"a":1,"a":2}', '{"properties":{"a":1}}', None]
