@@ -8,6 +8,7 @@ from pricepanel.operators import monitoring as mo
 from pricepanel.operators import payload as pl
 from pricepanel.operators import reconcile as rc
 from pricepanel.operators import selection as se
+from pricepanel.operators import vintages as vt
 from pricepanel.plans import registry, standins
 from pricepanel.plans.panel_queries import rounded_means
 from pricepanel.plans.standins import standin
@@ -84,6 +85,23 @@ def test_line_items_meet_their_orders_in_tasks_of_bounded_size(spark, monkeypatc
     assert few.exceptAll(many).count() == many.exceptAll(few).count() == 0
 
 
+def test_churn_queries_shuffle_the_panel_once(spark):
+    """The latest month is told from the shuffle of the items themselves; the pinned properties are a reading of their own."""
+    for name, readings in (("property_churn", 1), ("churned_panel", 2)):
+        df = registry.queries()[name](spark, FOLDER)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert sum("FileScan parquet [l_orderkey" in line for line in plan.splitlines()) == readings, name
+
+
+def test_pins_without_a_location_fit_no_item(spark):
+    seen = [("x", "a", "2000-01-01"), (None, "a", "2000-01-01"), (None, "b", "2000-02-01"), ("x", "c", "2000-03-01"), ("y", "a", "2000-02-01")]
+    rows = spark.createDataFrame([(c, i, day(m)) for c, i, m in seen], "location string, property_token string, month date")
+    pins = spark.createDataFrame([(None, "a"), (None, "b"), ("x", "a"), ("x", "c"), ("y", None)], "location string, property_token string")
+    got = vt.churned_panel(vt.property_churn(rows, ["location"], month="month", counted=False), pins, ["location"])
+    assert [(r["location"], r["property_token"], r["months_absent"]) for r in got.collect()] == [("x", "a", 2)] and "n_rows" not in got.columns
+
+
 def test_messages_and_payloads_are_not_sorted_with_the_rows_of_a_query(spark):
     """The rows of a query are numbered before its message is there, and only properties meet the pinned tokens."""
     quotes = spark.createDataFrame([(q, pos, p, "hotel", 3.0, True, f"T{pos}") for q in (1, 2) for pos, p in ((0, 100.0), (1, 110.0), (2, 900.0))], "query_id long, pos int, price double, property_type string, hotel_class double, free_cancellation boolean, property_token string")
