@@ -87,7 +87,7 @@ def test_line_items_meet_their_orders_in_tasks_of_bounded_size(spark, monkeypatc
 
 def test_churn_queries_shuffle_the_panel_once(spark):
     """The latest month is told from the shuffle of the items themselves; the pinned properties are a reading of their own."""
-    for name, readings in (("property_churn", 1), ("churned_tokens", 1), ("churned_panel", 2)):
+    for name, readings in (("property_churn", 1), ("churned_tokens", 1), ("export_churn", 1), ("churn_summary", 1), ("churned_panel", 2)):
         df = registry.queries()[name](spark, FOLDER)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
