@@ -74,6 +74,24 @@ def test_properties_are_counted_by_their_sets_of_atoms(spark):
     }
 
 
+def test_properties_are_counted_by_more_kinds_than_a_word_has_bits(spark):
+    m = day("2026-01-01")
+    seen = [("A", f"t{i:02}", night) for i in range(70) for night in ("wed", None)] + [("B", "t00", "wed"), ("C", "t69", None), ("C", "t03", "wed")]
+    rows = spark.createDataFrame([(m, None, "per_night", None, t, tier, night, False, 1.0) for t, tier, night in seen], "index_month_stay date, index_month_collection date, collection_alignment string, location string, property_token string, property_tier string, stay_night_kind string, is_panel_property boolean, price_gbp double")
+    found = rc.properties_seen(rows, 3).collect()
+    got = {(r["property_tier"], r["stay_night_kind"]): r["n_properties"] for r in found if r["attribution"] == "stay"}
+    assert len(found) == 2 * len(got) == 2 * 71 * 3 and all(got[f"t{i:02}", "both"] == (2 if i in (0, 3, 69) else 1) for i in range(70))
+    assert (got["all", "both"], got["all", "wed"], got["all", None], got["t69", None], got["t69", "wed"]) == (3, 3, 2, 2, 1)
+
+
+def test_stay_rows_are_read_as_written_and_only_middle_prices_are_shuffled(spark):
+    for name in ("reconstruct_stays", "expected_churned"):
+        assert "o_orderdate" not in plan_of(registry.queries()[name](spark, FOLDER)), name
+    plan = plan_of(rc.reconstruct_stays(standin(spark, FOLDER, "stay_obs"))).splitlines()
+    by_price = [line for line in plan if "Aggregate [" in line and "_p#" in line.split("Aggregate [")[1].split("]")[0]]
+    assert by_price and all("_mb#" in line for line in by_price)
+
+
 def test_line_items_meet_their_orders_in_tasks_of_bounded_size(spark, monkeypatch):
     """More rows are more tasks, on both sides alike; small tables are left to the planner."""
     few = standin(spark, FOLDER, "stay_obs")
